@@ -34,7 +34,7 @@ def ipv4_to_long(c) -> Column:
 def long_to_ipv4(c) -> Column:
     """Unsigned 32-bit value -> dotted quad."""
     c = _c(c).cast("bigint")
-    return F.concat_ws(".", *[(F.shiftright(c, s) % 256).cast("string") for s in (24, 16, 8, 0)])
+    return F.when(c.isNotNull(), F.concat_ws(".", *[(F.shiftright(c, s) % 256).cast("string") for s in (24, 16, 8, 0)]))
 
 
 # fixed values: IPv4 special-purpose ("private") networks as (first address, prefix length)

@@ -39,10 +39,27 @@ def add_distinct_ip_window(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="tra
     return out.drop(_T, "_ip")
 
 
+def fixed_point_mean(total_units, n, scale: int):
+    """Mean from an exact integer sum of ``10**scale`` units: order-independent,
+    so every partitioning and engine gives the same double."""
+    return F.when(n > 0, total_units / n / float(10 ** scale))
+
+
+def to_units(c, scale: int):
+    """Money value -> exact integer count of ``10**-scale`` units."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("double") * float(10 ** scale)).cast("bigint")
+
+
 def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=("amount", "count"),
                             date_col="transaction_date", id_col="customer_id",
-                            amount_col="amount") -> DataFrame:
-    """Trailing mean amount (NULL-skipping) and row count in ``[t - w days, t]``."""
+                            amount_col="amount", amount_scale: int | None = 2) -> DataFrame:
+    """Trailing mean amount (NULL-skipping) and row count in ``[t - w days, t]``.
+
+    With ``amount_scale`` (money with that many decimals) the mean is an exact
+    fixed-point sum over the non-NULL count, so it does not drift with the
+    summation order; ``None`` uses a plain double ``avg``.
+    """
     bad = set(trade_info) - {"amount", "count"}
     if bad:
         raise ValueError(f"unsupported trade_info {sorted(bad)}; use 'amount' and/or 'count'")
@@ -50,7 +67,11 @@ def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=(
     for w in windows:
         fr = _frame(id_col, w)
         if "amount" in trade_info:
-            cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
+            if amount_scale is None:
+                cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
+            else:
+                cols[f"{id_col}_ma_amount_{w}d"] = fixed_point_mean(
+                    F.sum(to_units(amount_col, amount_scale)).over(fr), F.count(amount_col).over(fr), amount_scale)
         if "count" in trade_info:
             cols[f"{id_col}_ma_count_{w}d"] = F.count(F.lit(1)).over(fr)
     return df.withColumn(_T, epoch_us(date_col)).withColumns(cols).drop(_T)

@@ -44,3 +44,21 @@ def with_tx(body: str, dims: bool = False, extra: str = "") -> str:
     if extra:
         parts.append(extra)
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+DERIVED_CTES = """
+profiles AS (SELECT customer_id, list_sort(list_distinct(list(type_of_credit_card_used))) AS credit_card_owned,
+                    max(store_card_merchant_id) AS store_card_merchant_id,
+                    CAST(customer_id * 37 % 100 AS DOUBLE) AS location_x, CAST(customer_id * 61 % 100 AS DOUBLE) AS location_y
+             FROM transactions GROUP BY customer_id),
+mpos AS (SELECT merchant_id, pos_id, CAST(pos_id * 13 % 100 AS DOUBLE) AS location_x, CAST(pos_id * 29 % 100 AS DOUBLE) AS location_y
+         FROM (SELECT DISTINCT merchant_id, pos_id FROM transactions WHERE pos_id IS NOT NULL)),
+card_pref AS (SELECT * FROM (VALUES ('Cashback', 'CAT_0', 'CAT_1'), ('Travel', 'CAT_2', 'CAT_3'),
+                              ('Store Credit Card', 'CAT_4', 'CAT_5'))
+              AS t(card_category, prefer_consumption_category_1, prefer_consumption_category_2))"""
+
+IPN = """CASE WHEN IP_address IS NULL THEN NULL ELSE
+ CAST(split_part(IP_address, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(IP_address, '.', 2) AS BIGINT) * 65536
+ + CAST(split_part(IP_address, '.', 3) AS BIGINT) * 256 + CAST(split_part(IP_address, '.', 4) AS BIGINT) END"""
+
+SEC_MIDNIGHT = "CAST(coalesce(hour({c}) * 3600 + minute({c}) * 60 + second({c}), -999) AS INTEGER)"

@@ -100,7 +100,7 @@ def data_schema(spark: SparkSession) -> DataFrame:
 
 
 def columns_to_bin(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COLUMNS_TO_BIN, "bin string, column string")
+    return spark.createDataFrame(COLUMNS_TO_BIN, "bin string, column_name string")
 
 
 SQL_DIMS = {
@@ -109,5 +109,5 @@ SQL_DIMS = {
     "country_timezone": values_sql(COUNTRY_TIMEZONES, ["country_code", "timezone"]),
     "holidays": values_sql(HOLIDAYS, ["country_code", "holiday_date"], {"holiday_date": "DATE"}),
     "data_schema": values_sql(DATA_SCHEMA, ["column_name", "data_type", "nullable", "is_categorical"]),
-    "columns_to_bin": values_sql(COLUMNS_TO_BIN, ["bin", "column"]),
+    "columns_to_bin": values_sql(COLUMNS_TO_BIN, ["bin", "column_name"]),
 }
