@@ -210,3 +210,48 @@ def semi(df: DataFrame, members: DataFrame, on) -> DataFrame:
 def anti(df: DataFrame, members: DataFrame, on) -> DataFrame:
     """Rows whose key is not in ``members``."""
     return df.join(members, on, "left_anti")
+
+
+# ------------------------------------------------------------------ documented feature ideas (2.18)
+
+def add_holiday_anywhere(df: DataFrame, holidays: DataFrame, date_col="transaction_date",
+                         out_col="is_holiday_anywhere") -> DataFrame:
+    """The row's date is a holiday in any country of the calendar."""
+    h = holidays.select(F.col("holiday_date").alias("_hd")).distinct().withColumn("_hit", F.lit(1))
+    x = df.withColumn("_d", F.to_date(date_col))
+    return (x.join(F.broadcast(h), x["_d"] == h["_hd"], "left")
+            .withColumn(out_col, F.coalesce("_hit", F.lit(0))).drop("_d", "_hd", "_hit"))
+
+
+def add_previous_ip_country(df: DataFrame, country_col="IP_address_country_code", id_col="customer_id",
+                            date_col="transaction_date", tie_col="transaction_id",
+                            out_col="previous_IP_country_code") -> DataFrame:
+    """Country of the customer's previous transaction (lag over the customer's time order)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(id_col).orderBy(date_col, tie_col)
+    return df.withColumn(out_col, F.lag(country_col).over(w))
+
+
+def add_recent_ip_country_holiday(df: DataFrame, holidays: DataFrame, days: int = 5,
+                                  country_col="IP_address_country_code", id_col="customer_id",
+                                  date_col="transaction_date", out_col=None) -> DataFrame:
+    """1 when the row's date is a holiday in any country the customer's IPs
+    resolved to within the trailing ``days`` (RANGE frame, both ends inclusive)."""
+    from pyspark.sql import Window
+    from fraudlens.sources.tables import epoch_us
+    out_col = out_col or f"holiday_in_recent_IP_country_{days}d"
+    w = (Window.partitionBy(id_col).orderBy(F.col("_t")).rangeBetween(-days * 86_400_000_000, Window.currentRow))
+    per_day = holidays.groupBy(F.col("holiday_date").alias("_hd")).agg(F.collect_set("country_code").alias("_hcs"))
+    x = (df.withColumn("_t", epoch_us(date_col)).withColumn("_recent", F.collect_set(country_col).over(w))
+         .withColumn("_d", F.to_date(date_col)))
+    x = x.join(F.broadcast(per_day), x["_d"] == per_day["_hd"], "left")
+    flag = F.coalesce(F.arrays_overlap("_recent", "_hcs"), F.lit(False)).cast("int")
+    return x.withColumn(out_col, flag).drop("_t", "_recent", "_d", "_hd", "_hcs")
+
+
+def add_is_workday(df: DataFrame, holiday_flag_col="bank_holiday_of_IP_country", date_col="transaction_date",
+                   out_col="is_workday") -> DataFrame:
+    """Monday-Friday and not a holiday of the IP country (unknown holiday status counts as no holiday)."""
+    wd = F.weekday(date_col) < 5
+    return df.withColumn(out_col, F.coalesce(wd & (F.coalesce(F.col(holiday_flag_col), F.lit(0)) == 0),
+                                             F.lit(False)).cast("int"))

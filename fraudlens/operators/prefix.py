@@ -7,12 +7,21 @@ inside each partition, number rows inside a partition with
 the low 33 bits), and add the row count of all earlier partitions.  The
 per-partition count table has one row per partition, so broadcasting it is
 bounded by the partition count, not by the data.
+
+The range bounds come from a sample whose outcome depends on the row order
+inside upstream shuffle partitions, which is not deterministic; two plan
+branches over the same lineage could therefore partition differently.  The
+sorted, range-partitioned rows are written once with a reliable checkpoint
+(``spark.checkpoint.dir``) and both the counts and the positions read that one
+copy, which also survives executor loss.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlens.session import cut_lineage
+
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
     if n:
@@ -27,7 +36,7 @@ def with_global_position(df: DataFrame, order_cols: list, name: str = "position"
     ``order_cols`` must end in a unique tie-break so the order is total.
     """
     n = _n_parts(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    ranged = (cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
@@ -41,9 +50,21 @@ def with_global_position(df: DataFrame, order_cols: list, name: str = "position"
             .drop("_pid", "_local", "_off"))
 
 
-def dense_codes(df: DataFrame, col: str, name: str = "code") -> DataFrame:
-    """Distinct non-NULL values of ``col`` with their 0-based rank in sorted order."""
+SMALL_CODE_TABLE = 100_000
+
+
+def dense_codes(df: DataFrame, col: str, name: str = "code", small: int = SMALL_CODE_TABLE) -> DataFrame:
+    """Distinct non-NULL values of ``col`` with their 0-based rank in sorted order.
+
+    Up to ``small`` distinct values (checked with a bounded count) the sorted
+    values are numbered on the driver and returned as a small table; beyond
+    that the ranks come from the distributed global position."""
     vals = df.select(col).where(F.col(col).isNotNull()).distinct()
+    if vals.limit(small + 1).count() <= small:
+        rows = vals.orderBy(col).collect()            # <= small values
+        from pyspark.sql.types import LongType, StructField, StructType
+        schema = StructType(list(vals.schema.fields) + [StructField(name, LongType())])
+        return df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(rows)], schema)
     return with_global_position(vals, [col], name=name)
 
 
@@ -75,7 +96,7 @@ def with_global_cumsum(df: DataFrame, order_cols: list, value_cols: list, out_co
     out_cols = out_cols or [f"cum_{v}" for v in value_cols]
     n = _n_parts(df, num_partitions)
     order = [F.col(c) if ascending else F.col(c).desc() for c in order_cols]
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = (cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
               .withColumn("_pid", F.spark_partition_id()))
     schema = ranged.schema
     from pyspark.sql.types import DoubleType, StructField, StructType

@@ -460,3 +460,63 @@ def q_e11(spark, sf):
     return p.select("customer_id", F.array_contains("credit_card_owned", "Store Credit Card").alias("has_store_card"),
                     F.arrays_overlap("credit_card_owned", rewards).alias("has_reward_card"),
                     F.sort_array(F.array_intersect("credit_card_owned", rewards)).alias("reward_cards"))
+
+
+# ------------------------------------------------------------------ J2 and documented feature ideas
+
+@register("j2_one_to_one_key_join", with_tx("""SELECT a.transaction_id, a.amount, b.day_no FROM
+  (SELECT transaction_id, amount FROM transactions) a JOIN (SELECT transaction_id, day_no FROM transactions) b
+  ON a.transaction_id = b.transaction_id"""))
+def q_j2(spark, sf):
+    t = tx(spark, sf)
+    return t.select("transaction_id", "amount").join(t.select("transaction_id", "day_no"), "transaction_id")
+
+
+@register("x_holiday_anywhere", with_tx("""SELECT transaction_id, CAST(CASE WHEN CAST(transaction_date AS DATE) IN
+  (SELECT holiday_date FROM holidays) THEN 1 ELSE 0 END AS INTEGER) AS is_holiday_anywhere FROM transactions""", dims=True))
+def q_x1(spark, sf):
+    return J.add_holiday_anywhere(tx(spark, sf).select("transaction_id", "transaction_date"), dims.holidays(spark)) \
+        .select("transaction_id", "is_holiday_anywhere")
+
+
+@register("x_previous_ip_country_holiday", with_tx("""
+SELECT transaction_id, prev_cc AS previous_IP_country_code,
+  CAST(CASE WHEN prev_cc IS NULL OR prev_cc NOT IN (SELECT country_code FROM holidays) THEN NULL
+       WHEN EXISTS (SELECT 1 FROM holidays h WHERE h.country_code = p.prev_cc AND h.holiday_date = CAST(p.transaction_date AS DATE))
+       THEN 1 ELSE 0 END AS INTEGER) AS holiday_of_previous_IP_country
+FROM (SELECT cc.transaction_id, cc.transaction_date, lag(cc.IP_address_country_code) OVER
+      (PARTITION BY t.customer_id ORDER BY cc.transaction_date, cc.transaction_id) AS prev_cc
+      FROM cc JOIN transactions t ON cc.transaction_id = t.transaction_id) p""", dims=True, extra=_LOCAL))
+def q_x2(spark, sf):
+    x = J.add_ip_country(tx(spark, sf).select("transaction_id", "transaction_date", "customer_id", "IP_address"),
+                         dims.ip_ranges(spark))
+    x = J.add_previous_ip_country(x)
+    x = J.add_bank_holiday_by_country_code(x, dims.holidays(spark), country_col="previous_IP_country_code",
+                                           out_col="holiday_of_previous_IP_country")
+    return x.select("transaction_id", "previous_IP_country_code", "holiday_of_previous_IP_country")
+
+
+@register("x_recent_ip_country_holiday", with_tx(f"""
+SELECT transaction_id, CAST(coalesce(len(list_intersect(recent, hcs)) > 0, false) AS INTEGER) AS holiday_in_recent_IP_country_5d
+FROM (SELECT cc.transaction_id, cc.transaction_date,
+        list_distinct(list(cc.IP_address_country_code) OVER (PARTITION BY t.customer_id ORDER BY epoch_us(cc.transaction_date)
+          RANGE BETWEEN {5 * DAY_US} PRECEDING AND CURRENT ROW)) AS recent
+      FROM cc JOIN transactions t ON cc.transaction_id = t.transaction_id) r
+LEFT JOIN (SELECT holiday_date, list(country_code) AS hcs FROM holidays GROUP BY 1) h
+  ON CAST(r.transaction_date AS DATE) = h.holiday_date""", dims=True, extra=_LOCAL))
+def q_x3(spark, sf):
+    x = J.add_ip_country(tx(spark, sf).select("transaction_id", "transaction_date", "customer_id", "IP_address"),
+                         dims.ip_ranges(spark))
+    return J.add_recent_ip_country_holiday(x, dims.holidays(spark), days=5).select(
+        "transaction_id", "holiday_in_recent_IP_country_5d")
+
+
+@register("x_is_workday", with_tx("""
+SELECT transaction_id, CAST(isodow(transaction_date) - 1 < 5 AND coalesce(flag, 0) = 0 AS INTEGER) AS is_workday FROM (
+ SELECT transaction_id, transaction_date, CASE WHEN IP_address_country_code IS NULL OR IP_address_country_code NOT IN
+   (SELECT country_code FROM holidays) THEN NULL WHEN EXISTS (SELECT 1 FROM holidays h WHERE h.country_code = cc.IP_address_country_code
+   AND h.holiday_date = CAST(cc.transaction_date AS DATE)) THEN 1 ELSE 0 END AS flag FROM cc)""", dims=True, extra=_LOCAL))
+def q_x4(spark, sf):
+    x = J.add_ip_country(tx(spark, sf).select("transaction_id", "transaction_date", "IP_address"), dims.ip_ranges(spark))
+    x = J.add_bank_holiday_by_country_code(x, dims.holidays(spark))
+    return J.add_is_workday(x).select("transaction_id", "is_workday")
