@@ -36,7 +36,7 @@ def _union(parts):
 
 _P1_CASTS = {"transaction_id": "BIGINT", "transaction_date": "TIMESTAMP", "customer_id": "BIGINT", "amount": "DOUBLE",
              "date_in_sec": "BIGINT", "day_no": "BIGINT", "merchant_id": "BIGINT", "pos_id": "BIGINT",
-             "merchant_established_date": "TIMESTAMP", "MCCs": "BIGINT", "merchant_category": "VARCHAR",
+             "merchant_established_date": "TIMESTAMP", "MCCs": "INTEGER", "merchant_category": "VARCHAR",
              "IP_address": "VARCHAR", "type_of_credit_card_used": "VARCHAR", "card_present_or_not": "VARCHAR",
              "store_card_merchant_id": "BIGINT", "is_fraud": "BOOLEAN"}
 

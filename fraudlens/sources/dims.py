@@ -38,7 +38,7 @@ DATA_SCHEMA = [
     ("merchant_id", "int", "N", "Y"),
     ("pos_id", "int", "Y", "N"),
     ("merchant_established_date", "datetime", "N", "N"),
-    ("MCCs", "int", "N", "Y"),
+    ("MCCs", "category", "N", "Y"),
     ("merchant_category", "string", "N", "Y"),
     ("IP_address", "string", "Y", "N"),
     ("type_of_credit_card_used", "string", "Y", "Y"),
