@@ -64,7 +64,8 @@ def dense_codes(df: DataFrame, col: str, name: str = "code", small: int = SMALL_
         rows = vals.orderBy(col).collect()            # <= small values
         from pyspark.sql.types import LongType, StructField, StructType
         schema = StructType(list(vals.schema.fields) + [StructField(name, LongType())])
-        return df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(rows)], schema)
+        # bounded by ``small`` rows: safe to broadcast
+        return F.broadcast(df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(rows)], schema))
     return with_global_position(vals, [col], name=name)
 
 

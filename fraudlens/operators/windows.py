@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlens.functions.ip import is_present
+from fraudlens.operators import hotsplit as H
 from fraudlens.operators.prefix import with_global_position
 from fraudlens.sources.tables import epoch_us
 
@@ -19,13 +20,27 @@ DEFAULT_WINDOWS = (1, 5, 12, 28, 60)
 _T = "_t_us"
 
 
-def _frame(customer: str, days: int):
-    return (Window.partitionBy(customer).orderBy(F.col(_T))
+def _frame(customer: str, days: int, split=None):
+    keys = H.partition_keys(split, customer) if split is not None else [customer]
+    return (Window.partitionBy(*keys).orderBy(F.col(_T))
             .rangeBetween(-days * DAY_US, Window.currentRow))
 
 
+def _prepare(df: DataFrame, date_col: str, id_col: str, max_days: int, hot_threshold: int | None,
+             bucket_days: int | None):
+    """Add the time key; with ``hot_threshold`` split hot customers into time buckets."""
+    x = df.withColumn(_T, epoch_us(date_col))
+    sp = H.prepare(x, id_col, _T, max_days, bucket_days or max(1, max_days), hot_threshold)
+    return sp.rows, sp
+
+
+def _done(df: DataFrame, split) -> DataFrame:
+    return H.finish(split, df).drop(_T)
+
+
 def add_distinct_ip_window(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
-                           id_col="customer_id", ip_col="IP_address") -> DataFrame:
+                           id_col="customer_id", ip_col="IP_address", hot_threshold: int | None = None,
+                           bucket_days: int | None = None) -> DataFrame:
     """Distinct non-NULL, non-blank IPs of the customer in ``[t - w days, t]``.
 
     Output ``{id_col}_distinct_ip_{w}d`` (int).  A set of IPs per frame is kept
@@ -33,10 +48,11 @@ def add_distinct_ip_window(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="tra
     the number of distinct IPs a customer uses in ``w`` days.
     """
     ip = F.when(is_present(ip_col), F.col(ip_col))
-    out = df.withColumn(_T, epoch_us(date_col)).withColumn("_ip", ip)
-    out = out.withColumns({f"{id_col}_distinct_ip_{w}d": F.size(F.collect_set("_ip").over(_frame(id_col, w)))
+    out, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
+    out = out.withColumn("_ip", ip)
+    out = out.withColumns({f"{id_col}_distinct_ip_{w}d": F.size(F.collect_set("_ip").over(_frame(id_col, w, split)))
                            for w in windows})
-    return out.drop(_T, "_ip")
+    return _done(out, split).drop("_ip")
 
 
 def fixed_point_mean(total_units, n, scale: int):
@@ -53,7 +69,8 @@ def to_units(c, scale: int):
 
 def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=("amount", "count"),
                             date_col="transaction_date", id_col="customer_id",
-                            amount_col="amount", amount_scale: int | None = 2) -> DataFrame:
+                            amount_col="amount", amount_scale: int | None = 2, hot_threshold: int | None = None,
+                            bucket_days: int | None = None) -> DataFrame:
     """Trailing mean amount (NULL-skipping) and row count in ``[t - w days, t]``.
 
     With ``amount_scale`` (money with that many decimals) the mean is an exact
@@ -63,9 +80,10 @@ def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=(
     bad = set(trade_info) - {"amount", "count"}
     if bad:
         raise ValueError(f"unsupported trade_info {sorted(bad)}; use 'amount' and/or 'count'")
+    x, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
     cols = {}
     for w in windows:
-        fr = _frame(id_col, w)
+        fr = _frame(id_col, w, split)
         if "amount" in trade_info:
             if amount_scale is None:
                 cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
@@ -74,33 +92,39 @@ def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=(
                     F.sum(to_units(amount_col, amount_scale)).over(fr), F.count(amount_col).over(fr), amount_scale)
         if "count" in trade_info:
             cols[f"{id_col}_ma_count_{w}d"] = F.count(F.lit(1)).over(fr)
-    return df.withColumn(_T, epoch_us(date_col)).withColumns(cols).drop(_T)
+    return _done(x.withColumns(cols), split)
 
 
 def add_sec_since_last_trade(df: DataFrame, date_col="transaction_date", id_col="customer_id",
-                             tie_col="transaction_id") -> DataFrame:
+                             tie_col="transaction_id", hot_threshold: int | None = None,
+                             bucket_days: int = 1) -> DataFrame:
     """Whole seconds since the customer's previous transaction (any IP); first -> 0."""
-    w = Window.partitionBy(id_col).orderBy(_T, tie_col)
-    diff = F.floor((F.col(_T) - F.lag(_T).over(w)) / 1_000_000)
-    return (df.withColumn(_T, epoch_us(date_col))
-            .withColumn(f"{id_col}_sec_since_last_trade", F.coalesce(diff, F.lit(0)).cast("bigint"))
-            .drop(_T))
+    x, split = _prepare(df, date_col, id_col, bucket_days, hot_threshold, bucket_days)
+    w = Window.partitionBy(*H.partition_keys(split, id_col)).orderBy(_T, tie_col)
+    x = x.withColumn("_prev", F.lag(_T).over(w))
+    x = H.fill_lag(split, x, [id_col], _T, "_prev")
+    diff = F.floor((F.col(_T) - F.col("_prev")) / 1_000_000)
+    x = x.withColumn(f"{id_col}_sec_since_last_trade", F.coalesce(diff, F.lit(0)).cast("bigint"))
+    return _done(x, split).drop("_prev")
 
 
 def add_time_since_last_ip_per_customer(df: DataFrame, customer_col="customer_id", ip_col="IP_address",
                                         timestamp_col="transaction_date", fill_na_with_zero=True,
-                                        tie_col="transaction_id") -> DataFrame:
+                                        tie_col="transaction_id", hot_threshold: int | None = None,
+                                        bucket_days: int = 1) -> DataFrame:
     """Seconds (fractional) since the same customer last used the same IP.
 
     First use, or a NULL IP, gives NULL -> 0 when ``fill_na_with_zero``.
     """
-    w = Window.partitionBy(customer_col, ip_col).orderBy(_T, tie_col)
-    gap = (F.col(_T) - F.lag(_T).over(w)) / 1e6
+    x, split = _prepare(df, timestamp_col, customer_col, bucket_days, hot_threshold, bucket_days)
+    w = Window.partitionBy(*H.partition_keys(split, customer_col, ip_col)).orderBy(_T, tie_col)
+    x = x.withColumn("_prev", F.lag(_T).over(w))
+    x = H.fill_lag(split, x, [customer_col, ip_col], _T, "_prev", F.col(ip_col).isNotNull())
+    gap = (F.col(_T) - F.col("_prev")) / 1e6
     gap = F.when(F.col(ip_col).isNull(), F.lit(None).cast("double")).otherwise(gap)
     if fill_na_with_zero:
         gap = F.coalesce(gap, F.lit(0.0))
-    return (df.withColumn(_T, epoch_us(timestamp_col))
-            .withColumn("seconds_since_last_ip", gap).drop(_T))
+    return _done(x.withColumn("seconds_since_last_ip", gap), split).drop("_prev")
 
 
 def add_rapid_flag(df: DataFrame, minutes: float = 30, date_col="transaction_date",
@@ -166,3 +190,38 @@ def add_time_position(df: DataFrame, date_col="transaction_date", tie_col="trans
                       name="position", num_partitions=None) -> DataFrame:
     """0-based global position by (time, id) - range partitioned, no single-task window."""
     return with_global_position(df, [date_col, tie_col], name=name, num_partitions=num_partitions)
+
+
+def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
+                                 id_col="customer_id", ip_col="IP_address", amount_col="amount",
+                                 tie_col="transaction_id", amount_scale: int | None = 2,
+                                 hot_threshold: int | None = None, bucket_days: int | None = None) -> DataFrame:
+    """W1 + W3 + W2 + W4 over one preparation: every window partitions by the
+    customer (and, with ``hot_threshold``, by the customer's time bucket), so
+    they all run on one Exchange; the (customer, IP) lag is satisfied by the
+    same hash partitioning."""
+    x, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
+    part = H.partition_keys(split, id_col)
+    ip = F.when(is_present(ip_col), F.col(ip_col))
+    cols = {}
+    for w in windows:
+        cols[f"{id_col}_distinct_ip_{w}d"] = F.size(F.collect_set(ip).over(_frame(id_col, w, split)))
+    for w in windows:
+        fr = _frame(id_col, w, split)
+        if amount_scale is None:
+            cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
+        else:
+            cols[f"{id_col}_ma_amount_{w}d"] = fixed_point_mean(
+                F.sum(to_units(amount_col, amount_scale)).over(fr), F.count(amount_col).over(fr), amount_scale)
+        cols[f"{id_col}_ma_count_{w}d"] = F.count(F.lit(1)).over(fr)
+    cols["_prev"] = F.lag(_T).over(Window.partitionBy(*part).orderBy(_T, tie_col))
+    cols["_prev_ip"] = F.lag(_T).over(Window.partitionBy(*part, ip_col).orderBy(_T, tie_col))
+    x = x.withColumns(cols)
+    x = H.fill_lag(split, x, [id_col], _T, "_prev")
+    x = H.fill_lag(split, x, [id_col, ip_col], _T, "_prev_ip", F.col(ip_col).isNotNull())
+    gap = F.when(F.col(ip_col).isNull(), F.lit(None).cast("double")).otherwise((F.col(_T) - F.col("_prev_ip")) / 1e6)
+    x = x.withColumns({
+        f"{id_col}_sec_since_last_trade": F.coalesce(F.floor((F.col(_T) - F.col("_prev")) / 1_000_000), F.lit(0)).cast("bigint"),
+        "seconds_since_last_ip": F.coalesce(gap, F.lit(0.0)),
+    })
+    return _done(x, split).drop("_prev", "_prev_ip")

@@ -21,14 +21,15 @@ from fraudlens.operators.encode import label_encode_column, onehot_encode_column
 WINDOWS = (1, 5, 12, 28, 60)
 
 
+HOT_CUSTOMER_ROWS = 2_000_000    # rows above which a customer's windows are split by time bucket
+
+
 def build_transaction_features(tx: DataFrame, ip_ranges: DataFrame, tz_dim: DataFrame, holidays: DataFrame,
                                as_of: str = "2025-01-01", windows=WINDOWS, ip_thresholds=None,
-                               holiday_country: str = "GB") -> DataFrame:
-    # per-customer windows: one shuffle by customer
-    x = W.add_distinct_ip_window(tx, windows)
-    x = W.add_sec_since_last_trade(x)
-    x = W.add_ma_trade_info_by_id(x, windows)
-    x = W.add_time_since_last_ip_per_customer(x)
+                               holiday_country: str = "GB", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
+                               bucket_days: int | None = None) -> DataFrame:
+    # per-customer windows: one shuffle by customer (hot customers split into time buckets)
+    x = W.add_customer_window_features(tx, windows, hot_threshold=hot_threshold, bucket_days=bucket_days)
     # IP sharing: aggregate by IP and join back
     x = J.add_ip_used_by_many(x, ip_thresholds)
     # broadcast lookups and row-wise expressions

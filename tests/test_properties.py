@@ -56,3 +56,14 @@ def test_feature_plan_has_no_nested_loop_or_cartesian(spark, sf_small):
                                    ip_thresholds=[2])
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_hot_key_split_matches_plain_windows(spark, sf_small):
+    t = transactions(spark, sf_small).select("transaction_id", "transaction_date", "customer_id", "IP_address", "amount")
+    plain = W.add_customer_window_features(t)
+    split = W.add_customer_window_features(t, hot_threshold=20, bucket_days=2)
+    cols = sorted(plain.columns)
+    assert sorted(split.columns) == cols
+    key = lambda r: repr(r)
+    assert sorted((tuple(r) for r in plain.select(*cols).collect()), key=key) == \
+        sorted((tuple(r) for r in split.select(*cols).collect()), key=key)
