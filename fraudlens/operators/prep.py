@@ -79,11 +79,16 @@ class ExactImputer(_FitBase):
         s = cfg.get("strategy", "mean")
         if s == "constant":
             return {c: cfg.get("fill_value", 0) for c in cols}
-        if s in ("mean", "median"):
-            f = (lambda c: F.avg(F.col(c).cast("double"))) if s == "mean" else \
-                (lambda c: F.percentile(F.col(c).cast("double"), 0.5))
-            r = df.agg(*[f(c).alias(f"v{i}") for i, c in enumerate(cols)]).first()
+        if s == "mean":
+            r = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(cols)]).first()
             return {c: r[f"v{i}"] for i, c in enumerate(cols)}
+        if s == "median":
+            from fraudlens.operators.profile import quantiles
+            out = {}
+            for c in cols:
+                r = quantiles(df, c, [0.5]).first()
+                out[c] = r["_q"][0] if r is not None and r["_q"] else None
+            return out
         if s == "most_frequent":
             out = {}
             for c in cols:

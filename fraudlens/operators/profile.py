@@ -26,9 +26,10 @@ def prt_stats(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
     """G1: mean, median, skew (bias-corrected), kurtosis (bias-corrected excess)."""
     x = F.col(col).cast("double")
     a = df.agg(F.count(x).cast("double").alias("_n"), F.avg(x).alias("mean"),
-               F.percentile(x, 0.5).alias("median"), F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"))
+               F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"))
+    a = a.crossJoin(quantiles(df, col, [0.5]))       # both one row
     skew, kurt = _bias_corrected(F.col("_n"), F.col("_g1"), F.col("_g2"))
-    return a.select(F.round("mean", digits).alias("mean"), F.round("median", digits).alias("median"),
+    return a.select(F.round("mean", digits).alias("mean"), F.round(F.col("_q")[0], digits).alias("median"),
                     F.round(skew, digits).alias("skew"), F.round(kurt, digits).alias("kurtosis"))
 
 
@@ -41,9 +42,12 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, by: str | Non
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     g = df.groupBy(by) if by else df
     wide = g.agg(*aggs)
+    for i, c in enumerate(cols):
+        q = quantiles(df, c, [0.25, 0.5, 0.75], by).withColumnRenamed("_q", f"q{i}")
+        wide = wide.join(q, by, "left") if by else wide.crossJoin(q)
     parts = ", ".join(f"'{c}', CAST(c{i} AS BIGINT), m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}"
                       for i, c in enumerate(cols))
     keep = [by] if by else []
@@ -183,7 +187,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whisker: float = 1
     """Quartiles, IQR fences and the number of points outside them (per group)."""
     x = F.col(col).cast("double")
     g = df.groupBy(by) if by else df
-    q = g.agg(F.percentile(x, [0.25, 0.5, 0.75]).alias("_q"))
+    q = quantiles(df, col, [0.25, 0.5, 0.75], by)
     q = q.select(*([by] if by else []), F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("lower_fence", F.col("q1") - whisker * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + whisker * (F.col("q3") - F.col("q1")))
@@ -196,7 +200,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whisker: float = 1
 
 def quantile(df: DataFrame, col: str, q: float = 0.99, digits: int = 4) -> DataFrame:
     """Exact interpolated quantile."""
-    return df.agg(F.round(F.percentile(F.col(col).cast("double"), q), digits).alias(f"q{int(q * 100)}"))
+    return quantiles(df, col, [q]).select(F.round(F.col("_q")[0], digits).alias(f"q{int(q * 100)}"))
 
 
 def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -211,3 +215,44 @@ def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     parts = ", ".join(f"'{c}', '{types[c]}', CAST(n{i} AS BIGINT), CAST(d{i} AS BIGINT), lo{i}, hi{i}"
                       for i, c in enumerate(cols))
     return wide.select(F.expr(f"stack({len(cols)}, {parts}) AS (column_name, data_type, n_null, n_distinct, min_value, max_value)"))
+
+
+# ------------------------------------------------------------------ exact quantiles at any size
+
+PERCENTILE_MAX_DISTINCT = 1_000_000
+
+
+def quantiles(df: DataFrame, col: str, qs: list[float], by: str | None = None,
+              max_distinct: int = PERCENTILE_MAX_DISTINCT) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``col`` (optionally per ``by``)
+    as an array column ``_q``.
+
+    Spark's ``percentile`` keeps one count per distinct value in a single
+    aggregation buffer per group; that is used when an approximate distinct
+    count shows the buffer is bounded (<= ``max_distinct`` values per group).
+    Beyond that the values are range-partitioned and sorted (global position),
+    and only the rows at the needed ranks are picked - no group is gathered
+    into one task."""
+    x = df.where(F.col(col).isNotNull()).select(*([by] if by else []), F.col(col).cast("double").alias("_v"))
+    g = x.groupBy(by) if by else x
+    nd = g.agg(F.approx_count_distinct("_v").alias("_nd")).agg(F.max("_nd")).first()[0] or 0
+    if nd <= max_distinct:
+        return g.agg(F.percentile("_v", list(qs)).alias("_q"))
+    from fraudlens.operators.prefix import with_global_position
+    keys = [by] if by else []
+    pos = with_global_position(x, [*keys, "_v"], "_pos")
+    grp = pos.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    spark = df.sparkSession
+    qdf = spark.createDataFrame([(i, float(q)) for i, q in enumerate(qs)], "qi int, q double")
+    need = grp.crossJoin(F.broadcast(qdf)).withColumn("_h", (F.col("_n") - 1) * F.col("q")) \
+        .withColumn("_lo", F.floor("_h").cast("bigint")).withColumn("_hi", F.ceil("_h").cast("bigint"))
+    ranks = need.select(*keys, (F.col("_start") + F.col("_lo")).alias("_pos")).union(
+        need.select(*keys, (F.col("_start") + F.col("_hi")).alias("_pos"))).distinct()
+    vals = pos.join(ranks, [*keys, "_pos"], "left_semi").select(*keys, "_pos", "_v")   # 2 rows per q per group
+    lo = vals.select(*keys, F.col("_pos").alias("_plo"), F.col("_v").alias("_vlo"))
+    hi = vals.select(*keys, F.col("_pos").alias("_phi"), F.col("_v").alias("_vhi"))
+    j = (need.withColumn("_plo", F.col("_start") + F.col("_lo")).withColumn("_phi", F.col("_start") + F.col("_hi"))
+         .join(lo, [*keys, "_plo"]).join(hi, [*keys, "_phi"]))
+    val = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.col("_lo"))
+    return j.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("qi", val.alias("v")))),
+                                            lambda s: s["v"]).alias("_q"))

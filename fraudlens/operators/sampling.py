@@ -108,22 +108,22 @@ def with_weights(df: DataFrame, label="is_fraud", positive_weight: float | None
 
 
 def random_oversample(df: DataFrame, label="is_fraud", ratio: float = 1.0, id_col="transaction_id",
-                      seed=42) -> DataFrame:
+                      seed=42, method: str = "xxhash") -> DataFrame:
     """Replicate minority rows until minority ~= ratio * majority.  Each
     minority row is emitted floor(f) times plus once more when its hash < frac(f)
     (``explode`` of a per-row sequence; no shuffle)."""
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     f = ratio * counts.get(0, 0) / max(counts.get(1, 0), 1)
     whole, frac = int(f), f - int(f)
-    u = uniform(id_col, seed)
+    u = uniform(id_col, seed, method)
     reps = F.when(F.col(label) == 1, F.lit(whole) + (u < frac).cast("int")).otherwise(F.lit(1))
-    return (df.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1)))))
-            .where((F.col(label) != 1) | (reps >= 1)).drop("_rep"))
+    # every row is kept at least once: over-sampling never drops minority rows
+    return df.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1))))).drop("_rep")
 
 
 def random_undersample(df: DataFrame, label="is_fraud", ratio: float = 1.0, id_col="transaction_id",
-                       seed=42) -> DataFrame:
+                       seed=42, method: str = "xxhash") -> DataFrame:
     """Keep majority rows with hash < ratio * minority / majority."""
     counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     keep = min(1.0, ratio * counts.get(1, 0) / max(counts.get(0, 1), 1))
-    return df.where((F.col(label) == 1) | (uniform(id_col, seed) < keep))
+    return df.where((F.col(label) == 1) | (uniform(id_col, seed, method) < keep))

@@ -17,6 +17,9 @@ from fraudlens.sources.tables import epoch_us
 
 DAY_US = 86_400 * 1_000_000
 DEFAULT_WINDOWS = (1, 5, 12, 28, 60)
+# customers with more rows than this get their windows split by time bucket
+# (checked with one aggregation per call; see hotsplit.py)
+HOT_CUSTOMER_ROWS = 2_000_000
 _T = "_t_us"
 
 
@@ -39,7 +42,7 @@ def _done(df: DataFrame, split) -> DataFrame:
 
 
 def add_distinct_ip_window(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
-                           id_col="customer_id", ip_col="IP_address", hot_threshold: int | None = None,
+                           id_col="customer_id", ip_col="IP_address", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
                            bucket_days: int | None = None) -> DataFrame:
     """Distinct non-NULL, non-blank IPs of the customer in ``[t - w days, t]``.
 
@@ -69,7 +72,7 @@ def to_units(c, scale: int):
 
 def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=("amount", "count"),
                             date_col="transaction_date", id_col="customer_id",
-                            amount_col="amount", amount_scale: int | None = 2, hot_threshold: int | None = None,
+                            amount_col="amount", amount_scale: int | None = 2, hot_threshold: int | None = HOT_CUSTOMER_ROWS,
                             bucket_days: int | None = None) -> DataFrame:
     """Trailing mean amount (NULL-skipping) and row count in ``[t - w days, t]``.
 
@@ -96,7 +99,7 @@ def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=(
 
 
 def add_sec_since_last_trade(df: DataFrame, date_col="transaction_date", id_col="customer_id",
-                             tie_col="transaction_id", hot_threshold: int | None = None,
+                             tie_col="transaction_id", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
                              bucket_days: int = 1) -> DataFrame:
     """Whole seconds since the customer's previous transaction (any IP); first -> 0."""
     x, split = _prepare(df, date_col, id_col, bucket_days, hot_threshold, bucket_days)
@@ -110,7 +113,7 @@ def add_sec_since_last_trade(df: DataFrame, date_col="transaction_date", id_col=
 
 def add_time_since_last_ip_per_customer(df: DataFrame, customer_col="customer_id", ip_col="IP_address",
                                         timestamp_col="transaction_date", fill_na_with_zero=True,
-                                        tie_col="transaction_id", hot_threshold: int | None = None,
+                                        tie_col="transaction_id", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
                                         bucket_days: int = 1) -> DataFrame:
     """Seconds (fractional) since the same customer last used the same IP.
 
@@ -127,20 +130,29 @@ def add_time_since_last_ip_per_customer(df: DataFrame, customer_col="customer_id
     return _done(x.withColumn("seconds_since_last_ip", gap), split).drop("_prev")
 
 
+def with_prev_time(df: DataFrame, date_col="transaction_date", id_col="customer_id", tie_col="transaction_id",
+                   hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int = 1, out="_prev") -> DataFrame:
+    """``_t_us`` (event time) and ``out`` = time of the key's previous row (NULL for
+    the first), hot keys split by time bucket."""
+    x, split = _prepare(df, date_col, id_col, bucket_days, hot_threshold, bucket_days)
+    w = Window.partitionBy(*H.partition_keys(split, id_col)).orderBy(_T, tie_col)
+    x = H.fill_lag(split, x.withColumn(out, F.lag(_T).over(w)), [id_col], _T, out)
+    return H.finish(split, x)
+
+
 def add_rapid_flag(df: DataFrame, minutes: float = 30, date_col="transaction_date",
-                   id_col="customer_id", tie_col="transaction_id") -> DataFrame:
+                   id_col="customer_id", tie_col="transaction_id", hot_threshold: int | None = HOT_CUSTOMER_ROWS) -> DataFrame:
     """``time_diff`` (minutes since the customer's previous row) and ``is_rapid``."""
-    w = Window.partitionBy(id_col).orderBy(_T, tie_col)
-    diff = (F.col(_T) - F.lag(_T).over(w)) / 60e6
-    return (df.withColumn(_T, epoch_us(date_col))
-            .withColumn("time_diff", diff)
+    x = with_prev_time(df, date_col, id_col, tie_col, hot_threshold)
+    return (x.withColumn("time_diff", (F.col(_T) - F.col("_prev")) / 60e6)
             .withColumn("is_rapid", F.coalesce(F.col("time_diff") <= minutes, F.lit(False)))
-            .drop(_T))
+            .drop(_T, "_prev"))
 
 
-def rapid_share_by_label(df: DataFrame, minutes: float = 30, target="is_fraud") -> DataFrame:
+def rapid_share_by_label(df: DataFrame, minutes: float = 30, target="is_fraud",
+                         hot_threshold: int | None = HOT_CUSTOMER_ROWS) -> DataFrame:
     """W5 report: per label, % of rapid and non-rapid transactions."""
-    r = add_rapid_flag(df, minutes)
+    r = add_rapid_flag(df, minutes, hot_threshold=hot_threshold)
     counts = r.groupBy(target).agg(
         F.sum(F.col("is_rapid").cast("int")).alias("n_rapid"), F.count(F.lit(1)).alias("n"))
     return counts.select(
@@ -151,15 +163,14 @@ def rapid_share_by_label(df: DataFrame, minutes: float = 30, target="is_fraud")
 
 def minutes_between_fraud_customer_trades(df: DataFrame, n_customers: int = 100, target="is_fraud",
                                           date_col="transaction_date", id_col="customer_id",
-                                          tie_col="transaction_id") -> DataFrame:
+                                          tie_col="transaction_id", hot_threshold: int | None = HOT_CUSTOMER_ROWS) -> DataFrame:
     """Minutes between consecutive transactions of the first ``n_customers``
     customers (by id) that have any fraud; each customer's first row dropped."""
     fraud_ids = df.where(F.col(target) == 1).select(id_col).distinct()
     first_ids = fraud_ids.orderBy(id_col).limit(n_customers)   # top-n report: the limit is the feature
-    sub = df.join(F.broadcast(first_ids), id_col, "left_semi")
-    w = Window.partitionBy(id_col).orderBy(_T, tie_col)
-    return (sub.withColumn(_T, epoch_us(date_col))
-            .withColumn("minutes_since_previous", (F.col(_T) - F.lag(_T).over(w)) / 60e6)
+    sub = df.join(F.broadcast(first_ids), id_col, "left_semi")  # at most n_customers ids
+    x = with_prev_time(sub, date_col, id_col, tie_col, hot_threshold)
+    return (x.withColumn("minutes_since_previous", (F.col(_T) - F.col("_prev")) / 60e6)
             .where(F.col("minutes_since_previous").isNotNull())
             .select(id_col, tie_col, "minutes_since_previous"))
 
@@ -168,20 +179,22 @@ def transactions_before_first_fraud(df: DataFrame, target="is_fraud", date_col="
                                     id_col="customer_id", amount_col="amount",
                                     tie_col="transaction_id") -> DataFrame:
     """Per customer with a fraud: rows before the first fraud (only if >= 1),
-    hours from first row to first fraud, mean amount before the fraud."""
-    w = Window.partitionBy(id_col).orderBy(_T, tie_col)
-    wc = Window.partitionBy(id_col)
-    x = (df.withColumn(_T, epoch_us(date_col))
-         .withColumn("_rn", F.row_number().over(w))
-         .withColumn("_first", F.min(F.when(F.col(target) == 1, F.col("_rn"))).over(wc))
-         .where(F.col("_first").isNotNull() & (F.col("_rn") <= F.col("_first"))))
-    agg = x.groupBy(id_col).agg(
-        F.max("_first").alias("_first"),
-        ((F.max(F.when(F.col("_rn") == F.col("_first"), F.col(_T)))
-          - F.min(_T)) / 3.6e9).alias("time_to_first_fraud"),
-        F.avg(F.when(F.col("_rn") < F.col("_first"), F.col(amount_col))).alias("avg_amount_before_fraud"))
-    return (agg.where(F.col("_first") > 1)
-            .select(id_col, (F.col("_first") - 1).cast("bigint").alias("transactions_before_fraud"),
+    hours from the first row to the first fraud, mean amount before the fraud.
+
+    Aggregations only (no per-customer window): the first fraud per customer
+    is a min over (time, id), joined back; the counts and means are grouped
+    aggregates with map-side partial aggregation, so a hot customer spreads."""
+    t = df.withColumn(_T, epoch_us(date_col))
+    first = t.where(F.col(target) == 1).groupBy(id_col).agg(
+        F.min(F.struct(F.col(_T).alias("t"), F.col(tie_col).alias("i"))).alias("_f"))
+    j = t.join(first, id_col)
+    before = F.struct(F.col(_T).alias("t"), F.col(tie_col).alias("i")) < F.col("_f")
+    agg = j.groupBy(id_col).agg(
+        F.sum(before.cast("bigint")).alias("_nb"),
+        ((F.max(F.col("_f").getField("t")) - F.min(_T)) / 3.6e9).alias("time_to_first_fraud"),
+        F.avg(F.when(before, F.col(amount_col))).alias("avg_amount_before_fraud"))
+    return (agg.where(F.col("_nb") >= 1)
+            .select(id_col, F.col("_nb").cast("bigint").alias("transactions_before_fraud"),
                     F.round("time_to_first_fraud", 4).alias("time_to_first_fraud"),
                     F.round("avg_amount_before_fraud", 4).alias("avg_amount_before_fraud")))
 
@@ -195,7 +208,7 @@ def add_time_position(df: DataFrame, date_col="transaction_date", tie_col="trans
 def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
                                  id_col="customer_id", ip_col="IP_address", amount_col="amount",
                                  tie_col="transaction_id", amount_scale: int | None = 2,
-                                 hot_threshold: int | None = None, bucket_days: int | None = None) -> DataFrame:
+                                 hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int | None = None) -> DataFrame:
     """W1 + W3 + W2 + W4 over one preparation: every window partitions by the
     customer (and, with ``hot_threshold``, by the customer's time bucket), so
     they all run on one Exchange; the (customer, IP) lag is satisfied by the

@@ -21,7 +21,7 @@ from fraudlens.operators.encode import label_encode_column, onehot_encode_column
 WINDOWS = (1, 5, 12, 28, 60)
 
 
-HOT_CUSTOMER_ROWS = 2_000_000    # rows above which a customer's windows are split by time bucket
+from fraudlens.operators.windows import HOT_CUSTOMER_ROWS  # noqa: E402
 
 
 def build_transaction_features(tx: DataFrame, ip_ranges: DataFrame, tz_dim: DataFrame, holidays: DataFrame,

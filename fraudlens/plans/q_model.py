@@ -262,7 +262,8 @@ def q_f14(spark, sf):
     return m.transform(li)
 
 
-@register("f15_function_stage")
+@register("f15_function_stage", with_tx(
+    "SELECT transaction_id, CAST(coalesce(isodow(transaction_date) - 1 >= 5, false) AS INTEGER) AS is_weekend FROM transactions"))
 def q_f15(spark, sf):
     from pyspark.ml import Pipeline
     stage = P.FunctionTransformer(lambda df, col: df.withColumn("is_weekend", D.is_weekend(col)), col="transaction_date")
@@ -313,14 +314,24 @@ def q_l7(spark, sf):
     return L.with_weights(tx(spark, sf).select("transaction_id", "is_fraud")).select("transaction_id", "weight")
 
 
-@register("l8_random_oversample")
+_CNT = "(SELECT sum(CASE WHEN is_fraud = 0 THEN 1 ELSE 0 END) AS n0, sum(CASE WHEN is_fraud = 1 THEN 1 ELSE 0 END) AS n1 FROM transactions)"
+
+
+@register("l8_random_oversample", with_tx(f"""SELECT transaction_id, is_fraud, rep FROM (
+  SELECT t.transaction_id, t.is_fraud, CASE WHEN t.is_fraud = 1 THEN CAST(floor(0.5 * c.n0 / c.n1) AS BIGINT)
+    + CAST({U()} < 0.5 * c.n0 / c.n1 - floor(0.5 * c.n0 / c.n1) AS BIGINT) ELSE 1 END AS reps
+  FROM transactions t, {_CNT} c), LATERAL (SELECT unnest(range(1, greatest(reps, 1) + 1)) AS rep)"""))
 def q_l8(spark, sf):
-    return L.random_oversample(tx(spark, sf), ratio=0.5).groupBy("is_fraud").count()
+    t = tx(spark, sf).select("transaction_id", "is_fraud")
+    out = L.random_oversample(t, ratio=0.5, method="lehmer")
+    from pyspark.sql import Window
+    return out.withColumn("rep", F.row_number().over(Window.partitionBy("transaction_id").orderBy("is_fraud")).cast("bigint"))
 
 
-@register("l8_random_undersample")
+@register("l8_random_undersample", with_tx(f"""SELECT transaction_id, is_fraud FROM transactions, {_CNT} c
+  WHERE is_fraud = 1 OR {U()} < least(1.0, 1.0 * c.n1 / c.n0)"""))
 def q_l8b(spark, sf):
-    return L.random_undersample(tx(spark, sf), ratio=1.0).groupBy("is_fraud").count()
+    return L.random_undersample(tx(spark, sf).select("transaction_id", "is_fraud"), ratio=1.0, method="lehmer")
 
 
 # ------------------------------------------------------------------ M
