@@ -116,3 +116,36 @@ def test_scoring_stream(spark, sf_small):
     q = start_scoring_stream(spark, d + "/model", d + "/in", d + "/out", feats.schema, d + "/ckpt")
     q.awaitTermination(120)
     assert spark.read.parquet(d + "/out").count() == feats.count()
+
+
+def _write(path, text):
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_config_sheets(spark):
+    d = tempfile.mkdtemp(prefix="fl-cfg-")
+    _write(d + "/schema.csv", "column_name,data_type,nullable,is_categorical\namount,float,Y,N\nday_no,int,N,N\n")
+    rows = [r.asDict() for r in S.schema_sheet(spark, d + "/schema.csv").collect()]
+    st = S.struct_from_sheet(rows)
+    assert [f.name for f in st.fields] == ["amount", "day_no"] and not st["day_no"].nullable
+    _write(d + "/drop.csv", "column\nIP_address\npos_id\n")
+    assert S.drop_list(spark, d + "/drop.csv") == ["IP_address", "pos_id"]
+    _write(d + "/hol.csv", "holiday_starts,holiday_ends\n24/12/2023,02/01/2024\n")
+    r = S.holiday_periods(spark, d + "/hol.csv").first()
+    assert (str(r["holiday_starts"]), str(r["holiday_ends"])) == ("2023-12-24", "2024-01-02")
+
+
+def test_column_difference():
+    from fraudlens.operators.aggregates import column_difference
+    assert column_difference(["a", "b", "c"], ["b", "x"]) == ["a", "c"]
+
+
+def test_split_counts_from_saved_trees(spark, sf_small):
+    train, _ = TR.train_test(transactions(spark, sf_small))
+    m = M.fit(M.build_pipeline(TR.MODEL_FEATURES, M.make_classifier("gbt", maxIter=5, maxDepth=2)), train)
+    d = tempfile.mkdtemp(prefix="fl-trees-")
+    sc = M.split_counts(m.stages[-1], TR.MODEL_FEATURES, spark, d + "/gbt")
+    rows = sc.collect()
+    assert rows and all(r["weight"] >= 1 for r in rows)
+    assert {r["feature"] for r in rows} <= set(TR.MODEL_FEATURES)
