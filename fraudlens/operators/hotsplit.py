@@ -41,12 +41,15 @@ def prepare(df: DataFrame, key: str, t_us: str, max_days: int, bucket_days: int,
     if hot_threshold is None:
         return Split(None, df, False)
     from fraudlens.operators.joins import MAX_BROADCAST_ROWS
-    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(key)
-    n_hot = hot.limit(MAX_BROADCAST_ROWS + 1).count()
-    if n_hot == 0:
+    agg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(key)
+    found = agg.limit(MAX_BROADCAST_ROWS + 1).collect()     # at most N / hot_threshold keys exist
+    if not found:
         return Split(None, df, False)
+    if len(found) <= MAX_BROADCAST_ROWS:
+        hot = F.broadcast(df.sparkSession.createDataFrame([(r[0],) for r in found], agg.schema))
+    else:
+        hot = agg
     hot = hot.withColumn("_hot", F.lit(True))
-    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_ROWS else hot
     reach = int(math.ceil(max_days / bucket_days))
     base = df.join(hot, key, "left")
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))

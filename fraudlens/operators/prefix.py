@@ -29,12 +29,23 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+SMALL_ORDERED = 10_000     # up to this many rows a one-task window is cheaper than the two levels
+
+
+def _is_small(df: DataFrame, small: int) -> bool:
+    return small > 0 and df.limit(small + 1).count() <= small
+
+
 def with_global_position(df: DataFrame, order_cols: list, name: str = "position",
-                         num_partitions: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None, small: int = 0) -> DataFrame:
     """0-based position of each row in the total order ``order_cols``.
 
     ``order_cols`` must end in a unique tie-break so the order is total.
+    With ``small`` > 0 an input of at most ``small`` rows (checked) is
+    numbered by one window in one task.
     """
+    if _is_small(df, small):
+        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) - 1).cast("bigint"))
     n = _n_parts(df, num_partitions)
     ranged = (cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
               .withColumn("_pid", F.spark_partition_id())
@@ -60,8 +71,8 @@ def dense_codes(df: DataFrame, col: str, name: str = "code", small: int = SMALL_
     values are numbered on the driver and returned as a small table; beyond
     that the ranks come from the distributed global position."""
     vals = df.select(col).where(F.col(col).isNotNull()).distinct()
-    if vals.limit(small + 1).count() <= small:
-        rows = vals.orderBy(col).collect()            # <= small values
+    rows = vals.orderBy(col).limit(small + 1).collect()   # a top-(small+1): bounded transfer
+    if len(rows) <= small:
         from pyspark.sql.types import LongType, StructField, StructType
         schema = StructType(list(vals.schema.fields) + [StructField(name, LongType())])
         # bounded by ``small`` rows: safe to broadcast
@@ -87,16 +98,21 @@ def _cumsum_partition(value_cols, out_cols):
 
 
 def with_global_cumsum(df: DataFrame, order_cols: list, value_cols: list, out_cols: list | None = None,
-                       num_partitions: int | None = None, ascending: bool = True) -> DataFrame:
+                       num_partitions: int | None = None, ascending: bool = True,
+                       small: int = SMALL_ORDERED) -> DataFrame:
     """Running sums of ``value_cols`` along a total order, inclusive of the row.
 
     Two levels: Arrow-batched cumulative sums inside each range partition,
     plus the totals of all earlier partitions (a table of at most
-    ``num_partitions`` rows, broadcast).
+    ``num_partitions`` rows, broadcast).  Inputs of at most ``small`` rows
+    (checked; typically per-value aggregates) use one window in one task.
     """
     out_cols = out_cols or [f"cum_{v}" for v in value_cols]
-    n = _n_parts(df, num_partitions)
     order = [F.col(c) if ascending else F.col(c).desc() for c in order_cols]
+    if _is_small(df, small):
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({o: F.sum(F.col(v).cast("double")).over(w) for v, o in zip(value_cols, out_cols)})
+    n = _n_parts(df, num_partitions)
     ranged = (cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
               .withColumn("_pid", F.spark_partition_id()))
     schema = ranged.schema

@@ -38,16 +38,23 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, by: str | Non
     """Count, mean, std (sample), min, 25/50/75 % (interpolated), max per
     numeric column, long form; optionally per group ``by``."""
     cols = cols or [c for c in numeric_columns(df) if c != by]
+    g = df.groupBy(by) if by else df
+    # one job: is each column's percentile buffer bounded (per group)?
+    nd = g.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]) \
+        .agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(cols))]).first()
+    bounded = [nd is None or (nd[f"d{i}"] or 0) <= PERCENTILE_MAX_DISTINCT for i in range(len(cols))]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    g = df.groupBy(by) if by else df
+        if bounded[i]:
+            aggs.append(F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"))
     wide = g.agg(*aggs)
     for i, c in enumerate(cols):
-        q = quantiles(df, c, [0.25, 0.5, 0.75], by).withColumnRenamed("_q", f"q{i}")
-        wide = wide.join(q, by, "left") if by else wide.crossJoin(q)
+        if not bounded[i]:
+            q = quantiles(df, c, [0.25, 0.5, 0.75], by, max_distinct=-1).withColumnRenamed("_q", f"q{i}")
+            wide = wide.join(q, by, "left") if by else wide.crossJoin(q)
     parts = ", ".join(f"'{c}', CAST(c{i} AS BIGINT), m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}"
                       for i, c in enumerate(cols))
     keep = [by] if by else []
@@ -235,7 +242,8 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: str | None = None,
     into one task."""
     x = df.where(F.col(col).isNotNull()).select(*([by] if by else []), F.col(col).cast("double").alias("_v"))
     g = x.groupBy(by) if by else x
-    nd = g.agg(F.approx_count_distinct("_v").alias("_nd")).agg(F.max("_nd")).first()[0] or 0
+    nd = (g.agg(F.approx_count_distinct("_v").alias("_nd")).agg(F.max("_nd")).first()[0] or 0) \
+        if max_distinct >= 0 else 1
     if nd <= max_distinct:
         return g.agg(F.percentile("_v", list(qs)).alias("_q"))
     from fraudlens.operators.prefix import with_global_position

@@ -208,18 +208,20 @@ def add_time_position(df: DataFrame, date_col="transaction_date", tie_col="trans
 def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
                                  id_col="customer_id", ip_col="IP_address", amount_col="amount",
                                  tie_col="transaction_id", amount_scale: int | None = 2,
-                                 hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int | None = None) -> DataFrame:
+                                 hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int | None = None,
+                                 features=("distinct_ip", "moving", "last_trade", "last_ip")) -> DataFrame:
     """W1 + W3 + W2 + W4 over one preparation: every window partitions by the
     customer (and, with ``hot_threshold``, by the customer's time bucket), so
     they all run on one Exchange; the (customer, IP) lag is satisfied by the
-    same hash partitioning."""
+    same hash partitioning.  ``features`` picks the groups to add."""
+    feats = set(features)
     x, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
     part = H.partition_keys(split, id_col)
     ip = F.when(is_present(ip_col), F.col(ip_col))
     cols = {}
-    for w in windows:
+    for w in windows if "distinct_ip" in feats else ():
         cols[f"{id_col}_distinct_ip_{w}d"] = F.size(F.collect_set(ip).over(_frame(id_col, w, split)))
-    for w in windows:
+    for w in windows if "moving" in feats else ():
         fr = _frame(id_col, w, split)
         if amount_scale is None:
             cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
@@ -227,14 +229,19 @@ def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_co
             cols[f"{id_col}_ma_amount_{w}d"] = fixed_point_mean(
                 F.sum(to_units(amount_col, amount_scale)).over(fr), F.count(amount_col).over(fr), amount_scale)
         cols[f"{id_col}_ma_count_{w}d"] = F.count(F.lit(1)).over(fr)
-    cols["_prev"] = F.lag(_T).over(Window.partitionBy(*part).orderBy(_T, tie_col))
-    cols["_prev_ip"] = F.lag(_T).over(Window.partitionBy(*part, ip_col).orderBy(_T, tie_col))
+    if "last_trade" in feats:
+        cols["_prev"] = F.lag(_T).over(Window.partitionBy(*part).orderBy(_T, tie_col))
+    if "last_ip" in feats:
+        cols["_prev_ip"] = F.lag(_T).over(Window.partitionBy(*part, ip_col).orderBy(_T, tie_col))
     x = x.withColumns(cols)
-    x = H.fill_lag(split, x, [id_col], _T, "_prev")
-    x = H.fill_lag(split, x, [id_col, ip_col], _T, "_prev_ip", F.col(ip_col).isNotNull())
-    gap = F.when(F.col(ip_col).isNull(), F.lit(None).cast("double")).otherwise((F.col(_T) - F.col("_prev_ip")) / 1e6)
-    x = x.withColumns({
-        f"{id_col}_sec_since_last_trade": F.coalesce(F.floor((F.col(_T) - F.col("_prev")) / 1_000_000), F.lit(0)).cast("bigint"),
-        "seconds_since_last_ip": F.coalesce(gap, F.lit(0.0)),
-    })
-    return _done(x, split).drop("_prev", "_prev_ip")
+    out = {}
+    if "last_trade" in feats:
+        x = H.fill_lag(split, x, [id_col], _T, "_prev")
+        out[f"{id_col}_sec_since_last_trade"] = F.coalesce(
+            F.floor((F.col(_T) - F.col("_prev")) / 1_000_000), F.lit(0)).cast("bigint")
+    if "last_ip" in feats:
+        x = H.fill_lag(split, x, [id_col, ip_col], _T, "_prev_ip", F.col(ip_col).isNotNull())
+        gap = F.when(F.col(ip_col).isNull(), F.lit(None).cast("double")).otherwise((F.col(_T) - F.col("_prev_ip")) / 1e6)
+        out["seconds_since_last_ip"] = F.coalesce(gap, F.lit(0.0))
+    x = x.withColumns(out)
+    return _done(x, split).drop(*[c for c in ("_prev", "_prev_ip") if c in x.columns])

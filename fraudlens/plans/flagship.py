@@ -8,7 +8,7 @@ from fraudlens.functions.dates import sec_since_midnight
 from fraudlens.operators.encode import label_encode_column
 from fraudlens.operators.joins import add_ip_used_by_many
 from fraudlens.operators.rules import score_tree
-from fraudlens.operators.windows import add_distinct_ip_window, add_time_since_last_ip_per_customer
+from fraudlens.operators.windows import add_customer_window_features
 
 OUT_COLS = ["transaction_id", "customer_id", "customer_id_distinct_ip_1d", "IP_used_by_2_customer_id_or_more",
             "seconds_since_last_ip", "card_present_or_not", "transaction_date_sec_since_midnight",
@@ -18,9 +18,8 @@ OUT_COLS = ["transaction_id", "customer_id", "customer_id_distinct_ip_1d", "IP_u
 def tree_features(tx: DataFrame) -> DataFrame:
     x = tx.select("transaction_id", "transaction_date", "customer_id", "IP_address",
                   "card_present_or_not", "is_fraud")
-    x = add_distinct_ip_window(x, windows=(1,))
+    x = add_customer_window_features(x, windows=(1,), features=("distinct_ip", "last_ip"))
     x = add_ip_used_by_many(x, [2])
-    x = add_time_since_last_ip_per_customer(x)
     x = label_encode_column(x, "card_present_or_not")
     return x.withColumn("transaction_date_sec_since_midnight", sec_since_midnight("transaction_date"))
 
