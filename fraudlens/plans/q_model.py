@@ -360,7 +360,7 @@ def q_m3(spark, sf):
 
 @register("m4_logistic_regression")
 def q_m4(spark, sf):
-    return TR.fit_and_score(tx(spark, sf), "logistic_regression", maxIter=50)
+    return TR.fit_and_score(tx(spark, sf), "logistic_regression", maxIter=15)
 
 
 @register("m5_gradient_boosted_trees")
@@ -371,13 +371,13 @@ def q_m5(spark, sf):
 @register("m6_adaboost")
 def q_m6(spark, sf):
     train, test = TR.train_test(tx(spark, sf))
-    model = M.adaboost(train, TR.MODEL_FEATURES, rounds=6)
+    model = M.adaboost(train, TR.MODEL_FEATURES, rounds=4)
     return M.adaboost_score(model, test)
 
 
 @register("m7_linear_svc")
 def q_m7(spark, sf):
-    return TR.fit_and_score(tx(spark, sf), "linear_svc", maxIter=30)
+    return TR.fit_and_score(tx(spark, sf), "linear_svc", maxIter=15)
 
 
 @register("m10_grid_search_trace")
