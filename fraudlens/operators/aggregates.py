@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.functions.ip import first_octet
 from fraudlens.operators.windows import fixed_point_mean, to_units
+from fraudlens.operators.scalar import attach
 
 
 
@@ -33,7 +34,7 @@ def value_share(df: DataFrame, col: str, target: str | None = None) -> DataFrame
     total = df.agg(F.count(F.lit(1)).alias("_N"), *([F.sum(F.col(target).cast("bigint")).alias("_NF")] if target else []))
     g = _nn(df, col).groupBy(col).agg(F.count(F.lit(1)).alias("n"),
                                       *([F.sum(F.col(target).cast("bigint")).alias("n_fraud")] if target else []))
-    j = g.crossJoin(F.broadcast(total))   # one-row totals
+    j = attach(g, total)   # one-row totals
     cols = [col, "n", (100.0 * F.col("n") / F.col("_N")).alias("pct")]
     if target:
         cols += ["n_fraud", F.when(F.col("_NF") > 0, 100.0 * F.col("n_fraud") / F.col("_NF")).alias("pct_fraud")]

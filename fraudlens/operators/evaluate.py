@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.operators.prefix import with_global_cumsum
+from fraudlens.operators.scalar import attach
 
 
 def _div(a, b):
@@ -77,7 +78,7 @@ def pr_curve(scored: DataFrame, label="is_fraud", score="p1", digits=6) -> DataF
                                     F.count(F.lit(1)).cast("double").alias("_n"))
     cum = with_global_cumsum(per, [score], ["_pos", "_n"], ["_cpos", "_cn"], ascending=False)
     total = scored.agg(F.sum(F.col(label).cast("double")).alias("_P"))
-    out = cum.crossJoin(F.broadcast(total))   # one-row scalar
+    out = attach(cum, total)   # one-row scalar
     return out.select(F.col(score).alias("threshold"),
                       F.round(_div(F.col("_cpos"), F.col("_cn")), digits).alias("precision"),
                       F.round(_div(F.col("_cpos"), F.col("_P")), digits).alias("recall"),

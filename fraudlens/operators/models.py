@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators.sampling import uniform
 from fraudlens.session import cut_lineage
+from fraudlens.operators.scalar import attach
 
 FAMILIES = {
     "decision_tree": DecisionTreeClassifier,
@@ -87,7 +88,7 @@ def dummy_scores(train: DataFrame, test: DataFrame, label="is_fraud", strategy="
     """M1: prior = majority class with P(1) = positive share; stratified = positive
     with probability equal to the share (hash-uniform per row)."""
     share = train.agg(F.avg(F.col(label).cast("double")).alias("s"))
-    x = test.crossJoin(F.broadcast(share))       # one-row scalar
+    x = attach(test, share)       # one-row scalar
     if strategy == "prior":
         pred = (F.col("s") > 0.5).cast("int")
         p1 = F.col("s")

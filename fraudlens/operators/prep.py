@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.operators.profile import correlation_pairs, spearman_pairs
+from fraudlens.operators.scalar import attach
 
 
 def _p(name, doc, conv=TypeConverters.identity):
@@ -291,7 +292,7 @@ def chi_square_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
             ra = ct.groupBy("_a").agg(F.sum("o").alias("ra"))
             cb = ct.groupBy("_b").agg(F.sum("o").alias("cb"))
             tot = ct.agg(F.sum("o").alias("n"), F.count_distinct("_a").alias("r"), F.count_distinct("_b").alias("c"))
-            cells = ct.join(ra, "_a").join(cb, "_b").crossJoin(F.broadcast(tot))   # tot is one row
+            cells = attach(ct.join(ra, "_a").join(cb, "_b"), tot)   # tot is one row
             e = F.col("ra") * F.col("cb") / F.col("n")
             dof = (F.col("r") - 1) * (F.col("c") - 1)
             d = F.abs(F.col("o") - e)
@@ -303,9 +304,9 @@ def chi_square_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
                 F.sum(d * d / e).alias("_obs"), F.sum(e).alias("_eobs"), F.sum(yd * yd / e).alias("_yobs"),
                 F.sum(f0(e)).alias("_f0obs"))
             # 2 x 2 tables: the four cells' expected counts come from the two row and two column margins
-            m = ra.agg(F.min("ra").alias("r1"), F.max("ra").alias("r2")).crossJoin(
-                cb.agg(F.min("cb").alias("c1"), F.max("cb").alias("c2")))
-            g = g.crossJoin(m)      # both sides are one row per pair
+            m = attach(ra.agg(F.min("ra").alias("r1"), F.max("ra").alias("r2")),
+                       cb.agg(F.min("cb").alias("c1"), F.max("cb").alias("c2")))
+            g = attach(g, m)      # both sides are one row per pair
             all4 = sum(f0(F.col(x) * F.col(y) / F.col("n")) for x in ("r1", "r2") for y in ("c1", "c2"))
             stat = g.select(
                 F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"),

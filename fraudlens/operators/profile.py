@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from fraudlens.operators.prefix import with_global_cumsum
 from fraudlens.operators.quality import numeric_columns
+from fraudlens.operators.scalar import attach
 
 
 def _bias_corrected(n, g1, g2):
@@ -27,7 +28,7 @@ def prt_stats(df: DataFrame, col: str, digits: int = 4) -> DataFrame:
     x = F.col(col).cast("double")
     a = df.agg(F.count(x).cast("double").alias("_n"), F.avg(x).alias("mean"),
                F.skewness(x).alias("_g1"), F.kurtosis(x).alias("_g2"))
-    a = a.crossJoin(quantiles(df, col, [0.5]))       # both one row
+    a = attach(a, quantiles(df, col, [0.5]))       # both one row
     skew, kurt = _bias_corrected(F.col("_n"), F.col("_g1"), F.col("_g2"))
     return a.select(F.round("mean", digits).alias("mean"), F.round(F.col("_q")[0], digits).alias("median"),
                     F.round(skew, digits).alias("skew"), F.round(kurt, digits).alias("kurtosis"))
@@ -54,7 +55,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, by: str | Non
     for i, c in enumerate(cols):
         if not bounded[i]:
             q = quantiles(df, c, [0.25, 0.5, 0.75], by, max_distinct=-1).withColumnRenamed("_q", f"q{i}")
-            wide = wide.join(q, by, "left") if by else wide.crossJoin(q)
+            wide = wide.join(q, by, "left") if by else attach(wide, q)
     parts = ", ".join(f"'{c}', CAST(c{i} AS BIGINT), m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}"
                       for i, c in enumerate(cols))
     keep = [by] if by else []
@@ -180,7 +181,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     width = (F.col("_mx") - F.col("_mn"))
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("_mn")) / width * bins), F.lit(bins - 1))).cast("int")
-    counts = (df.where(x.isNotNull()).crossJoin(F.broadcast(b)).withColumn("bin", idx)
+    counts = (attach(df.where(x.isNotNull()), b).withColumn("bin", idx)
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     allbins = b.select("_mn", "_mx", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = allbins.join(counts, "bin", "left")
@@ -198,7 +199,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whisker: float = 1
     q = q.select(*([by] if by else []), F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("lower_fence", F.col("q1") - whisker * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + whisker * (F.col("q3") - F.col("q1")))
-    j = df.join(F.broadcast(q), by) if by else df.crossJoin(F.broadcast(q))
+    j = df.join(F.broadcast(q), by) if by else attach(df, q)
     out = (j.groupBy(*([by] if by else []), "q1", "median", "q3", "lower_fence", "upper_fence")
            .agg(F.sum(((x < F.col("lower_fence")) | (x > F.col("upper_fence"))).cast("bigint")).alias("n_outliers")))
     return out.select(*([by] if by else []), *[F.round(c, digits).alias(c) for c in
@@ -251,8 +252,9 @@ def quantiles(df: DataFrame, col: str, qs: list[float], by: str | None = None,
     pos = with_global_position(x, [*keys, "_v"], "_pos")
     grp = pos.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
     spark = df.sparkSession
-    qdf = spark.createDataFrame([(i, float(q)) for i, q in enumerate(qs)], "qi int, q double")
-    need = grp.crossJoin(F.broadcast(qdf)).withColumn("_h", (F.col("_n") - 1) * F.col("q")) \
+    qarr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
+    need = grp.withColumn("_qq", F.explode(qarr)).select("*", "_qq.qi", "_qq.q").drop("_qq") \
+        .withColumn("_h", (F.col("_n") - 1) * F.col("q")) \
         .withColumn("_lo", F.floor("_h").cast("bigint")).withColumn("_hi", F.ceil("_h").cast("bigint"))
     ranks = need.select(*keys, (F.col("_start") + F.col("_lo")).alias("_pos")).union(
         need.select(*keys, (F.col("_start") + F.col("_hi")).alias("_pos"))).distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from fraudlens.functions.strings import null_if_null_like
 from fraudlens.sources.dims import NULL_LIKE
+from fraudlens.operators.scalar import attach
 
 TYPE_WORDS = {"string": T.StringType(), "int": T.LongType(), "float": T.DoubleType(),
               "boolean": T.BooleanType(), "datetime": T.TimestampNTZType()}
@@ -125,7 +126,7 @@ def trim_reporting_period(df: DataFrame, period_days: int, date_col="transaction
     b = df.agg(F.min(date_col).alias("_mn"), F.max(date_col).alias("_mx")).select(
         F.trunc(F.date_add(F.to_date("_mn"), period_days), "MM").alias("_end_m"),
         (F.col("_mx") > F.date_add(F.to_date("_mn"), period_days).cast("timestamp_ntz")).alias("_past"))
-    j = df.crossJoin(F.broadcast(b))   # one-row scalar
+    j = attach(df, b)   # one-row scalar
     keep = (~F.col("_past")) | (F.trunc(F.to_date(date_col), "MM") <= F.col("_end_m"))
     return j.where(keep).drop("_end_m", "_past")
 
@@ -206,4 +207,4 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
     distinct count is exact and spreads over the cluster."""
     n = df.agg(F.count(F.lit(1)).alias("n_rows"))
     d = df.groupBy(*df.columns).count().agg(F.count(F.lit(1)).alias("n_distinct_rows"))
-    return n.crossJoin(d).withColumn("has_duplicates", F.col("n_rows") > F.col("n_distinct_rows"))
+    return attach(n, d).withColumn("has_duplicates", F.col("n_rows") > F.col("n_distinct_rows"))
