@@ -520,3 +520,30 @@ def q_x4(spark, sf):
     x = J.add_ip_country(tx(spark, sf).select("transaction_id", "transaction_date", "IP_address"), dims.ip_ranges(spark))
     x = J.add_bank_holiday_by_country_code(x, dims.holidays(spark))
     return J.add_is_workday(x).select("transaction_id", "is_workday")
+
+
+@register("j8_align_on_union", with_tx("""
+SELECT coalesce(a.day_no, b.day_no, c.day_no) AS day_no, coalesce(a.n_tx, 0) AS n_tx, coalesce(b.n_fraud, 0) AS n_fraud,
+       coalesce(c.n_fraud_customers, 0) AS n_fraud_customers
+FROM (SELECT day_no, count(*) AS n_tx FROM transactions GROUP BY 1) a
+FULL OUTER JOIN (SELECT day_no, count(*) AS n_fraud FROM transactions WHERE is_fraud = 1 GROUP BY 1) b ON a.day_no = b.day_no
+FULL OUTER JOIN (SELECT day_no, count(DISTINCT customer_id) AS n_fraud_customers FROM transactions
+                 WHERE is_fraud = 1 AND amount > 10 GROUP BY 1) c ON coalesce(a.day_no, b.day_no) = c.day_no"""))
+def q_j8(spark, sf):
+    t = tx(spark, sf)
+    a = t.groupBy("day_no").agg(F.count(F.lit(1)).alias("v"))
+    b = t.where(F.col("is_fraud") == 1).groupBy("day_no").agg(F.count(F.lit(1)).alias("v"))
+    c = t.where((F.col("is_fraud") == 1) & (F.col("amount") > 10)).groupBy("day_no").agg(F.count_distinct("customer_id").alias("v"))
+    return J.align_on_union({"n_tx": a, "n_fraud": b, "n_fraud_customers": c}, "day_no")
+
+
+@register("e9_customer_pos_distance", with_tx("""SELECT t.transaction_id,
+  round(sqrt(pow(p.location_x - m.location_x, 2) + pow(p.location_y - m.location_y, 2)), 4) AS distance
+FROM transactions t JOIN profiles p ON t.customer_id = p.customer_id
+JOIN mpos m ON t.merchant_id = m.merchant_id AND t.pos_id = m.pos_id""", extra=DERIVED_CTES))
+def q_e9(spark, sf):
+    t = tx(spark, sf)
+    p = derived.customer_profiles(t).select("customer_id", F.col("location_x").alias("cx"), F.col("location_y").alias("cy"))
+    m = derived.merchant_pos(t).select("merchant_id", "pos_id", F.col("location_x").alias("px"), F.col("location_y").alias("py"))
+    x = t.select("transaction_id", "customer_id", "merchant_id", "pos_id").join(p, "customer_id").join(m, ["merchant_id", "pos_id"])
+    return x.select("transaction_id", F.round(S.euclidean("cx", "cy", "px", "py"), 4).alias("distance"))

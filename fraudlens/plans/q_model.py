@@ -429,3 +429,11 @@ def q_s2(spark, sf):
     path = S.scratch_path(spark, "tx-parquet")
     S.write_table(tx(spark, sf), path)
     return spark.read.parquet(path)
+
+
+@register("m13_deploy_scoring_all_rows")
+def q_m13(spark, sf):
+    """Deploy phase: a model fitted on the training split scores every row."""
+    train, test = TR.train_test(tx(spark, sf))
+    model = M.fit(M.build_pipeline(TR.MODEL_FEATURES, M.make_classifier("decision_tree", maxDepth=4)), train)
+    return M.score(model, train.unionByName(test))
