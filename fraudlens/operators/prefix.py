@@ -127,3 +127,49 @@ def with_global_cumsum(df: DataFrame, order_cols: list, value_cols: list, out_co
     out = local.join(F.broadcast(offsets), "_pid")
     return (out.withColumns({o: F.col(o) + F.col(f"_o{i}") for i, o in enumerate(out_cols)})
             .drop("_pid", *[f"_o{i}" for i in range(len(value_cols))]))
+
+
+def _keyed_cumsum_partition(key, value_cols, out_cols):
+    def run(batches):
+        carry_key, carry = None, None
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(**{o: pdf[v].astype("float64") for v, o in zip(value_cols, out_cols)})
+                continue
+            vals = pdf[value_cols].astype("float64")
+            cs = vals.groupby(pdf[key].values, sort=False).cumsum()
+            if carry_key is not None:
+                same = (pdf[key] == carry_key).values
+                cs.loc[same] = cs.loc[same].values + carry
+            last = pdf[key].iloc[-1]
+            carry = cs.iloc[-1].values
+            carry_key = last
+            for v, o in zip(value_cols, out_cols):
+                pdf[o] = cs[v].values
+            yield pdf
+    return run
+
+
+def with_keyed_cumsum(df: DataFrame, key: str, order_cols: list, value_cols: list, out_cols: list,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Running sums of ``value_cols`` per ``key`` along ``order_cols`` (inclusive),
+    with no per-key task: rows are range-partitioned on (key, order) - a hot
+    key spans many partitions - summed inside each partition (Arrow batches),
+    and keys that continue from earlier partitions add the totals of those
+    partitions.  At most one key crosses each partition boundary, so that
+    offset table has fewer rows than there are partitions (broadcast)."""
+    n = _n_parts(df, num_partitions)
+    order = [key, *order_cols]
+    ranged = (cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+              .withColumn("_pid", F.spark_partition_id()))
+    from pyspark.sql.types import DoubleType, StructField, StructType
+    out_schema = StructType(list(ranged.schema.fields) + [StructField(o, DoubleType()) for o in out_cols])
+    local = ranged.mapInPandas(_keyed_cumsum_partition(key, value_cols, out_cols), out_schema)
+    totals = ranged.groupBy("_pid", key).agg(*[F.sum(F.col(v).cast("double")).alias(f"_t{i}")
+                                              for i, v in enumerate(value_cols)])
+    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (totals.select("_pid", key, *[F.sum(f"_t{i}").over(w).alias(f"_o{i}") for i in range(len(value_cols))])
+               .where(F.col("_o0").isNotNull()))
+    out = local.join(F.broadcast(offsets), ["_pid", key], "left")
+    return (out.withColumns({o: F.col(o) + F.coalesce(F.col(f"_o{i}"), F.lit(0.0)) for i, o in enumerate(out_cols)})
+            .drop("_pid", *[f"_o{i}" for i in range(len(value_cols))]))

@@ -209,12 +209,28 @@ def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_co
                                  id_col="customer_id", ip_col="IP_address", amount_col="amount",
                                  tie_col="transaction_id", amount_scale: int | None = 2,
                                  hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int | None = None,
-                                 features=("distinct_ip", "moving", "last_trade", "last_ip")) -> DataFrame:
+                                 features=("distinct_ip", "moving", "last_trade", "last_ip"),
+                                 strategy: str = "window") -> DataFrame:
     """W1 + W3 + W2 + W4 over one preparation: every window partitions by the
     customer (and, with ``hot_threshold``, by the customer's time bucket), so
     they all run on one Exchange; the (customer, IP) lag is satisfied by the
-    same hash partitioning.  ``features`` picks the groups to add."""
+    same hash partitioning.  ``features`` picks the groups to add.
+
+    ``strategy="events"`` computes the trailing-frame features (W1, W2) as
+    running sums over an event stream instead (``add_window_features_by_events``):
+    O(N log N) however dense a customer's frames are; the lags stay windows."""
     feats = set(features)
+    if strategy == "events" and feats & {"distinct_ip", "moving"}:
+        x = add_window_features_by_events(df, windows, date_col, id_col, ip_col, amount_col, tie_col,
+                                          amount_scale or 2, hot_threshold)
+        keep = [c for c in x.columns if c in df.columns
+                or ("distinct_ip" in feats and "_distinct_ip_" in c) or ("moving" in feats and "_ma_" in c)]
+        rest = feats - {"distinct_ip", "moving"}
+        x = x.select(*keep)
+        if not rest:
+            return x
+        return add_customer_window_features(x, windows, date_col, id_col, ip_col, amount_col, tie_col, amount_scale,
+                                            hot_threshold, bucket_days, tuple(rest), "window")
     x, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
     part = H.partition_keys(split, id_col)
     ip = F.when(is_present(ip_col), F.col(ip_col))
@@ -245,3 +261,95 @@ def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_co
         out["seconds_since_last_ip"] = F.coalesce(gap, F.lit(0.0))
     x = x.withColumns(out)
     return _done(x, split).drop(*[c for c in ("_prev", "_prev_ip") if c in x.columns])
+
+
+# ------------------------------------------------------------------ event-stream strategy for W1/W2
+
+def _next_occurrence(occ: DataFrame, keys: list[str], hot_threshold: int | None, bucket_days: int = 1) -> DataFrame:
+    """``_next``: time of the next occurrence of the same keys (NULL for the last).
+
+    Per-key window; keys with more than ``hot_threshold`` rows are split by
+    time bucket and the last row of a bucket takes the first time of the
+    nearest later non-empty bucket (a per-(key, bucket) summary)."""
+    from fraudlens.operators.joins import broadcast_if_small
+    x = occ
+    part = list(keys)
+    if hot_threshold is not None:
+        hot = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold) \
+            .select(*keys, F.lit(True).alias("_hot"))
+        x = x.join(broadcast_if_small(hot), keys, "left")
+        x = x.withColumn("_b0", F.when(F.col("_hot"), F.floor(F.col(_T) / (bucket_days * DAY_US)))
+                         .otherwise(F.lit(-1)).cast("bigint")).drop("_hot")
+        part.append("_b0")
+    x = x.withColumn("_next", F.lead(_T).over(Window.partitionBy(*part).orderBy(_T)))
+    if hot_threshold is None:
+        return x
+    s = (x.where(F.col("_b0") >= 0).groupBy(*keys, "_b0").agg(F.min(_T).alias("_first"))
+         .withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b0")))
+         .where(F.col("_next_first").isNotNull()).select(*keys, "_b0", "_next_first"))
+    x = x.join(broadcast_if_small(s), [*keys, "_b0"], "left")
+    return x.withColumn("_next", F.coalesce("_next", "_next_first")).drop("_next_first", "_b0")
+
+
+def add_window_features_by_events(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
+                                  id_col="customer_id", ip_col="IP_address", amount_col="amount",
+                                  tie_col="transaction_id", amount_scale: int = 2,
+                                  hot_threshold: int | None = HOT_CUSTOMER_ROWS,
+                                  num_partitions: int | None = None) -> DataFrame:
+    """W1 + W2 as running sums over an event stream - O(N log N) whatever the
+    frame density, and no per-customer task.
+
+    * count / amount sum / non-NULL count in ``[t - w, t]``: each row adds +1
+      at its time and -1 at ``time + w + 1us``;
+    * distinct IPs in ``[t - w, t]``: each distinct (customer, IP, time)
+      occurrence covers ``[s, min(next occurrence, s + w + 1us))`` - these
+      pieces are disjoint per IP and their union is exactly the set of query
+      times that see the IP - so it adds +1 at ``s`` and -1 at the end.
+
+    At equal times events sort before query rows.  The per-customer running
+    sums come from ``prefix.with_keyed_cumsum`` (range partitions over
+    (customer, time) plus per-partition offsets), so a customer with a third
+    of all rows spreads over many tasks."""
+    from functools import reduce
+
+    from fraudlens.operators.prefix import with_keyed_cumsum
+    ws = list(windows)
+    base = df.withColumn(_T, epoch_us(date_col))
+    units = F.coalesce(to_units(amount_col, amount_scale), F.lit(0)).cast("double")
+    nn = F.col(amount_col).isNotNull().cast("double")
+    vcols = [f"_c{w}" for w in ws] + [f"_s{w}" for w in ws] + [f"_n{w}" for w in ws] + [f"_d{w}" for w in ws]
+    zero = F.lit(0.0)
+
+    def ev(src, time, c=None, s=None, n=None, d=None, only=None):
+        vals = {}
+        for w in ws:
+            on = only is None or only == w
+            vals[f"_c{w}"] = c if (c is not None and on) else zero
+            vals[f"_s{w}"] = s if (s is not None and on) else zero
+            vals[f"_n{w}"] = n if (n is not None and on) else zero
+            vals[f"_d{w}"] = d if (d is not None and on) else zero
+        return src.select(F.col(id_col), time.alias("_time"), F.lit(0).alias("_kind"),
+                          *[vals[v].cast("double").alias(v) for v in vcols])
+
+    streams = [ev(base, F.col(_T), c=F.lit(1.0), s=units, n=nn)]
+    streams += [ev(base, F.col(_T) + w * DAY_US + 1, c=F.lit(-1.0), s=-units, n=-nn, only=w) for w in ws]
+    occ = (base.where(is_present(ip_col)).select(id_col, ip_col, _T).distinct())
+    occ = _next_occurrence(occ, [id_col, ip_col], hot_threshold)
+    streams.append(ev(occ, F.col(_T), d=F.lit(1.0)))
+    for w in ws:
+        end = F.least(F.coalesce(F.col("_next"), F.col(_T) + w * DAY_US + 1), F.col(_T) + w * DAY_US + 1)
+        streams.append(ev(occ, end, d=F.lit(-1.0), only=w))
+    queries = base.withColumn("_time", F.col(_T)).withColumn("_kind", F.lit(1)) \
+        .withColumns({v: zero for v in vcols})
+    allrows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [queries, *streams])
+    summed = with_keyed_cumsum(allrows, id_col, ["_time", "_kind"], vcols, [f"{v}_cum" for v in vcols],
+                               num_partitions)
+    q = summed.where(F.col("_kind") == 1)
+    out = {}
+    for w in ws:
+        out[f"{id_col}_distinct_ip_{w}d"] = F.col(f"_d{w}_cum").cast("int")
+    for w in ws:
+        out[f"{id_col}_ma_amount_{w}d"] = F.when(F.col(f"_n{w}_cum") > 0,
+                                                 F.col(f"_s{w}_cum") / F.col(f"_n{w}_cum") / float(10 ** amount_scale))
+        out[f"{id_col}_ma_count_{w}d"] = F.col(f"_c{w}_cum").cast("bigint")
+    return q.withColumns(out).select(*df.columns, *out.keys())

@@ -547,3 +547,10 @@ def q_e9(spark, sf):
     m = derived.merchant_pos(t).select("merchant_id", "pos_id", F.col("location_x").alias("px"), F.col("location_y").alias("py"))
     x = t.select("transaction_id", "customer_id", "merchant_id", "pos_id").join(p, "customer_id").join(m, ["merchant_id", "pos_id"])
     return x.select("transaction_id", F.round(S.euclidean("cx", "cy", "px", "py"), 4).alias("distance"))
+
+
+@register("w2_event_stream_windows", "SELECT * FROM (" + _w1_sql() + ") a JOIN (" + _w2_sql() + ") b USING (transaction_id)")
+def q_w12_events(spark, sf):
+    x = W.add_window_features_by_events(tx(spark, sf).select("transaction_id", "transaction_date", "customer_id",
+                                                                "IP_address", "amount"))
+    return x.drop("transaction_date", "customer_id", "IP_address", "amount")

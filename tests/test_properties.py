@@ -67,3 +67,23 @@ def test_hot_key_split_matches_plain_windows(spark, sf_small):
     key = lambda r: repr(r)
     assert sorted((tuple(r) for r in plain.select(*cols).collect()), key=key) == \
         sorted((tuple(r) for r in split.select(*cols).collect()), key=key)
+
+
+def test_event_stream_windows_match_range_windows(spark, sf_small):
+    t = transactions(spark, sf_small).select("transaction_id", "transaction_date", "customer_id", "IP_address", "amount")
+    a = W.add_customer_window_features(t)
+    b = W.add_customer_window_features(t, strategy="events", hot_threshold=3)
+    cols = sorted(a.columns)
+    assert sorted(b.columns) == cols
+    key = lambda r: repr(r)
+    assert sorted((tuple(r) for r in a.select(*cols).collect()), key=key) == \
+        sorted((tuple(r) for r in b.select(*cols).collect()), key=key)
+
+
+def test_keyed_running_sum_across_partitions(spark):
+    from fraudlens.operators.prefix import with_keyed_cumsum
+    rows = [(k, i, 1.0) for k in (1, 2) for i in range(50)] + [(3, 0, 5.0)]
+    df = spark.createDataFrame(rows, "k long, i long, v double")
+    out = with_keyed_cumsum(df, "k", ["i"], ["v"], ["cv"], num_partitions=6)
+    got = {(r["k"], r["i"]): r["cv"] for r in out.collect()}
+    assert got[(1, 49)] == 50.0 and got[(2, 0)] == 1.0 and got[(2, 25)] == 26.0 and got[(3, 0)] == 5.0
