@@ -271,14 +271,19 @@ def _next_occurrence(occ: DataFrame, keys: list[str], hot_threshold: int | None,
     Per-key window; keys with more than ``hot_threshold`` rows are split by
     time bucket and the last row of a bucket takes the first time of the
     nearest later non-empty bucket (a per-(key, bucket) summary)."""
-    from fraudlens.operators.joins import broadcast_if_small
+    from fraudlens.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
     x = occ
     part = list(keys)
     if hot_threshold is not None:
-        hot = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold) \
-            .select(*keys, F.lit(True).alias("_hot"))
-        x = x.join(broadcast_if_small(hot), keys, "left")
-        x = x.withColumn("_b0", F.when(F.col("_hot"), F.floor(F.col(_T) / (bucket_days * DAY_US)))
+        agg = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(*keys)
+        found = agg.limit(MAX_BROADCAST_ROWS + 1).collect()      # at most N / hot_threshold keys
+        if not found:
+            hot_threshold = None
+    if hot_threshold is not None:
+        hot = (F.broadcast(x.sparkSession.createDataFrame([tuple(r) for r in found], agg.schema))
+               if len(found) <= MAX_BROADCAST_ROWS else agg).withColumn("_hot", F.lit(True))
+        x = x.join(hot, keys, "left")
+        x = x.withColumn("_b0", F.when(F.coalesce(F.col("_hot"), F.lit(False)), F.floor(F.col(_T) / (bucket_days * DAY_US)))
                          .otherwise(F.lit(-1)).cast("bigint")).drop("_hot")
         part.append("_b0")
     x = x.withColumn("_next", F.lead(_T).over(Window.partitionBy(*part).orderBy(_T)))
@@ -320,28 +325,31 @@ def add_window_features_by_events(df: DataFrame, windows=DEFAULT_WINDOWS, date_c
     vcols = [f"_c{w}" for w in ws] + [f"_s{w}" for w in ws] + [f"_n{w}" for w in ws] + [f"_d{w}" for w in ws]
     zero = F.lit(0.0)
 
-    def ev(src, time, c=None, s=None, n=None, d=None, only=None):
-        vals = {}
-        for w in ws:
+    def ev(time, c=None, s=None, n=None, d=None, only=None):
+        vals = [time.cast("bigint").alias("_time")]
+        for v in vcols:
+            kind, w = v[1], int(v[2:])
+            src = {"c": c, "s": s, "n": n, "d": d}[kind]
             on = only is None or only == w
-            vals[f"_c{w}"] = c if (c is not None and on) else zero
-            vals[f"_s{w}"] = s if (s is not None and on) else zero
-            vals[f"_n{w}"] = n if (n is not None and on) else zero
-            vals[f"_d{w}"] = d if (d is not None and on) else zero
-        return src.select(F.col(id_col), time.alias("_time"), F.lit(0).alias("_kind"),
-                          *[vals[v].cast("double").alias(v) for v in vcols])
-
-    streams = [ev(base, F.col(_T), c=F.lit(1.0), s=units, n=nn)]
-    streams += [ev(base, F.col(_T) + w * DAY_US + 1, c=F.lit(-1.0), s=-units, n=-nn, only=w) for w in ws]
+            vals.append((src if (src is not None and on) else zero).cast("double").alias(v))
+        return F.struct(*vals)
+
+    def explode_events(src, events):
+        e = src.select(F.col(id_col), F.explode(F.array(*events)).alias("_e"))
+        return e.select(id_col, F.col("_e._time").alias("_time"), F.lit(0).alias("_kind"),
+                        *[F.col(f"_e.{v}").alias(v) for v in vcols])
+
+    # one pass over the rows: a start event and one end event per window
+    row_events = explode_events(base, [ev(F.col(_T), c=F.lit(1.0), s=units, n=nn)]
+                                + [ev(F.col(_T) + w * DAY_US + 1, c=F.lit(-1.0), s=-units, n=-nn, only=w) for w in ws])
     occ = (base.where(is_present(ip_col)).select(id_col, ip_col, _T).distinct())
     occ = _next_occurrence(occ, [id_col, ip_col], hot_threshold)
-    streams.append(ev(occ, F.col(_T), d=F.lit(1.0)))
-    for w in ws:
-        end = F.least(F.coalesce(F.col("_next"), F.col(_T) + w * DAY_US + 1), F.col(_T) + w * DAY_US + 1)
-        streams.append(ev(occ, end, d=F.lit(-1.0), only=w))
+    ends = [ev(F.least(F.coalesce(F.col("_next"), F.col(_T) + w * DAY_US + 1), F.col(_T) + w * DAY_US + 1),
+               d=F.lit(-1.0), only=w) for w in ws]
+    occ_events = explode_events(occ, [ev(F.col(_T), d=F.lit(1.0))] + ends)
     queries = base.withColumn("_time", F.col(_T)).withColumn("_kind", F.lit(1)) \
         .withColumns({v: zero for v in vcols})
-    allrows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [queries, *streams])
+    allrows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [queries, row_events, occ_events])
     summed = with_keyed_cumsum(allrows, id_col, ["_time", "_kind"], vcols, [f"{v}_cum" for v in vcols],
                                num_partitions)
     q = summed.where(F.col("_kind") == 1)
