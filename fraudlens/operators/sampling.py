@@ -83,6 +83,8 @@ def time_series_folds(df: DataFrame, n_splits: int = 5, date_col="transaction_da
     Rows before the first test block get -1."""
     n = df.count()
     t = n // (n_splits + 1)
+    if t == 0:
+        raise ValueError(f"cannot make {n_splits} time-series folds from {n} rows")
     first = n - n_splits * t
     p = with_global_position(df, [date_col, id_col], "_pos")
     fold = F.when(F.col("_pos") < first, F.lit(-1)).otherwise(F.floor((F.col("_pos") - first) / t))

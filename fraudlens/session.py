@@ -53,3 +53,47 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+# Settings for a large cluster (~100 TB input, ~1000 executors).  Applied only
+# where the cluster has not set them already; runtime SQL settings only.
+CLUSTER_SQL_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+}
+
+
+def suggest_shuffle_partitions(shuffle_bytes: float, target_bytes: float = 256 * 1024 ** 2,
+                               cores: int | None = None) -> int:
+    """Initial shuffle partitions so a partition is about ``target_bytes``
+    (AQE coalesces small ones afterwards); at least 2x the cores."""
+    n = int(shuffle_bytes // target_bytes) + 1
+    return max(n, 2 * (cores or 1))
+
+
+def apply_cluster_conf(spark: SparkSession, shuffle_bytes: float | None = None, overrides: dict | None = None) -> dict:
+    """Set the large-cluster SQL settings that are not set yet; returns what was set."""
+    conf = dict(CLUSTER_SQL_CONF)
+    if shuffle_bytes:
+        cores = spark.sparkContext.defaultParallelism
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            suggest_shuffle_partitions(shuffle_bytes, cores=cores))
+    conf.update(overrides or {})
+    done = {}
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    for k, v in conf.items():
+        if k in explicit:
+            continue
+        spark.conf.set(k, v)
+        done[k] = v
+    ensure_checkpoint_dir(spark)
+    return done

@@ -87,3 +87,28 @@ def test_keyed_running_sum_across_partitions(spark):
     out = with_keyed_cumsum(df, "k", ["i"], ["v"], ["cv"], num_partitions=6)
     got = {(r["k"], r["i"]): r["cv"] for r in out.collect()}
     assert got[(1, 49)] == 50.0 and got[(2, 0)] == 1.0 and got[(2, 25)] == 26.0 and got[(3, 0)] == 5.0
+
+
+def _plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ip_range_join_is_an_equi_join(spark, sf_small):
+    from fraudlens.operators import joins as J
+    x = J.add_ip_country(transactions(spark, sf_small).select("transaction_id", "IP_address"), dims.ip_ranges(spark))
+    plan = _plan(x)
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_scalar_attach_plans_no_join(spark, sf_small):
+    from fraudlens.operators import aggregates as A
+    plan = _plan(A.value_share(transactions(spark, sf_small), "merchant_category", "is_fraud"))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Subquery" in plan
+
+
+def test_customer_windows_share_one_exchange(spark, sf_small):
+    t = transactions(spark, sf_small)
+    plan = _plan(W.add_customer_window_features(t, hot_threshold=None))
+    shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
+    assert len(shuffles) == 1 and "customer_id" in shuffles[0]
