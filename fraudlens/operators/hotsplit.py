@@ -58,6 +58,9 @@ def prepare(df: DataFrame, key: str, t_us: str, max_days: int, bucket_days: int,
     copies = F.when(F.col("_b0") >= 0, F.sequence(F.lit(0), F.lit(reach))).otherwise(F.array(F.lit(0)))
     rows = (base.withColumn("_k", F.explode(copies))
             .withColumn(BUCKET, F.col("_b0") + F.col("_k")).withColumn(CONTEXT, F.col("_k") > 0).drop("_k"))
+    # explicit: an input already partitioned (or bucketed) by the key alone would
+    # otherwise satisfy the windows' clustering and keep a hot key in one task
+    rows = rows.repartition(key, BUCKET)
     return Split(base, rows, True)
 
 

@@ -22,7 +22,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session configured like the cluster one (AQE, UTC, no UI)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fraudlens-warehouse-")))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

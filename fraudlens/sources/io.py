@@ -68,6 +68,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.format(fmt).save(path)
 
 
+def save_bucketed(df: DataFrame, table: str, by: str = "customer_id", n_buckets: int = 64,
+                  sort_by: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
+    """Write a table bucketed (and sorted) by ``by``.  Later per-``by``
+    windows, aggregations and joins on the table reuse the bucketing and skip
+    their shuffle of the big table."""
+    w = df.write.mode(mode).format("parquet").bucketBy(n_buckets, by)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def schema_sheet(spark: SparkSession, path: str) -> DataFrame:
     """S3: schema sheet as CSV (column_name, data_type, nullable, is_categorical)."""
     return read_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in

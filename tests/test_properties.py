@@ -112,3 +112,17 @@ def test_customer_windows_share_one_exchange(spark, sf_small):
     plan = _plan(W.add_customer_window_features(t, hot_threshold=None))
     shuffles = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l]
     assert len(shuffles) == 1 and "customer_id" in shuffles[0]
+
+
+def test_bucketed_table_skips_window_shuffle(spark, sf_small):
+    from fraudlens.sources.io import save_bucketed
+    t = transactions(spark, sf_small)
+    b = save_bucketed(t, "tx_bucketed_test", "customer_id", 8, ["customer_id", "transaction_date"])
+    x = W.add_customer_window_features(b, hot_threshold=None)
+    plan = _plan(x)
+    assert "Exchange hashpartitioning" not in plan
+    plain = W.add_customer_window_features(t, hot_threshold=None)
+    cols = sorted(plain.columns)
+    key = lambda r: repr(r)
+    assert sorted((tuple(r) for r in x.select(*cols).collect()), key=key) == \
+        sorted((tuple(r) for r in plain.select(*cols).collect()), key=key)
