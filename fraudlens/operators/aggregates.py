@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.functions.ip import first_octet
 from fraudlens.operators.windows import fixed_point_mean, to_units
 from fraudlens.operators.scalar import attach
 

@@ -8,7 +8,6 @@ from fraudlens.functions import dates as D
 from fraudlens.operators import models as M
 from fraudlens.operators import prep as P
 from fraudlens.operators import sampling as L
-from fraudlens.operators.evaluate import summary_scores
 from fraudlens.plans import training as TR
 from fraudlens.plans.feature_job import build_transaction_features
 from fraudlens.plans.flagship import scored_transactions
