@@ -32,22 +32,31 @@ def left_lookup(df: DataFrame, dim: DataFrame, on, max_rows: int = MAX_BROADCAST
 
 
 def add_ip_used_by_many(df: DataFrame, id_count_threshold=None, ip_col="IP_address",
-                        id_col="customer_id") -> DataFrame:
+                        id_col="customer_id", max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``IP_used_by_{k}_customer_id_or_more`` = 1 when the row's IP is used by at
     least ``k`` distinct customers; NULL IP -> 0.
 
     Default ``k = int(0.01 * distinct customers)`` (one scalar aggregate).
     The distinct count pre-aggregates on (IP, customer) map-side, then counts
     per IP with partial aggregation, so a proxy IP shared by millions of
-    customers never lands in one task as raw rows; the join back is left to
-    AQE (broadcast when small, skew split when an IP is hot).
+    customers never lands in one task as raw rows.  Only IPs reaching the
+    smallest ``k`` matter; when there are at most ``max_broadcast`` of them
+    (a bounded collect) they are broadcast and the big table is not shuffled
+    at all, otherwise the counts are joined back with a shuffle join (AQE
+    splits hot IPs).
     """
     if id_count_threshold is None:
         n = df.agg(F.count_distinct(id_col)).first()[0]
         id_count_threshold = [int(n * 0.01)]
     counts = (df.where(F.col(ip_col).isNotNull())
               .groupBy(ip_col).agg(F.count_distinct(id_col).alias("_n_ids")))
-    out = df.join(counts, ip_col, "left")
+    shared = counts.where(F.col("_n_ids") >= min(id_count_threshold))
+    found = shared.limit(max_broadcast + 1).collect()
+    if len(found) <= max_broadcast:
+        small = df.sparkSession.createDataFrame([tuple(r) for r in found], shared.schema)
+        out = df.join(F.broadcast(small), ip_col, "left")
+    else:
+        out = df.join(shared, ip_col, "left")
     cols = {f"IP_used_by_{k}_{id_col}_or_more": F.coalesce((F.col("_n_ids") >= k).cast("int"), F.lit(0))
             for k in id_count_threshold}
     return out.withColumns(cols).drop("_n_ids")
