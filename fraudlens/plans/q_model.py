@@ -436,3 +436,11 @@ def q_m13(spark, sf):
     train, test = TR.train_test(tx(spark, sf))
     model = M.fit(M.build_pipeline(TR.MODEL_FEATURES, M.make_classifier("decision_tree", maxDepth=4)), train)
     return M.score(model, train.unionByName(test))
+
+
+@register("v6_split_counts_and_gain")
+def q_v6b(spark, sf):
+    from fraudlens.sources.io import scratch_path
+    train, _ = TR.train_test(tx(spark, sf))
+    m = M.fit(M.build_pipeline(TR.MODEL_FEATURES, M.make_classifier("gbt", maxIter=5, maxDepth=3)), train)
+    return M.split_counts(m.stages[-1], TR.MODEL_FEATURES, spark, scratch_path(spark, "gbt-trees"))

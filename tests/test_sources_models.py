@@ -149,3 +149,12 @@ def test_split_counts_from_saved_trees(spark, sf_small):
     rows = sc.collect()
     assert rows and all(r["weight"] >= 1 for r in rows)
     assert {r["feature"] for r in rows} <= set(TR.MODEL_FEATURES)
+
+
+def test_repeated_stratified_tuning(spark, sf_small):
+    train, _ = TR.train_test(transactions(spark, sf_small))
+    clf = M.make_classifier("decision_tree")
+    grid = M.param_grid(clf, [{"parameter": "maxDepth", "values": "1|3", "value_type": "list[int]"}])
+    model, trace = M.tune_repeated(M.build_pipeline(TR.MODEL_FEATURES, clf), grid, train, k=3, repeats=2, parallelism=2)
+    assert len(trace) == 2 and all(0.0 <= s <= 1.0 for _, s in trace)
+    assert M.score(model, train).count() == train.count()
