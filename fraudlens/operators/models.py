@@ -159,7 +159,7 @@ def tune_repeated(pipeline: Pipeline, grid: list, train: DataFrame, label="is_fr
         folds = stratified_folds(train, label, k=k, seed=seed + r, name="_fold")
         cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=f2_evaluator(label),
                             foldCol="_fold", parallelism=parallelism, seed=seed + r).fit(folds)
-        scores = [a + b / repeats for a, b in zip(scores, cv.avgMetrics)]
+        scores = [a + float(b) / repeats for a, b in zip(scores, cv.avgMetrics)]
     best = max(range(len(grid)), key=lambda i: scores[i])
     return pipeline.fit(train, grid[best]), list(zip(grid, scores))
 

@@ -176,6 +176,7 @@ def load_model(spark: SparkSession, root: str, target: str, version: int | None
 def save_run_record(spark: SparkSession, root: str, target: str, version: int, params: dict, best_score: float | None,
                     grid: dict | None = None) -> DataFrame:
     """One row per parameter of the run, appended to ``{root}/{target}/runs``."""
+    best_score = None if best_score is None else float(best_score)
     rows = [(target, version, k, json.dumps(v, default=str), best_score, json.dumps(grid or {}, default=str))
             for k, v in sorted(params.items())]
     df = spark.createDataFrame(rows, "target string, version int, param string, value string, best_score double, grid string")

@@ -158,3 +158,13 @@ def test_repeated_stratified_tuning(spark, sf_small):
     model, trace = M.tune_repeated(M.build_pipeline(TR.MODEL_FEATURES, clf), grid, train, k=3, repeats=2, parallelism=2)
     assert len(trace) == 2 and all(0.0 <= s <= 1.0 for _, s in trace)
     assert M.score(model, train).count() == train.count()
+
+
+def test_jobs_end_to_end(spark, sf_small):
+    from fraudlens.plans import jobs
+    t = transactions(spark, sf_small)
+    clean, rep = jobs.cleanse_and_profile(t, dims.data_schema(spark), out=tempfile.mkdtemp(prefix="fl-rep-"))
+    assert clean.count() == t.count() and rep["missing_columns"].count() == 2
+    res = jobs.train_and_evaluate(t, "decision_tree", [{"parameter": "maxDepth", "values": "2|3", "value_type": "list[int]"}],
+                                  model_root=tempfile.mkdtemp(prefix="fl-store-"), k=3, repeats=1)
+    assert res["version"] == 1 and res["confusion"].count() == 4 and 0 <= res["best_score"] <= 1
