@@ -4,6 +4,10 @@ All per-customer windows share ``partitionBy(customer)`` so Catalyst plans
 them on one Exchange; frames are RANGE frames over event time in
 microseconds, both ends inclusive: a row at ``t`` sees rows with
 ``t - w days <= ts <= t`` (RANGE peers with equal ``ts`` included).
+
+Customers above ``HOT_CUSTOMER_ROWS`` rows are split by time bucket
+(``hotsplit.py``); ``add_window_features_by_events`` computes W1/W2 as
+running sums over an event stream for customers with very dense frames.
 """
 from __future__ import annotations
 
