@@ -68,6 +68,11 @@ def features_and_target(df: DataFrame, target: str) -> tuple[DataFrame, DataFram
     return df.drop(target), df.select(target)
 
 
+def below_threshold(df: DataFrame, col: str = "amount", threshold: float = 2000) -> DataFrame:
+    """Rows with ``col < threshold`` (pushed down to the Parquet scan when ``col`` is stored)."""
+    return df.where(F.col(col) < threshold)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """Names of numeric columns."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -77,9 +77,9 @@ def q_p5(spark, sf):
     return tx(spark, sf).where(F.col("is_fraud") == 1)
 
 
-@register("p6_amount_below_threshold", with_tx("SELECT * FROM transactions WHERE amount < 20"))
+@register("p6_amount_below_threshold", with_tx("SELECT * FROM transactions WHERE amount < 2000"))
 def q_p6(spark, sf):
-    return tx(spark, sf).where(F.col("amount") < 20)
+    return Q.below_threshold(tx(spark, sf), "amount", 2000)
 
 
 _NUM = ["transaction_id", "customer_id", "amount", "date_in_sec", "day_no", "merchant_id", "pos_id", "MCCs",
