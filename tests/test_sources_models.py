@@ -168,3 +168,13 @@ def test_jobs_end_to_end(spark, sf_small):
     res = jobs.train_and_evaluate(t, "decision_tree", [{"parameter": "maxDepth", "values": "2|3", "value_type": "list[int]"}],
                                   model_root=tempfile.mkdtemp(prefix="fl-store-"), k=3, repeats=1)
     assert res["version"] == 1 and res["confusion"].count() == 4 and 0 <= res["best_score"] <= 1
+
+
+def test_cluster_settings(spark):
+    from fraudlens.session import apply_cluster_conf, suggest_shuffle_partitions
+    assert suggest_shuffle_partitions(0, cores=8) == 16
+    assert suggest_shuffle_partitions(60e12) > 200_000
+    done = apply_cluster_conf(spark, overrides={"spark.sql.shuffle.partitions": "8"})
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" in done or \
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes" in dict(spark.sparkContext.getConf().getAll())
