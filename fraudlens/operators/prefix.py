@@ -10,17 +10,18 @@ bounded by the partition count, not by the data.
 
 The range bounds come from a sample whose outcome depends on the row order
 inside upstream shuffle partitions, which is not deterministic; two plan
-branches over the same lineage could therefore partition differently.  The
-sorted, range-partitioned rows are written once with a reliable checkpoint
-(``spark.checkpoint.dir``) and both the counts and the positions read that one
-copy, which also survives executor loss.
+branches over the same lineage could therefore partition differently.  So the
+partition index and the in-partition row number (or running sums) are
+computed once, in the stage that sorts, and written as a Parquet table in the
+shared checkpoint folder; counts, offsets and results all read that one
+written copy (one computation, and it survives executor loss).
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.session import cut_lineage
+from fraudlens.session import materialize as _written
 
 
 def _n_parts(df: DataFrame, n: int | None) -> int:
@@ -47,10 +48,10 @@ def with_global_position(df: DataFrame, order_cols: list, name: str = "position"
     if _is_small(df, small):
         return df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) - 1).cast("bigint"))
     n = _n_parts(df, num_partitions)
-    ranged = (cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    ranged = _written(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_local", F.monotonically_increasing_id()
+                                  - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)), "positions")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # at most n rows: a bounded single-partition window
     offsets = counts.select("_pid", F.coalesce(
@@ -113,14 +114,13 @@ def with_global_cumsum(df: DataFrame, order_cols: list, value_cols: list, out_co
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({o: F.sum(F.col(v).cast("double")).over(w) for v, o in zip(value_cols, out_cols)})
     n = _n_parts(df, num_partitions)
-    ranged = (cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id()))
-    schema = ranged.schema
     from pyspark.sql.types import DoubleType, StructField, StructType
-    out_schema = StructType(list(schema.fields) + [StructField(o, DoubleType()) for o in out_cols])
-    local = ranged.mapInPandas(_cumsum_partition(value_cols, out_cols), out_schema)
-    totals = ranged.groupBy("_pid").agg(*[F.sum(F.col(v).cast("double")).alias(f"_t{i}")
-                                          for i, v in enumerate(value_cols)])
+    out_schema = StructType(list(ranged.schema.fields) + [StructField(o, DoubleType()) for o in out_cols])
+    local = _written(ranged.mapInPandas(_cumsum_partition(value_cols, out_cols), out_schema), "cumsum")
+    totals = local.groupBy("_pid").agg(*[F.sum(F.col(v).cast("double")).alias(f"_t{i}")
+                                         for i, v in enumerate(value_cols)])
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)   # <= n rows
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t{i}").over(w), F.lit(0.0)).alias(f"_o{i}")
                                       for i in range(len(value_cols))])
@@ -160,13 +160,13 @@ def with_keyed_cumsum(df: DataFrame, key: str, order_cols: list, value_cols: lis
     offset table has fewer rows than there are partitions (broadcast)."""
     n = _n_parts(df, num_partitions)
     order = [key, *order_cols]
-    ranged = (cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id()))
     from pyspark.sql.types import DoubleType, StructField, StructType
     out_schema = StructType(list(ranged.schema.fields) + [StructField(o, DoubleType()) for o in out_cols])
-    local = ranged.mapInPandas(_keyed_cumsum_partition(key, value_cols, out_cols), out_schema)
-    totals = ranged.groupBy("_pid", key).agg(*[F.sum(F.col(v).cast("double")).alias(f"_t{i}")
-                                              for i, v in enumerate(value_cols)])
+    local = _written(ranged.mapInPandas(_keyed_cumsum_partition(key, value_cols, out_cols), out_schema), "keyed-cumsum")
+    totals = local.groupBy("_pid", key).agg(*[F.sum(F.col(v).cast("double")).alias(f"_t{i}")
+                                             for i, v in enumerate(value_cols)])
     w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (totals.select("_pid", key, *[F.sum(f"_t{i}").over(w).alias(f"_o{i}") for i in range(len(value_cols))])
                .where(F.col("_o0").isNotNull()))

@@ -9,7 +9,7 @@ from fraudlens.operators import sampling as L
 from fraudlens.operators.prep import ExactImputer
 from fraudlens.operators.windows import add_ma_trade_info_by_id
 from fraudlens.plans.flagship import tree_features
-from fraudlens.session import cut_lineage
+from fraudlens.session import materialize
 
 MODEL_FEATURES = ["customer_id_distinct_ip_1d", "IP_used_by_2_customer_id_or_more", "seconds_since_last_ip",
                   "card_present_or_not", "transaction_date_sec_since_midnight", "amount",
@@ -29,10 +29,10 @@ def model_frame(tx: DataFrame) -> DataFrame:
 
 def train_test(tx: DataFrame, test_ratio: float = 0.2):
     """Time split of the model frame with class weights.  The frame is written
-    once (reliable checkpoint): model fits make many passes over it and should
-    not recompute the feature lineage each time."""
+    once to the shared checkpoint folder: model fits make many passes over it
+    and should not recompute the feature lineage each time."""
     m = L.time_split(model_frame(tx), test_ratio=test_ratio)
-    m = cut_lineage(L.with_weights(m, positive_weight=None))
+    m = materialize(L.with_weights(m, positive_weight=None), "model-frame")
     return m.where(~F.col("is_test")), m.where(F.col("is_test"))
 
 

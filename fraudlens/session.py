@@ -50,6 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet to a fresh folder under the shared checkpoint
+    dir and read it back: later jobs read the written rows instead of
+    recomputing the lineage (one computation, unlike ``checkpoint()`` which
+    computes an uncached plan twice), and the copy survives executor loss."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
