@@ -65,18 +65,19 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, by: str | Non
 
 
 def describe_categorical(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Count, unique, top (most frequent; ties -> smallest), freq per string column."""
+    """Count, unique, top (most frequent; ties -> smallest), freq per string column.
+
+    One pass for all columns: every row emits (column, value) pairs, counted
+    per pair with map-side partial aggregation, then summarised per column."""
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    out = None
-    for c in cols:
-        vc = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_f"))
-        # deterministic: the highest frequency, ties -> smallest value
-        top = vc.agg(F.sum("_f").alias("count"), F.count(F.lit(1)).alias("unique"),
-                     F.min_by(F.col(c), F.struct((-F.col("_f")).alias("nf"), F.col(c).alias("v"))).alias("top"),
-                     F.max("_f").alias("freq"))
-        sec = top.select(F.lit(c).alias("column_name"), F.col("count").cast("bigint"), F.col("unique").cast("bigint"),
-                         F.col("top").cast("string"), F.col("freq").cast("bigint"))
-        out = sec if out is None else out.unionByName(sec)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                                for c in cols]))
+    x = df.select(pairs.alias("_p")).select("_p.column_name", "_p.v").where(F.col("v").isNotNull())
+    vc = x.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_f"))
+    out = vc.groupBy("column_name").agg(
+        F.sum("_f").cast("bigint").alias("count"), F.count(F.lit(1)).cast("bigint").alias("unique"),
+        F.min_by("v", F.struct((-F.col("_f")).alias("nf"), F.col("v").alias("v"))).alias("top"),
+        F.max("_f").cast("bigint").alias("freq"))
     return out
 
 
