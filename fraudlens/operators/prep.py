@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.operators.profile import correlation_pairs, spearman_pairs
-from fraudlens.operators.scalar import attach
 
 
 def _p(name, doc, conv=TypeConverters.identity):
@@ -279,41 +278,46 @@ def chi_square_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Chi-square statistic per categorical pair (as scipy: Yates-corrected when
     dof = 1), with dof and the mean expected count.
 
-    Only observed cells are materialised (no r x c grid): cells with count 0
-    contribute their expected count, so their total is n - sum(expected over
-    observed cells).  A 2 x 2 table (the Yates case) is corrected per cell."""
-    out = None
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            ct = (df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-                  .groupBy(F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b"))
-                  .agg(F.count(F.lit(1)).cast("double").alias("o")))
-            ra = ct.groupBy("_a").agg(F.sum("o").alias("ra"))
-            cb = ct.groupBy("_b").agg(F.sum("o").alias("cb"))
-            tot = ct.agg(F.sum("o").alias("n"), F.count_distinct("_a").alias("r"), F.count_distinct("_b").alias("c"))
-            cells = attach(ct.join(ra, "_a").join(cb, "_b"), tot)   # tot is one row
-            e = F.col("ra") * F.col("cb") / F.col("n")
-            dof = (F.col("r") - 1) * (F.col("c") - 1)
-            d = F.abs(F.col("o") - e)
-
-            def f0(ev):      # Yates term of a cell with count 0
-                return F.pow(F.greatest(ev - F.least(F.lit(0.5), ev), F.lit(0.0)), 2) / ev
-            yd = F.greatest(d - F.least(F.lit(0.5), d), F.lit(0.0))
-            g = cells.groupBy("r", "c", "n").agg(
-                F.sum(d * d / e).alias("_obs"), F.sum(e).alias("_eobs"), F.sum(yd * yd / e).alias("_yobs"),
-                F.sum(f0(e)).alias("_f0obs"))
-            # 2 x 2 tables: the four cells' expected counts come from the two row and two column margins
-            m = attach(ra.agg(F.min("ra").alias("r1"), F.max("ra").alias("r2")),
-                       cb.agg(F.min("cb").alias("c1"), F.max("cb").alias("c2")))
-            g = attach(g, m)      # both sides are one row per pair
-            all4 = sum(f0(F.col(x) * F.col(y) / F.col("n")) for x in ("r1", "r2") for y in ("c1", "c2"))
-            stat = g.select(
-                F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"),
-                F.when(dof == 1, F.col("_yobs") + all4 - F.col("_f0obs"))
-                 .otherwise(F.col("_obs") + F.col("n") - F.col("_eobs")).alias("chi2"),
-                dof.cast("int").alias("dof"), (F.col("n") / (F.col("r") * F.col("c"))).alias("expected_mean"))
-            out = stat if out is None else out.unionByName(stat)
-    return out
+    One scan for all pairs: each row emits one (pair, a, b) triple per pair,
+    counted with map-side partial aggregation.  Only observed cells are
+    materialised (no r x c grid): cells with count 0 contribute their expected
+    count, so their total is n - sum(expected over observed cells).  A 2 x 2
+    table (the Yates case) gets its four expected counts from the two row and
+    two column margins."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "feature_1 string, feature_2 string, chi2 double, dof int, "
+                                                   "expected_mean double")
+    trip = F.explode(F.array(*[F.struct(F.lit(k).alias("_k"), F.col(a).cast("string").alias("_a"),
+                                        F.col(b).cast("string").alias("_b")) for k, (a, b) in enumerate(pairs)]))
+    ct = (df.select(trip.alias("_p")).select("_p._k", "_p._a", "_p._b")
+          .where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+          .groupBy("_k", "_a", "_b").agg(F.count(F.lit(1)).cast("double").alias("o")))
+    ra = ct.groupBy("_k", "_a").agg(F.sum("o").alias("ra"))
+    cb = ct.groupBy("_k", "_b").agg(F.sum("o").alias("cb"))
+    tot = ct.groupBy("_k").agg(F.sum("o").alias("n"), F.count_distinct("_a").alias("r"),
+                               F.count_distinct("_b").alias("c"))          # one row per pair
+    cells = ct.join(ra, ["_k", "_a"]).join(cb, ["_k", "_b"]).join(F.broadcast(tot), "_k")
+    e = F.col("ra") * F.col("cb") / F.col("n")
+    d = F.abs(F.col("o") - e)
+
+    def f0(ev):      # Yates term of a cell with count 0
+        return F.pow(F.greatest(ev - F.least(F.lit(0.5), ev), F.lit(0.0)), 2) / ev
+    yd = F.greatest(d - F.least(F.lit(0.5), d), F.lit(0.0))
+    g = cells.groupBy("_k", "r", "c", "n").agg(
+        F.sum(d * d / e).alias("_obs"), F.sum(e).alias("_eobs"), F.sum(yd * yd / e).alias("_yobs"),
+        F.sum(f0(e)).alias("_f0obs"))
+    m = ra.groupBy("_k").agg(F.min("ra").alias("r1"), F.max("ra").alias("r2")).join(
+        cb.groupBy("_k").agg(F.min("cb").alias("c1"), F.max("cb").alias("c2")), "_k")
+    names = df.sparkSession.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)],
+                                            "_k int, feature_1 string, feature_2 string")
+    g = g.join(F.broadcast(m), "_k").join(F.broadcast(names), "_k")     # one row per pair each
+    dof = (F.col("r") - 1) * (F.col("c") - 1)
+    all4 = sum(f0(F.col(x) * F.col(y) / F.col("n")) for x in ("r1", "r2") for y in ("c1", "c2"))
+    return g.select("feature_1", "feature_2",
+                    F.when(dof == 1, F.col("_yobs") + all4 - F.col("_f0obs"))
+                     .otherwise(F.col("_obs") + F.col("n") - F.col("_eobs")).alias("chi2"),
+                    dof.cast("int").alias("dof"), (F.col("n") / (F.col("r") * F.col("c"))).alias("expected_mean"))
 
 
 class ChiSquareFilter(_FitBase):
