@@ -137,11 +137,26 @@ def rank_table(df: DataFrame, col: str) -> DataFrame:
 
 
 def with_average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Replace each column by its average rank (joined back by value; AQE
-    broadcasts small rank tables and splits hot values of large ones)."""
-    out = df.select(*cols)
-    for c in cols:
-        r = rank_table(df, c)
+    """Replace each column by its average rank.
+
+    The rank tables of all columns come from one pass: per-(column, value)
+    counts and one keyed two-level running count over (column, value); each
+    column then joins its table back by value (AQE broadcasts small tables
+    and splits hot values of large ones)."""
+    from fraudlens.operators.prefix import SMALL_ORDERED, with_keyed_cumsum
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_v"))
+                                for i, c in enumerate(cols)]))
+    per = (df.select(pairs.alias("_p")).select("_p._ci", "_p._v").where(F.col("_v").isNotNull())
+           .groupBy("_ci", "_v").agg(F.count(F.lit(1)).cast("double").alias("_c")))
+    if per.limit(SMALL_ORDERED + 1).count() <= SMALL_ORDERED:
+        w = Window.partitionBy("_ci").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = per.withColumn("_cum", F.sum("_c").over(w))       # bounded by the checked size
+    else:
+        cum = with_keyed_cumsum(per, "_ci", ["_v"], ["_c"], ["_cum"])
+    ranks = cum.select("_ci", "_v", (F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2).alias("_rk"))
+    out = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    for i, c in enumerate(cols):
+        r = ranks.where(F.col("_ci") == i).select(F.col("_v").alias(f"_v_{c}"), F.col("_rk").alias(f"_rk_{c}"))
         out = out.join(r, out[c] == r[f"_v_{c}"], "left").drop(f"_v_{c}")
     return out.select(*[F.col(f"_rk_{c}").alias(c) for c in cols])
 
