@@ -1,7 +1,7 @@
 """Registered queries of the text operators: name -> callable(spark, sf_dir), and their DuckDB twins."""
 from __future__ import annotations
 
-from fraudlens.llm import chat, mixing, quality
+from fraudlens.llm import chat, fingerprint, mixing, pieces, quality, tokencount
 from fraudlens.sources.tables import read_table
 
 
@@ -11,8 +11,11 @@ def _over(table, fn):
 
 QUERIES = {
     "op1_chat_perspectives": _over("conversations", chat.chat_digest),
+    "op2_token_counts": _over("documents", tokencount.token_counts),
+    "op4_sentencepiece": _over("documents", pieces.encode),
     "op5_source_mixing": _over("documents", mixing.mixing_digest),
     "op9_quality_rules": _over("documents", quality.quality_digest),
+    "op10_simhash": _over("documents", fingerprint.fingerprint_digest),
 }
 ORACLE = {
     "op1_chat_perspectives": chat.CHAT_SQL,
