@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlens.llm.textops import let, whole, words
 from fraudlens.session import materialize
@@ -56,16 +57,20 @@ def simhash(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.packbits(up, axis=1).view(np.uint64).ravel()
 
 
-@F.arrow_udf("bigint")
-def _simhash_udf(terms: pa.Array) -> pa.Array:
-    ends = terms.offsets.to_numpy().astype(np.int64)
-    flat = terms.flatten().to_numpy(zero_copy_only=False)
-    return pa.array(simhash(flat.view(np.uint64), ends - ends[0]).view(np.int64))
+def with_fingerprint(df: DataFrame, text: str = "text", name: str = "fp") -> DataFrame:
+    """``df`` with the SimHash (bigint) of a text column, null read as empty, as a last column ``name``;
+    the other columns pass through."""
+    df = df.drop(name)
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
 
-
-def fingerprint(text: Column) -> Column:
-    """SimHash (bigint) of a text column; null is read as empty."""
-    return _simhash_udf(term_hashes(whole(text)))
+    def run(batches):
+        for b in batches:
+            terms = b.column(b.num_columns - 1)
+            ends = terms.offsets.to_numpy().astype(np.int64)
+            flat = terms.flatten().to_numpy(zero_copy_only=False)
+            prints = simhash(flat.view(np.uint64), ends - ends[0]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(prints)], schema.names)
+    return df.withColumn("_terms", term_hashes(whole(text))).mapInArrow(run, schema)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -127,13 +132,15 @@ def with_next(docs: DataFrame, order: str, carried: list[str]) -> DataFrame:
 def fingerprint_digest(docs: DataFrame) -> DataFrame:
     """The columns of the registered query, per document; ``n_near``: for ids divisible by 100, the
     documents within ``RADIUS`` bits (itself included), else null."""
-    t = docs.select("doc_id", whole("text").alias("text")).withColumn("fp", fingerprint(F.col("text")))
+    t = with_fingerprint(docs.select("doc_id", whole("text").alias("text")))
     t = with_next(t, "doc_id", ["text", "fp"])
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    t = t.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)))
-    t = materialize(t.select("doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                             "fp", fingerprint(F.col("edited")).alias("edited_fp"), "next_fp"), "fingerprints")
+    edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
+    t = t.select("doc_id", n.cast("bigint").alias("n_chars"), "fp", "next_fp", edited.alias("edited"))
+    # the edited text itself stays on this side of the exchange
+    t = t.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fp", "next_fp", "edited")
+    t = materialize(with_fingerprint(t, "edited", "edited_fp").drop("edited"), "fingerprints")
     asked = t.where(F.col("doc_id") % 100 == 0)
     near = near_fingerprints(t, asked).groupBy("query").agg(F.sum("n_docs").cast("bigint").alias("n"))
     return t.join(near, (F.col("doc_id") % 100 == 0) & (F.col("fp") == F.col("query")), "left").select(
