@@ -1,7 +1,7 @@
 """Registered queries of the text operators: name -> callable(spark, sf_dir), and their DuckDB twins."""
 from __future__ import annotations
 
-from fraudlens.llm import chat, fingerprint, mixing, pieces, quality, tokencount
+from fraudlens.llm import chat, fingerprint, mixing, neardup, pieces, quality, tokencount
 from fraudlens.sources.tables import read_table
 
 
@@ -14,11 +14,13 @@ QUERIES = {
     "op2_token_counts": _over("documents", tokencount.token_counts),
     "op4_sentencepiece": _over("documents", pieces.encode),
     "op5_source_mixing": _over("documents", mixing.mixing_digest),
+    "op8_neardup": _over("documents", neardup.neardup_digest),
     "op9_quality_rules": _over("documents", quality.quality_digest),
     "op10_simhash": _over("documents", fingerprint.fingerprint_digest),
 }
 ORACLE = {
     "op1_chat_perspectives": chat.CHAT_SQL,
     "op5_source_mixing": mixing.MIXING_SQL,
+    "op8_neardup": neardup.NEARDUP_SQL,
     "op9_quality_rules": quality.QUALITY_SQL,
 }
