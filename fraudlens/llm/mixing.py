@@ -131,6 +131,24 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", weights: Da
         .otherwise(F.lit(0).cast("bigint")).alias("copies"))
 
 
+def take(docs: DataFrame, source: str = "source", text: str = "text", **kw) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix emits it.
+
+    Rows that repeat (doc_id, source, size) share their picks evenly, a remainder by hash of the text."""
+    keys = [f"{_P}id", f"{_P}source", f"{_P}size"]
+    as_keys = [F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("null")),
+               F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("null"))]
+    m = mix(docs, source, text, **kw)
+    picks = m.select(as_keys[0].alias(keys[0]), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias(keys[1]),
+                     F.col("size").alias(keys[2]), "copies")
+    picks = materialize(picks.groupBy(*keys).agg(F.sum("copies").alias(f"{_P}sum"), F.count(F.lit(1)).alias(f"{_P}n"))
+                        .where(F.col(f"{_P}sum") > 0), "mix-picks")
+    rows = docs.withColumns({keys[0]: as_keys[0], keys[1]: as_keys[1], keys[2]: n_words(text)}).join(picks, keys)
+    extra = F.pmod(F.xxhash64(text), F.col(f"{_P}n")) < F.col(f"{_P}sum") % F.col(f"{_P}n")
+    times = F.floor(F.col(f"{_P}sum") / F.col(f"{_P}n")) + extra.cast("int")
+    return rows.withColumn(f"{_P}copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(docs.columns)
+
+
 def mixing_digest(docs: DataFrame) -> DataFrame:
     """The columns of the registered query, per document."""
     m = mix(docs)

@@ -1,7 +1,7 @@
 """Registered queries of the text operators: name -> callable(spark, sf_dir), and their DuckDB twins."""
 from __future__ import annotations
 
-from fraudlens.llm import chat, fingerprint, mixing, neardup, pieces, quality, tokencount
+from fraudlens.llm import chat, fingerprint, langid, mixing, neardup, pieces, quality, secrets, tokencount
 from fraudlens.sources.tables import read_table
 
 
@@ -12,8 +12,10 @@ def _over(table, fn):
 QUERIES = {
     "op1_chat_perspectives": _over("conversations", chat.chat_digest),
     "op2_token_counts": _over("documents", tokencount.token_counts),
+    "op3_secret_scan": _over("documents", secrets.find_secrets),
     "op4_sentencepiece": _over("documents", pieces.encode),
     "op5_source_mixing": _over("documents", mixing.mixing_digest),
+    "op7_language_id": _over("documents", langid.langid_digest),
     "op8_neardup": _over("documents", neardup.neardup_digest),
     "op9_quality_rules": _over("documents", quality.quality_digest),
     "op10_simhash": _over("documents", fingerprint.fingerprint_digest),
