@@ -1,7 +1,7 @@
 """Registered queries of the text operators: name -> callable(spark, sf_dir), and their DuckDB twins."""
 from __future__ import annotations
 
-from fraudlens.llm import chat, fingerprint, langid, mixing, neardup, pieces, quality, secrets, tokencount
+from fraudlens.llm import chat, fingerprint, htmltext, langid, mixing, neardup, pieces, quality, secrets, tokencount
 from fraudlens.sources.tables import read_table
 
 
@@ -15,6 +15,7 @@ QUERIES = {
     "op3_secret_scan": _over("documents", secrets.find_secrets),
     "op4_sentencepiece": _over("documents", pieces.encode),
     "op5_source_mixing": _over("documents", mixing.mixing_digest),
+    "op6_html_text": _over("pages", htmltext.extract),
     "op7_language_id": _over("documents", langid.langid_digest),
     "op8_neardup": _over("documents", neardup.neardup_digest),
     "op9_quality_rules": _over("documents", quality.quality_digest),
