@@ -9,14 +9,17 @@
    elements than components.  Each band of ``rows`` components is hashed;
    classes that share a band hash meet in a bucket.  Two sets of Jaccard 0.8
    share none of 32 bands of 6 with probability 6e-5, of 0.9 with 1e-11.
-3. Within a bucket no pairs are emitted.  All members are compared with a
-   centre on their full sets.  Jaccard distance is a metric, so members whose
-   distances to the centre differ by more than 1 - threshold cannot be
-   linked: the bucket splits at gaps between occupied cells of that width.
-   What stays together and is not yet one component goes to the next round,
-   without its centre, with twice as many centres, taken from the smallest
-   components.  Every pair of a bucket is thus compared, already in one component, or
-   shown to be too far apart.  Rounds end when all buckets are one component.
+3. No pairs of a bucket are emitted.  In turns, each class that shares a
+   bucket with other components is compared, on the full sets, with one centre:
+   the least component of its buckets.  Links join components, until a turn
+   finds no link.  What is then left of a bucket is one component with most
+   members and others.  The others are compared with the whole
+   component and with each other in blocks of bounded size inside tasks; a
+   block yields at most one link for each class.  Jaccard distance is a metric,
+   so of a component only those members are read whose distance to its least
+   member differs by at most 1 - threshold from the other's: for a chance
+   meeting that is none.  Every pair of a bucket is thus compared, already in
+   one component, or ruled out.
 4. Links join components by union-find on the whole link table.
 
 Only links between classes are built, by shuffled tables in the shared checkpoint folder;
@@ -30,6 +33,7 @@ linked with nothing and stay; empty tables give no rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +45,7 @@ from fraudlens.session import materialize
 
 BANDS, ROWS = 32, 6
 PERCENT = 80                       # of 100: the least Jaccard similarity of a link
+BLOCK, SHELL = 256, 0.05           # classes of a side of a block; width of a distance shell
 _BATCH = 1 << 17                   # elements whose permutations are held at a time
 
 
@@ -129,62 +134,125 @@ def signed_sets(docs: DataFrame, text: str, k: int, bands: int, rows: int) -> Da
     return s.mapInArrow(run, schema)
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, text: str, k: int) -> DataFrame:
-    """``pairs`` (a, b) with the sizes of their intersection and union, from the full sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text).join(ids, "doc_id", "left_semi")
-    sets = materialize(sets.select("doc_id", shingle_set(text, k).alias("s")), "sets")
-    a, b = (sets.select(F.col("doc_id").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
+def class_sets(ids: DataFrame, docs: DataFrame, text: str, k: int) -> DataFrame:
+    """(id, s) for the wanted ids: the only step that moves texts, once."""
+    t = docs.select(F.col("doc_id").cast("bigint").alias("id"), text).join(ids, "id", "left_semi")
+    return materialize(t.select("id", shingle_set(text, k).alias("s")), "sets")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b), a row for each b, with intersection ``i`` and union ``u`` of the full sets."""
+    a, b = (sets.select(F.col("id").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
     both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"),
                                                   (F.size("sa") + F.size("sb")).alias("t"))
-    return both.select("a", "b", "i", (F.col("t") - F.col("i")).alias("u"))
+    return materialize(both.select("a", "b", "i", (F.col("t") - F.col("i")).alias("u")), "compared")
+
+
+def _distance() -> Column:
+    return 1 - F.col("i") / F.col("u")
+
+
+def _block_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside blocks.  ``blocks``: (block, id, side); sides "x" and "y" are compared with each other,
+    "y" also among themselves where the block has no "x".  A block holds about ``BLOCK`` rows of a side; each
+    "y" yields its least linked "x", or its links to earlier "y" not yet joined: no pairs are emitted."""
+    rows = blocks.join(sets, "id").select("block", "id", "side", "s")
+
+    def run(key, pdf):
+        xs, ys = pdf[pdf.side == "x"], pdf[pdf.side == "y"]
+        against = xs if len(xs) else ys
+        ids = against["id"].to_numpy()
+        sizes = np.array([len(v) for v in against["s"]], np.int64)
+        flat = np.concatenate([np.asarray(v) for v in against["s"]]) if len(against) else np.zeros(0, np.int64)
+        owner = np.repeat(np.arange(len(against)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        out, root = [], np.arange(len(against))
+        for n, (i, v) in enumerate(zip(ys["id"], ys["s"])):
+            v = np.asarray(v)
+            lo, hi = np.searchsorted(flat, v, "left"), np.searchsorted(flat, v, "right")
+            hit = np.repeat(lo - np.r_[0, np.cumsum(hi - lo)[:-1]], hi - lo) + np.arange((hi - lo).sum())
+            common = np.bincount(owner[hit], minlength=len(against))
+            near = np.flatnonzero((100 * common >= percent * (sizes + len(v) - common)) & (ids != i))
+            if len(xs):
+                out += [(i, ids[near].min())] if len(near) else []
+            else:
+                for j in near[near < n]:
+                    if root[j] != root[n]:
+                        root[root == root[n]] = root[j]
+                        out.append((i, ids[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    return materialize(rows.groupBy("block").applyInPandas(run, "a bigint, b bigint"), "block-links")
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, text: str, k: int, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between class representatives that connect every linked pair of the buckets.
 
-    ``classes``: (rep, bands), written.  ``docs`` is read for the full sets of compared classes only."""
-    act = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
-    shared = act.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    act = materialize(act.join(materialize(shared, "shared"), "bucket").withColumn("comp", F.col("id")), "members")
-    links, labels, turn = None, None, 0
+    ``classes``: (rep, bands), written.  ``docs`` is read for the full sets of classes that share a bucket."""
+    rows = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("bucket"))
+    shared = materialize(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared")
+    members = materialize(rows.join(shared, "bucket"), "members")
+    none = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    if members.isEmpty():
+        return none
+    sets = class_sets(members.select("id").distinct(), docs, text, k)
+    far = (100 - percent) / 100
+    links, labels, act = none, None, members.withColumn("comp", F.col("id"))
+
+    # 1. one comparison for each class and turn, with the least centre of its buckets, while that finds links
     while True:
-        per = act.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-        mixed = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_comps"), F.min(F.struct("n", "first")).alias("pick"))
-        mixed = materialize(mixed.where("n_comps > 1").select("bucket", F.col("pick.first").alias("centre")), "centres")
-        if mixed.isEmpty():
-            return links if links is not None else act.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-        act = materialize(act.join(mixed, "bucket"), "members")
-        asked = act.select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        if turn:
-            # further centres of the buckets that are left: members of the smallest components
-            size = act.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-            more = act.where("id <> centre").join(size, ["bucket", "comp"]).groupBy("bucket").agg(
-                F.slice(F.sort_array(F.collect_set(F.when(F.col("n") <= 2 ** turn, F.struct("n", "id")))), 1, 2 ** turn).alias("m"))
-            more = materialize(more.select("bucket", F.explode("m").alias("m")).select("bucket", F.col("m.id").alias("other")),
-                               "centres")
-            asked = asked.union(act.join(more, "bucket").select("other", "id"))
-        asked = materialize(asked.where("a <> b").distinct(), "asked")
-        seen = materialize(_compared(asked, docs, text, k), "compared")
+        least = act.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c < d")
+        least = materialize(least.select("bucket", "c"), "centres")
+        asked = act.join(least, "bucket").where("c <> comp").groupBy("id").agg(F.min("c").alias("a"))
+        seen = _compared(asked.select("a", F.col("id").alias("b")), sets)
         found = seen.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
-        links = materialize(found if links is None else links.union(found), "links")
+        if found.isEmpty():
+            break
+        links = materialize(links.union(found), "links")
         labels = materialize(components(links), "labels")
-        # cells a little wider than the largest distance of a link
-        width = (100 - percent) / 100 * 1.05
-        cell = F.floor((1 - F.col("i") / F.col("u")) / width).cast("int")
-        placed = act.where("id <> centre").join(
-            seen.select(F.col("a").alias("centre"), F.col("b").alias("id"), cell.alias("cell")), ["centre", "id"])
-        if turn:
-            placed = placed.join(more.select("bucket", F.col("other").alias("id")), ["bucket", "id"], "left_anti")
-        placed = materialize(placed.join(labels.withColumnRenamed("comp", "now"), "id", "left").select(
-            "id", "bucket", "cell", F.coalesce("now", "id").alias("comp")), "members")
-        bit = F.call_function("shiftleft", F.lit(1), F.col("cell"))
-        filled = materialize(placed.groupBy("bucket").agg(F.bit_or(bit).alias("cells")), "cells")
-        # a run of occupied cells is named by the number of empty cells below it
-        run = F.col("cell") - F.bit_count(F.col("cells").bitwiseAND(bit - 1))
-        act = placed.join(filled, "bucket").select("id", F.xxhash64("bucket", run).alias("bucket"), "comp")
-        act = materialize(act, "members")
-        turn += 1
+        act = materialize(members.join(labels, "id", "left").select("id", "bucket", F.coalesce("comp", "id").alias("comp")),
+                          "members")
+
+    # 2. buckets of several components: the one with most members, and the others
+    per = act.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    big = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_comps"), F.max(F.struct("n", "comp")).alias("m"),
+                                    F.sum("n").alias("total")).where("n_comps > 1")
+    big = materialize(big.select("bucket", F.col("m.comp").alias("big"), (F.col("total") - F.col("m.n")).alias("n_rest")), "mixed")
+    if big.isEmpty():
+        return links
+    rest = materialize(act.join(big, "bucket").where("comp <> big").select("bucket", "id", "big", "n_rest"), "rest")
+
+    # 3. the others against that whole component: by distance to its least id, then in blocks
+    y = rest.select(F.col("big").alias("a"), F.col("id").alias("b")).distinct()
+    y = _compared(y, sets).select(F.col("a").alias("comp"), F.col("b").alias("id"), _distance().alias("d"))
+    wanted = materialize(y.select("comp").distinct(), "wanted")
+    if labels is None:
+        xs = wanted.select("comp", F.col("comp").alias("id"))
+    else:
+        in_comp = labels.select("comp", "id").join(wanted, "comp")
+        xs = in_comp.union(wanted.select("comp", F.col("comp").alias("id"))).distinct()
+    x = _compared(xs.select(F.col("comp").alias("a"), F.col("id").alias("b")), sets).select(
+        F.col("a").alias("comp"), F.col("b").alias("id"), F.floor(_distance() / SHELL).cast("int").alias("shell"))
+    # every shell of a component is dealt to as many blocks as it needs
+    shells = materialize(x.groupBy("comp", "shell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "shells")
+    name = F.xxhash64("comp", "shell", "part")
+    # |d(y) - d(x)| beyond the largest distance of a link rules a pair out; a margin for rounding
+    sent = y.join(shells, "comp").where((F.col("shell") * SHELL <= F.col("d") + far + 1e-6)
+                                        & ((F.col("shell") + 1) * SHELL >= F.col("d") - far - 1e-6))
+    sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    sent = materialize(sent.select(name.alias("block"), "id", F.lit("y").alias("side")), "sent")
+    dealt = x.join(shells, ["comp", "shell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = dealt.select(name.alias("block"), "id", F.lit("x").alias("side")).join(
+        sent.select("block").distinct(), "block", "left_semi")
+    far_links = _block_links(dealt.union(sent), sets, percent)
+
+    # 4. the others among themselves, bucket by bucket; more than a block of them: each pair of parts is a block
+    parts = F.ceil(F.col("n_rest") / BLOCK)
+    own = F.pmod(F.xxhash64("id"), parts)
+    pair = F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda q: F.xxhash64(
+        "bucket", F.least(own, q), F.greatest(own, q)))
+    among = rest.where("n_rest > 1").select(F.explode(pair).alias("block"), "id", F.lit("y").alias("side"))
+    return links.union(far_links).union(_block_links(among, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", k: int = 5, percent: int = PERCENT, bands: int = BANDS,
