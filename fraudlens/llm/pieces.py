@@ -35,7 +35,7 @@ from fraudlens.llm.textops import whole
 
 MARK = "▁"                    # fixed by the format: stands for a blank
 LONG_WORD = 40
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 _WORKER: dict = {}
 
 
@@ -72,6 +72,7 @@ class PieceTable:
         chars = sorted(c for c in ids if len(c) == 1)
         self.char_code = np.array([ord(c) for c in chars], np.int64)
         self.char_id = np.array([ids[c] for c in chars], np.int64)
+        self.inner_char = {ids[c]: ord(c) for c in chars if ids[c] >= n}
         pairs = sorted((ids[p[:k]] << 32 | ids[p[k:]], i, sp.get_score(i)) for p, i in plain.items()
                        for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids)
         self.pair_key = np.array([x[0] for x in pairs], np.int64)
@@ -89,18 +90,20 @@ class PieceTable:
         at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
         return np.where(self.pair_key[at] == key, self.pair_score[at], np.float32(-np.inf)), at
 
-    def output(self, row: np.ndarray) -> bytes:
-        """Little-endian ids of one word's final symbols."""
-        if row.min() >= 0 and row.max() < self.n_pieces:
-            return row.astype("<i4").tobytes()
-        out = []
-        inner = {int(i): int(c) for i, c in zip(self.char_id, self.char_code) if i >= self.n_pieces}
-        for s in row.tolist():
-            if 0 <= s < self.n_pieces:
-                out.append(s)
-            else:
-                out += self.byte_id[list(chr(inner[s] if s >= 0 else -2 - s).encode())].tolist()
-        return np.array(out, "<i4").tobytes()
+    def output(self, rows: np.ndarray) -> list[bytes]:
+        """Little-endian ids of words that have equally many final symbols."""
+        width = 4 * rows.shape[1]
+        flat = rows.astype("<i4").tobytes()
+        out = [flat[i:i + width] for i in range(0, len(flat), width)]
+        for i in np.flatnonzero(((rows < 0) | (rows >= self.n_pieces)).any(1)):
+            ids = []
+            for s in rows[i].tolist():
+                if 0 <= s < self.n_pieces:
+                    ids.append(s)
+                else:                       # a character that is no piece: its bytes
+                    ids += self.byte_id[list(chr(self.inner_char[s] if s >= 0 else -2 - s).encode())].tolist()
+            out[i] = np.array(ids, "<i4").tobytes()
+        return out
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words, batched by length."""
@@ -125,8 +128,9 @@ class PieceTable:
             best = score.argmax(1) if a.shape[1] > 1 else np.zeros(len(a), np.int64)
             row = np.arange(len(a))
             go = score[row, best] > -np.inf if a.shape[1] > 1 else np.zeros(len(a), bool)
-            for i, done in zip(who[~go], a[~go]):
-                final[i] = self.output(done)
+            if not go.all():
+                for i, done in zip(who[~go], self.output(a[~go])):
+                    final[i] = done
             if not go.any():
                 return final
             a, who, best, score, at = a[go], who[go], best[go], score[go], at[go]
@@ -170,7 +174,7 @@ class PieceTable:
                 push(i, nxt[j])
             if prev[i] >= 0:
                 push(prev[i], i)
-        return self.output(np.array([s for s, ok in zip(sym, alive) if ok], np.int64))
+        return self.output(np.array([[s for s, ok in zip(sym, alive) if ok]], np.int64))[0]
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.as_bytes.__getitem__, ids)).decode("utf-8", "replace")
