@@ -101,24 +101,26 @@ def near_fingerprints(prints: DataFrame, queries: DataFrame, radius: int = RADIU
     return met.groupBy("query", "fp").agg(F.max("n_docs").alias("n_docs"))
 
 
-def with_next(docs: DataFrame, order: str, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, order: str, carried: list[str], ids: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``next_<c>`` for each carried column: the row after it by descending ``order``
     (ties by text), the first row after the last.
 
     Rows are cut into ranges of the order by its quantiles, several for each
     shuffle partition; each range also gets a copy of the first row of the
     range after it, so a row's successor is found inside its range and no
-    task orders all rows."""
+    task orders all rows.  ``ids``: a cheaper plan for the order column of the same rows."""
     spark = docs.sparkSession
     n = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col(order), F.lit(-(1 << 63)))
     docs = docs.withColumn("_key", key)
-    cuts = docs.agg(F.percentile_approx("_key", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
+    ids = (ids if ids is not None else docs).select(key.alias("_key"))
+    cuts = ids.agg(F.percentile_approx("_key", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
     splits = [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_range")
-    ranged = cut.transform(docs.withColumn("_at", F.col("_key").cast("double"))).drop("_at")
+    in_range = lambda df: cut.transform(df.withColumn("_at", F.col("_key").cast("double"))).drop("_at")
+    ranged = in_range(docs)
     # one row for each range
-    firsts = sorted(ranged.groupBy("_range").agg(F.max("_key").alias("k")).collect(), reverse=True)
+    firsts = sorted(in_range(ids).groupBy("_range").agg(F.max("_key").alias("k")).collect(), reverse=True)
     goes_to = {b["k"]: a["_range"] for a, b in zip(firsts, [*firsts[1:], *firsts[:1]])}
     guests = spark.createDataFrame([(k, float(r)) for k, r in goes_to.items()], "_key bigint, _to double")
     copies = (ranged.join(F.broadcast(guests), "_key").withColumn("_range", F.col("_to")).drop("_to")
@@ -133,7 +135,7 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
     """The columns of the registered query, per document; ``n_near``: for ids divisible by 100, the
     documents within ``RADIUS`` bits (itself included), else null."""
     t = with_fingerprint(docs.select("doc_id", whole("text").alias("text")))
-    t = with_next(t, "doc_id", ["text", "fp"])
+    t = with_next(t, "doc_id", ["text", "fp"], docs.select("doc_id"))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
