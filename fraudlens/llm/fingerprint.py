@@ -115,7 +115,7 @@ def with_next(docs: DataFrame, order: str, carried: list[str], ids: DataFrame |
     docs = docs.withColumn("_key", key)
     ids = (ids if ids is not None else docs).select(key.alias("_key"))
     cuts = ids.agg(F.percentile_approx("_key", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
-    splits = [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    splits = [-float("inf"), *sorted({float(c) for c in cuts} or {0.0}), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_range")
     in_range = lambda df: cut.transform(df.withColumn("_at", F.col("_key").cast("double"))).drop("_at")
     ranged = in_range(docs)
