@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators.prefix import dense_codes
 
-MAX_ONEHOT_VALUES = 1000
-
 
 def label_encode_column(df: DataFrame, column: str, out_col: str | None = None) -> DataFrame:
     """Replace ``column`` by the 0-based rank of its value among the sorted
@@ -27,20 +25,19 @@ def label_encode_column(df: DataFrame, column: str, out_col: str | None = None)
 
 
 def onehot_encode_column(df: DataFrame, column: str, drop_first: bool = False, prefix: str | None = None,
-                         max_values: int = MAX_ONEHOT_VALUES) -> DataFrame:
+                         values: list | None = None) -> DataFrame:
     """One 0/1 int column ``{prefix}_{value}`` per distinct non-NULL value in
     sorted order (first dropped if ``drop_first``); NULL -> all 0; the original
     column is dropped.
 
-    The distinct values become column names, so they are collected; the
-    number is checked against ``max_values`` (a schema, not data, bound).
+    ``values``: the categories as fitted before; by default those of ``df``,
+    read as they become the schema.  Columns of many values are for
+    ``label_encode_column``, by the caller's choice.
     """
     prefix = prefix or column
-    vals = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct()
-            .orderBy(column).limit(max_values + 1).collect()]
-    if len(vals) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values; use an indexed encoder")
+    if values is None:
+        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
     if drop_first:
-        vals = vals[1:]
-    cols = {f"{prefix}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in vals}
+        values = values[1:]
+    cols = {f"{prefix}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in values}
     return df.withColumns(cols).drop(column)

@@ -40,16 +40,11 @@ class Split:
 def prepare(df: DataFrame, key: str, t_us: str, max_days: int, bucket_days: int, hot_threshold: int | None) -> Split:
     if hot_threshold is None:
         return Split(None, df, False)
-    from fraudlens.operators.joins import MAX_BROADCAST_ROWS
     agg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(key)
-    found = agg.limit(MAX_BROADCAST_ROWS + 1).collect()     # at most N / hot_threshold keys exist
-    if not found:
+    if agg.isEmpty():
         return Split(None, df, False)
-    if len(found) <= MAX_BROADCAST_ROWS:
-        hot = F.broadcast(df.sparkSession.createDataFrame([(r[0],) for r in found], agg.schema))
-    else:
-        hot = agg
-    hot = hot.withColumn("_hot", F.lit(True))
+    # at most N / hot_threshold keys; Spark broadcasts them if they are small in bytes
+    hot = agg.withColumn("_hot", F.lit(True))
     reach = int(math.ceil(max_days / bucket_days))
     base = df.join(hot, key, "left")
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
@@ -73,14 +68,13 @@ def fill_lag(split: Split, df: DataFrame, keys: list[str], t_us: str, lag_col: s
     nearest earlier non-empty bucket of the same key(s)."""
     if not split.active:
         return df
-    from fraudlens.operators.joins import broadcast_if_small
     real = split.base.where(F.col("_b0") >= 0)
     if valid is not None:
         real = real.where(valid)
     s = real.groupBy(*keys, "_b0").agg(F.max(t_us).alias("_last"))
     s = s.withColumn("_prev_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_b0"))) \
         .where(F.col("_prev_last").isNotNull()).select(*keys, "_b0", "_prev_last")
-    out = df.join(broadcast_if_small(s), [*keys, "_b0"], "left")
+    out = df.join(s, [*keys, "_b0"], "left")
     need = F.col(lag_col).isNull() & ~F.col(CONTEXT)
     return out.withColumn(lag_col, F.when(need, F.col("_prev_last")).otherwise(F.col(lag_col))).drop("_prev_last")
 

@@ -2,8 +2,7 @@
 interval joins expressed as equi joins.
 
 Broadcasts are used only for sides whose size is bounded by construction
-(literal dimensions, ranges split at /16 = at most 65 536 + R rows) or after a
-row-count check (``broadcast_if_small``).  Data-sized sides are left to AQE,
+(literal dimensions, ranges split at /16 = at most 65 536 + R rows).  Data-sized sides are left to AQE,
 which converts to a broadcast at run time only when the materialised side is
 small and otherwise splits skewed partitions of a sort-merge join.
 """
@@ -14,25 +13,14 @@ from pyspark.sql import functions as F
 
 from fraudlens.functions.ip import ipv4_to_long
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count (one cheap count job).
-
-    Above the bound the frame is returned unhinted and the join shuffles.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def left_lookup(df: DataFrame, dim: DataFrame, on, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left equi join of a dimension (customer attributes, POS of merchant)."""
-    return df.join(broadcast_if_small(dim, max_rows), on, "left")
+def left_lookup(df: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """Left equi join of a dimension (customer attributes, POS of merchant); Spark
+    picks broadcast or shuffle by the dimension's size in bytes."""
+    return df.join(dim, on, "left")
 
 
 def add_ip_used_by_many(df: DataFrame, id_count_threshold=None, ip_col="IP_address",
-                        id_col="customer_id", max_broadcast: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        id_col="customer_id") -> DataFrame:
     """``IP_used_by_{k}_customer_id_or_more`` = 1 when the row's IP is used by at
     least ``k`` distinct customers; NULL IP -> 0.
 
@@ -40,10 +28,8 @@ def add_ip_used_by_many(df: DataFrame, id_count_threshold=None, ip_col="IP_addre
     The distinct count pre-aggregates on (IP, customer) map-side, then counts
     per IP with partial aggregation, so a proxy IP shared by millions of
     customers never lands in one task as raw rows.  Only IPs reaching the
-    smallest ``k`` matter; when there are at most ``max_broadcast`` of them
-    (a bounded collect) they are broadcast and the big table is not shuffled
-    at all, otherwise the counts are joined back with a shuffle join (AQE
-    splits hot IPs).
+    smallest ``k`` are joined back, lazily: Spark broadcasts them if they turn
+    out small in bytes and splits hot IPs of a shuffled join otherwise.
     """
     if id_count_threshold is None:
         n = df.agg(F.count_distinct(id_col)).first()[0]
@@ -51,12 +37,7 @@ def add_ip_used_by_many(df: DataFrame, id_count_threshold=None, ip_col="IP_addre
     counts = (df.where(F.col(ip_col).isNotNull())
               .groupBy(ip_col).agg(F.count_distinct(id_col).alias("_n_ids")))
     shared = counts.where(F.col("_n_ids") >= min(id_count_threshold))
-    found = shared.limit(max_broadcast + 1).collect()
-    if len(found) <= max_broadcast:
-        small = df.sparkSession.createDataFrame([tuple(r) for r in found], shared.schema)
-        out = df.join(F.broadcast(small), ip_col, "left")
-    else:
-        out = df.join(shared, ip_col, "left")
+    out = df.join(shared, ip_col, "left")
     cols = {f"IP_used_by_{k}_{id_col}_or_more": F.coalesce((F.col("_n_ids") >= k).cast("int"), F.lit(0))
             for k in id_count_threshold}
     return out.withColumns(cols).drop("_n_ids")

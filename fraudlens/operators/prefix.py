@@ -18,6 +18,7 @@ written copy (one computation, and it survives executor loss).
 """
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,23 +31,12 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-SMALL_ORDERED = 10_000     # up to this many rows a one-task window is cheaper than the two levels
-
-
-def _is_small(df: DataFrame, small: int) -> bool:
-    return small > 0 and df.limit(small + 1).count() <= small
-
-
 def with_global_position(df: DataFrame, order_cols: list, name: str = "position",
-                         num_partitions: int | None = None, small: int = 0) -> DataFrame:
+                         num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in the total order ``order_cols``.
 
     ``order_cols`` must end in a unique tie-break so the order is total.
-    With ``small`` > 0 an input of at most ``small`` rows (checked) is
-    numbered by one window in one task.
     """
-    if _is_small(df, small):
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) - 1).cast("bigint"))
     n = _n_parts(df, num_partitions)
     ranged = _written(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
                       .withColumn("_pid", F.spark_partition_id())
@@ -62,23 +52,9 @@ def with_global_position(df: DataFrame, order_cols: list, name: str = "position"
             .drop("_pid", "_local", "_off"))
 
 
-SMALL_CODE_TABLE = 100_000
-
-
-def dense_codes(df: DataFrame, col: str, name: str = "code", small: int = SMALL_CODE_TABLE) -> DataFrame:
-    """Distinct non-NULL values of ``col`` with their 0-based rank in sorted order.
-
-    Up to ``small`` distinct values (checked with a bounded count) the sorted
-    values are numbered on the driver and returned as a small table; beyond
-    that the ranks come from the distributed global position."""
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
-    rows = vals.orderBy(col).limit(small + 1).collect()   # a top-(small+1): bounded transfer
-    if len(rows) <= small:
-        from pyspark.sql.types import LongType, StructField, StructType
-        schema = StructType(list(vals.schema.fields) + [StructField(name, LongType())])
-        # bounded by ``small`` rows: safe to broadcast
-        return F.broadcast(df.sparkSession.createDataFrame([(r[0], i) for i, r in enumerate(rows)], schema))
-    return with_global_position(vals, [col], name=name)
+def dense_codes(df: DataFrame, col: str, name: str = "code") -> DataFrame:
+    """Distinct non-NULL values of ``col`` with their 0-based rank in sorted order (distributed global position)."""
+    return with_global_position(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], name=name)
 
 
 def _cumsum_partition(value_cols, out_cols):
@@ -99,20 +75,15 @@ def _cumsum_partition(value_cols, out_cols):
 
 
 def with_global_cumsum(df: DataFrame, order_cols: list, value_cols: list, out_cols: list | None = None,
-                       num_partitions: int | None = None, ascending: bool = True,
-                       small: int = SMALL_ORDERED) -> DataFrame:
+                       num_partitions: int | None = None, ascending: bool = True) -> DataFrame:
     """Running sums of ``value_cols`` along a total order, inclusive of the row.
 
     Two levels: Arrow-batched cumulative sums inside each range partition,
     plus the totals of all earlier partitions (a table of at most
-    ``num_partitions`` rows, broadcast).  Inputs of at most ``small`` rows
-    (checked; typically per-value aggregates) use one window in one task.
+    ``num_partitions`` rows, broadcast).
     """
     out_cols = out_cols or [f"cum_{v}" for v in value_cols]
     order = [F.col(c) if ascending else F.col(c).desc() for c in order_cols]
-    if _is_small(df, small):
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({o: F.sum(F.col(v).cast("double")).over(w) for v, o in zip(value_cols, out_cols)})
     n = _n_parts(df, num_partitions)
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id()))
@@ -137,9 +108,9 @@ def _keyed_cumsum_partition(key, value_cols, out_cols):
                 yield pdf.assign(**{o: pdf[v].astype("float64") for v, o in zip(value_cols, out_cols)})
                 continue
             vals = pdf[value_cols].astype("float64")
-            cs = vals.groupby(pdf[key].values, sort=False).cumsum()
-            if carry_key is not None:
-                same = (pdf[key] == carry_key).values
+            cs = vals.groupby(pdf[key].values, sort=False, dropna=False).cumsum()
+            if carry is not None:                    # NULL keys are one key
+                same = (pdf[key].isna() if pd.isna(carry_key) else pdf[key] == carry_key).values
                 cs.loc[same] = cs.loc[same].values + carry
             last = pdf[key].iloc[-1]
             carry = cs.iloc[-1].values
@@ -170,6 +141,8 @@ def with_keyed_cumsum(df: DataFrame, key: str, order_cols: list, value_cols: lis
     w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (totals.select("_pid", key, *[F.sum(f"_t{i}").over(w).alias(f"_o{i}") for i in range(len(value_cols))])
                .where(F.col("_o0").isNotNull()))
-    out = local.join(F.broadcast(offsets), ["_pid", key], "left")
+    offsets = offsets.select(F.col("_pid").alias("_opid"), F.col(key).alias("_okey"), *[f"_o{i}" for i in range(len(value_cols))])
+    out = local.join(F.broadcast(offsets), (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey")),
+                     "left").drop("_opid", "_okey")
     return (out.withColumns({o: F.col(o) + F.coalesce(F.col(f"_o{i}"), F.lit(0.0)) for i, o in enumerate(out_cols)})
             .drop("_pid", *[f"_o{i}" for i in range(len(value_cols))]))

@@ -223,8 +223,8 @@ class SpearmanCorrelationFilter(_FitBase):
 
     def _state(self, df, cols, cfg):
         t = cfg.get("threshold", 0.85)
-        pairs = spearman_pairs(df, cols).collect()       # p(p-1)/2 rows
-        strong = [(r["feature_1"], r["feature_2"]) for r in pairs if r["abs_spearman"] is not None and r["abs_spearman"] > t]
+        pairs = spearman_pairs(df, cols, unrounded=True).collect()       # p(p-1)/2 rows
+        strong = [(r["feature_1"], r["feature_2"]) for r in pairs if r["corr"] is not None and abs(r["corr"]) > t]
         linked = {x for e in strong for x in e}
         comps = _components(sorted(linked), strong)
         keep = [c for c in cols if c not in linked or any(c == g[0] for g in comps)]

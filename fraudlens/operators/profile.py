@@ -40,22 +40,19 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None, by: str | Non
     numeric column, long form; optionally per group ``by``."""
     cols = cols or [c for c in numeric_columns(df) if c != by]
     g = df.groupBy(by) if by else df
-    # one job: is each column's percentile buffer bounded (per group)?
-    nd = g.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]) \
-        .agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(cols))]).first()
-    bounded = [nd is None or (nd[f"d{i}"] or 0) <= PERCENTILE_MAX_DISTINCT for i in range(len(cols))]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        if bounded[i]:
-            aggs.append(F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"))
     wide = g.agg(*aggs)
-    for i, c in enumerate(cols):
-        if not bounded[i]:
-            q = quantiles(df, c, [0.25, 0.5, 0.75], by, max_distinct=-1).withColumnRenamed("_q", f"q{i}")
-            wide = wide.join(q, by, "left") if by else attach(wide, q)
+    q = quantiles_of(df, cols, [0.25, 0.5, 0.75], by)
+    each = [F.max(F.when(F.col("_ci") == i, F.col("_q"))).alias(f"q{i}") for i in range(len(cols))]
+    if by:
+        q = q.groupBy(F.col(by).alias("_by")).agg(*each)
+        wide = wide.join(q, wide[by].eqNullSafe(q["_by"]), "left").drop("_by")
+    else:
+        wide = attach(wide, q.agg(*each))
     parts = ", ".join(f"'{c}', CAST(c{i} AS BIGINT), m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}"
                       for i, c in enumerate(cols))
     keep = [by] if by else []
@@ -143,16 +140,12 @@ def with_average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
     counts and one keyed two-level running count over (column, value); each
     column then joins its table back by value (AQE broadcasts small tables
     and splits hot values of large ones)."""
-    from fraudlens.operators.prefix import SMALL_ORDERED, with_keyed_cumsum
+    from fraudlens.operators.prefix import with_keyed_cumsum
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_v"))
                                 for i, c in enumerate(cols)]))
     per = (df.select(pairs.alias("_p")).select("_p._ci", "_p._v").where(F.col("_v").isNotNull())
            .groupBy("_ci", "_v").agg(F.count(F.lit(1)).cast("double").alias("_c")))
-    if per.limit(SMALL_ORDERED + 1).count() <= SMALL_ORDERED:
-        w = Window.partitionBy("_ci").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = per.withColumn("_cum", F.sum("_c").over(w))       # bounded by the checked size
-    else:
-        cum = with_keyed_cumsum(per, "_ci", ["_v"], ["_c"], ["_cum"])
+    cum = with_keyed_cumsum(per, "_ci", ["_v"], ["_c"], ["_cum"])
     ranks = cum.select("_ci", "_v", (F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2).alias("_rk"))
     out = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     for i, c in enumerate(cols):
@@ -161,14 +154,24 @@ def with_average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
     return out.select(*[F.col(f"_rk_{c}").alias(c) for c in cols])
 
 
-def spearman_pairs(df: DataFrame, cols: list[str], top_n: int | None = None, digits: int = 4) -> DataFrame:
-    """Spearman correlation of all unordered pairs (Pearson on average ranks,
-    rows complete in all ``cols``), sorted by absolute value; ``top_n`` keeps
-    the strongest pairs."""
-    ranked = with_average_ranks(df.na.drop(subset=cols), cols)
-    out = correlation_pairs(ranked, cols, digits=12)
+def spearman_pairs(df: DataFrame, cols: list[str], top_n: int | None = None, digits: int = 4,
+                   unrounded: bool = False) -> DataFrame:
+    """Spearman correlation of all unordered pairs (Pearson on average ranks, over
+    the rows complete in the two columns), sorted by absolute value; ``top_n``
+    keeps the strongest pairs; ``unrounded`` adds the full value as ``corr``.
+
+    Columns without NULLs have the same ranks in every pair and are ranked
+    together; a pair with a NULL is ranked on its own rows."""
+    nulls = df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
+    full = [c for c in cols if not nulls[c]]
+    out = correlation_pairs(with_average_ranks(df, full), full, digits=15) if len(full) > 1 else None
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            if a not in full or b not in full:
+                one = correlation_pairs(with_average_ranks(df.na.drop(subset=[a, b]), [a, b]), [a, b], digits=15)
+                out = one if out is None else out.union(one)
     out = out.select("feature_1", "feature_2", F.round("corr", digits).alias("spearman"),
-                     F.round(F.abs("corr"), digits).alias("abs_spearman"))
+                     F.round(F.abs("corr"), digits).alias("abs_spearman"), *(["corr"] if unrounded else []))
     if top_n:
         out = out.orderBy(F.desc("abs_spearman"), "feature_1", "feature_2").limit(top_n)
     return out
@@ -176,17 +179,27 @@ def spearman_pairs(df: DataFrame, cols: list[str], top_n: int | None = None, dig
 
 def vif(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
     """Variance inflation factors without intercept: VIF_i = G_ii * (G^-1)_ii
-    where G = X'X comes from one aggregation of p(p+1)/2 sums (p x p on the driver)."""
+    where G = X'X comes from one aggregation of p(p+1)/2 sums (p x p on the driver).
+    Constant columns are left out; collinear ones have infinity."""
+    complete = df.na.drop(subset=cols)
+    spread = complete.agg(*[(F.min(c) < F.max(c)).alias(c) for c in cols]).first()
+    cols = [c for c in cols if spread[c]]
     p = len(cols)
+    if not p:
+        return df.sparkSession.createDataFrame([], "feature string, vif double")
     x = [F.col(c).cast("double") for c in cols]
-    clean = df.na.drop(subset=cols)
-    sums = clean.agg(*[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)]).first()
+    sums = complete.agg(*[F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)]).first()
     g = np.zeros((p, p))
     for i in range(p):
         for j in range(i, p):
             g[i, j] = g[j, i] = sums[f"g{i}_{j}"]
-    inv = np.linalg.inv(g)
-    rows = [(c, float(round(g[i, i] * inv[i, i], digits))) for i, c in enumerate(cols)]
+    rows = []
+    for i, c in enumerate(cols):
+        # share of the column's square sum that the others leave; nothing left: collinear
+        rest = [j for j in range(p) if j != i]
+        fit = g[i, rest] @ np.linalg.pinv(g[np.ix_(rest, rest)], hermitian=True) @ g[rest, i] if rest else 0.0
+        left = 1 - fit / g[i, i] if g[i, i] else 0.0
+        rows.append((c, float("inf") if left < 1e-10 else float(round(1 / left, digits))))
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
 
 
@@ -215,7 +228,11 @@ def box_stats(df: DataFrame, col: str, by: str | None = None, whisker: float = 1
     q = q.select(*([by] if by else []), F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     q = q.withColumn("lower_fence", F.col("q1") - whisker * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + whisker * (F.col("q3") - F.col("q1")))
-    j = df.join(F.broadcast(q), by) if by else attach(df, q)
+    if by:
+        q = q.withColumnRenamed(by, "_by")
+        j = df.join(q, df[by].eqNullSafe(q["_by"])).drop("_by")
+    else:
+        j = attach(df, q)
     out = (j.groupBy(*([by] if by else []), "q1", "median", "q3", "lower_fence", "upper_fence")
            .agg(F.sum(((x < F.col("lower_fence")) | (x > F.col("upper_fence"))).cast("bigint")).alias("n_outliers")))
     return out.select(*([by] if by else []), *[F.round(c, digits).alias(c) for c in
@@ -243,42 +260,38 @@ def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 # ------------------------------------------------------------------ exact quantiles at any size
 
-PERCENTILE_MAX_DISTINCT = 1_000_000
-
-
-def quantiles(df: DataFrame, col: str, qs: list[float], by: str | None = None,
-              max_distinct: int = PERCENTILE_MAX_DISTINCT) -> DataFrame:
-    """Exact, linearly interpolated quantiles of ``col`` (optionally per ``by``)
-    as an array column ``_q``.
-
-    Spark's ``percentile`` keeps one count per distinct value in a single
-    aggregation buffer per group; that is used when an approximate distinct
-    count shows the buffer is bounded (<= ``max_distinct`` values per group).
-    Beyond that the values are range-partitioned and sorted (global position),
-    and only the rows at the needed ranks are picked - no group is gathered
-    into one task."""
-    x = df.where(F.col(col).isNotNull()).select(*([by] if by else []), F.col(col).cast("double").alias("_v"))
-    g = x.groupBy(by) if by else x
-    nd = (g.agg(F.approx_count_distinct("_v").alias("_nd")).agg(F.max("_nd")).first()[0] or 0) \
-        if max_distinct >= 0 else 1
-    if nd <= max_distinct:
-        return g.agg(F.percentile("_v", list(qs)).alias("_q"))
-    from fraudlens.operators.prefix import with_global_position
-    keys = [by] if by else []
-    pos = with_global_position(x, [*keys, "_v"], "_pos")
-    grp = pos.groupBy(*keys).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    spark = df.sparkSession
-    qarr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
-    need = grp.withColumn("_qq", F.explode(qarr)).select("*", "_qq.qi", "_qq.q").drop("_qq") \
-        .withColumn("_h", (F.col("_n") - 1) * F.col("q")) \
-        .withColumn("_lo", F.floor("_h").cast("bigint")).withColumn("_hi", F.ceil("_h").cast("bigint"))
-    ranks = need.select(*keys, (F.col("_start") + F.col("_lo")).alias("_pos")).union(
-        need.select(*keys, (F.col("_start") + F.col("_hi")).alias("_pos"))).distinct()
-    vals = pos.join(ranks, [*keys, "_pos"], "left_semi").select(*keys, "_pos", "_v")   # 2 rows per q per group
-    lo = vals.select(*keys, F.col("_pos").alias("_plo"), F.col("_v").alias("_vlo"))
-    hi = vals.select(*keys, F.col("_pos").alias("_phi"), F.col("_v").alias("_vhi"))
-    j = (need.withColumn("_plo", F.col("_start") + F.col("_lo")).withColumn("_phi", F.col("_start") + F.col("_hi"))
-         .join(lo, [*keys, "_plo"]).join(hi, [*keys, "_phi"]))
-    val = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.col("_lo"))
-    return j.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("qi", val.alias("v")))),
-                                            lambda s: s["v"]).alias("_q"))
+def quantiles_of(df: DataFrame, cols: list[str], qs: list[float], by: str | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles of several columns (optionally per
+    ``by``; NULL is a group) as rows (``by``, ``_ci`` column index, ``_q`` array).
+
+    Equal values are counted before the shuffle; one keyed running count over
+    (column and group, value) gives every value its ranks, and a quantile is
+    the least value whose running count passes its rank.  No group's values
+    are gathered into one task or one buffer."""
+    from fraudlens.operators.prefix import with_keyed_cumsum
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_ci"), F.col(c).cast("double").alias("_v"))
+                                for i, c in enumerate(cols)]))
+    keep = [F.col(by).alias("_by")] if by else []
+    x = df.select(*keep, pairs.alias("_p")).select(*(["_by"] if by else []), "_p._ci", "_p._v").where(F.col("_v").isNotNull())
+    group = F.coalesce(F.concat(F.lit("v"), F.col("_by").cast("string")), F.lit("null")) if by else F.lit("")
+    keys = ["_ci", *(["_by"] if by else [])]
+    per = (x.groupBy(*keys, "_v").agg(F.count(F.lit(1)).cast("double").alias("_c"))
+           .withColumn("_key", F.concat(F.col("_ci").cast("string"), F.lit("|"), group)))
+    cum = with_keyed_cumsum(per, "_key", ["_v"], ["_c"], ["_cum"])
+    total = cum.groupBy("_key").agg(F.max("_cum").alias("_n"))
+    ranked = cum.join(total, "_key")
+    at = [(F.col("_n") - 1) * F.lit(float(q)) for q in qs]
+    least = []
+    for i, h in enumerate(at):
+        least += [F.min(F.when(F.col("_cum") > F.floor(h), F.col("_v"))).alias(f"_lo{i}"),
+                  F.min(F.when(F.col("_cum") > F.ceil(h), F.col("_v"))).alias(f"_hi{i}")]
+    one = ranked.groupBy("_key", *keys).agg(F.max("_n").alias("_n"), *least)
+    vals = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (h - F.floor(h)) for i, h in enumerate(at)]
+    return one.select(*([F.col("_by").alias(by)] if by else []), "_ci", F.array(*vals).alias("_q"))
+
+
+def quantiles(df: DataFrame, col: str, qs: list[float], by: str | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``col`` (optionally per ``by``) as an array
+    column ``_q``; without ``by`` one row, NULL where there is no value."""
+    q = quantiles_of(df, [col], qs, by)
+    return q.drop("_ci") if by else q.agg(F.max("_q").alias("_q"))

@@ -181,14 +181,10 @@ def check_non_negative_violations(df: DataFrame) -> DataFrame:
             .withColumn("n_negative", F.coalesce("n_negative", F.lit(0).cast("bigint"))))
 
 
-def distinct_counts(df: DataFrame, cols: list[str] | None = None, approx_above: int | None = None) -> DataFrame:
-    """Q8: distinct non-NULL values per column, one pass (``approx_count_distinct``
-    when ``approx_above`` rows is exceeded; exact otherwise)."""
+def distinct_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Q8: exact distinct non-NULL values per column, one pass."""
     cols = cols or df.columns
-    f = F.count_distinct
-    if approx_above is not None and df.limit(approx_above + 1).count() > approx_above:
-        f = F.approx_count_distinct
-    wide = df.agg(*[f(c).alias(f"n{i}") for i, c in enumerate(cols)])
+    wide = df.agg(*[F.count_distinct(c).alias(f"n{i}") for i, c in enumerate(cols)])
     return wide.select(_stack(cols, "n")).withColumnRenamed("value", "n_distinct")
 
 

@@ -275,17 +275,14 @@ def _next_occurrence(occ: DataFrame, keys: list[str], hot_threshold: int | None,
     Per-key window; keys with more than ``hot_threshold`` rows are split by
     time bucket and the last row of a bucket takes the first time of the
     nearest later non-empty bucket (a per-(key, bucket) summary)."""
-    from fraudlens.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
     x = occ
     part = list(keys)
     if hot_threshold is not None:
         agg = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(*keys)
-        found = agg.limit(MAX_BROADCAST_ROWS + 1).collect()      # at most N / hot_threshold keys
-        if not found:
+        if agg.isEmpty():
             hot_threshold = None
     if hot_threshold is not None:
-        hot = (F.broadcast(x.sparkSession.createDataFrame([tuple(r) for r in found], agg.schema))
-               if len(found) <= MAX_BROADCAST_ROWS else agg).withColumn("_hot", F.lit(True))
+        hot = agg.withColumn("_hot", F.lit(True))      # at most N / hot_threshold keys
         x = x.join(hot, keys, "left")
         x = x.withColumn("_b0", F.when(F.coalesce(F.col("_hot"), F.lit(False)), F.floor(F.col(_T) / (bucket_days * DAY_US)))
                          .otherwise(F.lit(-1)).cast("bigint")).drop("_hot")
@@ -296,7 +293,7 @@ def _next_occurrence(occ: DataFrame, keys: list[str], hot_threshold: int | None,
     s = (x.where(F.col("_b0") >= 0).groupBy(*keys, "_b0").agg(F.min(_T).alias("_first"))
          .withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b0")))
          .where(F.col("_next_first").isNotNull()).select(*keys, "_b0", "_next_first"))
-    x = x.join(broadcast_if_small(s), [*keys, "_b0"], "left")
+    x = x.join(s, [*keys, "_b0"], "left")
     return x.withColumn("_next", F.coalesce("_next", "_next_first")).drop("_next_first", "_b0")
 
 
