@@ -17,23 +17,24 @@ MODEL_FEATURES = ["customer_id_distinct_ip_1d", "IP_used_by_2_customer_id_or_mor
 
 
 def model_frame(tx: DataFrame) -> DataFrame:
-    """Features for the model examples: the tree features + amount + 1-day velocity."""
+    """Features for the model examples: the tree features + amount + 1-day velocity, NULL amounts as they are."""
     base = add_ma_trade_info_by_id(tx.select("transaction_id", "transaction_date", "customer_id", "amount"), windows=(1,))
     f = tree_features(tx)
     x = f.join(base.select("transaction_id", "amount", "customer_id_ma_amount_1d", "customer_id_ma_count_1d"),
                "transaction_id")
-    x = ExactImputer(["amount", "customer_id_ma_amount_1d"], strategy="median").fit(x).transform(x)
     return x.select("transaction_id", "transaction_date", *[F.col(c).cast("double") for c in MODEL_FEATURES],
                     F.col("is_fraud").cast("double").alias("is_fraud"))
 
 
 def train_test(tx: DataFrame, test_ratio: float = 0.2):
-    """Time split of the model frame with class weights.  The frame is written
-    once to the shared checkpoint folder: model fits make many passes over it
-    and should not recompute the feature lineage each time."""
-    m = L.time_split(model_frame(tx), test_ratio=test_ratio)
-    m = materialize(L.with_weights(m, positive_weight=None), "model-frame")
-    return m.where(~F.col("is_test")), m.where(F.col("is_test"))
+    """Time split of the model frame; the median imputer and the class weight are
+    fitted on the train part alone.  The frame is written once to the shared
+    checkpoint folder: model fits make many passes over it and should not
+    recompute the feature lineage each time."""
+    m = materialize(L.time_split(model_frame(tx), test_ratio=test_ratio), "model-frame")
+    train, test = m.where(~F.col("is_test")), m.where(F.col("is_test"))
+    imputer = ExactImputer(["amount", "customer_id_ma_amount_1d"], strategy="median").fit(train)
+    return L.with_weights(imputer.transform(train), positive_weight=None), imputer.transform(test)
 
 
 def fit_and_score(tx: DataFrame, family: str, **params) -> DataFrame:

@@ -158,3 +158,37 @@ def test_tree_null_goes_no_branch(spark):
                                "seconds_since_last_ip double, card_present_or_not int, transaction_date_sec_since_midnight int")
     # NULL distinct-IP count -> "no" branch (node 2) -> seconds < 120 -> card < 1 -> leaf 1.54906702
     assert score_tree(df).first()["margin"] == pytest.approx(1.54906702)
+
+
+def test_quantiles_keep_null_groups(spark):
+    from fraudlens.operators import profile as G
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 6.0), ("b", None)], "g string, v double")
+    assert {r.g: r._q for r in G.quantiles(df, "v", [0.5], "g").collect()} == {"a": [2.0], None: [5.5]}
+    d = {r.g: (r["count"], r.p50) for r in G.describe_numeric(df, ["v"], "g").collect()}
+    assert d == {"a": (2, 2.0), None: (2, 5.5), "b": (0, None)}
+    assert {r.g for r in G.box_stats(df, "v", "g").collect()} == {"a", None}
+
+
+def test_keyed_running_sum_of_null_key(spark):
+    from fraudlens.operators.prefix import with_keyed_cumsum
+    df = spark.createDataFrame([(None, i, 1.0) for i in range(40)] + [("x", 0, 7.0)], "k string, i long, v double")
+    got = {(r.k, r.i): r.c for r in with_keyed_cumsum(df, "k", ["i"], ["v"], ["c"], num_partitions=4).collect()}
+    assert got == {**{(None, i): i + 1.0 for i in range(40)}, ("x", 0): 7.0}
+
+
+def test_spearman_is_pairwise(spark):
+    import pandas as pd
+    from fraudlens.operators import profile as G
+    p = pd.DataFrame({"a": [1.0, 2, 3, 4, 5, 6], "b": [2.0, 1, 4, 3, 6, 5], "c": [1.0, None, 2, 5, None, 3]})
+    df = spark.createDataFrame([tuple(None if pd.isna(x) else x for x in r) for r in p.itertuples(index=False)],
+                               "a double, b double, c double")
+    want = p.corr("spearman")
+    for r in G.spearman_pairs(df, ["a", "b", "c"]).collect():
+        assert abs(r.spearman - want.loc[r.feature_1, r.feature_2]) < 1e-4
+
+
+def test_vif_of_constant_and_collinear_columns(spark):
+    from fraudlens.operators import profile as G
+    df = spark.createDataFrame([(float(i), 2.0 * i, 1.0, float(i * i % 7)) for i in range(1, 20)], "a double, b double, k double, d double")
+    got = {r.feature: r.vif for r in G.vif(df, ["a", "b", "k", "d"]).collect()}
+    assert set(got) == {"a", "b", "d"} and got["a"] == got["b"] == float("inf") and got["d"] < 10
