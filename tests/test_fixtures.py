@@ -192,3 +192,12 @@ def test_vif_of_constant_and_collinear_columns(spark):
     df = spark.createDataFrame([(float(i), 2.0 * i, 1.0, float(i * i % 7)) for i in range(1, 20)], "a double, b double, k double, d double")
     got = {r.feature: r.vif for r in G.vif(df, ["a", "b", "k", "d"]).collect()}
     assert set(got) == {"a", "b", "d"} and got["a"] == got["b"] == float("inf") and got["d"] < 10
+
+
+def test_schema_checks(spark):
+    from fraudlens.operators import quality as Q
+    sheet = spark.createDataFrame([("a", "str", "N", "N"), ("b", "int", "Y", "N"), ("zz", "str", "Y", "N")],
+                                  "column_name string, data_type string, nullable string, is_categorical string")
+    df = spark.createDataFrame([("x", "1")], "a string, b string")
+    assert [r.column_name for r in Q.check_missing_columns(df, sheet).collect()] == ["zz"]
+    assert [(r.column_name, r.actual) for r in Q.check_data_types(df, sheet).collect()] == [("b", "string")]
