@@ -1,22 +1,20 @@
 """Splitting hot keys of per-key time windows.
 
 A per-customer window puts every row of a customer into one task.  If one
-customer holds a large share of all rows, that task holds it too.  For
-trailing RANGE frames of at most ``max_days`` the work splits exactly:
-
-* keys with more than ``hot_threshold`` rows are found with one aggregation;
-  their number is at most N / hot_threshold, and the list is broadcast
-  after a size check.  Without hot keys nothing changes;
-* rows of hot keys get a time bucket of ``bucket_days``; every row is also
-  copied, flagged as context, into the next ``ceil(max_days / bucket_days)``
-  buckets, so a bucket holds every row any of its frames can reach;
-* windows partition by (key, bucket); context rows are dropped afterwards.
-  Cold keys keep a single bucket and are not copied.
-
-Lags (previous row of a key) can reach further back than the context; a
-NULL lag of a hot key's row is completed from a summary of the input - the
-last row of the nearest earlier non-empty bucket - with one row per (key,
-bucket), joined by broadcast after a size check.
+customer holds a large share of all rows, that task holds it too.  So rows of
+hot keys take a way of their own, in the same plan:
+
+* a key is hot if it has more rows than ``hot_threshold`` and than a
+  ``1 / MAX_HOT_KEYS`` share of all rows: there are never more than
+  ``MAX_HOT_KEYS`` of them, which bounds the broadcast list at every size;
+* rows of other keys are windowed by key alone;
+* rows of hot keys get a time bucket of ``bucket_days`` and are windowed by
+  (key, bucket).  What a row needs from earlier buckets comes from a summary
+  of the rows with one row per (key, bucket).  For RANGE frames of at most
+  ``max_days`` rows are also copied, flagged as context, into the next
+  ``ceil(max_days / bucket_days)`` buckets and dropped afterwards.
+
+NULL keys are one key.  No job runs while the plan is built.
 """
 from __future__ import annotations
 
@@ -25,61 +23,67 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudlens.operators.scalar import attach
+
 DAY_US = 86_400 * 1_000_000
 BUCKET = "_hb"
 CONTEXT = "_hctx"
+MAX_HOT_KEYS = 65_536
+NO_TIME = -1              # bucket of rows without a time
 
 
 class Split:
-    """Prepared rows of a (possibly) split per-key window computation."""
+    """Rows of a per-key window computation; ``active``: with a time bucket and context rows."""
+
+    def __init__(self, rows: DataFrame, active: bool, bucket_days: float | None = None):
+        self.rows, self.active, self.bucket_days = rows, active, bucket_days
+
+    def keys(self, *keys: str) -> list[str]:
+        return [*keys, BUCKET] if self.active else list(keys)
+
 
-    def __init__(self, base: DataFrame | None, rows: DataFrame, active: bool):
-        self.base, self.rows, self.active = base, rows, active
+def bucket_of(t_us, bucket_days: float):
+    t = F.col(t_us) if isinstance(t_us, str) else t_us
+    return F.coalesce(F.floor(t / (bucket_days * DAY_US)), F.lit(NO_TIME)).cast("bigint")
 
 
-def prepare(df: DataFrame, key: str, t_us: str, max_days: int, bucket_days: int, hot_threshold: int | None) -> Split:
+def hot_keys(df: DataFrame, key: str, hot_threshold: int) -> DataFrame:
+    """(_hk) keys above the threshold, at most ``MAX_HOT_KEYS``."""
+    n = df.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
+    n = attach(n, n.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all")))
+    return n.where((F.col("_n") > hot_threshold) & (F.col("_n") * MAX_HOT_KEYS > F.col("_all"))).select("_hk")
+
+
+def by_heat(df: DataFrame, key: str, t_us: str, hot_threshold: int | None, bucket_days: float, body,
+            max_days: float = 0) -> DataFrame:
+    """``body(split)`` over the rows of cold keys and, split by time bucket, of hot keys."""
     if hot_threshold is None:
-        return Split(None, df, False)
-    agg = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(key)
-    if agg.isEmpty():
-        return Split(None, df, False)
-    # at most N / hot_threshold keys; Spark broadcasts them if they are small in bytes
-    hot = agg.withColumn("_hot", F.lit(True))
+        return body(Split(df, False))
+    hot = F.broadcast(hot_keys(df, key, hot_threshold))
+    same = F.col(key).eqNullSafe(F.col("_hk"))
+    cold = body(Split(df.join(hot, same, "left_anti"), False))
+    rows = df.join(hot, same, "left_semi").withColumn(BUCKET, bucket_of(t_us, bucket_days))
     reach = int(math.ceil(max_days / bucket_days))
-    base = df.join(hot, key, "left")
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    base = base.withColumn("_b0", F.when(is_hot, F.floor(F.col(t_us) / (bucket_days * DAY_US)))
-                           .otherwise(F.lit(-1)).cast("bigint")).drop("_hot")
-    copies = F.when(F.col("_b0") >= 0, F.sequence(F.lit(0), F.lit(reach))).otherwise(F.array(F.lit(0)))
-    rows = (base.withColumn("_k", F.explode(copies))
-            .withColumn(BUCKET, F.col("_b0") + F.col("_k")).withColumn(CONTEXT, F.col("_k") > 0).drop("_k"))
+    rows = (rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.when(F.col(t_us).isNull(), 0).otherwise(reach))))
+            .withColumns({BUCKET: F.col(BUCKET) + F.col("_k"), CONTEXT: F.col("_k") > 0}).drop("_k"))
     # explicit: an input already partitioned (or bucketed) by the key alone would
     # otherwise satisfy the windows' clustering and keep a hot key in one task
-    rows = rows.repartition(key, BUCKET)
-    return Split(base, rows, True)
+    out = body(Split(rows.repartition(key, BUCKET), True, bucket_days))
+    return cold.unionByName(out.where(~F.col(CONTEXT)).drop(BUCKET, CONTEXT))
 
 
-def partition_keys(split: Split, *keys: str) -> list[str]:
-    return [*keys, BUCKET] if split.active else list(keys)
+def join_null_safe(df: DataFrame, other: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
+    """Left join on keys whose NULLs are equal; takes ``value_cols`` of ``other``."""
+    o = other.select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)], *value_cols)
+    on = [F.col(k).eqNullSafe(F.col(f"_j{i}")) for i, k in enumerate(keys)]
+    return df.join(o, on, "left").drop(*[f"_j{i}" for i in range(len(keys))])
 
 
-def fill_lag(split: Split, df: DataFrame, keys: list[str], t_us: str, lag_col: str, valid=None) -> DataFrame:
-    """Complete NULL lags of real rows of hot keys from the last input row of the
-    nearest earlier non-empty bucket of the same key(s)."""
-    if not split.active:
-        return df
-    real = split.base.where(F.col("_b0") >= 0)
-    if valid is not None:
-        real = real.where(valid)
-    s = real.groupBy(*keys, "_b0").agg(F.max(t_us).alias("_last"))
-    s = s.withColumn("_prev_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_b0"))) \
-        .where(F.col("_prev_last").isNotNull()).select(*keys, "_b0", "_prev_last")
-    out = df.join(s, [*keys, "_b0"], "left")
-    need = F.col(lag_col).isNull() & ~F.col(CONTEXT)
-    return out.withColumn(lag_col, F.when(need, F.col("_prev_last")).otherwise(F.col(lag_col))).drop("_prev_last")
-
-
-def finish(split: Split, df: DataFrame) -> DataFrame:
+def fill_lag(split: Split, df: DataFrame, keys: list[str], t_us: str, lag_col: str) -> DataFrame:
+    """Complete NULL lags of hot keys' rows from the last row of the nearest earlier bucket of the same keys."""
     if not split.active:
         return df
-    return df.where(~F.col(CONTEXT)).drop(BUCKET, CONTEXT, "_b0")
+    s = split.rows.where(~F.col(CONTEXT)).groupBy(*keys, BUCKET).agg(F.max(t_us).alias("_last"))
+    s = s.withColumn("_prev_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy(BUCKET)))
+    out = join_null_safe(df, s.where(F.col("_prev_last").isNotNull()), [*keys, BUCKET], ["_prev_last"])
+    return out.withColumn(lag_col, F.coalesce(lag_col, "_prev_last")).drop("_prev_last")

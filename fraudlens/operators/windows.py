@@ -1,13 +1,13 @@
 """Per-customer trailing-window and lag features.
 
-All per-customer windows share ``partitionBy(customer)`` so Catalyst plans
-them on one Exchange; frames are RANGE frames over event time in
-microseconds, both ends inclusive: a row at ``t`` sees rows with
-``t - w days <= ts <= t`` (RANGE peers with equal ``ts`` included).
-
-Customers above ``HOT_CUSTOMER_ROWS`` rows are split by time bucket
-(``hotsplit.py``); ``add_window_features_by_events`` computes W1/W2 as
-running sums over an event stream for customers with very dense frames.
+Windows are trailing and closed at both ends: a row at ``t`` sees rows with
+``t - w days <= ts <= t``, those of equal ``ts`` included.  They are computed
+as running sums over an event stream: a row adds to every window at its time
+and is taken out of window ``w`` at ``time + w + 1us``, so the work is
+O(n log n) however dense a customer's rows are, and all windows and lags of
+cold customers share one Exchange by customer.  Hot customers are split by
+time bucket (``hotsplit.py``); the sums of earlier buckets are added from a
+summary.  Rows without a time see each other only.
 """
 from __future__ import annotations
 
@@ -21,45 +21,21 @@ from fraudlens.sources.tables import epoch_us
 
 DAY_US = 86_400 * 1_000_000
 DEFAULT_WINDOWS = (1, 5, 12, 28, 60)
-# customers with more rows than this get their windows split by time bucket
-# (checked with one aggregation per call; see hotsplit.py)
+# customers with more rows than this are split by time bucket (see hotsplit.py)
 HOT_CUSTOMER_ROWS = 2_000_000
+HOT_BUCKET_DAYS = 1 / 24
 _T = "_t_us"
-
-
-def _frame(customer: str, days: int, split=None):
-    keys = H.partition_keys(split, customer) if split is not None else [customer]
-    return (Window.partitionBy(*keys).orderBy(F.col(_T))
-            .rangeBetween(-days * DAY_US, Window.currentRow))
-
-
-def _prepare(df: DataFrame, date_col: str, id_col: str, max_days: int, hot_threshold: int | None,
-             bucket_days: int | None):
-    """Add the time key; with ``hot_threshold`` split hot customers into time buckets."""
-    x = df.withColumn(_T, epoch_us(date_col))
-    sp = H.prepare(x, id_col, _T, max_days, bucket_days or max(1, max_days), hot_threshold)
-    return sp.rows, sp
-
-
-def _done(df: DataFrame, split) -> DataFrame:
-    return H.finish(split, df).drop(_T)
+_FAR = 1 << 62            # a gap longer than any window
+_ALL = -1                 # an event of all windows
 
 
 def add_distinct_ip_window(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
                            id_col="customer_id", ip_col="IP_address", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
-                           bucket_days: int | None = None) -> DataFrame:
-    """Distinct non-NULL, non-blank IPs of the customer in ``[t - w days, t]``.
-
-    Output ``{id_col}_distinct_ip_{w}d`` (int).  A set of IPs per frame is kept
-    (``count(DISTINCT) OVER`` is not allowed in Spark); its size is bounded by
-    the number of distinct IPs a customer uses in ``w`` days.
-    """
-    ip = F.when(is_present(ip_col), F.col(ip_col))
-    out, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
-    out = out.withColumn("_ip", ip)
-    out = out.withColumns({f"{id_col}_distinct_ip_{w}d": F.size(F.collect_set("_ip").over(_frame(id_col, w, split)))
-                           for w in windows})
-    return _done(out, split).drop("_ip")
+                           bucket_days: float = HOT_BUCKET_DAYS) -> DataFrame:
+    """Distinct non-NULL, non-blank IPs of the customer in ``[t - w days, t]``,
+    as ``{id_col}_distinct_ip_{w}d`` (int)."""
+    return add_customer_window_features(df, windows, date_col, id_col, ip_col=ip_col, hot_threshold=hot_threshold,
+                                        bucket_days=bucket_days, features=("distinct_ip",))
 
 
 def fixed_point_mean(total_units, n, scale: int):
@@ -77,71 +53,56 @@ def to_units(c, scale: int):
 def add_ma_trade_info_by_id(df: DataFrame, windows=DEFAULT_WINDOWS, trade_info=("amount", "count"),
                             date_col="transaction_date", id_col="customer_id",
                             amount_col="amount", amount_scale: int | None = 2, hot_threshold: int | None = HOT_CUSTOMER_ROWS,
-                            bucket_days: int | None = None) -> DataFrame:
+                            bucket_days: float = HOT_BUCKET_DAYS) -> DataFrame:
     """Trailing mean amount (NULL-skipping) and row count in ``[t - w days, t]``.
 
     With ``amount_scale`` (money with that many decimals) the mean is an exact
     fixed-point sum over the non-NULL count, so it does not drift with the
-    summation order; ``None`` uses a plain double ``avg``.
+    summation order; ``None`` sums exact decimals of 8 places.
     """
     bad = set(trade_info) - {"amount", "count"}
     if bad:
         raise ValueError(f"unsupported trade_info {sorted(bad)}; use 'amount' and/or 'count'")
-    x, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
-    cols = {}
-    for w in windows:
-        fr = _frame(id_col, w, split)
-        if "amount" in trade_info:
-            if amount_scale is None:
-                cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
-            else:
-                cols[f"{id_col}_ma_amount_{w}d"] = fixed_point_mean(
-                    F.sum(to_units(amount_col, amount_scale)).over(fr), F.count(amount_col).over(fr), amount_scale)
-        if "count" in trade_info:
-            cols[f"{id_col}_ma_count_{w}d"] = F.count(F.lit(1)).over(fr)
-    return _done(x.withColumns(cols), split)
+    return add_customer_window_features(df, windows, date_col, id_col, amount_col=amount_col, amount_scale=amount_scale,
+                                        hot_threshold=hot_threshold, bucket_days=bucket_days,
+                                        features=tuple(f"ma_{i}" for i in trade_info))
+
+
+def _with_lag(split: H.Split, x: DataFrame, keys: list[str], tie_col: str, out: str) -> DataFrame:
+    """``out``: time of the previous row of the same keys (NULL for the first)."""
+    w = Window.partitionBy(*split.keys(*keys)).orderBy(_T, tie_col)
+    return H.fill_lag(split, x.withColumn(out, F.lag(_T).over(w)), keys, _T, out)
+
+
+def with_prev_time(df: DataFrame, date_col="transaction_date", id_col="customer_id", tie_col="transaction_id",
+                   hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: float = HOT_BUCKET_DAYS,
+                   out="_prev") -> DataFrame:
+    """``_t_us`` (event time) and ``out`` = time of the key's previous row (NULL for
+    the first), hot keys split by time bucket."""
+    x = df.withColumn(_T, epoch_us(date_col))
+    return H.by_heat(x, id_col, _T, hot_threshold, bucket_days, lambda sp: _with_lag(sp, sp.rows, [id_col], tie_col, out))
 
 
 def add_sec_since_last_trade(df: DataFrame, date_col="transaction_date", id_col="customer_id",
                              tie_col="transaction_id", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
-                             bucket_days: int = 1) -> DataFrame:
+                             bucket_days: float = HOT_BUCKET_DAYS) -> DataFrame:
     """Whole seconds since the customer's previous transaction (any IP); first -> 0."""
-    x, split = _prepare(df, date_col, id_col, bucket_days, hot_threshold, bucket_days)
-    w = Window.partitionBy(*H.partition_keys(split, id_col)).orderBy(_T, tie_col)
-    x = x.withColumn("_prev", F.lag(_T).over(w))
-    x = H.fill_lag(split, x, [id_col], _T, "_prev")
-    diff = F.floor((F.col(_T) - F.col("_prev")) / 1_000_000)
-    x = x.withColumn(f"{id_col}_sec_since_last_trade", F.coalesce(diff, F.lit(0)).cast("bigint"))
-    return _done(x, split).drop("_prev")
+    return add_customer_window_features(df, (), date_col, id_col, tie_col=tie_col, hot_threshold=hot_threshold,
+                                        bucket_days=bucket_days, features=("last_trade",))
 
 
 def add_time_since_last_ip_per_customer(df: DataFrame, customer_col="customer_id", ip_col="IP_address",
                                         timestamp_col="transaction_date", fill_na_with_zero=True,
                                         tie_col="transaction_id", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
-                                        bucket_days: int = 1) -> DataFrame:
+                                        bucket_days: float = HOT_BUCKET_DAYS) -> DataFrame:
     """Seconds (fractional) since the same customer last used the same IP.
 
     First use, or a NULL IP, gives NULL -> 0 when ``fill_na_with_zero``.
     """
-    x, split = _prepare(df, timestamp_col, customer_col, bucket_days, hot_threshold, bucket_days)
-    w = Window.partitionBy(*H.partition_keys(split, customer_col, ip_col)).orderBy(_T, tie_col)
-    x = x.withColumn("_prev", F.lag(_T).over(w))
-    x = H.fill_lag(split, x, [customer_col, ip_col], _T, "_prev", F.col(ip_col).isNotNull())
-    gap = (F.col(_T) - F.col("_prev")) / 1e6
-    gap = F.when(F.col(ip_col).isNull(), F.lit(None).cast("double")).otherwise(gap)
-    if fill_na_with_zero:
-        gap = F.coalesce(gap, F.lit(0.0))
-    return _done(x.withColumn("seconds_since_last_ip", gap), split).drop("_prev")
-
-
-def with_prev_time(df: DataFrame, date_col="transaction_date", id_col="customer_id", tie_col="transaction_id",
-                   hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int = 1, out="_prev") -> DataFrame:
-    """``_t_us`` (event time) and ``out`` = time of the key's previous row (NULL for
-    the first), hot keys split by time bucket."""
-    x, split = _prepare(df, date_col, id_col, bucket_days, hot_threshold, bucket_days)
-    w = Window.partitionBy(*H.partition_keys(split, id_col)).orderBy(_T, tie_col)
-    x = H.fill_lag(split, x.withColumn(out, F.lag(_T).over(w)), [id_col], _T, out)
-    return H.finish(split, x)
+    x = add_customer_window_features(df, (), timestamp_col, customer_col, ip_col, tie_col=tie_col,
+                                     hot_threshold=hot_threshold, bucket_days=bucket_days, features=("last_ip",),
+                                     fill_na_with_zero=fill_na_with_zero)
+    return x
 
 
 def add_rapid_flag(df: DataFrame, minutes: float = 30, date_col="transaction_date",
@@ -212,153 +173,130 @@ def add_time_position(df: DataFrame, date_col="transaction_date", tie_col="trans
 def add_customer_window_features(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
                                  id_col="customer_id", ip_col="IP_address", amount_col="amount",
                                  tie_col="transaction_id", amount_scale: int | None = 2,
-                                 hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: int | None = None,
+                                 hot_threshold: int | None = HOT_CUSTOMER_ROWS, bucket_days: float = HOT_BUCKET_DAYS,
                                  features=("distinct_ip", "moving", "last_trade", "last_ip"),
-                                 strategy: str = "window") -> DataFrame:
-    """W1 + W3 + W2 + W4 over one preparation: every window partitions by the
-    customer (and, with ``hot_threshold``, by the customer's time bucket), so
-    they all run on one Exchange; the (customer, IP) lag is satisfied by the
-    same hash partitioning.  ``features`` picks the groups to add.
-
-    ``strategy="events"`` computes the trailing-frame features (W1, W2) as
-    running sums over an event stream instead (``add_window_features_by_events``):
-    O(N log N) however dense a customer's frames are; the lags stay windows."""
-    feats = set(features)
-    if strategy == "events" and feats & {"distinct_ip", "moving"}:
-        x = add_window_features_by_events(df, windows, date_col, id_col, ip_col, amount_col, tie_col,
-                                          amount_scale or 2, hot_threshold)
-        keep = [c for c in x.columns if c in df.columns
-                or ("distinct_ip" in feats and "_distinct_ip_" in c) or ("moving" in feats and "_ma_" in c)]
-        rest = feats - {"distinct_ip", "moving"}
-        x = x.select(*keep)
-        if not rest:
-            return x
-        return add_customer_window_features(x, windows, date_col, id_col, ip_col, amount_col, tie_col, amount_scale,
-                                            hot_threshold, bucket_days, tuple(rest), "window")
-    x, split = _prepare(df, date_col, id_col, max(windows), hot_threshold, bucket_days)
-    part = H.partition_keys(split, id_col)
-    ip = F.when(is_present(ip_col), F.col(ip_col))
-    cols = {}
-    for w in windows if "distinct_ip" in feats else ():
-        cols[f"{id_col}_distinct_ip_{w}d"] = F.size(F.collect_set(ip).over(_frame(id_col, w, split)))
-    for w in windows if "moving" in feats else ():
-        fr = _frame(id_col, w, split)
-        if amount_scale is None:
-            cols[f"{id_col}_ma_amount_{w}d"] = F.avg(F.col(amount_col).cast("double")).over(fr)
-        else:
-            cols[f"{id_col}_ma_amount_{w}d"] = fixed_point_mean(
-                F.sum(to_units(amount_col, amount_scale)).over(fr), F.count(amount_col).over(fr), amount_scale)
-        cols[f"{id_col}_ma_count_{w}d"] = F.count(F.lit(1)).over(fr)
-    if "last_trade" in feats:
-        cols["_prev"] = F.lag(_T).over(Window.partitionBy(*part).orderBy(_T, tie_col))
-    if "last_ip" in feats:
-        cols["_prev_ip"] = F.lag(_T).over(Window.partitionBy(*part, ip_col).orderBy(_T, tie_col))
-    x = x.withColumns(cols)
-    out = {}
-    if "last_trade" in feats:
-        x = H.fill_lag(split, x, [id_col], _T, "_prev")
-        out[f"{id_col}_sec_since_last_trade"] = F.coalesce(
-            F.floor((F.col(_T) - F.col("_prev")) / 1_000_000), F.lit(0)).cast("bigint")
-    if "last_ip" in feats:
-        x = H.fill_lag(split, x, [id_col, ip_col], _T, "_prev_ip", F.col(ip_col).isNotNull())
-        gap = F.when(F.col(ip_col).isNull(), F.lit(None).cast("double")).otherwise((F.col(_T) - F.col("_prev_ip")) / 1e6)
-        out["seconds_since_last_ip"] = F.coalesce(gap, F.lit(0.0))
-    x = x.withColumns(out)
-    return _done(x, split).drop(*[c for c in ("_prev", "_prev_ip") if c in x.columns])
-
-
-# ------------------------------------------------------------------ event-stream strategy for W1/W2
-
-def _next_occurrence(occ: DataFrame, keys: list[str], hot_threshold: int | None, bucket_days: int = 1) -> DataFrame:
-    """``_next``: time of the next occurrence of the same keys (NULL for the last).
-
-    Per-key window; keys with more than ``hot_threshold`` rows are split by
-    time bucket and the last row of a bucket takes the first time of the
-    nearest later non-empty bucket (a per-(key, bucket) summary)."""
-    x = occ
-    part = list(keys)
-    if hot_threshold is not None:
-        agg = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_threshold).select(*keys)
-        if agg.isEmpty():
-            hot_threshold = None
-    if hot_threshold is not None:
-        hot = agg.withColumn("_hot", F.lit(True))      # at most N / hot_threshold keys
-        x = x.join(hot, keys, "left")
-        x = x.withColumn("_b0", F.when(F.coalesce(F.col("_hot"), F.lit(False)), F.floor(F.col(_T) / (bucket_days * DAY_US)))
-                         .otherwise(F.lit(-1)).cast("bigint")).drop("_hot")
-        part.append("_b0")
-    x = x.withColumn("_next", F.lead(_T).over(Window.partitionBy(*part).orderBy(_T)))
-    if hot_threshold is None:
-        return x
-    s = (x.where(F.col("_b0") >= 0).groupBy(*keys, "_b0").agg(F.min(_T).alias("_first"))
-         .withColumn("_next_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b0")))
-         .where(F.col("_next_first").isNotNull()).select(*keys, "_b0", "_next_first"))
-    x = x.join(s, [*keys, "_b0"], "left")
-    return x.withColumn("_next", F.coalesce("_next", "_next_first")).drop("_next_first", "_b0")
-
-
-def add_window_features_by_events(df: DataFrame, windows=DEFAULT_WINDOWS, date_col="transaction_date",
-                                  id_col="customer_id", ip_col="IP_address", amount_col="amount",
-                                  tie_col="transaction_id", amount_scale: int = 2,
-                                  hot_threshold: int | None = HOT_CUSTOMER_ROWS,
-                                  num_partitions: int | None = None) -> DataFrame:
-    """W1 + W2 as running sums over an event stream - O(N log N) whatever the
-    frame density, and no per-customer task.
-
-    * count / amount sum / non-NULL count in ``[t - w, t]``: each row adds +1
-      at its time and -1 at ``time + w + 1us``;
-    * distinct IPs in ``[t - w, t]``: each distinct (customer, IP, time)
-      occurrence covers ``[s, min(next occurrence, s + w + 1us))`` - these
-      pieces are disjoint per IP and their union is exactly the set of query
-      times that see the IP - so it adds +1 at ``s`` and -1 at the end.
-
-    At equal times events sort before query rows.  The per-customer running
-    sums come from ``prefix.with_keyed_cumsum`` (range partitions over
-    (customer, time) plus per-partition offsets), so a customer with a third
-    of all rows spreads over many tasks."""
-    from functools import reduce
-
-    from fraudlens.operators.prefix import with_keyed_cumsum
-    ws = list(windows)
-    base = df.withColumn(_T, epoch_us(date_col))
-    units = F.coalesce(to_units(amount_col, amount_scale), F.lit(0)).cast("double")
-    nn = F.col(amount_col).isNotNull().cast("double")
-    vcols = [f"_c{w}" for w in ws] + [f"_s{w}" for w in ws] + [f"_n{w}" for w in ws] + [f"_d{w}" for w in ws]
-    zero = F.lit(0.0)
-
-    def ev(time, c=None, s=None, n=None, d=None, only=None):
-        vals = [time.cast("bigint").alias("_time")]
-        for v in vcols:
-            kind, w = v[1], int(v[2:])
-            src = {"c": c, "s": s, "n": n, "d": d}[kind]
-            on = only is None or only == w
-            vals.append((src if (src is not None and on) else zero).cast("double").alias(v))
-        return F.struct(*vals)
-
-    def explode_events(src, events):
-        e = src.select(F.col(id_col), F.explode(F.array(*events)).alias("_e"))
-        return e.select(id_col, F.col("_e._time").alias("_time"), F.lit(0).alias("_kind"),
-                        *[F.col(f"_e.{v}").alias(v) for v in vcols])
-
-    # one pass over the rows: a start event and one end event per window
-    row_events = explode_events(base, [ev(F.col(_T), c=F.lit(1.0), s=units, n=nn)]
-                                + [ev(F.col(_T) + w * DAY_US + 1, c=F.lit(-1.0), s=-units, n=-nn, only=w) for w in ws])
-    occ = (base.where(is_present(ip_col)).select(id_col, ip_col, _T).distinct())
-    occ = _next_occurrence(occ, [id_col, ip_col], hot_threshold)
-    ends = [ev(F.least(F.coalesce(F.col("_next"), F.col(_T) + w * DAY_US + 1), F.col(_T) + w * DAY_US + 1),
-               d=F.lit(-1.0), only=w) for w in ws]
-    occ_events = explode_events(occ, [ev(F.col(_T), d=F.lit(1.0))] + ends)
-    queries = base.withColumn("_time", F.col(_T)).withColumn("_kind", F.lit(1)) \
-        .withColumns({v: zero for v in vcols})
-    allrows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [queries, row_events, occ_events])
-    summed = with_keyed_cumsum(allrows, id_col, ["_time", "_kind"], vcols, [f"{v}_cum" for v in vcols],
-                               num_partitions)
-    q = summed.where(F.col("_kind") == 1)
-    out = {}
-    for w in ws:
-        out[f"{id_col}_distinct_ip_{w}d"] = F.col(f"_d{w}_cum").cast("int")
-    for w in ws:
-        out[f"{id_col}_ma_amount_{w}d"] = F.when(F.col(f"_n{w}_cum") > 0,
-                                                 F.col(f"_s{w}_cum") / F.col(f"_n{w}_cum") / float(10 ** amount_scale))
-        out[f"{id_col}_ma_count_{w}d"] = F.col(f"_c{w}_cum").cast("bigint")
-    return q.withColumns(out).select(*df.columns, *out.keys())
+                                 fill_na_with_zero: bool = True) -> DataFrame:
+    """W1 + W3 + W2 + W4 on one Exchange by customer (hot customers apart, by time
+    bucket).  ``features`` picks the groups to add; "moving" is "ma_amount" and "ma_count"."""
+    feats = set(features) | ({"ma_amount", "ma_count"} if "moving" in features else set())
+    trailing = feats & {"distinct_ip", "ma_amount", "ma_count"}
+
+    def body(split: H.Split) -> DataFrame:
+        x = split.rows
+        if "last_trade" in feats:
+            x = _with_lag(split, x, [id_col], tie_col, "_prev")
+            x = x.withColumn(f"{id_col}_sec_since_last_trade", F.coalesce(
+                F.floor((F.col(_T) - F.col("_prev")) / 1_000_000), F.lit(0)).cast("bigint")).drop("_prev")
+        if "last_ip" in feats:
+            x = _with_lag(split, x, [id_col, ip_col], tie_col, "_prev")
+            gap = F.when(F.col(ip_col).isNotNull(), (F.col(_T) - F.col("_prev")) / 1e6)
+            x = x.withColumn("seconds_since_last_ip",
+                             F.coalesce(gap, F.lit(0.0)) if fill_na_with_zero else gap).drop("_prev")
+        return _trailing(split, x, windows, id_col, ip_col, amount_col, amount_scale, trailing) if trailing else x
+
+    x = df.withColumn(_T, epoch_us(date_col))
+    return H.by_heat(x, id_col, _T, hot_threshold, bucket_days, body).drop(_T)
+
+
+def _event(payload, time, window, sign, units, present, d, gap):
+    """One change of the running sums: of all windows or of one; ``d`` counts
+    for a window of ``k`` days if ``gap`` is longer than that."""
+    return F.struct(payload.alias("row"), time.cast("bigint").alias("time"), F.lit(window).alias("w"),
+                    F.lit(sign).alias("c"), (units * sign).alias("s"), (present * sign).alias("n"),
+                    F.lit(d).alias("d"), gap.alias("gap"))
+
+
+def _trailing(split: H.Split, x: DataFrame, windows, id_col, ip_col, amount_col, amount_scale, feats) -> DataFrame:
+    """W1 and W2 as running sums.  A row is the start of its windows and the asking
+    row; one more event per window takes it out again.  An IP counts at a row
+    if its earlier use lies before the window, and is taken out after the window
+    if no later use lies in it: its covered times are disjoint pieces."""
+    distinct, moving = "distinct_ip" in feats, bool(feats & {"ma_amount", "ma_count"})
+    timeless = F.col(_T).isNull()
+    none, zero = F.lit(-1).cast("bigint"), F.lit(0).cast("bigint")
+    before = after = none
+    names = x.columns
+    if distinct:
+        by_ip = Window.partitionBy(*split.keys(id_col), ip_col, timeless).orderBy(_T)
+        x = x.withColumns({"_before": F.lag(F.struct(_T)).over(by_ip), "_after": F.lead(_T).over(by_ip)})
+        before = (F.when(~is_present(ip_col), none).when(F.col("_before").isNull(), F.lit(_FAR))
+                  .otherwise(F.coalesce(F.col(_T) - F.col("_before").getField(_T), none)))
+        after = F.when(~is_present(ip_col), none).otherwise(F.coalesce(F.col("_after") - F.col(_T), F.lit(_FAR)))
+    units = present = zero
+    if moving:
+        units = (to_units(amount_col, amount_scale) if amount_scale is not None
+                 else F.col(amount_col).cast("decimal(28,8)"))
+        units, present = F.coalesce(units, F.lit(0)), F.col(amount_col).isNotNull().cast("bigint")
+    row = F.struct(*names)
+    no_row = F.when(F.lit(False), row)
+    start = _event(row, F.col(_T), _ALL, 1, units, present, 1, before)
+    ends = [_event(no_row, F.col(_T) + (w * DAY_US + 1), w, -1, units, present, -1, after) for w in windows]
+    # the key stays a column of its own, so cold rows keep their partitioning
+    ev = x.select(id_col, F.explode(F.when(timeless, F.array(start)).otherwise(F.array(start, *ends))).alias("_e"))
+    ev = ev.select(F.col(id_col).alias("_key"), "_e.*") if split.active else ev.select(id_col, "_e.*")
+    key = "_key" if split.active else id_col
+
+    def sums():
+        for w in windows:
+            mine = F.col("w").isin(_ALL, w)
+            if moving:
+                yield f"_c{w}", F.sum(F.when(mine, F.col("c")))
+                yield f"_s{w}", F.sum(F.when(mine, F.col("s")))
+                yield f"_n{w}", F.sum(F.when(mine, F.col("n")))
+            if distinct:
+                yield f"_d{w}", F.sum(F.when(mine & (F.col("gap") > w * DAY_US), F.col("d")))
+
+    cols = dict(sums())
+    asked = F.col("row").isNotNull()
+    if not split.active:
+        frame = (Window.partitionBy(key, F.col("time").isNull()).orderBy("time")
+                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        out = ev.withColumns({n: c.over(frame) for n, c in cols.items()}).where(asked)
+        total = {n: F.coalesce(F.col(n), F.lit(0)) for n in cols}
+    else:
+        if distinct:
+            ev = ev.unionByName(_bucket_seams(x, windows, id_col, ip_col, ev))
+        ev = ev.withColumn(H.BUCKET, H.bucket_of("time", split.bucket_days)).repartition("_key", H.BUCKET)
+        frame = (Window.partitionBy("_key", H.BUCKET).orderBy("time")
+                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        out = ev.withColumns({n: c.over(frame) for n, c in cols.items()}).where(asked)
+        per = ev.where(F.col("time").isNotNull()).groupBy("_key", H.BUCKET).agg(*[c.alias(n) for n, c in cols.items()])
+        earlier = Window.partitionBy("_key").orderBy(H.BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        per = per.select("_key", H.BUCKET, *[F.sum(n).over(earlier).alias(f"{n}_0") for n in cols])
+        out = H.join_null_safe(out, per, ["_key", H.BUCKET], [f"{n}_0" for n in cols])
+        total = {n: F.coalesce(F.col(n), F.lit(0)) + F.when(F.col("time").isNull(), 0).otherwise(
+            F.coalesce(F.col(f"{n}_0"), F.lit(0))) for n in cols}
+    add = {}
+    if distinct:
+        add |= {f"{id_col}_distinct_ip_{w}d": total[f"_d{w}"].cast("int") for w in windows}
+    for w in windows:
+        if "ma_amount" in feats:
+            s, n = total[f"_s{w}"], total[f"_n{w}"]
+            add[f"{id_col}_ma_amount_{w}d"] = (fixed_point_mean(s, n, amount_scale) if amount_scale is not None
+                                               else F.when(n > 0, s.cast("double") / n))
+        if "ma_count" in feats:
+            add[f"{id_col}_ma_count_{w}d"] = total[f"_c{w}"].cast("bigint")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in names], *[c.alias(n) for n, c in add.items()])
+
+
+def _bucket_seams(x: DataFrame, windows, id_col, ip_col, like: DataFrame) -> DataFrame:
+    """Inside a bucket an IP's first row counts as new and its last as final.  Where the next bucket
+    with that IP begins within a window, both are taken back."""
+    s = x.where(is_present(ip_col) & F.col(_T).isNotNull()).groupBy(id_col, ip_col, H.BUCKET).agg(
+        F.min(_T).alias("_first"), F.max(_T).alias("_last"))
+    s = s.withColumn("_next", F.lead("_first").over(Window.partitionBy(id_col, ip_col).orderBy(H.BUCKET)))
+    zero, far = F.lit(0).cast("bigint"), F.lit(_FAR)
+    units, no_row = F.lit(0).cast(like.schema["s"].dataType), F.lit(None).cast(like.schema["row"].dataType)
+    back = []
+    for w in windows:
+        inside = F.col("_next") - F.col("_last") <= w * DAY_US
+        for time, d in ((F.col("_next"), -1), (F.col("_last") + (w * DAY_US + 1), 1)):
+            back.append(F.when(inside, _event(no_row, time, w, 0, units, zero, d, far)))
+    return (s.select(F.col(id_col).alias("_key"), F.explode(F.array(*back)).alias("_e"))
+            .where(F.col("_e").isNotNull()).select("_key", *[F.col(f"_e.{f}").cast(like.schema[f].dataType).alias(f)
+                                                             for f in like.columns if f != "_key"]))
+
+
+def add_window_features_by_events(df: DataFrame, windows=DEFAULT_WINDOWS, **kw) -> DataFrame:
+    """W1 + W2 only."""
+    return add_customer_window_features(df, windows, features=("distinct_ip", "moving"), **kw)

@@ -17,21 +17,17 @@ from fraudlens.functions import strings as S
 from fraudlens.operators import joins as J
 from fraudlens.operators import windows as W
 from fraudlens.operators.encode import label_encode_column, onehot_encode_column
+from fraudlens.operators.windows import HOT_BUCKET_DAYS, HOT_CUSTOMER_ROWS
 
 WINDOWS = (1, 5, 12, 28, 60)
 
 
-from fraudlens.operators.windows import HOT_CUSTOMER_ROWS  # noqa: E402
-
-
 def build_transaction_features(tx: DataFrame, ip_ranges: DataFrame, tz_dim: DataFrame, holidays: DataFrame,
                                as_of: str = "2025-01-01", windows=WINDOWS, ip_thresholds=None,
                                holiday_country: str = "GB", hot_threshold: int | None = HOT_CUSTOMER_ROWS,
-                               bucket_days: int | None = None, window_strategy: str = "window") -> DataFrame:
-    # per-customer windows: one shuffle by customer (hot customers split into time buckets);
-    # window_strategy="events" for customers with very dense frames (running sums, O(N log N))
-    x = W.add_customer_window_features(tx, windows, hot_threshold=hot_threshold, bucket_days=bucket_days,
-                                       strategy=window_strategy)
+                               bucket_days: float = HOT_BUCKET_DAYS) -> DataFrame:
+    # per-customer windows: one shuffle by customer (hot customers apart, in time buckets)
+    x = W.add_customer_window_features(tx, windows, hot_threshold=hot_threshold, bucket_days=bucket_days)
     # IP sharing: aggregate by IP and join back
     x = J.add_ip_used_by_many(x, ip_thresholds)
     # broadcast lookups and row-wise expressions

@@ -15,10 +15,10 @@ OUT_COLS = ["transaction_id", "customer_id", "customer_id_distinct_ip_1d", "IP_u
             "margin", "p1", "p0", "prediction", "is_fraud"]
 
 
-def tree_features(tx: DataFrame) -> DataFrame:
+def tree_features(tx: DataFrame, features=("distinct_ip", "last_ip")) -> DataFrame:
     x = tx.select("transaction_id", "transaction_date", "customer_id", "IP_address",
-                  "card_present_or_not", "is_fraud")
-    x = add_customer_window_features(x, windows=(1,), features=("distinct_ip", "last_ip"))
+                  "card_present_or_not", "is_fraud", *(["amount"] if "moving" in features else []))
+    x = add_customer_window_features(x, windows=(1,), features=features)
     x = add_ip_used_by_many(x, [2])
     x = label_encode_column(x, "card_present_or_not")
     return x.withColumn("transaction_date_sec_since_midnight", sec_since_midnight("transaction_date"))

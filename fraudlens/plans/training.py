@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from fraudlens.operators import models as M
 from fraudlens.operators import sampling as L
 from fraudlens.operators.prep import ExactImputer
-from fraudlens.operators.windows import add_ma_trade_info_by_id
 from fraudlens.plans.flagship import tree_features
 from fraudlens.session import materialize
 
@@ -18,10 +17,7 @@ MODEL_FEATURES = ["customer_id_distinct_ip_1d", "IP_used_by_2_customer_id_or_mor
 
 def model_frame(tx: DataFrame) -> DataFrame:
     """Features for the model examples: the tree features + amount + 1-day velocity, NULL amounts as they are."""
-    base = add_ma_trade_info_by_id(tx.select("transaction_id", "transaction_date", "customer_id", "amount"), windows=(1,))
-    f = tree_features(tx)
-    x = f.join(base.select("transaction_id", "amount", "customer_id_ma_amount_1d", "customer_id_ma_count_1d"),
-               "transaction_id")
+    x = tree_features(tx, ("distinct_ip", "last_ip", "moving"))
     return x.select("transaction_id", "transaction_date", *[F.col(c).cast("double") for c in MODEL_FEATURES],
                     F.col("is_fraud").cast("double").alias("is_fraud"))
 

@@ -69,15 +69,61 @@ def test_hot_key_split_matches_plain_windows(spark, sf_small):
         sorted((tuple(r) for r in split.select(*cols).collect()), key=key)
 
 
-def test_event_stream_windows_match_range_windows(spark, sf_small):
-    t = transactions(spark, sf_small).select("transaction_id", "transaction_date", "customer_id", "IP_address", "amount")
-    a = W.add_customer_window_features(t)
-    b = W.add_customer_window_features(t, strategy="events", hot_threshold=3)
+def _range_frames(t, windows):
+    """W1 and W2 as plain RANGE frames."""
+    from pyspark.sql import Window
+    t = t.withColumn("_t", F.unix_micros(F.col("transaction_date").cast("timestamp")))
+    ip = F.when(F.trim("IP_address") != "", F.col("IP_address"))
+    cents = F.round(F.col("amount") * 100).cast("bigint")
+    for w in windows:
+        fr = Window.partitionBy("customer_id").orderBy("_t").rangeBetween(-w * 86_400_000_000, 0)
+        t = t.withColumns({f"customer_id_distinct_ip_{w}d": F.size(F.collect_set(ip).over(fr)),
+                           f"customer_id_ma_amount_{w}d": F.sum(cents).over(fr) / F.count("amount").over(fr) / 100.0,
+                           f"customer_id_ma_count_{w}d": F.count("*").over(fr)})
+    return t.drop("_t")
+
+
+def _same(a, b):
     cols = sorted(a.columns)
     assert sorted(b.columns) == cols
-    key = lambda r: repr(r)
-    assert sorted((tuple(r) for r in a.select(*cols).collect()), key=key) == \
-        sorted((tuple(r) for r in b.select(*cols).collect()), key=key)
+    assert sorted((tuple(r) for r in a.select(*cols).collect()), key=repr) == \
+        sorted((tuple(r) for r in b.select(*cols).collect()), key=repr)
+
+
+def test_event_sums_match_range_frames(spark, sf_small):
+    t = transactions(spark, sf_small).select("transaction_id", "transaction_date", "customer_id", "IP_address", "amount")
+    a = _range_frames(t, (1, 5, 28))
+    for hot in (None, 0, 20):
+        _same(a, W.add_window_features_by_events(t, (1, 5, 28), hot_threshold=hot))
+    _same(a, W.add_window_features_by_events(t, (1, 5, 28), hot_threshold=0, bucket_days=3))
+
+
+def test_event_sums_of_null_tied_and_repeated_rows(spark):
+    import datetime as dt
+    day = lambda d, us=0: dt.datetime(2024, 1, 1) + dt.timedelta(days=d, microseconds=us)
+    rows = [(1, day(0), 1, "a", 1.0), (2, day(0), 1, "a", None), (3, day(1), 1, "a", 3.0), (4, day(1, 1), 1, "b", 4.0),
+            (5, day(2, 2), 1, "a", 5.0), (6, day(9), 1, None, 6.0), (7, day(9), 1, " ", 7.0), (7, day(9), 1, " ", 7.0),
+            (8, day(3), None, "a", 1.0), (9, day(3), None, "b", 2.0), (10, day(8), None, "a", 2.0),
+            (11, None, 1, "a", 1.0), (12, None, 1, "a", 2.0), (13, None, 1, "c", None), (14, day(2), 2, "", None)]
+    t = spark.createDataFrame(rows, "transaction_id long, transaction_date timestamp, customer_id long, IP_address string, "
+                                    "amount double").withColumn("transaction_date", F.col("transaction_date").cast("timestamp_ntz"))
+    a = _range_frames(t, (1, 5))
+    for hot in (None, 0, 2):
+        _same(a, W.add_window_features_by_events(t, (1, 5), hot_threshold=hot))
+        _same(a.select("transaction_id"), W.add_customer_window_features(t, (1, 5), hot_threshold=hot).select("transaction_id"))
+    _same(W.add_customer_window_features(t, (1, 5), hot_threshold=None), W.add_customer_window_features(t, (1, 5), hot_threshold=0))
+    _same(a.limit(0), W.add_window_features_by_events(t.limit(0), (1, 5), hot_threshold=0))
+
+
+def test_window_features_start_no_job_while_planning(spark, sf_small):
+    t = transactions(spark, sf_small)
+    W.add_customer_window_features(t)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    W.add_customer_window_features(t)
+    jobs = tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
 def test_keyed_running_sum_across_partitions(spark):
