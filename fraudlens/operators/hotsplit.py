@@ -2,19 +2,21 @@
 
 A per-customer window puts every row of a customer into one task.  If one
 customer holds a large share of all rows, that task holds it too.  So rows of
-hot keys take a way of their own, in the same plan:
-
-* a key is hot if it has more rows than ``hot_threshold`` and than a
-  ``1 / MAX_HOT_KEYS`` share of all rows: there are never more than
-  ``MAX_HOT_KEYS`` of them, which bounds the broadcast list at every size;
-* rows of other keys are windowed by key alone;
-* rows of hot keys get a time bucket of ``bucket_days`` and are windowed by
-  (key, bucket).  What a row needs from earlier buckets comes from a summary
-  of the rows with one row per (key, bucket).  For RANGE frames of at most
-  ``max_days`` rows are also copied, flagged as context, into the next
-  ``ceil(max_days / bucket_days)`` buckets and dropped afterwards.
-
-NULL keys are one key.  No job runs while the plan is built.
+hot keys, those with more than ``hot_threshold`` rows, take a way of their own:
+
+* one job counts rows per key (partial sums before the shuffle).  Without hot
+  keys the plan stays as it is, and the input is read once by it;
+* hot keys are written to the shared checkpoint folder; Spark broadcasts the
+  table if it is small in bytes.  Rows of other keys are windowed by key alone;
+* rows of hot keys get a time bucket of ``bucket_days``, are written
+  once and windowed by (key, bucket).  What a row needs from
+  earlier buckets comes from a summary with one row per (key, bucket).  For
+  RANGE frames of at most ``max_days`` rows are also copied, flagged as
+  context, into the next ``ceil(max_days / bucket_days)`` buckets and dropped
+  afterwards.
+
+The hot rows are written so that operators can be chained: no plan reads its
+input more than twice.  NULL keys are one key.
 """
 from __future__ import annotations
 
@@ -23,12 +25,11 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.operators.scalar import attach
+from fraudlens.session import materialize
 
 DAY_US = 86_400 * 1_000_000
 BUCKET = "_hb"
 CONTEXT = "_hctx"
-MAX_HOT_KEYS = 65_536
 NO_TIME = -1              # bucket of rows without a time
 
 
@@ -48,10 +49,9 @@ def bucket_of(t_us, bucket_days: float):
 
 
 def hot_keys(df: DataFrame, key: str, hot_threshold: int) -> DataFrame:
-    """(_hk) keys above the threshold, at most ``MAX_HOT_KEYS``."""
+    """(_hk) keys above the threshold."""
     n = df.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_n"))
-    n = attach(n, n.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all")))
-    return n.where((F.col("_n") > hot_threshold) & (F.col("_n") * MAX_HOT_KEYS > F.col("_all"))).select("_hk")
+    return n.where(F.col("_n") > hot_threshold).select("_hk")
 
 
 def by_heat(df: DataFrame, key: str, t_us: str, hot_threshold: int | None, bucket_days: float, body,
@@ -59,7 +59,10 @@ def by_heat(df: DataFrame, key: str, t_us: str, hot_threshold: int | None, bucke
     """``body(split)`` over the rows of cold keys and, split by time bucket, of hot keys."""
     if hot_threshold is None:
         return body(Split(df, False))
-    hot = F.broadcast(hot_keys(df, key, hot_threshold))
+    hot = hot_keys(df, key, hot_threshold)
+    if hot.isEmpty():
+        return body(Split(df, False))
+    hot = materialize(hot, "hot-keys")
     same = F.col(key).eqNullSafe(F.col("_hk"))
     cold = body(Split(df.join(hot, same, "left_anti"), False))
     rows = df.join(hot, same, "left_semi").withColumn(BUCKET, bucket_of(t_us, bucket_days))
@@ -68,7 +71,8 @@ def by_heat(df: DataFrame, key: str, t_us: str, hot_threshold: int | None, bucke
             .withColumns({BUCKET: F.col(BUCKET) + F.col("_k"), CONTEXT: F.col("_k") > 0}).drop("_k"))
     # explicit: an input already partitioned (or bucketed) by the key alone would
     # otherwise satisfy the windows' clustering and keep a hot key in one task
-    out = body(Split(rows.repartition(key, BUCKET), True, bucket_days))
+    rows = materialize(rows, "hot-rows").repartition(key, BUCKET)
+    out = body(Split(rows, True, bucket_days))
     return cold.unionByName(out.where(~F.col(CONTEXT)).drop(BUCKET, CONTEXT))
 
 

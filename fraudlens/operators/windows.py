@@ -99,10 +99,9 @@ def add_time_since_last_ip_per_customer(df: DataFrame, customer_col="customer_id
 
     First use, or a NULL IP, gives NULL -> 0 when ``fill_na_with_zero``.
     """
-    x = add_customer_window_features(df, (), timestamp_col, customer_col, ip_col, tie_col=tie_col,
-                                     hot_threshold=hot_threshold, bucket_days=bucket_days, features=("last_ip",),
-                                     fill_na_with_zero=fill_na_with_zero)
-    return x
+    return add_customer_window_features(df, (), timestamp_col, customer_col, ip_col, tie_col=tie_col,
+                                        hot_threshold=hot_threshold, bucket_days=bucket_days, features=("last_ip",),
+                                        fill_na_with_zero=fill_na_with_zero)
 
 
 def add_rapid_flag(df: DataFrame, minutes: float = 30, date_col="transaction_date",

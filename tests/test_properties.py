@@ -115,15 +115,10 @@ def test_event_sums_of_null_tied_and_repeated_rows(spark):
     _same(a.limit(0), W.add_window_features_by_events(t.limit(0), (1, 5), hot_threshold=0))
 
 
-def test_window_features_start_no_job_while_planning(spark, sf_small):
+def test_chained_windows_read_their_input_once(spark, sf_small):
     t = transactions(spark, sf_small)
-    W.add_customer_window_features(t)
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("planning", "planning")
-    W.add_customer_window_features(t)
-    jobs = tracker.getJobIdsForGroup("planning")
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert not jobs
+    x = W.add_time_since_last_ip_per_customer(W.add_ma_trade_info_by_id(W.add_distinct_ip_window(t)))
+    assert _plan(x).split("Initial Plan")[0].count("Scan parquet") == _plan(t).count("Scan parquet")
 
 
 def test_keyed_running_sum_across_partitions(spark):
