@@ -1,17 +1,20 @@
 """Joins (J1-J12): dimension lookups, aggregate-and-map-back, range and
 interval joins expressed as equi joins.
 
-Broadcasts are used only for sides whose size is bounded by construction
-(literal dimensions, ranges split at /16 = at most 65 536 + R rows).  Data-sized sides are left to AQE,
-which converts to a broadcast at run time only when the materialised side is
-small and otherwise splits skewed partitions of a sort-merge join.
+No side carries a broadcast hint: Spark broadcasts a dimension by its size in
+bytes, at planning or, by AQE, at run time, and otherwise splits skewed
+partitions of a sort-merge join.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlens.functions.ip import ipv4_to_long
+from fraudlens.operators import hotsplit as H
+from fraudlens.operators.windows import HOT_BUCKET_DAYS, HOT_CUSTOMER_ROWS
+from fraudlens.sources.tables import epoch_us
+
 
 def left_lookup(df: DataFrame, dim: DataFrame, on) -> DataFrame:
     """Left equi join of a dimension (customer attributes, POS of merchant); Spark
@@ -55,13 +58,13 @@ def add_ip_country(df: DataFrame, ip_ranges: DataFrame, ip_col="IP_address",
 
     Equi join on the /16 block plus a residual ``BETWEEN`` instead of a
     theta join (which would plan as a nested-loop join).  The exploded range
-    table has at most 65 536 + R rows, so broadcasting it is bounded.
+    table has at most 65 536 + R rows, so Spark can broadcast it by size.
     """
     blocks = split_ranges_by_prefix(ip_ranges).select(
         "_blk", F.col("ip_lo").alias("_lo"), F.col("ip_hi").alias("_hi"),
         F.col("country_code").alias("_cc"))
     x = df.withColumn("_ipn", ipv4_to_long(ip_col)).withColumn("_blk", F.shiftright("_ipn", 16))
-    j = x.join(F.broadcast(blocks),
+    j = x.join(blocks,
                (x["_blk"] == blocks["_blk"]) & x["_ipn"].between(blocks["_lo"], blocks["_hi"]), "left")
     return j.withColumn(out_col, F.col("_cc")).drop("_ipn", "_blk", "_lo", "_hi", "_cc")
 
@@ -70,7 +73,7 @@ def add_country_timezone(df: DataFrame, tz_dim: DataFrame, country_col="IP_addre
                          out_col="timezone", default="UTC") -> DataFrame:
     """Country -> first time zone; unknown country -> UTC; NULL -> NULL."""
     d = tz_dim.select(F.col("country_code").alias("_cc"), F.col("timezone").alias("_tz"))
-    j = df.join(F.broadcast(d), df[country_col] == d["_cc"], "left")
+    j = df.join(d, df[country_col] == d["_cc"], "left")
     tz = F.when(F.col(country_col).isNull(), F.lit(None).cast("string")).otherwise(
         F.coalesce(F.col("_tz"), F.lit(default)))
     return j.withColumn(out_col, tz).drop("_cc", "_tz")
@@ -82,7 +85,7 @@ def add_is_bank_holiday(df: DataFrame, holidays: DataFrame, country_code="GB",
     h = (holidays.where(F.col("country_code") == country_code)
          .select(F.col("holiday_date").alias("_hd")).distinct().withColumn("_hit", F.lit(1)))
     x = df.withColumn("_d", F.to_date(date_col))
-    j = x.join(F.broadcast(h), x["_d"] == h["_hd"], "left")
+    j = x.join(h, x["_d"] == h["_hd"], "left")
     return j.withColumn(f"is_{country_code}_bank_holiday", F.coalesce("_hit", F.lit(0))).drop("_d", "_hd", "_hit")
 
 
@@ -95,8 +98,8 @@ def add_bank_holiday_by_country_code(df: DataFrame, holidays: DataFrame, date_co
     h = holidays.select(F.col("country_code").alias("_hc"), F.col("holiday_date").alias("_hd")).distinct() \
         .withColumn("_hit", F.lit(1))
     x = df.withColumn("_d", F.to_date(date_col))
-    x = x.join(F.broadcast(supported), x[country_col] == supported["_sc"], "left")
-    x = x.join(F.broadcast(h), (x[country_col] == h["_hc"]) & (x["_d"] == h["_hd"]), "left")
+    x = x.join(supported, x[country_col] == supported["_sc"], "left")
+    x = x.join(h, (x[country_col] == h["_hc"]) & (x["_d"] == h["_hd"]), "left")
     flag = (F.when(F.col(country_col).isNull() | F.col("_sc").isNull(), F.lit(None).cast("int"))
             .otherwise(F.coalesce("_hit", F.lit(0))))
     status = (F.when(F.col(country_col).isNull(), F.lit(None).cast("string"))
@@ -115,24 +118,25 @@ def align_on_union(frames: dict[str, DataFrame], key: str) -> DataFrame:
     return out.fillna(0, subset=list(frames))
 
 
-def pos_within_radius(tx: DataFrame, customers: DataFrame, pos: DataFrame, radius: float = 60.0,
+def pos_within_radius(tx: DataFrame, customers: DataFrame, pos: DataFrame, radius: float = 60.0, within: bool = True,
                       online_col="card_present_or_not", online_value="card not present") -> DataFrame:
     """For each transaction, the POS of its merchant within ``radius`` of the
-    customer (Euclidean); online transactions get none.
+    customer (Euclidean), or at it and beyond; online transactions get none.
 
-    Equi join on merchant (a merchant's POS list is its own, small group) plus
-    the distance predicate as a residual.
+    A merchant's POS are one array, joined by merchant; the radius filters the
+    array before anything is emitted.
     """
     c = customers.select("customer_id", F.col("location_x").alias("_cx"), F.col("location_y").alias("_cy"))
-    p = pos.select("merchant_id", F.col("pos_id").alias("near_pos_id"),
-                   F.col("location_x").alias("_px"), F.col("location_y").alias("_py"))
+    p = pos.groupBy("merchant_id").agg(F.collect_list(F.struct("pos_id", "location_x", "location_y")).alias("_pos"))
     x = tx.where(F.col(online_col) != online_value).select("transaction_id", "customer_id", "merchant_id")
-    x = x.join(c, "customer_id")
-    dist = F.sqrt(F.pow(F.col("_cx") - F.col("_px"), 2) + F.pow(F.col("_cy") - F.col("_py"), 2))
-    j = x.join(p, "merchant_id").withColumn("distance", dist)
-    return (j.withColumn("within_radius", (F.col("distance") < radius).cast("int"))
-            .select("transaction_id", "customer_id", "merchant_id", "near_pos_id",
-                    F.round("distance", 4).alias("distance"), "within_radius"))
+    near = F.filter(F.transform("_pos", lambda q: F.struct(
+        q["pos_id"].alias("near_pos_id"),
+        F.sqrt(F.pow(F.col("_cx") - q["location_x"], 2) + F.pow(F.col("_cy") - q["location_y"], 2)).alias("distance"))),
+        lambda q: q["distance"] < radius if within else q["distance"] >= radius)
+    x = x.join(c, "customer_id").join(p, "merchant_id")
+    return (x.select("transaction_id", "customer_id", "merchant_id", F.explode(near).alias("_n"))
+            .select("transaction_id", "customer_id", "merchant_id", "_n.near_pos_id",
+                    F.round("_n.distance", 4).alias("distance")))
 
 
 def candidate_cards(tx: DataFrame, owned: DataFrame, card_pref: DataFrame, store_card="Store Credit Card",
@@ -141,29 +145,22 @@ def candidate_cards(tx: DataFrame, owned: DataFrame, card_pref: DataFrame, store
     category 1 or 2 is the merchant's category; the store card wins when the
     customer holds that merchant's store card.
 
-    The OR condition is split into two equi joins (category 1, category 2)
-    and unioned, instead of a non-equi join.
+    The cards of a category are one array, met with the customer's own by
+    ``array_intersect``: the transactions shuffle for the customer join alone.
     """
-    pref = card_pref.select("card_category", F.col("prefer_consumption_category_1").alias("_c1"),
-                            F.col("prefer_consumption_category_2").alias("_c2"))
-    by_cat = (pref.select("card_category", F.col("_c1").alias("_cat"))
-              .unionByName(pref.select("card_category", F.col("_c2").alias("_cat"))).distinct())
-    cards = (tx.select("transaction_id", "customer_id", "merchant_id", category_col)
-             .join(owned.select("customer_id", F.explode("credit_card_owned").alias("card_category")),
-                   "customer_id")
-             .join(F.broadcast(by_cat), ["card_category"])
-             .where(F.col("_cat") == F.col(category_col)))
-    matched = cards.groupBy("transaction_id").agg(F.sort_array(F.collect_set("card_category")).alias("_cands"))
-    store = owned.select("customer_id", "store_card_merchant_id",
-                         F.array_contains("credit_card_owned", store_card).alias("_has_store"))
-    base = tx.select("transaction_id", "customer_id", "merchant_id").join(store, "customer_id", "left")
-    out = base.join(matched, "transaction_id", "left")
-    store_wins = F.coalesce(F.col("_has_store") & (F.col("store_card_merchant_id") == F.col("merchant_id")),
-                            F.lit(False))
-    return out.select(
+    pref = card_pref.select("card_category", F.explode(F.array("prefer_consumption_category_1",
+                                                               "prefer_consumption_category_2")).alias("_cat"))
+    by_cat = pref.where(F.col("_cat").isNotNull()).groupBy("_cat").agg(F.collect_set("card_category").alias("_cards"))
+    own = owned.select("customer_id", "store_card_merchant_id", F.col("credit_card_owned").alias("_own"))
+    x = tx.select("transaction_id", "customer_id", "merchant_id", category_col).join(own, "customer_id", "left")
+    x = x.join(by_cat, F.col(category_col) == F.col("_cat"), "left")
+    store_wins = F.coalesce(F.array_contains("_own", store_card)
+                            & (F.col("store_card_merchant_id") == F.col("merchant_id")), F.lit(False))
+    return x.select(
         "transaction_id",
         F.when(store_wins, F.array(F.lit(store_card)))
-         .otherwise(F.coalesce(F.col("_cands"), F.array().cast("array<string>"))).alias("candidate_cards"))
+         .otherwise(F.coalesce(F.sort_array(F.array_intersect("_own", "_cards")), F.array().cast("array<string>")))
+         .alias("candidate_cards"))
 
 
 def cash_out_matches(tests: DataFrame, later: DataFrame, gap_days: int = 30, window_days: int = 14,
@@ -209,32 +206,43 @@ def add_holiday_anywhere(df: DataFrame, holidays: DataFrame, date_col="transacti
     """The row's date is a holiday in any country of the calendar."""
     h = holidays.select(F.col("holiday_date").alias("_hd")).distinct().withColumn("_hit", F.lit(1))
     x = df.withColumn("_d", F.to_date(date_col))
-    return (x.join(F.broadcast(h), x["_d"] == h["_hd"], "left")
+    return (x.join(h, x["_d"] == h["_hd"], "left")
             .withColumn(out_col, F.coalesce("_hit", F.lit(0))).drop("_d", "_hd", "_hit"))
 
 
 def add_previous_ip_country(df: DataFrame, country_col="IP_address_country_code", id_col="customer_id",
                             date_col="transaction_date", tie_col="transaction_id",
-                            out_col="previous_IP_country_code") -> DataFrame:
-    """Country of the customer's previous transaction (lag over the customer's time order)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(id_col).orderBy(date_col, tie_col)
-    return df.withColumn(out_col, F.lag(country_col).over(w))
+                            out_col="previous_IP_country_code",
+                            hot_threshold: int | None = HOT_CUSTOMER_ROWS) -> DataFrame:
+    """Country of the customer's previous transaction, in time order; the first has none."""
+    def body(split):
+        mine = F.struct("_t", tie_col, F.col(country_col).alias("_country"))
+        w = Window.partitionBy(*split.keys(id_col)).orderBy("_t", tie_col)
+        x = split.rows.withColumn("_prev", F.lag(mine).over(w))
+        if split.active:
+            s = split.rows.groupBy(id_col, H.BUCKET).agg(F.max(mine).alias("_last"))
+            s = s.withColumn("_last", F.lag("_last").over(Window.partitionBy(id_col).orderBy(H.BUCKET)))
+            x = H.join_null_safe(x, s, [id_col, H.BUCKET], ["_last"]).withColumn("_prev", F.coalesce("_prev", "_last")).drop("_last")
+        return x.withColumn(out_col, F.col("_prev._country")).drop("_prev")
+    x = df.withColumn("_t", epoch_us(date_col))
+    return H.by_heat(x, id_col, "_t", hot_threshold, HOT_BUCKET_DAYS, body).drop("_t")
 
 
 def add_recent_ip_country_holiday(df: DataFrame, holidays: DataFrame, days: int = 5,
                                   country_col="IP_address_country_code", id_col="customer_id",
-                                  date_col="transaction_date", out_col=None) -> DataFrame:
+                                  date_col="transaction_date", out_col=None,
+                                  hot_threshold: int | None = HOT_CUSTOMER_ROWS) -> DataFrame:
     """1 when the row's date is a holiday in any country the customer's IPs
-    resolved to within the trailing ``days`` (RANGE frame, both ends inclusive)."""
-    from pyspark.sql import Window
-    from fraudlens.sources.tables import epoch_us
+    resolved to within the trailing ``days`` (both ends inclusive).;
+    hot customers are split by time bucket with context rows."""
     out_col = out_col or f"holiday_in_recent_IP_country_{days}d"
-    w = (Window.partitionBy(id_col).orderBy(F.col("_t")).rangeBetween(-days * 86_400_000_000, Window.currentRow))
     per_day = holidays.groupBy(F.col("holiday_date").alias("_hd")).agg(F.collect_set("country_code").alias("_hcs"))
-    x = (df.withColumn("_t", epoch_us(date_col)).withColumn("_recent", F.collect_set(country_col).over(w))
-         .withColumn("_d", F.to_date(date_col)))
-    x = x.join(F.broadcast(per_day), x["_d"] == per_day["_hd"], "left")
+
+    def body(split):
+        w = (Window.partitionBy(*split.keys(id_col)).orderBy("_t").rangeBetween(-days * H.DAY_US, Window.currentRow))
+        return split.rows.withColumn("_recent", F.collect_set(country_col).over(w))
+    x = H.by_heat(df.withColumn("_t", epoch_us(date_col)), id_col, "_t", hot_threshold, days, body, max_days=days)
+    x = x.withColumn("_d", F.to_date(date_col)).join(per_day, F.col("_d") == F.col("_hd"), "left")
     flag = F.coalesce(F.arrays_overlap("_recent", "_hcs"), F.lit(False)).cast("int")
     return x.withColumn(out_col, flag).drop("_t", "_recent", "_d", "_hd", "_hcs")
 

@@ -66,5 +66,5 @@ def holiday_buffer_flag(df: DataFrame, periods: DataFrame, date_col="transaction
         F.date_sub("holiday_starts", pre_days + buffer_days),
         F.date_add("holiday_ends", buffer_days))).alias("_bd")).distinct().withColumn("_hit", F.lit(1))
     x = df.withColumn("_d", F.to_date(date_col))
-    j = x.join(F.broadcast(days), x["_d"] == days["_bd"], "left")
+    j = x.join(days, x["_d"] == days["_bd"], "left")
     return j.withColumn("in_holiday_buffer", F.coalesce("_hit", F.lit(0))).drop("_d", "_bd", "_hit")

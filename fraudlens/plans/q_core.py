@@ -204,10 +204,10 @@ def q_j7(spark, sf):
 
 @register("j9_pos_within_radius", with_tx("""
 SELECT t.transaction_id, t.customer_id, t.merchant_id, m.pos_id AS near_pos_id,
-       round(sqrt(pow(p.location_x - m.location_x, 2) + pow(p.location_y - m.location_y, 2)), 4) AS distance,
-       CAST(sqrt(pow(p.location_x - m.location_x, 2) + pow(p.location_y - m.location_y, 2)) < 60 AS INTEGER) AS within_radius
+       round(sqrt(pow(p.location_x - m.location_x, 2) + pow(p.location_y - m.location_y, 2)), 4) AS distance
 FROM transactions t JOIN profiles p ON t.customer_id = p.customer_id JOIN mpos m ON t.merchant_id = m.merchant_id
-WHERE t.card_present_or_not <> 'card not present'""", extra=DERIVED_CTES))
+WHERE t.card_present_or_not <> 'card not present'
+  AND sqrt(pow(p.location_x - m.location_x, 2) + pow(p.location_y - m.location_y, 2)) < 60""", extra=DERIVED_CTES))
 def q_j9(spark, sf):
     t = tx(spark, sf)
     return J.pos_within_radius(t, derived.customer_profiles(t), derived.merchant_pos(t), radius=60.0)
@@ -368,7 +368,8 @@ def q_d15(spark, sf):
 
 @register("d16_strip_timezone", with_tx("SELECT transaction_id, transaction_date AS naive_date FROM transactions"))
 def q_d16(spark, sf):
-    return tx(spark, sf).select("transaction_id", D.strip_tz(F.col("transaction_date").cast("timestamp_ntz")).alias("naive_date"))
+    zoned = F.col("transaction_date").cast("timestamp")      # an instant; the session's zone is the wall clock
+    return tx(spark, sf).select("transaction_id", D.strip_tz(zoned).alias("naive_date"))
 
 
 # ------------------------------------------------------------------ scalar expressions

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudlens.sources.dims import literal_table
+
 # fixed values: card category -> preferred merchant categories 1 and 2 (test fixture)
 CARD_PREFERENCES = [
     ("Cashback", "CAT_0", "CAT_1"),
@@ -31,8 +33,8 @@ def merchant_pos(tx: DataFrame) -> DataFrame:
 
 
 def card_preferences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CARD_PREFERENCES, "card_category string, prefer_consumption_category_1 string, "
-                                                   "prefer_consumption_category_2 string")
+    return literal_table(spark, CARD_PREFERENCES, "card_category string, prefer_consumption_category_1 string, "
+                                                  "prefer_consumption_category_2 string")
 
 
 def with_postcode(tx: DataFrame) -> DataFrame:

@@ -8,7 +8,11 @@ DuckDB oracle sees identical rows.
 """
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # ---- fixed values: test dimensions --------------------------------------
 # IPv4 first-octet ranges -> country (191 and up deliberately uncovered)
@@ -81,16 +85,24 @@ def values_sql(rows, columns, casts=None) -> str:
     return f"SELECT {proj} FROM (VALUES {body}) AS t({', '.join(columns)})"
 
 
+def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """Literal rows as a table of known small size (rows from ``createDataFrame`` have no size
+    statistics), so that Spark broadcasts it by size."""
+    names = [f.split()[0] for f in schema.split(",")]
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{re.sub(r' (?=[a-z]+(,|$))', ':', schema)}>>")))
+
+
 def ip_ranges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ip_ranges_rows(), "ip_lo bigint, ip_hi bigint, country_code string")
+    return literal_table(spark, ip_ranges_rows(), "ip_lo bigint, ip_hi bigint, country_code string")
 
 
 def country_timezone(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNTRY_TIMEZONES, "country_code string, timezone string")
+    return literal_table(spark, COUNTRY_TIMEZONES, "country_code string, timezone string")
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(HOLIDAYS, "country_code string, holiday string")
+    df = literal_table(spark, HOLIDAYS, "country_code string, holiday string")
     return df.selectExpr("country_code", "to_date(holiday) AS holiday_date")
 
 

@@ -121,6 +121,27 @@ def test_chained_windows_read_their_input_once(spark, sf_small):
     assert _plan(x).split("Initial Plan")[0].count("Scan parquet") == _plan(t).count("Scan parquet")
 
 
+def test_hot_customers_of_ip_country_features(spark, sf_small):
+    from fraudlens.operators import joins as J
+    t = transactions(spark, sf_small).withColumn("IP_address_country_code", F.substring("merchant_category", 1, 2))
+    t = t.select("transaction_id", "transaction_date", "customer_id", "IP_address_country_code")
+    t = t.withColumn("customer_id", F.when(F.col("customer_id") % 5 > 0, F.col("customer_id") % 3))
+    _same(J.add_previous_ip_country(t, hot_threshold=None), J.add_previous_ip_country(t, hot_threshold=0))
+    cal = dims.holidays(spark)
+    _same(J.add_recent_ip_country_holiday(t, cal, hot_threshold=None), J.add_recent_ip_country_holiday(t, cal, hot_threshold=0))
+
+
+def test_pos_within_and_beyond_the_radius(spark):
+    from fraudlens.operators import joins as J
+    tx = spark.createDataFrame([(1, 1, 7, "pos"), (2, 1, 7, "card not present"), (3, 1, 8, "pos"), (4, None, 7, "pos")],
+                               "transaction_id long, customer_id long, merchant_id long, card_present_or_not string")
+    cust = spark.createDataFrame([(1, 0.0, 0.0)], "customer_id long, location_x double, location_y double")
+    pos = spark.createDataFrame([(7, 1, 30.0, 40.0), (7, 2, 60.0, 0.0), (7, 3, None, 1.0)],
+                                "merchant_id long, pos_id long, location_x double, location_y double")
+    assert [tuple(r) for r in J.pos_within_radius(tx, cust, pos).collect()] == [(1, 1, 7, 1, 50.0)]
+    assert [tuple(r) for r in J.pos_within_radius(tx, cust, pos, within=False).collect()] == [(1, 1, 7, 2, 60.0)]
+
+
 def test_keyed_running_sum_across_partitions(spark):
     from fraudlens.operators.prefix import with_keyed_cumsum
     rows = [(k, i, 1.0) for k in (1, 2) for i in range(50)] + [(3, 0, 5.0)]
