@@ -12,6 +12,7 @@ from fraudlens.plans import training as TR
 from fraudlens.plans.feature_job import build_transaction_features
 from fraudlens.plans.flagship import scored_transactions
 from fraudlens.plans.oracle import with_tx
+from fraudlens.plans.q_profile import SPEARMAN_CTES
 from fraudlens.plans.registry import ORACLE, register, tbl, tx
 from fraudlens.sources import dims
 from fraudlens.sources.tables import transactions
@@ -192,7 +193,17 @@ def q_f9(spark, sf):
 _LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@register("f10_spearman_filter")
+def _spearman_keep_sql():
+    """Recursive twin of F10: the first name of each component of strong links, and all unlinked columns."""
+    strong = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM rk" for a in _LI for b in _LI if a != b)
+    names = ", ".join(f"('{c}')" for c in _LI)
+    return (SPEARMAN_CTES.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+strong AS (SELECT a, b FROM ({strong}) WHERE abs(r) > 0.5),
+reach AS (SELECT c, c AS d FROM (VALUES {names}) t(c) UNION SELECT reach.c, strong.b FROM reach JOIN strong ON strong.a = reach.d)
+SELECT c AS column_name, min(d) = c AS keep FROM reach GROUP BY c""")
+
+
+@register("f10_spearman_filter", _spearman_keep_sql())
 def q_f10(spark, sf):
     li = tbl(spark, sf, "lineitem")
     keep = P.SpearmanCorrelationFilter(_LI, threshold=0.5).fit(li).fitted()["keep"]
@@ -335,7 +346,11 @@ def q_l8b(spark, sf):
 
 # ------------------------------------------------------------------ M
 
-@register("m1_dummy_prior")
+@register("m1_dummy_prior", with_tx("""
+SELECT transaction_id, CAST(is_fraud AS DOUBLE) AS is_fraud, CAST(s > 0.5 AS INTEGER) AS prediction, 1 - s AS p0, s AS p1
+FROM split, (SELECT avg(CAST(is_fraud AS DOUBLE)) AS s FROM split WHERE NOT is_test) WHERE is_test""",
+    extra="""split AS (SELECT transaction_id, is_fraud, row_number() OVER (ORDER BY transaction_date, transaction_id) - 1
+  >= (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM transactions) AS is_test FROM transactions)"""))
 def q_m1(spark, sf):
     train, test = TR.train_test(tx(spark, sf))
     return M.dummy_scores(train, test, strategy="prior")

@@ -92,15 +92,26 @@ def q_p7(spark, sf):
     return t.select(*Q.numeric_columns(t))
 
 
-@register("p8_non_norm_identifier", with_tx(_union([
+_KINDS = _union([
     f"""SELECT '{c}' AS column_name, CASE WHEN count(DISTINCT {c}) <= 2 AND CAST(min({c}) AS DOUBLE) IN (0.0, 1.0)
         AND CAST(max({c}) AS DOUBLE) IN (0.0, 1.0) THEN 'binary' WHEN min({c}) < 0 OR max({c}) > 1 THEN 'non_normalised'
-        ELSE 'normalised' END AS kind FROM transactions""" for c in _NUM])))
+        ELSE 'normalised' END AS kind FROM transactions""" for c in _NUM])
+
+
+@register("p8_non_norm_identifier", with_tx(_KINDS))
 def q_p8(spark, sf):
     return Q.non_norm_identifier(tx(spark, sf))
 
 
-@register("p9_split_num_and_cat")
+@register("p9_split_num_and_cat", with_tx("""
+SELECT kind AS column_group, column_name FROM kinds WHERE kind <> 'normalised'
+UNION ALL SELECT 'other', column_name FROM cols WHERE column_name NOT IN (SELECT column_name FROM kinds)
+UNION ALL SELECT CASE WHEN is_int THEN 'non_normalised_int' ELSE 'non_normalised_float' END, column_name
+  FROM cols JOIN kinds USING (column_name) WHERE kind = 'non_normalised'
+UNION ALL SELECT 'no_pipe', column_name FROM cols WHERE column_name NOT LIKE '%|%'""",
+    extra="kinds AS (" + _KINDS + "),\ncols AS (" + _union([
+        f"SELECT '{c}' AS column_name, coalesce(any_value(typeof({c})) IN ('SMALLINT', 'INTEGER', 'BIGINT'), false) AS is_int FROM transactions"
+        for c in TX_COLS]) + ")"))
 def q_p9(spark, sf):
     t = tx(spark, sf)
     groups = Q.split_num_and_cat(t)
@@ -260,8 +271,11 @@ _RANKS = ",\n".join(f"""r_{c} AS (SELECT v, sum(cnt) OVER (ORDER BY v) - cnt + (
   FROM (SELECT {c} AS v, count(*) AS cnt FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1))""" for c in _LI)
 
 
-@register("g9_spearman_pairs", "WITH " + _RANKS + ",\nrk AS (SELECT " + ", ".join(f"r_{c}.rk AS {c}" for c in _LI)
-          + " FROM lineitem " + " ".join(f"LEFT JOIN r_{c} ON lineitem.{c} = r_{c}.v" for c in _LI) + ")\n"
+SPEARMAN_CTES = ("WITH " + _RANKS + ",\nrk AS (SELECT " + ", ".join(f"r_{c}.rk AS {c}" for c in _LI)
+                 + " FROM lineitem " + " ".join(f"LEFT JOIN r_{c} ON lineitem.{c} = r_{c}.v" for c in _LI) + ")")
+
+
+@register("g9_spearman_pairs", SPEARMAN_CTES + "\n"
           + _union([f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), 4) AS spearman, "
                     f"round(abs(corr({a}, {b})), 4) AS abs_spearman FROM rk" for a, b in _PAIRS]))
 def q_g9(spark, sf):
