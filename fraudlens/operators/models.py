@@ -12,9 +12,10 @@ import itertools
 import json
 import math
 from enum import Enum
+from functools import reduce
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.operators.sampling import uniform
-from fraudlens.session import cut_lineage
+from fraudlens.session import materialize
 from fraudlens.operators.scalar import attach
 
 FAMILIES = {
@@ -62,9 +63,11 @@ def make_classifier(name: str, label="is_fraud", weight_col: str | None = "weigh
     return cls(**kw)
 
 
-def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selectors=()) -> Pipeline:
-    """Preparation -> selectors -> assembler -> classifier (fit inside each fold)."""
-    return Pipeline(stages=[*prep_stages, *selectors, assembler(feature_cols), classifier])
+def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selectors=(), forest=None) -> Pipeline:
+    """Preparation -> selectors -> assembler -> ``forest`` selection -> classifier (all fitted inside each fold)."""
+    if forest is not None:
+        classifier = classifier.copy().setFeaturesCol(forest.output_col)
+    return Pipeline(stages=[*prep_stages, *selectors, assembler(feature_cols), *([forest] if forest else []), classifier])
 
 
 def f2_evaluator(label="is_fraud", beta: float = 2.0) -> MulticlassClassificationEvaluator:
@@ -184,17 +187,19 @@ def tuning_trace(cv_model, spark) -> DataFrame:
 def adaboost(train: DataFrame, feature_cols: list[str], label="is_fraud", rounds: int = 10, max_depth: int = 1,
              checkpoint_every: int = 3):
     """M6: SAMME boosting of weighted depth-1 trees.  Row weights live in a
-    column updated each round; lineage is cut with a reliable checkpoint
-    every few rounds."""
+    column updated each round; the rows are written to the shared checkpoint
+    folder at the start and every few rounds, so no round recomputes more than
+    those.  One aggregate a round gives the error and the next total weight."""
     va = assembler(feature_cols)
     data = va.transform(train).select("features", F.col(label).cast("double").alias("_y")).withColumn("_w", F.lit(1.0))
+    data = materialize(data, "boost")
     stumps, alphas = [], []
     for r in range(rounds):
         tree = DecisionTreeClassifier(labelCol="_y", featuresCol="features", weightCol="_w", maxDepth=max_depth)
         m = tree.fit(data)
         pred = m.transform(data).select("features", "_y", "_w", F.col("prediction").alias("_p"))
-        agg = pred.agg(F.sum(F.when(F.col("_p") != F.col("_y"), F.col("_w")).otherwise(0.0)).alias("e"),
-                       F.sum("_w").alias("w")).first()
+        wrong = F.col("_p") != F.col("_y")
+        agg = pred.agg(F.sum(F.when(wrong, F.col("_w")).otherwise(0.0)).alias("e"), F.sum("_w").alias("w")).first()
         err = agg["e"] / agg["w"] if agg["w"] else 0.5
         if err <= 0:
             stumps.append(m)
@@ -202,15 +207,13 @@ def adaboost(train: DataFrame, feature_cols: list[str], label="is_fraud", rounds
             break
         if err >= 0.5:
             break
-        alpha = math.log((1 - err) / err)
+        up = (1 - err) / err
         stumps.append(m)
-        alphas.append(alpha)
-        data = pred.withColumn("_w", F.when(F.col("_p") != F.col("_y"), F.col("_w") * math.exp(alpha)).otherwise(F.col("_w"))) \
-            .drop("_p")
-        total = data.agg(F.sum("_w")).first()[0]
-        data = data.withColumn("_w", F.col("_w") / total)
-        if (r + 1) % checkpoint_every == 0:
-            data = cut_lineage(data)
+        alphas.append(math.log(up))
+        total = agg["e"] * up + (agg["w"] - agg["e"])
+        data = pred.withColumn("_w", F.when(wrong, F.col("_w") * up).otherwise(F.col("_w")) / total).drop("_p")
+        if (r + 1) % checkpoint_every == 0 and r + 1 < rounds:
+            data = materialize(data, "boost")
     return {"assembler": va, "stumps": stumps, "alphas": alphas}
 
 
@@ -229,20 +232,33 @@ def adaboost_score(model, df: DataFrame, keep=("transaction_id", "is_fraud")) ->
 
 # ------------------------------------------------------------------ F13, V6, M17
 
-def select_by_forest(train: DataFrame, feature_cols: list[str], label="is_fraud", num_trees: int = 100,
+class ForestSelector(Estimator):
+    """F13 as a stage: random forest importances of the assembled features; its model
+    slices the vector to the features whose importance is the mean or more.  In a
+    pipeline it is fitted anew on the train part of each fold."""
+
+    def __init__(self, label="is_fraud", num_trees: int = 4000, max_depth: int = 2, features_per_split: int = 3,
+                 seed: int = 42, input_col="features", output_col="selected"):
+        super().__init__()
+        self.label, self.num_trees, self.max_depth = label, num_trees, max_depth
+        self.features_per_split, self.seed = features_per_split, seed
+        self.input_col, self.output_col = input_col, output_col
+
+    def _fit(self, df: DataFrame) -> VectorSlicer:
+        n = len(df.schema[self.input_col].metadata["ml_attr"]["attrs"]["numeric"])
+        rf = RandomForestClassifier(labelCol=self.label, featuresCol=self.input_col, numTrees=self.num_trees,
+                                    maxDepth=self.max_depth, seed=self.seed,
+                                    featureSubsetStrategy=str(min(self.features_per_split, n)))
+        imp = rf.fit(df).featureImportances.toArray()
+        return VectorSlicer(inputCol=self.input_col, outputCol=self.output_col,
+                            indices=[int(i) for i in np.flatnonzero(imp >= imp.mean())])
+
+
+def select_by_forest(train: DataFrame, feature_cols: list[str], label="is_fraud", num_trees: int = 4000,
                      max_depth: int = 2, features_per_split: int = 3, seed: int = 42) -> list[str]:
-    """random forest importances; keep features with importance >= mean."""
-    va = assembler(feature_cols)
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees, maxDepth=max_depth,
-                                featureSubsetStrategy=str(min(features_per_split, len(feature_cols))), seed=seed)
-    m = rf.fit(va.transform(train))
-    imp = m.featureImportances.toArray()
-    mean = float(np.mean(imp))
-    return [c for c, v in zip(feature_cols, imp) if v >= mean]
-
-
-def forest_slicer(feature_cols: list[str], kept: list[str]) -> VectorSlicer:
-    return VectorSlicer(inputCol="features", outputCol="selected", indices=[feature_cols.index(c) for c in kept])
+    """the features that ``ForestSelector`` keeps."""
+    stage = ForestSelector(label, num_trees, max_depth, features_per_split, seed)
+    return [feature_cols[i] for i in stage.fit(assembler(feature_cols).transform(train)).getIndices()]
 
 
 def feature_importance(model, feature_cols: list[str], spark, top: int = 30) -> DataFrame:
@@ -264,6 +280,14 @@ def split_counts(model, feature_cols: list[str], spark, path: str) -> DataFrame:
     return g.join(F.broadcast(names), "fi").select("feature", "weight", "gain")
 
 
+def out_of_fold_scores(pipeline: Pipeline, train_with_folds: DataFrame, k: int, fold_col="fold",
+                       keep=("transaction_id", "is_fraud")) -> DataFrame:
+    """Every train row scored by a fit that has not seen its fold."""
+    parts = [score(pipeline.fit(train_with_folds.where(F.col(fold_col) != i)),
+                   train_with_folds.where(F.col(fold_col) == i), keep) for i in range(k)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def isotonic_calibrator(oof_scores: DataFrame, score_col="p1", label="is_fraud"):
     """Isotonic map from out-of-fold scores to calibrated probabilities."""
     return IsotonicRegression(featuresCol=score_col, labelCol=label, predictionCol="p1_calibrated").fit(

@@ -14,6 +14,7 @@ from fraudlens.plans.flagship import scored_transactions
 from fraudlens.plans.oracle import with_tx
 from fraudlens.plans.q_profile import SPEARMAN_CTES
 from fraudlens.plans.registry import ORACLE, register, tbl, tx
+from fraudlens.session import materialize
 from fraudlens.sources import dims
 from fraudlens.sources.tables import transactions
 
@@ -369,29 +370,29 @@ def q_m2(spark, sf):
 
 @register("m3_random_forest")
 def q_m3(spark, sf):
-    return TR.fit_and_score(tx(spark, sf), "random_forest", numTrees=20, maxDepth=4)
+    return TR.fit_and_score(tx(spark, sf), "random_forest", numTrees=100, maxDepth=4)
 
 
 @register("m4_logistic_regression")
 def q_m4(spark, sf):
-    return TR.fit_and_score(tx(spark, sf), "logistic_regression", maxIter=15)
+    return TR.fit_and_score(tx(spark, sf), "logistic_regression", maxIter=100)
 
 
 @register("m5_gradient_boosted_trees")
 def q_m5(spark, sf):
-    return TR.fit_and_score(tx(spark, sf), "gbt", maxIter=20, maxDepth=3)
+    return TR.fit_and_score(tx(spark, sf), "gbt", maxIter=50, maxDepth=3)
 
 
 @register("m6_adaboost")
 def q_m6(spark, sf):
     train, test = TR.train_test(tx(spark, sf))
-    model = M.adaboost(train, TR.MODEL_FEATURES, rounds=4)
+    model = M.adaboost(train, TR.MODEL_FEATURES, rounds=10)
     return M.adaboost_score(model, test)
 
 
 @register("m7_linear_svc")
 def q_m7(spark, sf):
-    return TR.fit_and_score(tx(spark, sf), "linear_svc", maxIter=15)
+    return TR.fit_and_score(tx(spark, sf), "linear_svc", maxIter=100)
 
 
 @register("m10_grid_search_trace")
@@ -415,9 +416,12 @@ def q_m12(spark, sf):
 
 @register("m17_isotonic_calibration")
 def q_m17(spark, sf):
-    s = scored_transactions(tx(spark, sf))
-    cal = M.isotonic_calibrator(s.select("p1", "is_fraud"))
-    return cal.transform(s.select("transaction_id", F.col("p1").cast("double"), F.col("is_fraud").cast("double")))
+    """Calibrated on out-of-fold scores of the train part, applied to the test part."""
+    train, test = TR.train_test(tx(spark, sf))
+    pipe = M.build_pipeline(TR.MODEL_FEATURES, M.make_classifier("decision_tree", maxDepth=4))
+    oof = M.out_of_fold_scores(pipe, materialize(L.stratified_folds(train, k=5), "folds"), 5)
+    s = M.score(M.fit(pipe, train), test)
+    return M.isotonic_calibrator(oof).transform(s.select("transaction_id", "p1", "is_fraud"))
 
 
 @register("v6_feature_importance")

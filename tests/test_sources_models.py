@@ -178,3 +178,29 @@ def test_cluster_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" in done or \
         "spark.sql.adaptive.advisoryPartitionSizeInBytes" in dict(spark.sparkContext.getConf().getAll())
+
+
+def test_forest_selection_is_fitted_inside_the_pipeline(spark):
+    from fraudlens.operators import sampling as L
+    from pyspark.sql import functions as F
+    t = spark.range(600).select(F.col("id").alias("transaction_id"), (F.col("id") % 2).cast("double").alias("is_fraud"),
+                                ((F.col("id") % 2) * 3 + F.rand(1)).alias("good"), F.rand(2).alias("noise_a"),
+                                F.rand(3).alias("noise_b"), F.lit(1.0).alias("weight"))
+    cols = ["noise_a", "good", "noise_b"]
+    assert M.select_by_forest(t, cols, num_trees=20) == ["good"]
+    pipe = M.build_pipeline(cols, M.make_classifier("decision_tree", maxDepth=2), forest=M.ForestSelector(num_trees=20))
+    folds = L.stratified_folds(t, k=3).cache()
+    oof = M.out_of_fold_scores(pipe, folds, 3)
+    assert oof.count() == 600 and oof.where("prediction <> is_fraud").count() == 0
+    cv = M.tune(pipe, M.param_grid(M.make_classifier("decision_tree"), []) or [{}], folds, parallelism=1)
+    assert cv.bestModel.stages[1].getIndices() == [1]
+
+
+def test_adaboost_learns_an_interval(spark):
+    from pyspark.sql import functions as F
+    t = spark.range(300).select(F.col("id").alias("transaction_id"), (F.col("id") / 300).alias("x"),
+                                F.col("id").between(100, 199).cast("double").alias("is_fraud"))
+    model = M.adaboost(t, ["x"], rounds=12)
+    assert len(model["stumps"]) > 1
+    wrong = M.adaboost_score(model, t).where("prediction <> is_fraud").count()
+    assert wrong < 100
