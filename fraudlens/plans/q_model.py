@@ -260,7 +260,7 @@ def q_f12b(spark, sf):
 @register("f13_forest_selection")
 def q_f13(spark, sf):
     train, _ = TR.train_test(tx(spark, sf))
-    kept = M.select_by_forest(train, TR.MODEL_FEATURES, num_trees=50)
+    kept = M.select_by_forest(train, TR.MODEL_FEATURES)
     return spark.createDataFrame([(c, c in kept) for c in TR.MODEL_FEATURES], "feature string, keep boolean")
 
 
