@@ -277,6 +277,20 @@ def test_html_text(spark):
     assert htmltext.extract(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_html_text_keeps_all_slots_and_copies(spark):
+    """Without article or main: headings, items, cells and a lead apart stay, and copies of an article are no template."""
+    page = ('<body><div class="lead"><p>Lead {n}</p></div><div class="text"><h2>Head {n}</h2>' + "<p>Long text {n} of it</p>" * 20
+            + '<ul><li>item {n}</ul><table><tr><td>cell {n}</table><blockquote>said {n}</blockquote></div><div>All rights</div>')
+    want = lambda n: "\n".join([f"Lead {n}", f"Head {n}", *[f"Long text {n} of it"] * 20, f"item {n}", f"cell {n}", f"said {n}"])
+    rows = [(i, "http://h.example/x", page.replace("{n}", f"n{i}"), None) for i in range(5)]
+    rows += [(10 + i, None, page.replace("{n}", "same"), None) for i in range(6)]            # copies of one article
+    rows += [(20 + i, None, f"<body><p>other {i}</p>", None) for i in range(2)]
+    out = {r.page_id: r.text for r in htmltext.extract(
+        spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()}
+    assert [out[i] for i in range(5)] == [want(f"n{i}") for i in range(5)]
+    assert [out[10 + i] for i in range(6)] == [want("same") + "\nAll rights"] * 6 and out[21] == "other 1"
+
+
 def test_html_text_of_given_pages(spark):
     d = "/root/testdata/sf0.001"
     got = {r.page_id: r.text for r in QUERIES["op6_html_text"](spark, d).collect()}
