@@ -233,17 +233,20 @@ def link_classes(classes: DataFrame, docs: DataFrame, text: str, k: int, percent
         xs = in_comp.union(wanted.select("comp", F.col("comp").alias("id"))).distinct()
     x = _compared(xs.select(F.col("comp").alias("a"), F.col("id").alias("b")), sets).select(
         F.col("a").alias("comp"), F.col("b").alias("id"), F.floor(_distance() / SHELL).cast("int").alias("shell"))
-    # every shell of a component is dealt to as many blocks as it needs
-    shells = materialize(x.groupBy("comp", "shell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "shells")
-    name = F.xxhash64("comp", "shell", "part")
     # |d(y) - d(x)| beyond the largest distance of a link rules a pair out; a margin for rounding
-    sent = y.join(shells, "comp").where((F.col("shell") * SHELL <= F.col("d") + far + 1e-6)
-                                        & ((F.col("shell") + 1) * SHELL >= F.col("d") - far - 1e-6))
-    sent = sent.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    sent = materialize(sent.select(name.alias("block"), "id", F.lit("y").alias("side")), "sent")
-    dealt = x.join(shells, ["comp", "shell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    dealt = dealt.select(name.alias("block"), "id", F.lit("x").alias("side")).join(
-        sent.select("block").distinct(), "block", "left_semi")
+    x_parts = x.groupBy("comp", "shell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("x_parts"))
+    near = y.join(materialize(x_parts, "x-parts"), "comp").where((F.col("shell") * SHELL <= F.col("d") + far + 1e-6)
+                                                                & ((F.col("shell") + 1) * SHELL >= F.col("d") - far - 1e-6))
+    near = materialize(near.select("comp", "shell", "id", "x_parts"), "near")
+    # both sides of a shell are dealt to as many parts as they need; each pair of parts is a block
+    shells = materialize(near.groupBy("comp", "shell", "x_parts").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("y_parts")), "shells")
+    name = F.xxhash64("comp", "shell", "x_part", "y_part")
+    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
+    own = lambda parts: F.pmod(F.xxhash64("id"), F.col(parts))
+    sent = near.drop("x_parts").join(shells, ["comp", "shell"]).withColumn("y_part", own("y_parts")).withColumn(
+        "x_part", every("x_parts")).select(name.alias("block"), "id", F.lit("y").alias("side"))
+    dealt = x.join(shells, ["comp", "shell"]).withColumn("x_part", own("x_parts")).withColumn(
+        "y_part", every("y_parts")).select(name.alias("block"), "id", F.lit("x").alias("side"))
     far_links = _block_links(dealt.union(sent), sets, percent)
 
     # 4. the others among themselves, bucket by bucket; more than a block of them: each pair of parts is a block

@@ -197,6 +197,28 @@ def test_near_duplicates_graded_group(spark):
     assert got == brute_components(rows, 2)
 
 
+def test_near_duplicates_blocks_bounded_on_both_sides(spark, monkeypatch):
+    """One component and many others near it: no block holds more than a few times ``BLOCK`` rows of a side."""
+    sizes, link = [], neardup._block_links
+
+    def recorded(blocks, sets, percent):
+        sizes.extend((r.side, r["count"]) for r in blocks.groupBy("block", "side").count().collect())
+        return link(blocks, sets, percent)
+    monkeypatch.setattr(neardup, "BLOCK", 10)
+    monkeypatch.setattr(neardup, "_block_links", recorded)
+    rng = np.random.default_rng(5)
+    base = [f"t{i}" for i in rng.integers(0, 400, 120)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for at in rng.choice(len(w), 1 if i < 20 else 8, replace=False):
+            w[at] = f"n{rng.integers(0, 10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=2)
+    assert {r.doc_id: r.component_id for r in got.collect()} == brute_components(rows, 2)
+    assert {s for s, _ in sizes} == {"x", "y"} and max(n for _, n in sizes) <= 40
+
+
 def test_superminhash_estimates_jaccard():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 2 ** 63, 300).astype(np.uint64)
