@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.textops import whole, words
+from fraudlens.llm.textops import numbered, whole, words
 from fraudlens.session import materialize
 
 SEED = "mix-v1"
@@ -106,13 +106,13 @@ def source_table(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, source: str = "source", text: str = "text", weights: DataFrame | None = None,
-        seed: str = SEED, max_copies: int = 3) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies) per document.
+        seed: str = SEED, max_copies: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies) and the columns ``carry`` per document.
 
     ``weights`` (source, weight) replaces the default weights; its sources
     must cover those of ``docs``."""
     sizes = materialize(docs.select("doc_id", F.col(source).cast("string").alias("source"),
-                                    n_words(text).alias("size")), "mix-sizes")
+                                    n_words(text).alias("size"), *carry), "mix-sizes")
     src = source_table(sizes)
     src = default_weights(src) if weights is None else src.join(
         weights, src["source"].eqNullSafe(weights["source"])).select(src["source"], "source_size", "weight")
@@ -128,25 +128,16 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", weights: Da
     return ranked.join(src, f"{_P}key").select(
         "doc_id", "source", "size", "source_size", "target",
         F.when(F.col("source_size") > 0, F.least((upto - before).cast("bigint"), F.lit(max_copies).cast("bigint")))
-        .otherwise(F.lit(0).cast("bigint")).alias("copies"))
+        .otherwise(F.lit(0).cast("bigint")).alias("copies"), *carry)
 
 
 def take(docs: DataFrame, source: str = "source", text: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix emits it.
-
-    Rows that repeat (doc_id, source, size) share their picks evenly, a remainder by hash of the text."""
-    keys = [f"{_P}id", f"{_P}source", f"{_P}size"]
-    as_keys = [F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("null")),
-               F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("null"))]
-    m = mix(docs, source, text, **kw)
-    picks = m.select(as_keys[0].alias(keys[0]), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("null")).alias(keys[1]),
-                     F.col("size").alias(keys[2]), "copies")
-    picks = materialize(picks.groupBy(*keys).agg(F.sum("copies").alias(f"{_P}sum"), F.count(F.lit(1)).alias(f"{_P}n"))
-                        .where(F.col(f"{_P}sum") > 0), "mix-picks")
-    rows = docs.withColumns({keys[0]: as_keys[0], keys[1]: as_keys[1], keys[2]: n_words(text)}).join(picks, keys)
-    extra = F.pmod(F.xxhash64(text), F.col(f"{_P}n")) < F.col(f"{_P}sum") % F.col(f"{_P}n")
-    times = F.floor(F.col(f"{_P}sum") / F.col(f"{_P}n")) + extra.cast("int")
-    return rows.withColumn(f"{_P}copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(docs.columns)
+    """The rows of ``docs``, each as often as the mix emits it."""
+    row, copies = f"{_P}row", f"{_P}copies"
+    rows = numbered(docs, row)
+    picks = mix(rows, source, text, carry=(row,), **kw).where("copies > 0").select(row, F.col("copies").cast("int").alias(copies))
+    return rows.join(materialize(picks, "mix-picks"), row).withColumn(
+        f"{_P}copy", F.explode(F.array_repeat(F.lit(1), F.col(copies)))).select(docs.columns)
 
 
 def mixing_digest(docs: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlens.llm.components import components
-from fraudlens.llm.textops import let, lower_ascii, whole, words
+from fraudlens.llm.textops import let, lower_ascii, numbered, whole, words
 from fraudlens.session import materialize
 
 BANDS, ROWS = 32, 6
@@ -281,9 +281,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", k: int = 5, percent: in
 
 
 def dedup(docs: DataFrame, text: str = "text", **kw) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id."""
-    gone = near_duplicates(docs, text, **kw).where(~F.col("kept")).select("doc_id")
-    return docs.join(materialize(gone, "dropped"), "doc_id", "left_anti")
+    """One row of each component: that of least id, rows without an id last.
+
+    Each row is a node of its own, so copies that repeat an id or have none go, and a different text stays
+    whatever its id."""
+    row = "__dedup_row"
+    rows = numbered(docs, row)
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), text), text, **kw)
+    placed = materialize(found.select(F.col("doc_id").alias(row), "component_id").join(rows.select(row, "doc_id"), row), "placed")
+    first = placed.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("m")).select(F.col(f"m.{row}").alias(row))
+    gone = materialize(placed.select(row).join(first, row, "left_anti"), "dropped")
+    return rows.join(gone, row, "left_anti").select(docs.columns)
 
 
 def neardup_digest(docs: DataFrame) -> DataFrame:

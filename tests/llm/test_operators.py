@@ -145,6 +145,29 @@ def test_mixing(spark, docs, no_docs):
         assert abs(r.t - r.g) <= 200
 
 
+def test_take_and_dedup_by_row(spark, tmp_path):
+    """Equal rows get as many copies as the mix decides; near copies go by row, not by id; rows in memory and in files."""
+    rows = [(1, "a b c d", "hot")] * 200 + [(None, "e f g h", "hot")] * 100 + [(i, "one two three", f"s{i % 2}") for i in range(10, 60)]
+    near = [(1, "the cat sat on the mat", "a"), (2, "the cat sat on the mat", "a"), (2, "something else entirely here", "a"),
+            (3, "row of its own", "b"), (3, "row of its own", "b"), (None, "no id here", "b"), (None, "no id here", "b"),
+            (None, "the cat sat on the mat", "c")]
+    kept = [(1, "the cat sat on the mat"), (2, "something else entirely here"), (3, "row of its own"), (None, "no id here")]
+    for at in ("memory", "files"):
+        def table(name, x):
+            df = spark.createDataFrame(x, "doc_id bigint, text string, source string")
+            if at == "files":
+                df.repartition(3).write.parquet(f"{tmp_path}/{name}")
+                df = spark.read.parquet(f"{tmp_path}/{name}")
+            return df
+        mixed = table("mixed", rows)
+        keys = ("doc_id", "source")
+        want = {(r.doc_id, r.source): r.n for r in mixing.mix(mixed).groupBy(*keys).agg(F.sum("copies").alias("n")).where("n > 0").collect()}
+        got = {(r.doc_id, r.source): r["count"] for r in mixing.take(mixed).groupBy(*keys).count().collect()}
+        assert got == want and 0 < want[1, "hot"] % 200
+        left = [(r.doc_id, r.text) for r in neardup.dedup(table("near", near), k=2).collect()]
+        assert sorted(left, key=str) == sorted(kept, key=str)
+
+
 def test_water_level_caps_and_shares_again(spark):
     s = spark.createDataFrame([("a", 10, 1), ("b", 1000, 2), ("c", 20, 3)], "source string, source_size bigint, weight int")
     got = {r.source: r.target for r in mixing.water_level(s).collect()}
