@@ -1,7 +1,7 @@
 """Registered queries of the text operators: name -> callable(spark, sf_dir), and their DuckDB twins."""
 from __future__ import annotations
 
-from fraudlens.llm import chat, fingerprint, groupjoin, htmltext, langid, mixing, neardup, negatives, pieces, quality, secrets, tokencount
+from fraudlens.llm import chat, fingerprint, groupjoin, htmltext, langid, mixing, neardup, negatives, pieces, prefixtrie, quality, secrets, tokencount
 from fraudlens.sources.tables import read_table
 
 
@@ -20,6 +20,7 @@ QUERIES = {
     "op8_neardup": _over("documents", neardup.neardup_digest),
     "op9_quality_rules": _over("documents", quality.quality_digest),
     "op10_simhash": _over("documents", fingerprint.fingerprint_digest),
+    "op11_prefix_trie": _over("conversations", prefixtrie.trie_digest),
     "op12_jaccard_join": _over("documents", groupjoin.jaccard_components),
     "op13_hard_negatives": _over("embeddings", negatives.negatives_digest),
 }
@@ -28,6 +29,7 @@ ORACLE = {
     "op5_source_mixing": mixing.MIXING_SQL,
     "op8_neardup": neardup.NEARDUP_SQL,
     "op9_quality_rules": quality.QUALITY_SQL,
+    "op11_prefix_trie": prefixtrie.TRIE_SQL,
     "op12_jaccard_join": groupjoin.GROUPJOIN_SQL,
     "op13_hard_negatives": negatives.NEGATIVES_SQL,
 }
