@@ -8,14 +8,15 @@
    every linked pair shares a signature: the candidates are exact, and a frequent shingle alone makes none.
    (Empty parts have no signature unless a set has so many that a pair could agree in empty parts only.)
 3. Documents that share a signature are partitioned into groups of ``GROUP`` similar ones: neighbours in the order of
-   their least token hashes.  A group's row of the matrix is the union of its members' tokens.
-4. A query set asks a group: its overlap with the union bounds its overlap with each member, so a group
+   their least token hashes.  A group's row of the matrix is the union of its members' tokens; a run of neighbouring
+   groups, bounded in sets and in tokens, is a shelf.
+4. A query set asks a shelf: its overlap with a group's union bounds its overlap with each member, so a group
    whose overlap is under ``percent`` of the larger of the query and the smallest member stays closed; the others
-   are opened and compared member by member, exactly.  A block is one group and at most ``QUERIES`` query sets, and
+   are opened and compared member by member, exactly.  A block is one shelf and at most ``QUERIES`` query sets, and
    it yields links that connect what it found linked, not all pairs.
-5. In turns every set asks one group only: that of the least component among the sets it shares a signature with.  So
-   most copies of a text are one component after a turn or two, however many they are.  When turns find little, every
-   set that is not in the largest component of a signature asks all its groups that hold another component,
+5. In turns every set asks one shelf only: that of the least label among the sets it shares a signature with.  Links
+   lower labels, so most copies of a text have one label after a turn or two, however many they are.  When turns find
+   little, every set that has not the commonest label of a signature asks all its shelves that hold another label,
    once.  Links join components by union-find on the whole link table.
 
 Only ids, signatures and the sets of documents that share a signature are shuffled, through tables in the shared
@@ -38,9 +39,10 @@ from fraudlens.llm.neardup import shingle_set
 from fraudlens.session import materialize
 
 PERCENT = 90                       # of 100: the least Jaccard similarity of a link
-GROUP_BITS = 6                     # 2^6 sets of a group
-QUERIES = 256                      # query sets that meet a group in one block
-LAST_SHARE = 0.02                  # of the asked sets: turns go on while at least so many find a link
+GROUP = 64                         # sets of a group
+SHELF, SHELF_TOKENS = 512, 1 << 17  # sets and tokens of a shelf; a larger set has one of its own
+QUERIES = 256                      # query sets that meet a shelf in one block
+LAST_SHARE = 0.25                  # of the asked sets: turns go on while so many find a link
 _STEP = 1.5                        # ratio of the size classes
 
 
@@ -151,83 +153,123 @@ def open_group(q_flat, q_sizes, g_flat, g_sizes, percent: int) -> tuple[np.ndarr
     return np.concatenate(out_q), np.concatenate(out_g), opened
 
 
+def _shelved(group: int, shelf: int, tokens: int):
+    """Numbers the shelves and groups of rows (id, n) that come in order."""
+    def run(batches):
+        k, sets, held = -1, shelf, 0                       # of this partition: the shelf, its sets and tokens so far
+        for b in batches:
+            g, grp = np.empty(len(b), np.int64), np.empty(len(b), np.int32)
+            for i, n in enumerate(np.asarray(b.column(1), np.int64)):
+                if sets >= shelf or held + n > tokens:
+                    k, sets, held = k + 1, 0, 0
+                g[i], grp[i] = k, sets // group
+                sets, held = sets + 1, held + n
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(g + (np.asarray(b.column(2), np.int64) << 32)), pa.array(grp)],
+                                             ["id", "g", "grp"])
+    return run
+
+
 def _block(percent: int):
-    def run(key, queries: pa.Table, members: pa.Table) -> pa.Table:
+    def run(key, queries: pa.Table, shelf: pa.Table) -> pa.Table:
         out = []
-        if len(queries) and len(members):
-            ids, others = np.asarray(queries["id"], np.int64), np.asarray(members["id"], np.int64)
-            root = np.asarray(members["comp"], np.int64).copy()
+        ids = np.asarray(queries["id"], np.int64)
+        labels = {}                                        # labels of the shelf that this block has found to be one
+        of = np.asarray(shelf["grp"])
+        for grp in np.unique(of) if len(ids) else []:
+            members = shelf.filter(pa.array(of == grp))
+            others, root = (np.asarray(members[x], np.int64) for x in ("id", "comp"))
             q, g, _ = open_group(*_flat(queries["s"]), *_flat(members["s"]), percent)
-            cut = np.searchsorted(q, np.arange(len(ids) + 1))
-            for i in range(len(ids)):
-                linked = g[cut[i]:cut[i + 1]]
-                linked = linked[others[linked] != ids[i]]
-                roots, at = np.unique(root[linked], return_index=True)
-                out += [(ids[i], x) for x in others[linked[at]]]               # one link for each component
-                if len(roots) > 1:
-                    root[np.isin(root, roots)] = roots[0]
+            ok = others[g] != ids[q]
+            q, g = q[ok], g[ok]
+            # one link for each query and label, and none that only repeats what others of the block say
+            _, first = np.unique(np.stack([q, root[g]]), axis=1, return_index=True)
+            for i, j in zip(q[first].tolist(), g[first].tolist()):
+                a, b = _root(labels, ("q", i)), _root(labels, int(root[j]))
+                if a != b:
+                    labels[a] = b
+                    out.append((ids[i], others[j]))
         return pa.table(list(np.array(out, np.int64).reshape(-1, 2).T), names=["a", "b"])
     return run
 
 
-def _ask(asks: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int) -> DataFrame:
+def _root(labels: dict, x):
+    while x in labels:
+        labels[x] = labels.get(labels[x], labels[x])
+        x = labels[x]
+    return x
+
+
+def _ask(asks: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) found by ``asks`` (id, g), written."""
-    per = materialize(asks.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("parts")), "asked-groups")
+    per = materialize(asks.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("parts")), "asked-shelves")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
     left = asks.join(per, "g").select("g", own, "id").join(sets.select("id", "s"), "id").select("g", "part", "id", "s")
-    members = sets.select(F.col("g"), F.col("id").alias("id"), F.col("s").alias("s"))
-    if labels is not None:
-        members = members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    else:
-        members = members.withColumn("comp", F.col("id"))
-    right = per.select(F.col("g"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")).join(members, "g")
-    right = right.select(*[F.col(c).alias(c) for c in ("g", "part", "id", "comp", "s")])
+    right = per.select("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")).join(sets, "g").join(labels, "id")
+    right = right.select(*[F.col(c).alias(c) for c in ("g", "part", "grp", "id", "comp", "s")])
     return materialize(left.groupBy("g", "part").cogroup(right.groupBy("g", "part")).applyInArrow(
         _block(percent), "a bigint, b bigint"), "found")
 
 
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) as links between the labels of their ends, those inside a label dropped."""
+    a, b = (labels.select(F.col("id").alias(c), F.col("comp").alias(f"{c}_")) for c in "ab")
+    return links.join(a, "a").join(b, "b").where("a_ <> b_").select(F.col("a_").alias("a"), F.col("b_").alias("b")).distinct()
+
+
+def _lowered(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, comp), each lowered to the least linked one, a few steps on; written.  Equal labels are always
+    connected and a label is never above its id; connected ids may still differ."""
+    e = _between(links, labels)
+    near = e.union(e.select("b", "a")).groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("to"))
+    near = materialize(near, "lower")
+    for _ in range(2):
+        near = near.join(near.select(F.col("a").alias("to"), F.col("to").alias("far")), "to").select("a", F.col("far").alias("to"))
+    return materialize(labels.join(near.withColumnRenamed("a", "comp"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")),
+                       "labels")
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: str, k: int, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) between class representatives that connect every linked pair.
+    """Links (a, b) that connect every linked pair of class representatives.
 
     ``classes``: (rep, n, m1, m2, sigs), written; ``twice``: repeated ids.  ``docs`` is read again for the sets of
     those that share a signature."""
     rows = classes.select(F.col("rep").alias("id"), F.explode("sigs").alias("sig"))
     shared = materialize(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"), "shared")
     members = materialize(rows.join(shared, "sig"), "members")
-    links = members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     if members.isEmpty():
-        return links
+        return members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
     order = ["m1", "m2", "n", "id"]
     placed = members.select("id").distinct().join(classes.select(F.col("rep").alias("id"), "n", "m1", "m2"), "id")
-    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    groups = materialize(placed.select("id", F.shiftright(F.monotonically_increasing_id(), GROUP_BITS).alias("g")), "groups")
+    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "n", F.spark_partition_id().alias("p"))
+    groups = materialize(placed.mapInArrow(_shelved(GROUP, SHELF, SHELF_TOKENS), "id bigint, g bigint, grp int"), "groups")
     t = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col(text).alias("t"))
     # equal rows of a repeated id are one
     again = t.join(twice, "id", "left_semi").groupBy("id", F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")).drop("h")
     t = t.join(twice, "id", "left_anti").union(again).join(groups, "id")
-    sets = materialize(t.select("id", "g", shingle_set("t", k).alias("s")), "sets")
-    members = materialize(members.join(groups, "id"), "members")
-    act, labels = members.withColumn("comp", F.col("id")), None
-    done = groups.select("id", "g").limit(0)
+    sets = materialize(t.select("id", "g", "grp", shingle_set("t", k).alias("s")), "sets")
+    members = materialize(members.join(groups.select("id", "g"), "id"), "members")
+    labels = groups.select("id", F.col("id").alias("comp")).distinct()
+    done, links = groups.select("id", "g").limit(0), groups.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
 
-    # turns: a set asks one group, that of the least component of its signatures
+    # turns: a set asks one shelf, that of the least label of its signatures
     while True:
+        act = materialize(members.join(labels, "id"), "members")
         least = act.groupBy("sig").agg(F.min(F.struct("comp", "id", "g")).alias("c"), F.max("comp").alias("d")).where("c.comp < d")
         least = materialize(least.select("sig", F.col("c.comp").alias("c"), F.col("c.g").alias("c_g")), "centres")
-        asks = act.join(least, "sig").where("c <> comp").select("id", "c", F.col("c_g").alias("g")).distinct()
-        asks = asks.join(done, ["id", "g"], "left_anti").groupBy("id").agg(F.min(F.struct("c", "g")).alias("m"))
-        asks = materialize(asks.select("id", F.col("m.g").alias("g")), "asks")
+        asks = act.join(least, "sig").where("c <> comp").groupBy("id").agg(F.min(F.struct("c", F.col("c_g").alias("g"))).alias("m"))
+        asks = materialize(asks.select("id", F.col("m.g").alias("g")).join(done, ["id", "g"], "left_anti"), "asks")
         found = _ask(asks, sets, labels, percent)
         n_asked, n_found = asks.count(), found.select("a").distinct().count()
-        if n_found:
-            links = materialize(links.union(found), "links")
-            labels = materialize(components(links), "labels")
-            act = materialize(members.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "members")
         done = materialize(done.union(asks), "done")
-        if n_found <= LAST_SHARE * n_asked:
+        if not n_found:
+            break
+        links = materialize(links.union(found), "links")
+        labels = _lowered(labels, found)
+        if n_found < LAST_SHARE * n_asked:
+            act = materialize(members.join(labels, "id"), "members")
             break
 
-    # the rest: all groups of a signature that hold another component
+    # the rest: all shelves of a signature that hold another label
     per = act.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("c"))
     big = per.groupBy("sig").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("m")).where("comps > 1")
     big = materialize(big.select("sig", F.col("m.comp").alias("big")), "mixed")
@@ -235,7 +277,8 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     held = mixed.groupBy("sig", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     asks = mixed.where("comp <> big").select("sig", "id", "comp").join(held, "sig").where("lo <> comp or hi <> comp")
     asks = materialize(asks.select("id", "g").distinct().join(done, ["id", "g"], "left_anti"), "asks")
-    return links.union(_ask(asks, sets, labels, percent))
+    links = links.union(_ask(asks, sets, labels, percent))
+    return _between(links, labels).union(labels.where("id <> comp").select("id", "comp"))
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", k: int = 3, percent: int = PERCENT) -> DataFrame:

@@ -80,10 +80,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("group_bits,queries", [(6, 256), (2, 5)])
-def test_components_against_brute_force(spark, monkeypatch, group_bits, queries):
-    monkeypatch.setattr(groupjoin, "GROUP_BITS", group_bits)
-    monkeypatch.setattr(groupjoin, "QUERIES", queries)
+@pytest.mark.parametrize("sizes", [{}, {"GROUP": 4, "SHELF": 12, "QUERIES": 5}, {"SHELF_TOKENS": 150, "LAST_SHARE": 0.0}])
+def test_components_against_brute_force(spark, monkeypatch, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(groupjoin, name, value)
     rows = corpus()
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame([(*r, "s", 1, "c", 2, "i") for r in rows], DOCS).repartition(4)
