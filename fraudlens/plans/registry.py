@@ -35,4 +35,4 @@ def tbl(spark, sf, name):
     return read_table(spark, sf, name)
 
 
-from fraudlens.plans import q_features, q_core, q_profile, q_model  # noqa: E402,F401  (registers)
+from fraudlens.plans import q_features, q_core, q_profile, q_model, q_neighbors  # noqa: E402,F401  (registers)
