@@ -148,7 +148,9 @@ class NeighborIndex:
         found = every.withColumn("r", F.row_number().over(w)).where(F.col("r") <= self.k + 1).drop("r")
         scale = F.element_at(F.create_map(*[x for i, (_, c) in enumerate(self.spaces) for x in (F.lit(i), F.lit(float(bin(c).count("1"))))]
                                           or [F.lit(-1), F.lit(1.0)]), F.col("space"))
-        return distinct, materialize(found.withColumn("d2", F.col("d2") * float(len(self.cols)) / scale), "found")
+        # complete rows keep their exact sum
+        scaled = F.when(scale == len(self.cols), F.col("d2")).otherwise(F.col("d2") * float(len(self.cols)) / scale)
+        return distinct, materialize(found.withColumn("d2", scaled), "found")
 
     def _choose(self, second: bool, fill: bool):
         """Blocks that queries visit: first the ring they lie in, then all others that may hold a nearer row."""
@@ -169,19 +171,17 @@ class NeighborIndex:
                     cell = own[:, 1].astype(int)
                     size = np.bincount(cell, own[:, 4], minlength=len(pivots))
                     gaps = np.sqrt(_squares(pivots, pivots, on))
-                    for at in range(0, len(mine), 512):
-                        some = mine[at:at + 512]
+                    limit = np.array([dict(x).get(s, np.inf) if x else np.inf for x in bounds])
+                    for at in range(0, len(mine), 256):
+                        some = mine[at:at + 256]
                         d = np.sqrt(_squares(x[some], pivots, on))
                         home = np.where(size > k, d, np.inf).argmin(1)
-                        for i, r in enumerate(some):
-                            first = _first_ring(own, home[i], d[i, home[i]], k, v[r]) if size[home[i]] > k else []
-                            if not second:
-                                take = first
-                            else:
-                                take = _others(own, cell, d[i], home[i], gaps[home[i]], (dict(bounds[r]) if bounds[r] else {}).get(s), first)
-                            if len(take):
-                                out.append(np.column_stack([np.full(len(take), s), take, np.full(len(take), v[r])]))
-                                rows.append(np.full(len(take), r))
+                        least = np.maximum(0, np.maximum(d[:, cell] - own[:, 6], own[:, 5] - d[:, cell]))
+                        first, only = _first_blocks(own, cell, size, home, least, k, v[some])
+                        may = _reachable(own, cell, d, home, gaps, least, limit[some]) if second else first
+                        i, part = _parts(own, may, first, only, second)
+                        out.append(np.column_stack([np.full(len(i), s), part, v[some][i]]))
+                        rows.append(some[i])
                 out, rows = np.concatenate(out), np.concatenate(rows)
                 cols = [pa.array(out[:, i].astype(np.int32)) for i in range(4)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(out[:, 4]), b.column(0).take(pa.array(rows))],
@@ -242,37 +242,35 @@ def _assign(pivots: np.ndarray, spaces: list[tuple[int, int]], width: int):
     return run
 
 
-def _parts(blocks: np.ndarray) -> np.ndarray:
-    """(cell, ring, part) of all parts of ``blocks``."""
-    n = blocks[:, 3].astype(int)
-    part = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.column_stack([np.repeat(blocks[:, 1:3].astype(np.int64), n, axis=0), part])
-
-
-def _first_ring(own: np.ndarray, home: int, d: float, k: int, v: int) -> np.ndarray:
-    """Parts of the home cell that give a bound: one of the ring that holds the query if that is enough, else the cell."""
-    rings = own[own[:, 1] == home]
-    enough = rings[rings[:, 4] > k]
-    if not len(enough):
-        return _parts(rings)
-    gap = np.maximum(0, np.maximum(d - enough[:, 6], enough[:, 5] - d))
-    ring = enough[[gap.argmin()]]
-    parts = _parts(ring)
-    return parts[[int(v) % len(parts)]] if ring[0, 4] >= 8 * k * len(parts) else parts
+def _first_blocks(own, cell, size, home, least, k: int, v) -> tuple[np.ndarray, np.ndarray]:
+    """(mask of queries x blocks, part or -1): what gives a query its bound.  That is the ring of its home cell that
+    holds it, or one part of a large one; rings of k rows or fewer give none, then it is the whole cell."""
+    here = (cell == home[:, None]) & (size[home] > k)[:, None]
+    gap = np.where(here & (own[:, 4] > k), least, np.inf)
+    ring, some = gap.argmin(1), np.isfinite(gap.min(1))
+    mask = np.where(some[:, None], np.arange(len(own)) == ring[:, None], here)
+    parts = own[ring, 3].astype(np.int64)
+    return mask, np.where(some & (own[ring, 4] >= 8 * k * parts), v % parts, -1)
 
 
-def _others(own, cell, d, home, gaps, bound, first) -> np.ndarray:
-    least = np.maximum(0, np.maximum(d[cell] - own[:, 6], own[:, 5] - d[cell]))
+def _reachable(own, cell, d, home, gaps, least, bound) -> np.ndarray:
+    """Mask of queries x blocks: what may hold a row within the bound."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        behind = (d[cell] ** 2 - d[home] ** 2) / (2 * gaps[cell])
+        behind = (d[:, cell] ** 2 - d[np.arange(len(d)), home][:, None] ** 2) / (2 * gaps[home][:, cell])
     least = np.maximum(least, np.where(np.isfinite(behind), behind, 0))
     # a margin for rounding: a block is never left out by the last bits of its bound
-    may = np.ones(len(own), bool) if bound is None else least <= np.sqrt(bound) * (1 + 1e-9) + 1e-12 + 1e-9 * (d[cell] + own[:, 6])
-    parts = _parts(own[may])
-    if len(first):
-        seen = (parts[:, None, :] == first[None, :, :]).all(2).any(1)
-        parts = parts[~seen]
-    return parts
+    return least <= np.sqrt(bound)[:, None] * (1 + 1e-9) + 1e-12 + 1e-9 * (d[:, cell] + own[:, 6])
+
+
+def _parts(own, may, first, only, second: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(query, (cell, ring, part)) of the parts to visit: those of the first round, or all others of the second."""
+    i, block = np.nonzero(may)
+    n = own[block, 3].astype(np.int64)
+    part = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    i, block = np.repeat(i, n), np.repeat(block, n)
+    early = first[i, block] & ((only[i] < 0) | (only[i] == part))
+    keep = ~early if second else early
+    return i[keep], np.column_stack([own[block[keep], 1:3].astype(np.int64), part[keep]])
 
 
 def nearest(queries: DataFrame, donors: DataFrame, cols: list[str], k: int, id_col: str, y: str | None = None,
