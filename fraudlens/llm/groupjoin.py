@@ -42,6 +42,7 @@ PERCENT = 90                       # of 100: the least Jaccard similarity of a l
 GROUP = 64                         # sets of a group
 SHELF, SHELF_TOKENS = 512, 1 << 17  # sets and tokens of a shelf; a larger set has one of its own
 QUERIES = 256                      # query sets that meet a shelf in one block
+LOWER = 3                          # times that a turn lowers the labels
 LAST_SHARE = 0.25                  # of the asked sets: turns go on while so many find a link
 _STEP = 1.5                        # ratio of the size classes
 
@@ -217,19 +218,22 @@ def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _lowered(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (id, comp), each lowered to the least linked one, a few steps on; written.  Equal labels are always
-    connected and a label is never above its id; connected ids may still differ."""
-    e = _between(links, labels)
-    near = e.union(e.select("b", "a")).groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("to"))
-    near = materialize(near, "lower")
-    for _ in range(2):
-        near = near.join(near.select(F.col("a").alias("to"), F.col("to").alias("far")), "to").select("a", F.col("far").alias("to"))
-    return materialize(labels.join(near.withColumnRenamed("a", "comp"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")),
-                       "labels")
-
-
-def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: str, k: int, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) that connect every linked pair of class representatives.
+    """``labels`` (id, comp), each lowered to the least linked one, ``LOWER`` times a few steps on; written.  Equal labels are
+    always connected and a label is never above its id; connected ids may still differ."""
+    for _ in range(LOWER):
+        e = _between(links, labels)
+        near = e.union(e.select("b", "a")).groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("to"))
+        near = materialize(near, "lower")
+        for _ in range(2):
+            near = near.join(near.select(F.col("a").alias("to"), F.col("to").alias("far")), "to").select("a", F.col("far").alias("to"))
+        labels = materialize(labels.join(near.withColumnRenamed("a", "comp"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")),
+                             "labels")
+    return labels
+
+
+def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: str, k: int,
+                 percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Labels (id, comp) of class representatives and links (a, b) between labels that together connect every linked pair.
 
     ``classes``: (rep, n, m1, m2, sigs), written; ``twice``: repeated ids.  ``docs`` is read again for the sets of
     those that share a signature."""
@@ -237,7 +241,8 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     shared = materialize(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"), "shared")
     members = materialize(rows.join(shared, "sig"), "members")
     if members.isEmpty():
-        return members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+        none = members.select(F.col("id").alias("a"), F.col("id").alias("b"))
+        return none.toDF("id", "comp"), none
     order = ["m1", "m2", "n", "id"]
     placed = members.select("id").distinct().join(classes.select(F.col("rep").alias("id"), "n", "m1", "m2"), "id")
     placed = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "n", F.spark_partition_id().alias("p"))
@@ -274,11 +279,17 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     big = per.groupBy("sig").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("m")).where("comps > 1")
     big = materialize(big.select("sig", F.col("m.comp").alias("big")), "mixed")
     mixed = materialize(act.join(big, "sig"), "mixed-members")
-    held = mixed.groupBy("sig", "g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    asks = mixed.where("comp <> big").select("sig", "id", "comp").join(held, "sig").where("lo <> comp or hi <> comp")
+    # a shelf has one label ("only") or several (null); signatures of equal shelves are one kind, so that a set asks for
+    # the shelves of a kind once, however many of its signatures are of that kind
+    held = mixed.groupBy("sig", "g").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("only"))
+    held = materialize(held, "held")
+    two = [F.bit_xor(F.xxhash64(F.lit(i), "g", "only")).alias(f"x{i}") for i in (1, 2)]
+    kind = materialize(held.groupBy("sig").agg(*two, F.count(F.lit(1)).alias("x3")), "kinds")
+    kind = kind.join(kind.groupBy("x1", "x2", "x3").agg(F.min("sig").alias("kind")), ["x1", "x2", "x3"]).select("sig", "kind")
+    asks = mixed.where("comp <> big").select("sig", "id", "comp").join(kind, "sig").select("kind", "id", "comp").distinct()
+    asks = asks.join(held.withColumnRenamed("sig", "kind"), "kind").where("only is null or only <> comp")
     asks = materialize(asks.select("id", "g").distinct().join(done, ["id", "g"], "left_anti"), "asks")
-    links = links.union(_ask(asks, sets, labels, percent))
-    return _between(links, labels).union(labels.where("id <> comp").select("id", "comp"))
+    return labels, _between(links.union(_ask(asks, sets, labels, percent)), labels)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", k: int = 3, percent: int = PERCENT) -> DataFrame:
@@ -289,13 +300,18 @@ def jaccard_components(docs: DataFrame, text: str = "text", k: int = 3, percent:
         F.min("doc_id").alias("rep"), F.first("m1").alias("m1"), F.first("m2").alias("m2"), F.first("sigs").alias("sigs")), "classes")
     twice = linkable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("doc_id").alias("id"))
     twice = materialize(twice, "repeated")
-    links = link_classes(classes, docs, twice, text, k, percent)
+    labels, links = link_classes(classes, docs, twice, text, k, percent)
     # rows that repeat an id tie the classes of their texts together
     ties = linkable.join(twice.withColumnRenamed("id", "doc_id"), "doc_id").join(classes.select("n", "k1", "k2", "rep"), ["n", "k1", "k2"]).select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    labels = components(links.unionByName(ties))
-    of_class = materialize(classes.select("n", "k1", "k2", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "n", "k1", "k2", F.coalesce("comp", "rep").alias("component_id")), "class-components")
+    to = [labels.select(F.col("id").alias(c), F.col("comp").alias(f"{c}_")) for c in "ab"]
+    ties = ties.join(to[0], "a", "left").join(to[1], "b", "left").select(F.coalesce("a_", "a").alias("a"), F.coalesce("b_", "b").alias("b"))
+    # a label is never above its ids, so the least label reached is the least id reached
+    joined = components(links.unionByName(ties)).withColumnRenamed("id", "label")
+    of_class = classes.select("n", "k1", "k2", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "n", "k1", "k2", F.coalesce("comp", "rep").alias("label"))
+    of_class = materialize(of_class.join(joined, "label", "left").select("n", "k1", "k2", F.coalesce("comp", "label").alias("component_id")),
+                           "class-components")
     out = signed.select("doc_id", "n", "k1", "k2").join(of_class, ["n", "k1", "k2"], "left")
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
     return out.select("doc_id", F.col("n").alias("n_shingles"),
