@@ -36,11 +36,12 @@ from pyspark.sql import types as T
 
 from fraudlens.llm.components import components
 from fraudlens.llm.neardup import shingle_set
+from fraudlens.operators.prefix import with_global_cumsum
 from fraudlens.session import materialize
 
 PERCENT = 90                       # of 100: the least Jaccard similarity of a link
 GROUP = 64                         # sets of a group
-SHELF, SHELF_TOKENS = 512, 1 << 17  # sets and tokens of a shelf; a larger set has one of its own
+SHELF, SHELF_TOKENS = 1024, 1 << 18  # sets and tokens of a shelf
 QUERIES = 256                      # query sets that meet a shelf in one block
 LOWER = 3                          # times that a turn lowers the labels
 LAST_SHARE = 0.25                  # of the asked sets: turns go on while so many find a link
@@ -154,20 +155,13 @@ def open_group(q_flat, q_sizes, g_flat, g_sizes, percent: int) -> tuple[np.ndarr
     return np.concatenate(out_q), np.concatenate(out_g), opened
 
 
-def _shelved(group: int, shelf: int, tokens: int):
-    """Numbers the shelves and groups of rows (id, n) that come in order."""
-    def run(batches):
-        k, sets, held = -1, shelf, 0                       # of this partition: the shelf, its sets and tokens so far
-        for b in batches:
-            g, grp = np.empty(len(b), np.int64), np.empty(len(b), np.int32)
-            for i, n in enumerate(np.asarray(b.column(1), np.int64)):
-                if sets >= shelf or held + n > tokens:
-                    k, sets, held = k + 1, 0, 0
-                g[i], grp[i] = k, sets // group
-                sets, held = sets + 1, held + n
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(g + (np.asarray(b.column(2), np.int64) << 32)), pa.array(grp)],
-                                             ["id", "g", "grp"])
-    return run
+def shelved(sets: DataFrame) -> DataFrame:
+    """(id, g, grp) of rows (id, n, m1, m2): shelf and group by place in the order of the least hashes, and by the tokens so
+    far, whatever the number of partitions.  A shelf has at most ``SHELF`` sets, and ``SHELF_TOKENS`` tokens before its last."""
+    rows = with_global_cumsum(sets.withColumn("one", F.lit(1)), ["m1", "m2", "n", "id"], ["n", "one"], ["tokens", "sets"])
+    at, before = (F.col("sets") - 1).cast("bigint"), (F.col("tokens") - F.col("n")).cast("bigint")
+    shelf = F.shiftleft(F.floor(at / SHELF).cast("bigint"), 31) + F.pmod(F.floor(before / SHELF_TOKENS).cast("bigint"), F.lit(1 << 31))
+    return rows.select("id", shelf.alias("g"), F.floor(F.pmod(at, F.lit(SHELF)) / GROUP).cast("int").alias("grp"))
 
 
 def _block(percent: int):
@@ -243,10 +237,8 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     if members.isEmpty():
         none = members.select(F.col("id").alias("a"), F.col("id").alias("b"))
         return none.toDF("id", "comp"), none
-    order = ["m1", "m2", "n", "id"]
     placed = members.select("id").distinct().join(classes.select(F.col("rep").alias("id"), "n", "m1", "m2"), "id")
-    placed = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "n", F.spark_partition_id().alias("p"))
-    groups = materialize(placed.mapInArrow(_shelved(GROUP, SHELF, SHELF_TOKENS), "id bigint, g bigint, grp int"), "groups")
+    groups = materialize(shelved(placed), "groups")
     t = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col(text).alias("t"))
     # equal rows of a repeated id are one
     again = t.join(twice, "id", "left_semi").groupBy("id", F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")).drop("h")
