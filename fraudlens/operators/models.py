@@ -26,7 +26,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.operators.sampling import uniform
+from fraudlens.operators.resampling import ResamplingPipeline
+from fraudlens.operators.sampling import stratified_folds, uniform
 from fraudlens.session import materialize
 from fraudlens.operators.scalar import attach
 
@@ -63,11 +64,15 @@ def make_classifier(name: str, label="is_fraud", weight_col: str | None = "weigh
     return cls(**kw)
 
 
-def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selectors=(), forest=None) -> Pipeline:
-    """Preparation -> selectors -> assembler -> ``forest`` selection -> classifier (all fitted inside each fold)."""
+def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selectors=(), forest=None, resampling=None) -> Pipeline:
+    """Preparation -> selectors -> ``resampling`` -> assembler -> ``forest`` selection -> classifier (all fitted
+    inside each fold; a ``Resampler`` changes the rows that later stages are fitted on and no scored row)."""
     if forest is not None:
         classifier = classifier.copy().setFeaturesCol(forest.output_col)
-    return Pipeline(stages=[*prep_stages, *selectors, assembler(feature_cols), *([forest] if forest else []), classifier])
+    before, after = [*prep_stages, *selectors], [assembler(feature_cols), *([forest] if forest else []), classifier]
+    if resampling is not None:
+        return ResamplingPipeline(stages=[*before, resampling, *after])
+    return Pipeline(stages=[*before, *after])
 
 
 def f2_evaluator(label="is_fraud", beta: float = 2.0) -> MulticlassClassificationEvaluator:
@@ -135,6 +140,60 @@ def param_grid(estimator, config_rows: list[dict]) -> list:
     return b.build()
 
 
+def _typed(cells: list[str], kind: str) -> list:
+    if kind == "bool":
+        if bad := [c for c in cells if c.lower() not in ("true", "false")]:
+            raise ValueError(f"not a boolean: {bad[0]!r}")
+        return [c.lower() == "true" for c in cells]
+    return [{"int": int, "float": float, "str": str}[kind](c) for c in cells]
+
+
+def read_grid(spark, path: str, model_name: str) -> dict[str, list]:
+    """M9: parameter -> values of one model in a grid file.
+
+    CSV columns ``model_name, parameter, values, value_type, special_type``; ``value_type`` is ``string`` (one value),
+    ``list`` (cells of ``special_type`` int, float, str or bool), ``range`` (start|stop|step, stop excluded), ``logspace``
+    (first and last power of ten|number) or ``bool``.  An unknown type raises; a model without lines has no grid."""
+    rows = spark.read.csv(path, header=True).where(F.col("model_name") == model_name).collect()    # a configuration file
+    out = {}
+    for r in rows:
+        cells = [c.strip() for c in str(r["values"]).split("|")]
+        kind = r["value_type"]
+        if kind == "string":
+            out[r["parameter"]] = [r["values"]]
+        elif kind == "list":
+            out[r["parameter"]] = _typed(cells, r["special_type"] or "str")
+        elif kind == "range":
+            out[r["parameter"]] = list(range(*map(int, cells)))
+        elif kind == "logspace":
+            out[r["parameter"]] = [float(v) for v in np.logspace(float(cells[0]), float(cells[1]), int(float(cells[2])))]
+        elif kind == "bool":
+            out[r["parameter"]] = _typed(cells, "bool")
+        else:
+            raise ValueError(f"unknown value_type {kind!r} of {r['parameter']}")
+    return out
+
+
+#: Names of grid files -> parameters of the Spark estimators (fixed values).
+PARAM_NAMES = {"n_estimators": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize", "C": "regParam", "max_iter": "maxIter",
+               "min_samples_leaf": "minInstancesPerNode", "max_bins": "maxBins", "subsample": "subsamplingRate"}
+
+
+def grid_of(estimator, values: dict[str, list]) -> list:
+    """M9: ParamMaps for every combination of ``read_grid`` values that the estimator has a parameter for.
+
+    ``C`` is the inverse of the regularisation strength; names that the estimator lacks raise."""
+    b = ParamGridBuilder()
+    for name, v in values.items():
+        here = PARAM_NAMES.get(name, name)
+        if here == "maxIter" and estimator.hasParam("numTrees"):
+            here = "numTrees"
+        if not estimator.hasParam(here):
+            raise ValueError(f"{type(estimator).__name__} has no parameter for {name!r}")
+        b = b.addGrid(estimator.getParam(here), [1 / x for x in v] if name == "C" else v)
+    return b.build()
+
+
 def grid_combinations(config_rows: list[dict]) -> list[dict]:
     vals = [(r["parameter"], parse_grid_values(r["values"], r["value_type"], r.get("special_type"))) for r in config_rows]
     return [dict(zip([v[0] for v in vals], combo)) for combo in itertools.product(*[v[1] for v in vals])]
@@ -156,7 +215,6 @@ def tune_repeated(pipeline: Pipeline, grid: list, train: DataFrame, label="is_fr
     assignment per repeat (different hash seeds), mean F2 per setting over all
     repeats, refit of the best setting on the whole training set.
     Returns (best model, [(param map, mean score)])."""
-    from fraudlens.operators.sampling import stratified_folds
     scores = [0.0] * len(grid)
     for r in range(repeats):
         folds = stratified_folds(train, label, k=k, seed=seed + r, name="_fold")
@@ -167,6 +225,38 @@ def tune_repeated(pipeline: Pipeline, grid: list, train: DataFrame, label="is_fr
     return pipeline.fit(train, grid[best]), list(zip(grid, scores))
 
 
+def tune_with_trace(pipeline: Pipeline, grid: list, train: DataFrame, label="is_fraud", k: int = 5, repeats: int = 3,
+                    parallelism: int = 4, seed: int = 42, beta: float = 2.0) -> tuple[PipelineModel, DataFrame]:
+    """Repeated stratified folds with the score of the held-out and of the fitted part of every split.
+
+    Returns the best setting fitted on all of ``train`` and the trace: (params, mean_test_score, std_test_score,
+    mean_train_score, std_train_score, rank, test_scores, train_scores), a row for each setting, ties of rank by order in
+    the grid.  A repeat's folds are written once; its fits run ``parallelism`` at a time; the driver holds two numbers a fit."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    spark, evaluator = train.sparkSession, f2_evaluator(label, beta)
+    held, seen = [[] for _ in grid], [[] for _ in grid]
+    for r in range(repeats):
+        folds = materialize(stratified_folds(train, label, k=k, seed=seed + r, name="_fold"), "folds")
+
+        def one(job):
+            setting, fold = job
+            inside, outside = folds.where(F.col("_fold") != fold).drop("_fold"), folds.where(F.col("_fold") == fold).drop("_fold")
+            model = pipeline.fit(inside, grid[setting])
+            return setting, float(evaluator.evaluate(model.transform(outside))), float(evaluator.evaluate(model.transform(inside)))
+        with ThreadPool(parallelism) as pool:
+            for setting, test, fitted in pool.map(inheritable_thread_target(spark)(one), [(s, f) for s in range(len(grid)) for f in range(k)]):
+                held[setting].append(test)
+                seen[setting].append(fitted)
+    order = sorted(range(len(grid)), key=lambda s: (-np.mean(held[s]), s))
+    rows = [(json.dumps({p.name: v for p, v in grid[s].items()}, sort_keys=True, default=str), float(np.mean(held[s])), float(np.std(held[s])),
+             float(np.mean(seen[s])), float(np.std(seen[s])), order.index(s) + 1, held[s], seen[s]) for s in range(len(grid))]
+    trace = spark.createDataFrame(rows, "params string, mean_test_score double, std_test_score double, mean_train_score double, "
+                                        "std_train_score double, rank int, test_scores array<double>, train_scores array<double>")
+    return pipeline.fit(train, grid[order[0]]), trace
+
+
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Single fit without tuning."""
     return pipeline.fit(train)
@@ -184,7 +274,7 @@ def tuning_trace(cv_model, spark) -> DataFrame:
 
 # ------------------------------------------------------------------ M6 AdaBoost
 
-def adaboost(train: DataFrame, feature_cols: list[str], label="is_fraud", rounds: int = 10, max_depth: int = 1,
+def adaboost(train: DataFrame, feature_cols: list[str], label="is_fraud", rounds: int = 50, max_depth: int = 1,
              checkpoint_every: int = 3):
     """M6: SAMME boosting of weighted depth-1 trees.  Row weights live in a
     column updated each round; the rows are written to the shared checkpoint

@@ -8,6 +8,8 @@
 """
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from fraudlens.operators import models as M
 from fraudlens.operators import profile as G
 from fraudlens.operators import quality as Q
 from fraudlens.operators.windows import rapid_share_by_label
+from fraudlens.operators.prep import ExactImputer
 from fraudlens.plans import training as TR
 from fraudlens.sources import io as S
 
@@ -60,28 +63,44 @@ def cleanse_and_profile(tx: DataFrame, schema_df: DataFrame, target: str = "is_f
 
 def train_and_evaluate(tx: DataFrame, family: str = "gbt", grid_rows: list[dict] | None = None,
                        model_root: str | None = None, target: str = "is_fraud", k: int = 5, repeats: int = 3,
-                       out: str | None = None, **params) -> dict:
+                       out: str | None = None, grid_file: str | None = None, model_name: str | None = None,
+                       drop: list[str] = (), prep_stages=None, selectors=(), forest=None, resampling=None, **params) -> dict:
     """Entry 2: tune on the time-ordered training part, keep the model and its
-    run record, score the test part and evaluate it."""
-    train, test = TR.train_test(tx)
+    run record, score the test part and evaluate it.
+
+    The tuned pipeline is the whole of it: features without the ``drop`` list, imputer (``prep_stages``; the median by
+    default), ``selectors``, ``resampling``, ``forest`` selection and classifier, all fitted inside each fold.  The grid comes
+    from ``grid_rows`` or from the lines of ``model_name`` in ``grid_file``; the trace has test and train scores."""
+    train, test = TR.train_test(tx, impute=False)
+    features = [c for c in TR.MODEL_FEATURES if c not in set(drop)]
+    if prep_stages is None:
+        prep_stages = [ExactImputer([c for c in ("amount", "customer_id_ma_amount_1d") if c in features], strategy="median")]
     clf = M.make_classifier(family, label=target, **params)
-    pipe = M.build_pipeline(TR.MODEL_FEATURES, clf)
+    pipe = M.build_pipeline(features, clf, prep_stages, selectors, forest, resampling)
+    clf = pipe.getStages()[-1]
     spark = tx.sparkSession
-    if grid_rows:
-        grid = M.param_grid(clf, grid_rows)
-        model, trace = M.tune_repeated(pipe, grid, train, target, k=k, repeats=repeats)
-        best_params, best = max(trace, key=lambda t: t[1])
-        params_used = {p.name: v for p, v in best_params.items()}
+    values = {r["parameter"]: r["values"] for r in grid_rows or []}
+    grid = M.param_grid(clf, grid_rows) if grid_rows else None
+    if grid_file:
+        values = M.read_grid(spark, grid_file, model_name or family)
+        grid = M.grid_of(clf, values)
+    trace = None
+    if grid:
+        model, trace = M.tune_with_trace(pipe, grid, train, target, k=k, repeats=repeats)
+        first = trace.where("rank = 1").first()
+        best, params_used = first["mean_test_score"], json.loads(first["params"])
     else:
         model, best, params_used = M.fit(pipe, train), None, dict(params)
     version = None
     if model_root:
         version = S.save_model(spark, model, model_root, target)
         S.save_run_record(spark, model_root, target, version, params_used, best,
-                          {r["parameter"]: r["values"] for r in grid_rows or []})
+                          values)
     scored = M.score(model, test, keep=("transaction_id", target))
     reports = {"confusion": V.confusion_matrix(scored, target), "report": V.classification_report(scored, target),
                "scores": V.summary_scores(scored, target)}
+    if trace is not None:
+        reports["tuning_trace"] = trace
     if "p1" in scored.columns:
         reports["pr_curve"] = V.pr_curve(scored, target)
         reports["average_precision"] = V.average_precision(scored, target)

@@ -312,10 +312,10 @@ def q_l5(spark, sf):
     return L.time_series_folds(tx(spark, sf).select("transaction_id", "transaction_date")).select("transaction_id", "test_fold")
 
 
-@register("l6_sample_rows", with_tx(f"SELECT transaction_id, day_no FROM transactions WHERE day_no < 10 ORDER BY {U()}, transaction_id LIMIT 500"))
+@register("l6_sample_rows", with_tx(f"SELECT transaction_id, day_no FROM transactions WHERE day_no < 10 ORDER BY {U()}, transaction_id LIMIT 5000"))
 def q_l6(spark, sf):
     t = tx(spark, sf).select("transaction_id", "day_no").where(F.col("day_no") < 10)
-    return L.sample_rows(t, 500, method="lehmer")
+    return L.sample_rows(t, 5000, method="lehmer")
 
 
 @register("l7_class_weights", with_tx("""SELECT transaction_id, CASE WHEN is_fraud = 1 THEN
@@ -386,7 +386,7 @@ def q_m5(spark, sf):
 @register("m6_adaboost")
 def q_m6(spark, sf):
     train, test = TR.train_test(tx(spark, sf))
-    model = M.adaboost(train, TR.MODEL_FEATURES, rounds=10)
+    model = M.adaboost(train, TR.MODEL_FEATURES)
     return M.adaboost_score(model, test)
 
 

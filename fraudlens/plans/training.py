@@ -22,13 +22,15 @@ def model_frame(tx: DataFrame) -> DataFrame:
                     F.col("is_fraud").cast("double").alias("is_fraud"))
 
 
-def train_test(tx: DataFrame, test_ratio: float = 0.2):
+def train_test(tx: DataFrame, test_ratio: float = 0.2, impute: bool = True):
     """Time split of the model frame; the median imputer and the class weight are
-    fitted on the train part alone.  The frame is written once to the shared
+    fitted on the train part alone (``impute=False``: no imputer, for pipelines that bring their own).  The frame is written once to the shared
     checkpoint folder: model fits make many passes over it and should not
     recompute the feature lineage each time."""
     m = materialize(L.time_split(model_frame(tx), test_ratio=test_ratio), "model-frame")
     train, test = m.where(~F.col("is_test")), m.where(F.col("is_test"))
+    if not impute:
+        return L.with_weights(train, positive_weight=None), test
     imputer = ExactImputer(["amount", "customer_id_ma_amount_1d"], strategy="median").fit(train)
     return L.with_weights(imputer.transform(train), positive_weight=None), imputer.transform(test)
 

@@ -176,3 +176,64 @@ def test_enn_in_a_pipeline_keeps_incomplete_rows(spark):
     df = frame(spark, X, y)
     out = R.resample(df, "enn", COLS)
     assert out.columns == df.columns and out.where("transaction_id = 3").count() == 1
+
+
+# ------------------------------------------------------------------ grid files, tuning trace, the whole pipeline in the folds
+
+GRID = """model_name,parameter,values,value_type,special_type
+gbt,n_estimators,2|4,list,int
+gbt,learning_rate,0.1|0.5,list,float
+gbt,max_depth,1|4|2,range,
+lr,C,-1|1|3,logspace,
+lr,fitIntercept,true|False,bool,
+lr,family,binomial,string,
+bad,x,1,what,
+"""
+
+
+def test_grid_file(spark):
+    path = tempfile.mkdtemp(prefix="grid-") + "/grid.csv"
+    with open(path, "w") as f:
+        f.write(GRID)
+    gbt = M.read_grid(spark, path, "gbt")
+    assert gbt == {"n_estimators": [2, 4], "learning_rate": [0.1, 0.5], "max_depth": [1, 3]}
+    lr = M.read_grid(spark, path, "lr")
+    assert lr == {"C": [0.1, 1.0, 10.0], "fitIntercept": [True, False], "family": ["binomial"]}
+    assert len(M.grid_of(M.make_classifier("gbt"), gbt)) == 8
+    regs = {round(v, 6) for pm in M.grid_of(M.make_classifier("logistic_regression"), lr) for p, v in pm.items() if p.name == "regParam"}
+    assert regs == {10.0, 1.0, 0.1} and M.read_grid(spark, path, "none") == {}
+    with pytest.raises(ValueError):
+        M.read_grid(spark, path, "bad")
+    with pytest.raises(ValueError):
+        M.grid_of(M.make_classifier("gbt"), {"nope": [1]})
+
+
+def test_trace_has_test_and_train_scores(spark):
+    X, y = points(240, 17)
+    y = (X[:, 0] > 0.4).astype(float)
+    df = frame(spark, X, y).withColumn("weight", F.lit(1.0))
+    clf = M.make_classifier("decision_tree")
+    grid = M.param_grid(clf, [{"parameter": "maxDepth", "values": "0|2", "value_type": "list[int]"}])
+    model, trace = M.tune_with_trace(M.build_pipeline(COLS, clf), grid, df, k=2, repeats=2)
+    rows = {r.params: r for r in trace.collect()}
+    stump, tree = rows['{"maxDepth": 0}'], rows['{"maxDepth": 2}']
+    assert tree["rank"] == 1 and len(tree.test_scores) == len(tree.train_scores) == 4
+    assert tree.mean_train_score == pytest.approx(1.0) and tree.mean_test_score > 0.9 > stump.mean_test_score
+    assert tree.mean_test_score == pytest.approx(np.mean(tree.test_scores)) and model.stages[-1].depth <= 2
+
+
+def test_job_tunes_the_whole_pipeline(spark, sf_small):
+    from fraudlens.plans import jobs, training as TR
+    from fraudlens.sources.tables import transactions
+    path = tempfile.mkdtemp(prefix="grid-") + "/grid.csv"
+    with open(path, "w") as f:
+        f.write("model_name,parameter,values,value_type,special_type\ntree,max_depth,2|3,list,int\n")
+    numeric = [c for c in TR.MODEL_FEATURES if c != "seconds_since_last_ip"]
+    done = jobs.train_and_evaluate(
+        transactions(spark, sf_small), "decision_tree", grid_file=path, model_name="tree", k=2, repeats=1,
+        drop=["seconds_since_last_ip"], forest=M.ForestSelector(num_trees=20), resampling=R.Resampler(
+            "smote", numeric, weight_col="weight"))
+    kinds = [type(s).__name__ for s in done["model"].stages]
+    assert kinds[0] == "ImputerModel" and "VectorSlicer" in kinds and "Resampler" not in kinds
+    assert done["tuning_trace"].count() == 2 and done["params"]["maxDepth"] in (2, 3)
+    assert done["scores"].count() == 1
