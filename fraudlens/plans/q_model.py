@@ -312,10 +312,9 @@ def q_l5(spark, sf):
     return L.time_series_folds(tx(spark, sf).select("transaction_id", "transaction_date")).select("transaction_id", "test_fold")
 
 
-@register("l6_sample_rows", with_tx(f"SELECT transaction_id, day_no FROM transactions WHERE day_no < 10 ORDER BY {U()}, transaction_id LIMIT 5000"))
+@register("l6_sample_rows", with_tx(f"SELECT transaction_id, day_no FROM transactions ORDER BY {U()}, transaction_id LIMIT 5000"))
 def q_l6(spark, sf):
-    t = tx(spark, sf).select("transaction_id", "day_no").where(F.col("day_no") < 10)
-    return L.sample_rows(t, 5000, method="lehmer")
+    return L.sample_rows(tx(spark, sf).select("transaction_id", "day_no"), 5000, method="lehmer")
 
 
 @register("l7_class_weights", with_tx("""SELECT transaction_id, CASE WHEN is_fraud = 1 THEN
