@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from fraudlens.operators.prefix import with_global_position
 from fraudlens.session import materialize
 
-BLOCK, ANCHORS = 8192, 1024           # candidates and anchors of a tile
+BLOCK, ANCHORS = 2048, 1024           # candidates and anchors of a tile
 _SLICE = 64                           # anchors multiplied at a time
 
 

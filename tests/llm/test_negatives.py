@@ -65,7 +65,7 @@ def odd_rows():
     return rows + [(None, [0.5] * 6, 1), (331, [0.4, 0.2], 1), (332, [], 2)]
 
 
-@pytest.mark.parametrize("block,anchors", [(8192, 1024), (32, 2)])
+@pytest.mark.parametrize("block,anchors", [(2048, 1024), (32, 2)])
 def test_hard_negatives_against_brute_force(spark, monkeypatch, block, anchors):
     rows = odd_rows()
     df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], ROWS).repartition(5)
