@@ -1,25 +1,29 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton of labelled text is built.  A text is
-cut greedily into the longest phrases that occur in that text; the language
+cut greedily into the longest phrases that occur in that text (a letter that does not is one); the language
 whose phrases are fewest, weighed by log2 of its automaton's text length
 (the bits to point at a phrase), wins.
 
-The automata are made on the driver from a bounded sample: per language at
-most ``SAMPLE_DOCS`` labelled documents by hash order, ``SAMPLE_CHARS``
-characters of each, ``LANG_CHARS`` together.  Their size does not grow with
-the input.  Prediction is one pass without shuffle over whole texts: letters
+The automata are made on the driver from a bounded sample: per language one
+stretch of ``SAMPLE_CHARS`` characters, at a place given by the text's hash, of each
+of at most ``SAMPLE_DOCS`` different labelled texts, the first by hash.
+Their size does not grow with the input: a language has at most three
+transitions of 12 bytes for each of its ``SAMPLE_DOCS * SAMPLE_CHARS`` characters
+(1.1 MB), whatever its alphabet.  Every letter seen in training has a symbol of its own.
+Prediction is one pass without shuffle over whole texts: letters
 in lower case, any run of other characters as one blank, cut into stretches of
-``STRETCH`` symbols, which all advance together through the automata's tables.
+``STRETCH`` symbols, which all advance together through the automata's
+sorted (state, symbol) keys.
 
 Defined cases: null text, or text without a letter, is ``und`` with score 0;
 with equal phrase counts the first language by name wins; without labelled rows
 all are ``und``; rows without doc_id are predicted but not learned from;
-repeated rows are predicted alike; empty tables give no rows.
+repeated rows are predicted alike and learned from once; empty tables give no rows.
 """
 from __future__ import annotations
 
-from collections import Counter
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 
 from fraudlens.llm.textops import whole
 
-SAMPLE_DOCS, SAMPLE_CHARS, LANG_CHARS = 100, 1000, 30_000
+SAMPLE_DOCS, SAMPLE_CHARS = 100, 300
 STRETCH = 256
 UNKNOWN = "und"                    # fixed by the contract
 _BLANK, _OTHER, _FIRST = 0, 1, 2   # symbols: no letter, a letter not seen in training, letters
@@ -37,14 +41,13 @@ _WORKER: dict = {}
 
 
 def _letters(texts: list[str]) -> dict[str, int]:
-    """Symbols of the letters seen in training, the commonest 250."""
-    seen = Counter(c for t in texts for c in t.lower() if c.isalpha())
-    return {c: _FIRST + i for i, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:250])}
+    """Symbols of all letters seen in training."""
+    return {c: _FIRST + i for i, c in enumerate(sorted({c for t in texts for c in t.lower() if c.isalpha()}))}
 
 
 def symbol_table(letters: dict[str, int]) -> np.ndarray:
     """Symbol of every code point."""
-    table = np.fromiter((_OTHER if chr(i).isalpha() else _BLANK for i in range(0x110000)), np.uint8, 0x110000)
+    table = np.fromiter((_OTHER if chr(i).isalpha() else _BLANK for i in range(0x110000)), np.int32, 0x110000)
     for c, s in letters.items():
         for v in {c, c.upper()}:
             if len(v) == 1:
@@ -86,30 +89,28 @@ def automaton(seq: list[int]) -> list[dict[int, int]]:
     return go
 
 
-def _dense(seq: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
-    """(column of each symbol, next state by state and column or -1, bits of a phrase)."""
-    go = automaton(seq)
-    used = sorted(set(seq))
-    column = np.full(256, len(used), np.uint8)
-    column[used] = np.arange(len(used))
-    table = np.full((len(go), len(used) + 1), -1, np.int32)
-    for s, edges in enumerate(go):
-        for c, t in edges.items():
-            table[s, column[c]] = t
-    return column, table, float(np.log2(len(seq) + 1))
-
-
-def fit(labelled: DataFrame) -> dict:
-    """The model from rows (lang, text, h): automata over the first rows of each language by ``h``."""
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    rows = (labelled.select("lang", "h", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-            .withColumn("rn", first).where(F.col("rn") <= SAMPLE_DOCS).orderBy("lang", "rn").collect())
+def _sparse(seq: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
+    """(sorted keys ``symbol << 32 | state`` of the transitions, their next states, bits of a phrase)."""
+    edges = sorted((c << 32 | s, t) for s, out in enumerate(automaton(seq)) for c, t in out.items())
+    keys, to = np.array([*edges, (1 << 62, 0)], np.int64).T          # the last key matches nothing
+    return np.ascontiguousarray(keys), to.astype(np.int32), float(np.log2(len(seq) + 1))
+
+
+def fit(labelled: DataFrame, docs: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict:
+    """The model from rows (lang, text): automata over stretches of the first different texts of each language by hash."""
+    t = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
+    # hashes alone are shuffled; `docs` of them a language stay
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = t.select("lang", "h").distinct().withColumn("rn", first).where(F.col("rn") <= docs).select("lang", "h")
+    begin = F.pmod(F.col("h"), F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    rows = (t.join(chosen, ["lang", "h"]).select("lang", "h", F.substr("text", begin, F.lit(chars)).alias("text"))
+            .groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h").collect())
     letters = _letters([r["text"] for r in rows])
     table = symbol_table(letters)
     by_lang: dict[str, list[int]] = {}
     for r in rows:
         by_lang.setdefault(r["lang"], []).extend(symbols(" " + r["text"], table).tolist())
-    return {"letters": letters, "langs": sorted(by_lang), "automata": [_dense(by_lang[k][:LANG_CHARS]) for k in sorted(by_lang)]}
+    return {"letters": letters, "langs": sorted(by_lang), "automata": [_sparse(by_lang[k]) for k in sorted(by_lang)]}
 
 
 def phrase_counts(streams: list[np.ndarray], model: dict) -> np.ndarray:
@@ -125,20 +126,25 @@ def phrase_counts(streams: list[np.ndarray], model: dict) -> np.ndarray:
     size = np.array([len(x) for x in lanes])
     order = np.argsort(-size, kind="stable")
     size, owner = size[order], np.array(owner)[order]
-    grid = np.zeros((size[0], len(lanes)), np.uint8)
+    grid = np.zeros((size[0], len(lanes)), np.int64)
     for j, k in enumerate(order):
         grid[:size[j], j] = lanes[k]
+    grid <<= 32
     active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")     # lanes longer than each step
-    for lang, (column, table, _) in enumerate(model["automata"]):
-        width, flat, root = table.shape[1], table.ravel(), np.maximum(table[0], 0)
-        cols = column[grid]
+    seen, column = np.unique(grid, return_inverse=True)
+    column = column.reshape(grid.shape)
+    for lang, (keys, to, _) in enumerate(model["automata"]):
+        at = np.searchsorted(keys, seen)         # the root is state 0
+        root = np.where(keys[at] == seen, to[at], 0)
         state, count = np.zeros(len(lanes), np.int64), np.zeros(len(lanes), np.int64)
         for step, n in enumerate(active):
-            c = cols[step, :n]
-            nxt = flat[state[:n] * width + c]
-            miss = nxt < 0                       # the phrase ends before this symbol
-            count[:n] += miss
-            state[:n] = np.where(miss, root[c], nxt)
+            key = grid[step, :n] | state[:n]
+            at = np.searchsorted(keys, key)
+            miss = keys[at] != key               # the phrase ends before this symbol
+            begin = root[column[step, :n]]       # 0 for a letter not seen in training, a phrase by itself
+            count[:n] += miss & (state[:n] > 0)
+            count[:n] += miss & (begin == 0)
+            state[:n] = np.where(miss, begin, to[at])
         np.add.at(out[:, lang], owner, count + (state > 0))
     return out
 
@@ -146,7 +152,7 @@ def phrase_counts(streams: list[np.ndarray], model: dict) -> np.ndarray:
 def predict(docs: DataFrame, model: dict, text: str = "text", batch: int = 512) -> DataFrame:
     """(doc_id, lang_pred, score) per document; the score is the winner's share of 2^-bits."""
     known = docs.sparkSession.sparkContext.broadcast(model)
-    key = f"{id(known)}-{known.id if hasattr(known, 'id') else 0}"
+    key = hashlib.sha256("".join(model["letters"]).encode()).hexdigest()     # symbols go by place
     t = docs.select("doc_id", whole(text).alias("t"))
     schema = T.StructType([t.schema["doc_id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -176,7 +182,6 @@ def predict(docs: DataFrame, model: dict, text: str = "text", batch: int = 512)
 def langid_digest(docs: DataFrame) -> DataFrame:
     """The registered query: learned from two thirds of the labelled rows, predicted for all."""
     third = F.crc32(F.col("doc_id").cast("string")) % 3
-    labelled = docs.where((third != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "lang", "text", F.xxhash64("doc_id").alias("h"))
+    labelled = docs.where((third != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     out = predict(docs, fit(labelled))
     return out.select("doc_id", F.coalesce(third == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

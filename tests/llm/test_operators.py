@@ -290,18 +290,47 @@ def test_language_id(spark, docs, no_docs):
 
 
 def test_cross_parsing_brute_force():
-    train, text = "abracadabra alakazam", "abra cada kazam zzz"
+    """Phrases of texts over several stretches, of a letter not seen in training, and of an empty text."""
+    rng = np.random.default_rng(2)
+    train = "abracadabra alakazam" + "".join("abcdr kl"[i] for i in rng.integers(0, 8, 200))
     table = langid.symbol_table(langid._letters([train]))
-    seq, s = langid.symbols(train, table), langid.symbols(text, table)
-    model = {"langs": ["x"], "automata": [langid._dense(seq.tolist())]}
-    t, n, at = seq.tolist(), 0, 0
+    seq = langid.symbols(train, table)
+    t, model = seq.tolist(), {"langs": ["x"], "automata": [langid._sparse(seq.tolist())]}
     inside = lambda q: any(t[i:i + len(q)] == q for i in range(len(t)))
-    while at < len(s):
-        stop = at + 1
-        while stop < len(s) and inside(s[at:stop + 1].tolist()):
-            stop += 1
-        n, at = n + 1, stop
-    assert langid.phrase_counts([s], model)[0, 0] == n
+    texts = ["abra cada kazam zzz", "", "żabra \u4e00\u4e01 abr", "".join("abcdr klé"[i] for i in rng.integers(0, 9, 700))]
+    streams = [langid.symbols(x, table) for x in texts]
+    want = []
+    for s in streams:
+        n = 0
+        for begin in range(0, len(s), langid.STRETCH):
+            part, at = s[begin:begin + langid.STRETCH].tolist(), 0
+            while at < len(part):
+                stop = at + 1
+                while stop < len(part) and inside(part[at:stop + 1]):
+                    stop += 1
+                n, at = n + 1, stop
+        want.append(n)
+    assert langid.phrase_counts(streams, model)[:, 0].tolist() == want
+
+
+def test_language_id_large_alphabets_and_copies(spark):
+    """Two languages of 1,500 letters each; a text copied many times is learned from once; scores add up."""
+    rng = np.random.default_rng(4)
+    word = lambda first: "".join(chr(first + i) for i in rng.integers(0, 1500, 6))
+    rows = [(i, " ".join(word(0x4E00 if i % 2 else 0xAC00) for _ in range(60)), "zx" if i % 2 else "kx") for i in range(300)]
+    rows += [(1000 + i, "\u4e00 one copy", "kx") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs.select("lang", "text"))
+    assert len(model["letters"]) > 2500 and sum(k.nbytes + t.nbytes for k, t, _ in model["automata"]) < 2 * 3 * 12 * 30_000
+    got = {r.doc_id: r for r in langid.langid_digest(docs).collect()}
+    held = [(got[i].lang_pred, lang) for i, _, lang in rows[:300] if got[i].held_out]
+    assert len(held) > 50 and np.mean([a == b for a, b in held]) >= 0.99
+    streams = [langid.symbols(t, langid.symbol_table(model["letters"])) for _, t, _ in rows[:5]]
+    cost = langid.phrase_counts(streams, model) * np.array([a[2] for a in model["automata"]])
+    pred = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for i, c in enumerate(cost):
+        assert pred[i].lang_pred == model["langs"][int(c.argmin())]
+        assert pred[i].score == pytest.approx(1 / np.exp2(np.maximum(c.min() - c, -200)).sum())
 
 
 PAGE = """<html><head><title>T</title></head><body><header><h1>Site</h1></header><div class="cookie-notice">We use</div>
