@@ -123,6 +123,14 @@ def test_secrets_base_and_redaction(docs, no_docs):
     assert secrets.base_spans(odd) == [(odd.index("PASS"), 0, len(odd) - 1)]
 
 
+def _odd_keys(rng, n):
+    """Keys in formats that the training does not make."""
+    r = lambda alphabet, k: "".join(alphabet[i] for i in rng.integers(0, len(alphabet), k))
+    ab = secrets._ALNUM
+    return [(f"glpat-{r(ab, 20)}", f"SG.{r(ab, 22)}.{r(ab, 43)}", f"npm_{r(ab, 36)}", f"hf_{r(ab[:52], 34)}",
+             f"ghp_{r(ab[:52], 36)}", f"dop_v1_{r('0123456789abcdef', 20)}Z{r(ab, 20)}", f"pk_test_{r(ab, 24)}")[i % 7] for i in range(n)]
+
+
 def test_secret_network_held_out():
     model = secrets.train([], [])
     w, y = secrets._variants(np.random.default_rng(123), [], 400)
@@ -130,6 +138,40 @@ def test_secret_network_held_out():
     assert hit[np.array(y) == 1].mean() >= 0.95 and hit[np.array(y) == 0].mean() <= 0.05
 
 
+def test_secret_network_finds_unlabelled_keys(spark):
+    """A corpus full of bare keys that no rule knows, beside labelled findings: they are found, look-alikes are not."""
+    rng = np.random.default_rng(9)
+    words_ = lambda k: " ".join(secrets._word(rng, 2, 9) for _ in range(k))
+    odd = _odd_keys(rng, 700)
+    rows = [(i, f"{words_(6)} {k} {words_(5)}", 1) for i, k in enumerate(odd)]
+    rows += [(1000 + i, f"{words_(6)} {v} {words_(5)}", 0) for i in range(400)
+             for v in [("checkout-page-2024-final", "src/main/module_7.py", "2024-05-17T10", "HttpRequestHandler2", "mail7.example.com",
+                        "user_profile_image_2", "978-3-16-148410-0", "international-release-3.2.1")[i % 8]]]
+    rows += [(2000 + i, f"{words_(5)} token = {secrets._random(rng, secrets._ALNUM, 24)} {words_(3)}", 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, kind int").repartition(4)
+    got = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    hit = lambda kind: np.mean([got[i].n_model > 0 for i, _, k in rows if k == kind])
+    assert hit(1) >= 0.95 and hit(0) <= 0.05
+    for i, t, k in rows[:50]:
+        if got[i].n_model:
+            b, e = map(int, got[i].spans.split(":")[1:])
+            assert t[b:e] == odd[i]
+
+
+def test_secret_labels():
+    text = 'x ghp_abcdEFGHijklMNOP token="abcdefgh12345" checkout-page-2024 Donaudampfschiff-Fahrt. a1 12345678901234567 qzx_wrtplkjh_4'
+    got = {text[b:e]: label for b, e, label, _ in secrets.candidates(text, secrets.base_spans(text))}
+    assert got == {"ghp_abcdEFGHijklMNOP": -1, "abcdefgh12345": 1, "checkout-page-2024": 0, "12345678901234567": -1,
+                   "qzx_wrtplkjh_4": -1}
+
+
+def test_secret_training_raises_rather_than_lose_recall():
+    rng = np.random.default_rng(1)
+    same = [secrets._random(rng, secrets._ALNUM, secrets.WINDOW) for _ in range(4000)]
+    with pytest.raises(ValueError, match="look-alikes"):
+        secrets.train(same[::2], same[1::2], epochs=1)
+
+
 def test_mixing(spark, docs, no_docs):
     out = mixing.mixing_digest(docs).collect()
     assert len(out) == len(ROWS) and mixing.mixing_digest(no_docs).count() == 0
