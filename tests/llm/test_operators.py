@@ -388,7 +388,7 @@ def test_html_text(spark):
              (13, "http://g.example/", "<body><nav>m</nav><main><p>Main&nbsp;x</p></main><p>out</p><scr", None)]
     out = {r.page_id: r for r in htmltext.extract(spark.createDataFrame(rows, schema)).collect()}
     assert out[2].text == "Five < six2"             # all other blocks are on every page of the host
-    assert htmltext.page_text(PAGE, set(), None) == "Head & tail\nOne two three four\nFive < {n}\na\nb\nFixed line"
+    assert htmltext.page_text(PAGE, set()) == "Head & tail\nOne two three four\nFive < {n}\na\nb\nFixed line"
     assert out[10].text == out[11].text == "" and out[12].text == "only page &am" and out[13].text == "Main x"
     assert htmltext.extract(spark.createDataFrame([], schema)).count() == 0
 
@@ -407,6 +407,71 @@ def test_html_text_keeps_all_slots_and_copies(spark):
     assert [out[10 + i] for i in range(6)] == [want("same") + "\nAll rights"] * 6 and out[21] == "other 1"
 
 
+@pytest.mark.parametrize("name", ["post has-comments", "content no-sidebar", "with-sidebar", "story share-enabled", "widget"])
+def test_html_class_words_never_hide_the_article(name):
+    for form in ("<main class='{}'><p>Body</p></main>", "<article class='{}'><p>Body</p></article>",
+                 "<div class='layout {}'><article><p>Body</p></article></div>", "<div id='{}'><p>Body</p></div>"):
+        page = f"<body><nav>m</nav>{form.format(name)}<div class='comment-list'><article>me too</article></div></body>"
+        assert htmltext.page_text(page, set()) == "Body"
+    assert htmltext.page_text("<div class=comments><p>me too</p></div><nav>m</nav>", set()) == "me too"
+
+
+@pytest.mark.parametrize("name", ["cookie-bar", "site-footer", "ad-slot-3", "ad", "ads_box", "related-posts", "comments-area", "SideBar"])
+def test_html_class_names_of_other_parts(name):
+    page = f"<body><div class='x {name}'><p>gone</p></div><div><p>Body</p></div></body>"
+    assert htmltext.page_text(page, set()) == "Body"
+    assert htmltext.page_text(f"<body><main><div id={name}>gone</div><p>Body</p></main>", set()) == "Body"
+
+
+def test_html_deep_nesting_takes_linear_memory_and_time():
+    import time
+    import tracemalloc
+    for tag in ("div class=row", "b", "p", "li"):
+        page = "<body>" + "".join(f"<{tag}>x{i % 10}" for i in range(100_000)) + "</i></u>" * 20_000
+        tracemalloc.start()
+        start = time.process_time()
+        blocks, seen = htmltext.parse(page)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200e6 and time.process_time() - start < 60
+        assert sum(len(x.text.replace(" ", "")) for x in blocks) == 200_000
+
+
+def test_html_classes_against_brute_force(spark):
+    """Occurrence vectors written out, on hosts with boxes and passages on some of their pages and copies of pages."""
+    rng = np.random.default_rng(8)
+    pages = []
+    for i in range(90):
+        host = f"h{i % 4}" if i % 3 else "h0"                 # h0 holds many
+        body = [f"<div class='box{k}'>box {k}</div>" for k in range(4) if rng.random() < 0.6]
+        body += [f"<p>shared {k}</p>" for k in range(4) if rng.random() < 0.6] + [f"<p>own {i}</p>"] * int(rng.integers(1, 3))
+        pages.append((host, "<body><div class=top>Top</div>" + "".join(body[j] for j in rng.permutation(len(body)))))
+    pages += [pages[3]] * 20
+    want = {}
+    for host in {h for h, _ in pages}:
+        mine = sorted({p for h, p in pages if h == host})
+        vectors = {}
+        for j, p in enumerate(mine):
+            blocks, seen = htmltext.parse(p)
+            for path, n in seen.items():
+                vectors.setdefault(("e", path), [0] * len(mine))[j] = n
+            for x in blocks:
+                vectors.setdefault(("t", x.path, x.text), [0] * len(mine))[j] += 1
+        classes = {}
+        for token, v in vectors.items():
+            classes.setdefault(tuple(v), []).append(token)
+        want[host] = {(t[1], t[2]) for v, ts in classes.items() for t in ts if t[0] == "t" and len(ts) >= 2
+                      and sum(n > 0 for n in v) >= max(3, len(mine) / 2)}
+    rows = [(i, f"http://{h}/x", p) for i, (h, p) in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.host: set(r.fixed or ()) for r in htmltext.templates(df).collect()}
+    assert got == {h: {htmltext._token("t", *t) for t in ts} for h, ts in want.items()}
+    assert any("box" in t for ts in want.values() for _, t in ts) and not any("shared" in t for ts in want.values() for _, t in ts)
+    text = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    for i, (h, p) in enumerate(pages):
+        assert text[i] == "\n".join(x.text for x in htmltext.parse(p)[0] if (x.path, x.text) not in want[h])
+
+
 def test_html_text_of_given_pages(spark):
     d = "/root/testdata/sf0.001"
     got = {r.page_id: r.text for r in QUERIES["op6_html_text"](spark, d).collect()}
