@@ -16,7 +16,7 @@ Built-in functions only.  Defined cases: null text is empty; a null role is
 the participant ``unknown``; a null turn comes first, in part -1; rows of equal turn are
 ordered by role, then text; a null conv_id is one conversation; a
 conversation of system turns alone has no participant and no row; markers
-inside texts are broken up, so they cannot end a turn; other input columns
+inside texts and role names are broken up and line ends in names are blanks, so neither can end or open a turn; other input columns
 are not used.
 """
 from __future__ import annotations
@@ -43,10 +43,13 @@ def chat_views(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     parts = t.groupBy("k", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     rows = parts.join(who, "k").select("k", "part", "turns", F.explode("who").alias("perspective"))
 
+    def shown(role):
+        return F.replace(F.translate(role, "\n\r", "  "), F.lit("<|im_"), F.lit("<| im_"))
+
     def segment(x, me):
         mine = x["role"] == me
         head = F.when(x["role"] == "system", F.lit(f"{START}system\n")).when(mine, F.lit(f"{START}assistant\n")).otherwise(
-            F.concat(F.lit(f"{START}user name="), x["role"], F.lit("\n")))
+            F.concat(F.lit(f"{START}user name="), shown(x["role"]), F.lit("\n")))
         return F.struct(F.concat(head, x["text"], F.lit(f"{END}\n")).alias("s"), F.length(head).alias("head"),
                         mine.alias("mine"))
 
@@ -80,7 +83,7 @@ who AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'syste
 s AS (
   SELECT t.conv_id, part, perspective, role = perspective AS mine,
          CASE WHEN role = 'system' THEN '<|im_start|>system' WHEN role = perspective THEN '<|im_start|>assistant'
-              ELSE '<|im_start|>user name=' || role END || chr(10) AS head, text,
+              ELSE '<|im_start|>user name=' || replace(translate(role, chr(10) || chr(13), '  '), '<|im_', '<| im_') END || chr(10) AS head, text,
          row_number() OVER (PARTITION BY t.conv_id, part, perspective ORDER BY turn NULLS FIRST, role, text) AS i
   FROM t JOIN who ON t.conv_id IS NOT DISTINCT FROM who.conv_id),
 e AS (
