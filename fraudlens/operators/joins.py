@@ -123,20 +123,31 @@ def pos_within_radius(tx: DataFrame, customers: DataFrame, pos: DataFrame, radiu
     """For each transaction, the POS of its merchant within ``radius`` of the
     customer (Euclidean), or at it and beyond; online transactions get none.
 
-    A merchant's POS are one array, joined by merchant; the radius filters the
-    array before anything is emitted.
+    Within: POS go to the nine cells of radius' size around their own, a transaction
+    to the cell of its customer, and both meet by (merchant, cell), so a
+    merchant's POS spread over cells and no transaction is multiplied.  Beyond: by
+    merchant, whose far POS all come out.  Null coordinates match nothing.
     """
     c = customers.select("customer_id", F.col("location_x").alias("_cx"), F.col("location_y").alias("_cy"))
-    p = pos.groupBy("merchant_id").agg(F.collect_list(F.struct("pos_id", "location_x", "location_y")).alias("_pos"))
-    x = tx.where(F.col(online_col) != online_value).select("transaction_id", "customer_id", "merchant_id")
-    near = F.filter(F.transform("_pos", lambda q: F.struct(
-        q["pos_id"].alias("near_pos_id"),
-        F.sqrt(F.pow(F.col("_cx") - q["location_x"], 2) + F.pow(F.col("_cy") - q["location_y"], 2)).alias("distance"))),
-        lambda q: q["distance"] < radius if within else q["distance"] >= radius)
-    x = x.join(c, "customer_id").join(p, "merchant_id")
-    return (x.select("transaction_id", "customer_id", "merchant_id", F.explode(near).alias("_n"))
-            .select("transaction_id", "customer_id", "merchant_id", "_n.near_pos_id",
-                    F.round("_n.distance", 4).alias("distance")))
+    p = pos.select("merchant_id", F.col("pos_id").alias("near_pos_id"), F.col("location_x").alias("_px"),
+                   F.col("location_y").alias("_py"))
+    x = (tx.where(F.col(online_col) != online_value).select("transaction_id", "customer_id", "merchant_id")
+         .join(c, "customer_id"))
+    keys = ["merchant_id"]
+    if within:
+        # a little wider than the radius: rounding cannot part neighbours by two cells
+        side = max(radius, 1e-9) * 1.000001
+
+        def cell(v):
+            return F.floor(F.col(v) / side)
+        near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+        x = x.withColumn("_gx", cell("_cx")).withColumn("_gy", cell("_cy"))
+        p = (p.select("*", F.explode(near).alias("_dx")).select("*", F.explode(near).alias("_dy"))
+             .withColumn("_gx", cell("_px") + F.col("_dx")).withColumn("_gy", cell("_py") + F.col("_dy")).drop("_dx", "_dy"))
+        keys += ["_gx", "_gy"]
+    x = x.join(p, keys).withColumn("distance", F.sqrt(F.pow(F.col("_cx") - F.col("_px"), 2) + F.pow(F.col("_cy") - F.col("_py"), 2)))
+    return (x.where(F.col("distance") < radius if within else F.col("distance") >= radius)
+            .select("transaction_id", "customer_id", "merchant_id", "near_pos_id", F.round("distance", 4).alias("distance")))
 
 
 def candidate_cards(tx: DataFrame, owned: DataFrame, card_pref: DataFrame, store_card="Store Credit Card",

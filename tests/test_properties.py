@@ -188,3 +188,28 @@ def test_bucketed_table_skips_window_shuffle(spark, sf_small):
     key = lambda r: repr(r)
     assert sorted((tuple(r) for r in x.select(*cols).collect()), key=key) == \
         sorted((tuple(r) for r in plain.select(*cols).collect()), key=key)
+
+
+def test_pos_within_radius_against_brute_force(spark):
+    """Negative places, points on cell borders, exact radius, nulls; near and far together are all pairs of a merchant."""
+    import math
+    import random
+
+    from fraudlens.operators.joins import pos_within_radius
+    rnd = random.Random(3)
+    place = lambda: rnd.choice([rnd.uniform(-20, 20), float(rnd.randint(-4, 4) * 5)])
+    cust = [(i, place(), place()) for i in range(40)] + [(40, None, 1.0)]
+    pos = [(m, m * 100 + i, place(), place()) for m in range(3) for i in range(60)] + [(0, 999, 0.0, None)]
+    txs = [(i, rnd.randrange(42), rnd.randrange(4), "card present" if i % 5 else "card not present") for i in range(200)]
+    t = spark.createDataFrame(txs, "transaction_id int, customer_id int, merchant_id int, card_present_or_not string")
+    c = spark.createDataFrame(cust, "customer_id int, location_x double, location_y double")
+    p = spark.createDataFrame(pos, "merchant_id int, pos_id int, location_x double, location_y double")
+    where = {i: (x, y) for i, x, y in cust}
+    pairs = [(i, q, math.dist(where[k], (x, y))) for i, k, m, card in txs if card == "card present" and k in where
+             for m2, q, x, y in pos if m == m2 and None not in (*where[k], x, y)]
+    for radius in (5.0, 0.5, 0.0):
+        for within in (True, False):
+            got = {(r.transaction_id, r.near_pos_id) for r in pos_within_radius(t, c, p, radius, within).collect()}
+            assert got == {(i, q) for i, q, d in pairs if (d < radius) == within}
+    plan = pos_within_radius(t, c, p)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
