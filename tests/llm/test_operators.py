@@ -116,6 +116,45 @@ def test_pieces_match_library(docs, no_docs):
     assert all(table.encode_long(w) == table.encode_words([w])[w] for w in ("▁reprehenderit", "▁▁▁xyzzy", "▁a"))
 
 
+def test_pieces_viterbi_random_words():
+    import random
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
+    table, rnd = pieces.PieceTable(pieces.default_path()), random.Random(3)
+    for alphabet in ("ab", "a ", "etainos ", "0123456789abcdef", "=-+ ", "\n\t ", "éèàß ü", "日本語中文한", "\U0001d518x"):
+        texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.choice((1, 4, 9, 30, 63, 64, 65, 300)))) for _ in range(150)]
+        assert [np.frombuffer(x, "<i4").tolist() for x in pieces.encode_texts(texts, table, {})] == sp.encode(texts)
+    # what may stand side by side does not depend on the table of pairs seen
+    left, right = (np.array([rnd.randrange(259, 30000) for _ in range(3000)]) for _ in "lr")
+    usable = (table.left[left] >= 0) & (table.left[right] >= 0)
+    left, right = left[usable], right[usable]
+    table.pairs_seen[:] = -1
+    first = table.may_follow(left, right)
+    assert (first == table.may_follow(left, right)).all() and (first == table.apart(left, right)).all()
+    text = lambda i: sp.id_to_piece(int(i))
+    inner = [(a, b, ok) for a, b, ok in zip(left, right, first) if "▁" not in text(a)[1:] + text(b) and text(a)[0] == "▁"]
+    assert len(inner) > 200
+    assert all((sp.encode(text(a)[1:] + text(b)) == [a, b]) == ok for a, b, ok in inner if len(text(a)) > 1)
+
+
+@pytest.mark.parametrize("change", ["unigram", "user", "normaliser"])
+def test_pieces_other_models_refused(tmp_path, change):
+    from sentencepiece import sentencepiece_model_pb2 as pb
+    proto = pb.ModelProto()
+    with open(pieces.default_path(), "rb") as f:
+        proto.ParseFromString(f.read())
+    if change == "unigram":
+        proto.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
+    elif change == "user":
+        proto.pieces[20000].type = pb.ModelProto.SentencePiece.USER_DEFINED
+    else:
+        proto.normalizer_spec.remove_extra_whitespaces = True
+    path = tmp_path / "other.model"
+    path.write_bytes(proto.SerializeToString())
+    with pytest.raises(ValueError):
+        pieces.PieceTable(str(path))
+
+
 def test_secrets_base_and_redaction(docs, no_docs):
     got = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
     r = got[4]
