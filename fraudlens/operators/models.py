@@ -64,12 +64,14 @@ def make_classifier(name: str, label="is_fraud", weight_col: str | None = "weigh
     return cls(**kw)
 
 
-def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selectors=(), forest=None, resampling=None) -> Pipeline:
+def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selectors=(), forest=None, resampling=None,
+                   kernel=None) -> Pipeline:
     """Preparation -> selectors -> ``resampling`` -> assembler -> ``forest`` selection -> classifier (all fitted
-    inside each fold; a ``Resampler`` changes the rows that later stages are fitted on and no scored row)."""
+    inside each fold; a ``Resampler`` changes the rows that later stages are fitted on and no scored row).  ``kernel``, a
+    stage that makes the feature vector (``RandomFourierFeatures``), takes the assembler's place."""
     if forest is not None:
         classifier = classifier.copy().setFeaturesCol(forest.output_col)
-    before, after = [*prep_stages, *selectors], [assembler(feature_cols), *([forest] if forest else []), classifier]
+    before, after = [*prep_stages, *selectors], [kernel or assembler(feature_cols), *([forest] if forest else []), classifier]
     if resampling is not None:
         return ResamplingPipeline(stages=[*before, resampling, *after])
     return Pipeline(stages=[*before, *after])

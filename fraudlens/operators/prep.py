@@ -334,6 +334,33 @@ class ChiSquareFilter(_FitBase):
         return {"keep": [c for c in cols if c not in drop]}
 
 
+# ------------------------------------------------------------------ F14
+
+class KBestFilter(_FitBase):
+    """the ``k`` numeric columns of highest ANOVA F against ``label`` (all, if fewer); rows with a NULL or NaN in one
+    of the columns take no part in the test."""
+    model_cls = SelectModel
+
+    def _state(self, df, cols, cfg):
+        from pyspark.ml.feature import UnivariateFeatureSelector, VectorAssembler
+        label, k = cfg["label"], int(cfg["k"])
+        if k >= len(cols):
+            return {"keep": cols}
+        x = df.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("double").alias("_label"))
+        x = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(x.where(F.col("_label").isNotNull()))
+        st = UnivariateFeatureSelector(featuresCol="_v", labelCol="_label", outputCol="_o", selectionMode="numTopFeatures")
+        best = st.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k).fit(x).selectedFeatures
+        return {"keep": [c for i, c in enumerate(cols) if i in set(best)]}
+
+
+def stats_selection_stages(numeric: list[str], variance: float = 0.001, spearman: float = 0.85, k_best: int | None = None,
+                           label: str | None = None) -> list:
+    """stages that select the numeric columns by variance, by rank correlation and, if ``k_best`` is given, by F
+    against ``label``.  All other columns pass through."""
+    stages = [VarianceThresholdFilter(numeric, threshold=variance), SpearmanCorrelationFilter(numeric, threshold=spearman)]
+    return stages + ([KBestFilter(numeric, k=k_best, label=label)] if k_best else [])
+
+
 # ------------------------------------------------------------------ F15
 
 class FunctionTransformer(Transformer):

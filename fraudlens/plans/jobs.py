@@ -56,7 +56,7 @@ def cleanse_and_profile(tx: DataFrame, schema_df: DataFrame, target: str = "is_f
         "card_presence_crosstab": A.normalized_crosstab(lab, "card_present_or_not", target),
         "by_hour": A.by_time_part(lab, "hour", target),
         "rapid_transactions": rapid_share_by_label(lab, target=target),
-        "correlations": G.correlation_pairs(lab, ["amount", "MCCs", "day_no", "merchant_id"]),
+        "correlations": G.correlation_pairs(lab),
     }
     return clean, _write(reports, out)
 

@@ -8,6 +8,7 @@ from fraudlens.functions import dates as D
 from fraudlens.operators import models as M
 from fraudlens.operators import prep as P
 from fraudlens.operators import sampling as L
+from fraudlens.operators.quality import numeric_columns
 from fraudlens.plans import training as TR
 from fraudlens.plans.feature_job import build_transaction_features
 from fraudlens.plans.flagship import scored_transactions
@@ -191,24 +192,29 @@ def q_f9(spark, sf):
     return spark.createDataFrame([(c, c in keep) for c in _NF], "column_name string, keep boolean")
 
 
-_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]   # for the SQL twins
 
 
-def _spearman_keep_sql():
-    """Recursive twin of F10: the first name of each component of strong links, and all unlinked columns."""
+def _spearman_keep_sql(threshold: float, variance: float | None = None):
+    """Recursive twin of F10 (and F14): the first name of each component of strong links, and all unlinked columns,
+    among the columns of more than ``variance``."""
     strong = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM rk" for a in _LI for b in _LI if a != b)
-    names = ", ".join(f"('{c}')" for c in _LI)
+    names = (" UNION ALL ".join(f"SELECT '{c}' AS c FROM lineitem HAVING var_pop({c}) > {variance}" for c in _LI) if variance is not None
+             else " UNION ALL ".join(f"SELECT '{c}' AS c" for c in _LI))
+    every = ", ".join(f"('{c}')" for c in _LI)
     return (SPEARMAN_CTES.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
-strong AS (SELECT a, b FROM ({strong}) WHERE abs(r) > 0.5),
-reach AS (SELECT c, c AS d FROM (VALUES {names}) t(c) UNION SELECT reach.c, strong.b FROM reach JOIN strong ON strong.a = reach.d)
-SELECT c AS column_name, min(d) = c AS keep FROM reach GROUP BY c""")
+names AS ({names}),
+strong AS (SELECT a, b FROM ({strong}) WHERE abs(r) > {threshold} AND a IN (SELECT c FROM names) AND b IN (SELECT c FROM names)),
+reach AS (SELECT c, c AS d FROM names UNION SELECT reach.c, strong.b FROM reach JOIN strong ON strong.a = reach.d)
+SELECT t.c AS column_name, coalesce(min(d) = t.c, false) AS keep FROM (VALUES {every}) t(c) LEFT JOIN reach ON reach.c = t.c GROUP BY t.c""")
 
 
-@register("f10_spearman_filter", _spearman_keep_sql())
+@register("f10_spearman_filter", _spearman_keep_sql(0.5))
 def q_f10(spark, sf):
     li = tbl(spark, sf, "lineitem")
-    keep = P.SpearmanCorrelationFilter(_LI, threshold=0.5).fit(li).fitted()["keep"]
-    return spark.createDataFrame([(c, c in keep) for c in _LI], "column_name string, keep boolean")
+    cols = numeric_columns(li)
+    keep = P.SpearmanCorrelationFilter(cols, threshold=0.5).fit(li).fitted()["keep"]
+    return spark.createDataFrame([(c, c in keep) for c in cols], "column_name string, keep boolean")
 
 
 @register("f11_pearson_filter", " UNION ALL ".join(
@@ -216,8 +222,9 @@ def q_f10(spark, sf):
     + ") AS keep FROM lineitem" for i, c in enumerate(_LI)))
 def q_f11(spark, sf):
     li = tbl(spark, sf, "lineitem")
-    keep = P.PearsonCorrelationFilter(_LI, threshold=0.5).fit(li).fitted()["keep"]
-    return spark.createDataFrame([(c, c in keep) for c in _LI], "column_name string, keep boolean")
+    cols = numeric_columns(li)
+    keep = P.PearsonCorrelationFilter(cols, threshold=0.5).fit(li).fitted()["keep"]
+    return spark.createDataFrame([(c, c in keep) for c in cols], "column_name string, keep boolean")
 
 
 _CH = ["merchant_category", "type_of_credit_card_used", "card_present_or_not", "is_fraud"]
@@ -268,9 +275,17 @@ def q_f13(spark, sf):
 def q_f14(spark, sf):
     from pyspark.ml import Pipeline
     li = tbl(spark, sf, "lineitem")
-    m = Pipeline(stages=[P.VarianceThresholdFilter(_LI, threshold=0.001),
-                         P.SpearmanCorrelationFilter(_LI, threshold=0.85)]).fit(li)
-    return m.transform(li)
+    return Pipeline(stages=P.stats_selection_stages(numeric_columns(li))).fit(li).transform(li)
+
+
+@register("f14_selected_columns", _spearman_keep_sql(0.85, 0.001))
+def q_f14b(spark, sf):
+    """Which columns the selection lets pass."""
+    from pyspark.ml import Pipeline
+    li = tbl(spark, sf, "lineitem")
+    cols = numeric_columns(li)
+    left = Pipeline(stages=P.stats_selection_stages(cols)).fit(li).transform(li).columns
+    return spark.createDataFrame([(c, c in left) for c in cols], "column_name string, keep boolean")
 
 
 @register("f15_function_stage", with_tx(
@@ -394,6 +409,15 @@ def q_m7(spark, sf):
     return TR.fit_and_score(tx(spark, sf), "linear_svc", maxIter=100)
 
 
+@register("m7_radial_svc")
+def q_m7_radial(spark, sf):
+    from fraudlens.operators.kernel import RandomFourierFeatures
+    train, test = TR.train_test(tx(spark, sf))
+    pipe = M.build_pipeline(TR.MODEL_FEATURES, M.make_classifier("linear_svc", maxIter=100),
+                            kernel=RandomFourierFeatures(TR.MODEL_FEATURES))
+    return M.score(M.fit(pipe, train), test)
+
+
 @register("m10_grid_search_trace")
 def q_m10(spark, sf):
     train, _ = TR.train_test(tx(spark, sf))

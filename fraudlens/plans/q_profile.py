@@ -257,14 +257,15 @@ def q_g7(spark, sf):
     return G.basic_stats(tx(spark, sf))
 
 
-_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# the numeric columns of lineitem, for the SQL twins; the queries take them from the schema
+_LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _PAIRS = [(a, b) for i, a in enumerate(_LI) for b in _LI[i + 1:]]
 
 
 @register("g8_pearson_pairs", _union([f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), 4) AS corr FROM lineitem"
                                       for a, b in _PAIRS]))
 def q_g8(spark, sf):
-    return G.correlation_pairs(tbl(spark, sf, "lineitem"), _LI)
+    return G.correlation_pairs(tbl(spark, sf, "lineitem"))
 
 
 _RANKS = ",\n".join(f"""r_{c} AS (SELECT v, sum(cnt) OVER (ORDER BY v) - cnt + (cnt + 1) / 2.0 AS rk
@@ -279,21 +280,30 @@ SPEARMAN_CTES = ("WITH " + _RANKS + ",\nrk AS (SELECT " + ", ".join(f"r_{c}.rk A
           + _union([f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, round(corr({a}, {b}), 4) AS spearman, "
                     f"round(abs(corr({a}, {b})), 4) AS abs_spearman FROM rk" for a, b in _PAIRS]))
 def q_g9(spark, sf):
-    return G.spearman_pairs(tbl(spark, sf, "lineitem"), _LI)
-
-
-_VC = ["l_quantity", "l_discount", "l_tax"]
-
-
-@register("g10_vif", """WITH g AS (SELECT sum(l_quantity * l_quantity) AS a, sum(l_quantity * l_discount) AS b,
-  sum(l_quantity * l_tax) AS c, sum(l_discount * l_discount) AS d, sum(l_discount * l_tax) AS e, sum(l_tax * l_tax) AS f
-  FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL AND l_tax IS NOT NULL),
-det AS (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS dt FROM g)
-SELECT 'l_quantity' AS feature, round(a * (d * f - e * e) / dt, 4) AS vif FROM det
-UNION ALL SELECT 'l_discount', round(d * (a * f - c * c) / dt, 4) FROM det
-UNION ALL SELECT 'l_tax', round(f * (a * d - b * b) / dt, 4) FROM det""")
+    li = tbl(spark, sf, "lineitem")
+    return G.spearman_pairs(li, G.numeric_columns(li))
+
+
+def _vif_sql(cols: list[str]) -> str:
+    """The inverse of the matrix of sums by one sweep a column; VIF is the product of both diagonals."""
+    n = range(len(cols))
+    at = lambda i, j: f"m{i}_{j}"
+    steps = ["g0 AS (SELECT " + ", ".join(f"sum(CAST({cols[i]} AS DOUBLE) * CAST({cols[j]} AS DOUBLE)) AS {at(i, j)}" for i in n for j in n)
+             + " FROM lineitem WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols) + ")"]
+    for k in n:
+        d = at(k, k)
+        cell = lambda i, j: (f"1 / {d}" if i == j == k else f"{at(k, j)} / {d}" if i == k else f"-{at(i, k)} / {d}" if j == k
+                             else f"{at(i, j)} - {at(i, k)} * {at(k, j)} / {d}")
+        steps.append(f"g{k + 1} AS (SELECT " + ", ".join(f"{cell(i, j)} AS {at(i, j)}" for i in n for j in n) + f" FROM g{k})")
+    last = f"g{len(cols)}"
+    return "WITH " + ",\n".join(steps) + "\n" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(g0.{at(i, i)} * {last}.{at(i, i)}, 4) AS vif FROM g0, {last}" for i, c in enumerate(cols))
+
+
+@register("g10_vif", _vif_sql(_LI))
 def q_g10(spark, sf):
-    return G.vif(tbl(spark, sf, "lineitem"), _VC)
+    li = tbl(spark, sf, "lineitem")
+    return G.vif(li, G.numeric_columns(li))
 
 
 @register("g11_histogram_amount", with_tx("""
