@@ -113,11 +113,17 @@ def basic_stats(df: DataFrame, target="is_fraud", date_col="transaction_date", i
 
 
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int = 4) -> DataFrame:
-    """Pearson correlation of every unordered pair (pairwise-complete), one pass."""
+    """Pearson correlation of every unordered pair (pairwise-complete), one pass.
+
+    NULL where a column is constant or empty over the pair's rows (the built-in ``corr`` divides by zero there)."""
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}")
-                    for k, (a, b) in enumerate(pairs)])
+
+    def pair(a, b):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+        return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+    wide = df.agg(*[pair(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
     parts = ", ".join(f"'{a}', '{b}', r{k}" for k, (a, b) in enumerate(pairs))
     return wide.select(F.expr(f"stack({len(pairs)}, {parts}) AS (feature_1, feature_2, corr)")) \
         .withColumn("corr", F.round("corr", digits))

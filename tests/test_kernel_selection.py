@@ -68,3 +68,14 @@ def test_k_best_and_selection_pipeline(spark):
     assert out.columns == ["strong", "kind", "label"]
     gap = rows.withColumn("strong", F.when(F.col("noise") > 1, None).otherwise(F.col("strong")))
     assert P.KBestFilter(num, k=1, label="label").fit(gap).fitted()["keep"] == ["strong"]
+
+
+def test_correlation_of_constant_and_pairwise_constant_columns(spark):
+    from fraudlens.operators import profile as G
+    rows = spark.createDataFrame([(1.0, 5.0, None, 1), (2.0, 5.0, 7.0, 3), (3.0, 5.0, 7.0, 2), (4.0, 5.0, None, 5)],
+                                 "a double, same double, held double, b int")
+    got = {(r.feature_1, r.feature_2): r.corr for r in G.correlation_pairs(rows).collect()}
+    assert len(got) == 6 and got[("a", "b")] == round(float(np.corrcoef([1, 2, 3, 4], [1, 3, 2, 5])[0, 1]), 4)
+    assert all(v is None for k, v in got.items() if k != ("a", "b"))
+    assert P.PearsonCorrelationFilter(["a", "same", "held", "b"], threshold=0.5).fit(rows).fitted()["keep"] == ["a", "same", "held"]
+    assert all(r.corr is None for r in G.correlation_pairs(rows.limit(0)).collect())
