@@ -204,3 +204,19 @@ def test_adaboost_learns_an_interval(spark):
     assert len(model["stumps"]) > 1
     wrong = M.adaboost_score(model, t).where("prediction <> is_fraud").count()
     assert wrong < 100
+
+
+def test_forest_selection_grows_the_forest_in_parts(spark, monkeypatch):
+    """A fit keeps a bootstrap count for every row and tree: no fit holds the whole forest."""
+    from pyspark.sql import functions as F
+    sizes = []
+
+    class Recorded(M.RandomForestClassifier):
+        def _fit(self, df):
+            sizes.append((self.getNumTrees(), self.getSeed()))
+            return super()._fit(df)
+    monkeypatch.setattr(M, "RandomForestClassifier", Recorded)
+    t = spark.range(300).select((F.col("id") % 2).cast("double").alias("is_fraud"), ((F.col("id") % 2) * 3 + F.rand(1)).alias("good"),
+                                F.rand(2).alias("noise"))
+    assert M.select_by_forest(t, ["noise", "good"], num_trees=250) == ["good"]
+    assert sum(n for n, _ in sizes) == 250 and max(n for n, _ in sizes) <= 100 and len({s for _, s in sizes}) == len(sizes)
