@@ -8,6 +8,9 @@ count) by exclusive or, so equal vectors have equal sums and Spark combines
 them before the shuffle, also for a host with a third of all pages.  A class
 is valid if it has ``MIN_SIZE`` tokens, as an element with its text, and lies on at least ``MIN_PAGES`` pages and half
 of the host's: a passage that articles share, in an element like all others, is no template.
+Classes are ordered and nested: where the tokens of a class do not follow each other in the same order on every page and
+at every occurrence, it is cut into runs that do, each of which has to be of ``MIN_SIZE`` again; where one class begins in
+a gap between two tokens of another and ends outside of it, the larger of them stays.
 Pages of one host with the same blocks count once, so copies of an article
 are not taken for template.  Blocks of a valid class are fixed text; what is
 left are the slots.
@@ -152,8 +155,9 @@ def _settle(blocks: list[Block], roots: list[Element]) -> list[Block]:
     return blocks
 
 
-def parse(page: str) -> tuple[list[Block], dict[int, int]]:
-    """Text blocks in page order, and how often each element path occurs.  Linear in the page, at any depth."""
+def parse(page: str, order: list | None = None) -> tuple[list[Block], dict[int, int]]:
+    """Text blocks in page order, and how often each element path occurs.  Linear in the page, at any depth.
+    ``order`` takes the paths of elements, where they open, and the blocks, where they end."""
     stack: list[Element] = []
     open_: Counter = Counter()           # open elements by tag
     roots: list[Element] = []            # outermost articles
@@ -169,6 +173,8 @@ def parse(page: str) -> tuple[list[Block], dict[int, int]]:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
                 blocks.append(Block(text, owner))
+                if order is not None:
+                    order.append(blocks[-1])
             parts = []
 
     def add(text):
@@ -228,6 +234,8 @@ def parse(page: str) -> tuple[list[Block], dict[int, int]]:
                     break
         e = Element(name, m["attrs"] or m["attrs2"] or "", stack[-1] if stack else None)
         seen[e.path] = seen.get(e.path, 0) + 1
+        if order is not None:
+            order.append(e.path)
         if name in VOID:
             continue
         if (e.skip, e.weak) != ((stack[-1].skip, stack[-1].weak) if stack else (False, False)):
@@ -250,43 +258,152 @@ def host(url) -> Column:
     return F.regexp_extract(F.lower(F.coalesce(F.col(url), F.lit(""))), r"^[a-z][a-z0-9+.\-]*://([^/?#]*)", 1)
 
 
+_SEQUENCE = "host string, page bigint, tokens array<bigint>, is_text array<boolean>"
 _TOKENS = "host string, token bigint, page bigint, is_text boolean, vector bigint, n bigint"
 _PAGE = 0                          # the token that every page has once
 
 
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """One row for each page and token: its share in the occurrence vector.  ``page`` is a hash of the page's blocks
-    outside of menus and the like, the same for copies."""
+def page_sequences(pages: DataFrame) -> DataFrame:
+    """The tokens of every page in page order.  ``page`` is a hash of the page's blocks outside of menus and the like, the
+    same for copies."""
     t = pages.select(host("url").alias("host"), F.coalesce("html", F.lit("")).alias("h"))
 
     def run(batches):
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(4)]
             for h, html in zip(b.column(0).to_pylist(), b.column(1)):
-                blocks, seen = parse(html.as_py())
-                found = {_token("e", path): [False, n] for path, n in seen.items()}
+                order: list = []
+                blocks, _ = parse(html.as_py(), order)
                 # blocks of an article are never fixed text, but they tell its copies from other pages
                 content = xxhash.xxh64()
                 for x in blocks:
                     if not x.skip:
                         content.update(f"{x.path}\0{x.text}\0")
-                    if not x.skip and not x.main:
-                        found.setdefault(_token("t", x.path, x.text), [True, 0])[1] += 1
-                page = content.intdigest() - (1 << 63)
-                found[_PAGE] = [False, 1]
-                for token, (is_text, n) in found.items():
-                    for c, v in zip(cols, (h, token, page, is_text, xxhash.xxh64_intdigest(f"{page}:{n}") - (1 << 63), n)):
+                tokens, is_text = [], []
+                for x in order:
+                    if isinstance(x, int):
+                        tokens.append(_token("e", x))
+                        is_text.append(False)
+                    elif not x.skip and not x.main:
+                        tokens.append(_token("t", x.path, x.text))
+                        is_text.append(True)
+                for c, v in zip(cols, (h, content.intdigest() - (1 << 63), tokens, is_text)):
+                    c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
+                                              pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.list_(pa.bool_()))],
+                                             ["host", "page", "tokens", "is_text"])
+    return t.mapInArrow(run, _SEQUENCE)
+
+
+def page_tokens(sequences: DataFrame) -> DataFrame:
+    """One row for each page and token: its share in the occurrence vector."""
+    def run(batches):
+        for b in batches:
+            cols: list[list] = [[] for _ in range(6)]
+            for h, page, tokens, is_text in zip(*(c.to_pylist() for c in b.columns)):
+                kinds = dict(zip(tokens, is_text))
+                found = Counter(tokens)
+                found[_PAGE] = 1
+                for token, n in found.items():
+                    vector = xxhash.xxh64_intdigest(f"{page}:{n}") - (1 << 63)
+                    for c, v in zip(cols, (h, token, page, kinds.get(token, False), vector, n)):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
                                               pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.bool_()),
                                               *[pa.array(c, pa.int64()) for c in cols[4:]]],
                                              ["host", "token", "page", "is_text", "vector", "n"])
-    return t.mapInArrow(run, _TOKENS)
+    return sequences.mapInArrow(run, _TOKENS)
+
+
+def _befores(batches):
+    """(host, token, before): what comes before a token among the tokens of its class, each different case once a batch."""
+    for b in batches:
+        seen = set()
+        for h, tokens, members in zip(*(c.to_pylist() for c in b.columns)):
+            cls, last = {m["token"]: m["cls"] for m in members}, {}
+            for t in tokens:
+                if t in cls:
+                    seen.add((h, t, last.get(cls[t])))
+                    last[cls[t]] = t
+        rows = list(zip(*seen)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64())],
+                                         ["host", "token", "before"])
+
+
+def _chain(links: pa.Table) -> pa.Table:
+    """Ordered classes of a host: runs of tokens each of which always comes after the same one.  Of two or more tokens."""
+    rows = links.to_pylist()
+    after = {r["before"]: r["token"] for r in rows if r["before"] is not None}
+    out = []
+    for r in rows:
+        if r["before"] is None:
+            chain, t = [], r["token"]
+            while t is not None:
+                chain.append(t)
+                t = after.get(t)
+            if len(chain) >= MIN_SIZE:
+                out += [(r["host"], t, chain[0], i, len(chain)) for i, t in enumerate(chain)]
+    cols = list(zip(*out)) or [()] * 5
+    return pa.table([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(cols)], names=["host", "token", "cls", "place", "size"])
+
+
+def crossings(tokens: list[int], members: dict[int, tuple[int, int, int]]) -> set[tuple[int, int]]:
+    """Pairs of classes of which one begins in a gap of the other and ends outside of it.  ``members``: token -> (class, place, size)."""
+    open_: list[list[int]] = []                      # class, place of its last token
+    out = set()
+    for t in tokens:
+        if t not in members:
+            continue
+        cls, place, size = members[t]
+        if place == 0:
+            open_.append([cls, 0])
+        else:
+            k = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == cls), None)
+            if k is None:                            # closed by a crossing before
+                continue
+            out |= {(min(cls, c), max(cls, c)) for c, _ in open_[k + 1:]}
+            del open_[k + 1:]
+            open_[k][1] = place
+        if open_ and open_[-1] == [cls, size - 1]:
+            open_.pop()
+    return out
+
+
+def _crossed(batches):
+    for b in batches:
+        seen = set()
+        for h, tokens, members in zip(*(c.to_pylist() for c in b.columns)):
+            seen |= {(h, *x) for x in crossings(tokens, {m["token"]: (m["cls"], m["place"], m["size"]) for m in members})}
+        rows = list(zip(*seen)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64())],
+                                         ["host", "a", "b"])
+
+
+def nested(sizes: dict[int, int], crossed: list[tuple[int, int]]) -> set[int]:
+    """The classes that stay: from the largest on (ties by id), each that crosses none that stays."""
+    other: dict[int, set[int]] = {}
+    for a, b in crossed:
+        other.setdefault(a, set()).add(b)
+        other.setdefault(b, set()).add(a)
+    stay: set[int] = set()
+    for c in sorted(sizes, key=lambda c: (-sizes[c], c)):
+        if not stay & other.get(c, set()):
+            stay.add(c)
+    return stay
+
+
+def _fixed(row: pa.Table) -> pa.Table:
+    """Text tokens of the classes of a host that stay."""
+    r = row.to_pylist()[0]
+    stay = nested({m["cls"]: m["size"] for m in r["members"]}, [(x["a"], x["b"]) for x in r["crossed"] or ()])
+    texts = sorted({m["token"] for m in r["members"] if m["cls"] in stay and m["is_text"]})
+    return pa.table([pa.array([r["host"]], pa.string()), pa.array([texts or None], pa.list_(pa.int64()))], names=["host", "fixed"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, fixed array<bigint>): fixed text tokens of each host, over its different pages."""
-    once = page_tokens(pages).groupBy("host", "token", "page").agg(
+    sequences = materialize(page_sequences(pages), "page-sequences")
+    once = page_tokens(sequences).groupBy("host", "token", "page").agg(
         F.max("is_text").alias("is_text"), F.max(F.struct("n", "vector")).alias("v")).select("host", "token", "is_text", "v.*")
     tokens = materialize(once.groupBy("host", "token").agg(
         F.bit_xor("vector").alias("vector"), F.count(F.lit(1)).alias("support"), F.sum("n").alias("n"),
@@ -298,9 +415,22 @@ def templates(pages: DataFrame) -> DataFrame:
         (F.col("size") >= MIN_SIZE) & (F.col("support") >= MIN_PAGES) & (F.col("support") >= PAGE_SHARE * F.col("pages")))
     valid = materialize(valid.select("host", "vector", "support", "n"), "classes")
     cls = ["host", "vector", "support", "n"]
-    # text tokens of valid classes: at most 1 / PAGE_SHARE times the blocks of a page for each host
-    fixed = tokens.where("is_text").join(valid, cls, "left_semi")
-    fixed = fixed.groupBy("host").agg(F.collect_set("token").alias("fixed"))
+    # tokens of valid classes: at most 1 / PAGE_SHARE times the tokens of a page for each host
+    members = materialize(tokens.where(F.col("token") != _PAGE).join(valid, cls, "left_semi").select(
+        "host", "token", "is_text", F.xxhash64(*cls).alias("cls")), "class-tokens")
+    # order: a class is cut where its tokens do not always follow each other
+    seen = sequences.select("host", "tokens")
+    known = members.groupBy("host").agg(F.collect_list(F.struct("token", "cls")).alias("members"))
+    befores = seen.join(known, "host").mapInArrow(_befores, "host string, token bigint, before bigint")
+    same = (F.min("before") == F.max("before")) & (F.count("before") == F.count(F.lit(1)))
+    links = befores.groupBy("host", "token").agg(F.when(same, F.min("before")).alias("before"))
+    ordered = materialize(links.groupBy("host").applyInArrow(_chain, "host string, token bigint, cls bigint, place bigint, size bigint").join(
+        members.select("host", "token", "is_text"), ["host", "token"]), "ordered-classes")
+    # nesting: of two classes that cross on a page the larger one stays
+    known = materialize(ordered.groupBy("host").agg(F.collect_list(F.struct("token", "cls", "place", "size", "is_text")).alias("members")), "members")
+    crossed = seen.join(known, "host").mapInArrow(_crossed, "host string, a bigint, b bigint").distinct()
+    crossed = crossed.groupBy("host").agg(F.collect_list(F.struct("a", "b")).alias("crossed"))
+    fixed = known.join(crossed, "host", "left").groupBy("host").applyInArrow(_fixed, "host string, fixed array<bigint>")
     return materialize(hosts.select("host").join(fixed, "host", "left"), "templates")
 
 

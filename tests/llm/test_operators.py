@@ -521,6 +521,24 @@ def test_html_classes_against_brute_force(spark):
         assert text[i] == "\n".join(x.text for x in htmltext.parse(p)[0] if (x.path, x.text) not in want[h])
 
 
+def test_html_classes_are_ordered_and_nested(spark):
+    """Lines on every page in changing order, one element for all of them: equal vectors, but no template."""
+    lines = [f"line {k}" for k in range(4)]
+    rng = np.random.default_rng(3)
+    pages = []
+    for i in range(12):
+        moving = "".join(f"<p>{lines[k]}</p>" for k in rng.permutation(4))
+        pages.append((i, "http://h/x", f"<body><div class=top>Top</div><p>own {i}</p>{moving}<div class=end>End</div></body>"))
+    text = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    for i, _, page in pages:
+        want = [x.text for x in htmltext.parse(page)[0] if x.text not in ("Top", "End")]
+        assert text[i] == "\n".join(want) and len(want) == 5
+    a, b = {1: (1, 0, 2), 2: (1, 1, 2)}, {3: (3, 0, 3), 4: (3, 1, 3), 5: (3, 2, 3)}
+    assert htmltext.crossings([3, 1, 9, 2, 4, 5, 1, 2], a | b) == set()
+    assert htmltext.crossings([3, 1, 4, 2, 5], a | b) == {(1, 3)}
+    assert htmltext.nested({1: 2, 3: 3, 7: 2}, [(1, 3)]) == {3, 7} and htmltext.nested({1: 2, 3: 3, 7: 4}, [(1, 3), (3, 7)]) == {1, 7}
+
+
 def test_html_text_of_given_pages(spark):
     d = "/root/testdata/sf0.001"
     got = {r.page_id: r.text for r in QUERIES["op6_html_text"](spark, d).collect()}
