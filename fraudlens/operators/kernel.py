@@ -46,6 +46,10 @@ class RandomFourierFeatures(_FitBase):
     values count as the column's mean, a constant column as zero; ``dim`` bounds the memory of a row."""
     model_cls = RandomFourierModel
 
+    def row_bytes(self) -> int:
+        """Of the numbers made of a row."""
+        return 8 * self._cfg().get("dim", 256)
+
     def _state(self, df, cols, cfg):
         if not cols:
             raise ValueError("no input columns")

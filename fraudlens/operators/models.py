@@ -26,7 +26,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudlens.operators.resampling import ResamplingPipeline
+from fraudlens.operators.resampling import Dealer, ResamplingPipeline
 from fraudlens.operators.sampling import stratified_folds, uniform
 from fraudlens.session import materialize
 from fraudlens.operators.scalar import attach
@@ -68,12 +68,16 @@ def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selector
                    kernel=None) -> Pipeline:
     """Preparation -> selectors -> ``resampling`` -> assembler -> ``forest`` selection -> classifier (all fitted
     inside each fold; a ``Resampler`` changes the rows that later stages are fitted on and no scored row).  ``kernel``, a
-    stage that makes the feature vector (``RandomFourierFeatures``), takes the assembler's place."""
+    stage that makes the feature vector (``RandomFourierFeatures``), takes the assembler's place; train rows are dealt
+    before it to tasks of bounded bytes."""
     if forest is not None:
         classifier = classifier.copy().setFeaturesCol(forest.output_col)
     before, after = [*prep_stages, *selectors], [kernel or assembler(feature_cols), *([forest] if forest else []), classifier]
-    if resampling is not None:
-        return ResamplingPipeline(stages=[*before, resampling, *after])
+    rows = [resampling] if resampling is not None else []
+    if kernel is not None:
+        rows.append(Dealer(kernel.row_bytes()))
+    if rows:
+        return ResamplingPipeline(stages=[*before, *rows, *after])
     return Pipeline(stages=[*before, *after])
 
 

@@ -143,8 +143,25 @@ class Resampler(Estimator):
         return PipelineModel([])
 
 
+TASK_BYTES = 128 << 20            # of the rows that a fit keeps for one task
+
+
+class Dealer(Resampler):
+    """Deals train rows evenly to tasks of ``TASK_BYTES`` at most, for stages that make ``row_bytes`` of each row.
+
+    Few bytes of input can become many for each row, and a fit keeps and reads them by task.  Rows that fit one task stay as they are."""
+
+    def __init__(self, row_bytes: int):
+        Estimator.__init__(self)
+        self.row_bytes = row_bytes
+
+    def resample(self, df: DataFrame) -> DataFrame:
+        parts = -(-df.count() * self.row_bytes // TASK_BYTES)
+        return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism)) if parts > 1 else df
+
+
 class ResamplingPipeline(Pipeline):
-    """A pipeline with a ``Resampler`` slot.
+    """A pipeline with ``Resampler`` slots.
 
     ``fit`` re-samples the rows on their way to the later stages, anew in every fold that it is fitted in; the fitted
     model has no such stage, so scored rows are never changed."""

@@ -79,3 +79,20 @@ def test_correlation_of_constant_and_pairwise_constant_columns(spark):
     assert all(v is None for k, v in got.items() if k != ("a", "b"))
     assert P.PearsonCorrelationFilter(["a", "same", "held", "b"], threshold=0.5).fit(rows).fitted()["keep"] == ["a", "same", "held"]
     assert all(r.corr is None for r in G.correlation_pairs(rows.limit(0)).collect())
+
+
+def test_kernel_fit_deals_rows_to_bounded_tasks(spark, monkeypatch):
+    """One input partition of few bytes makes many: the classifier is fitted on tasks of bounded bytes."""
+    from fraudlens.operators import resampling as R
+    monkeypatch.setattr(R, "TASK_BYTES", 64 * 8 * 50)                      # 50 rows
+    rows = _circle(spark, 1000).coalesce(1).cache()
+    parts = []
+
+    class Recorded(type(M.make_classifier("linear_svc"))):
+        def _fit(self, df):
+            parts.extend(df.rdd.glom().map(len).collect())
+            return super()._fit(df)
+    clf = Recorded(labelCol="is_fraud", featuresCol="features", weightCol="weight", maxIter=5)
+    model = M.build_pipeline(["x", "y"], clf, kernel=K.RandomFourierFeatures(["x", "y"], dim=64)).fit(rows)
+    assert sum(parts) == 1000 and max(parts) <= 60
+    assert len(model.stages) == 2 and model.transform(rows).rdd.getNumPartitions() == 1
