@@ -13,9 +13,11 @@ trained on.  Scores are calibrated on a held-out third; the threshold is the lar
 wished recall there, or lower, halfway to the score that 0.2 % of the look-alikes reach, where that costs nothing.  If more than ``MAX_FALSE`` of the held-out look-alikes pass it, training raises an error rather than
 give up recall.  Spans found by rules always stay; candidates above the threshold that touch none are added.
 
-Training sample: at most ``SAMPLE`` different confirmed and ``SAMPLE`` different harmless windows by hash,
-whatever the input; all documents are scanned for candidates and all
-candidates scored.  Texts are never shuffled.
+The network is trained on all different confirmed and harmless windows of the table, and the threshold comes from all
+held-out ones: nothing is sampled.  They are dealt by hash to shards of about ``SHARD`` windows, each with made-up windows
+in the contexts of its own.  In an epoch every shard goes through its windows from the same weights, and the weights and moments
+of all shards are averaged, a sum of as many rows as there are weights; the driver holds that, never windows.
+Texts are never shuffled.
 
 Defined cases: null text is empty and has no spans; positions count code
 points of the whole text, end exclusive; repeated rows are scanned alike;
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudlens.llm.textops import whole
+from fraudlens.operators.prefix import with_global_position
 from fraudlens.session import materialize
 
 # Fixed by the contract.
@@ -52,7 +55,8 @@ _VOWEL = re.compile("[aeiouyAEIOUY]")
 _LONG_PIECE = re.compile("[A-Za-z]{4,}")
 LEFT, BODY, RIGHT = 24, 40, 12     # characters of a window
 WINDOW = LEFT + BODY + RIGHT
-SAMPLE = 3000
+SHARD, MADE_UP = 6000, 9000        # labelled windows of a shard, about, and made-up ones beside them
+EPOCHS, SEED = 8, 7
 RECALL, MAX_FALSE = 0.99, 0.05
 
 
@@ -236,45 +240,96 @@ def _variants(rng, near: list[str], n: int) -> tuple[list[str], list[float]]:
     return out, y
 
 
-def train(positive: list[str], negative: list[str], epochs: int = 8, seed: int = 7, max_false: float = MAX_FALSE) -> dict:
-    """Weights, calibration and threshold from labelled windows, with the held-out share of look-alikes that pass it."""
+def shard_rows(positive: list[str], negative: list[str], seed: int, made_up: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Labelled and made-up windows of a shard, their labels, and which third is held out."""
+    rng = np.random.default_rng(seed)
+    more, label = _variants(rng, sorted(positive + negative), made_up)
+    windows = [*positive, *negative, *more]
+    held = np.zeros(len(windows), bool)
+    held[rng.permutation(len(windows))[::3]] = True
+    return windows, np.array([1.0] * len(positive) + [0.0] * len(negative) + label), held
+
+
+def start(seed: int) -> dict:
+    """First weights."""
     rng = np.random.default_rng(seed)
-    more, label = _variants(rng, sorted(positive + negative), 3 * SAMPLE)
-    x = codes([*positive, *negative, *more])
-    y = np.array([1.0] * len(positive) + [0.0] * len(negative) + label)
-    order = rng.permutation(len(x))
-    held, fit = order[::3], np.setdiff1d(order, order[::3])
     p = {"embed": rng.normal(0, 0.3, (N_CODES, EMBED)), "conv": rng.normal(0, 0.15, (EMBED * WIDTH, FILTERS)),
          "conv_b": np.zeros(FILTERS), "hid": rng.normal(0, 0.15, (FILTERS * len(_POOLS), HIDDEN)),
-         "hid_b": np.zeros(HIDDEN), "out": rng.normal(0, 0.2, HIDDEN), "out_b": 0.0}
+         "hid_b": np.zeros(HIDDEN), "out": rng.normal(0, 0.2, HIDDEN), "out_b": np.zeros(())}
     p["embed"][0] = 0
-    share = max(y[fit].mean(), 1e-3)
+    return p
+
+
+def pack(*trees: dict) -> np.ndarray:
+    """Weights and moments as one vector."""
+    return np.concatenate([np.ravel(t[k]) for t in trees for k in sorted(t)])
+
+
+def unpack(flat: np.ndarray) -> list[dict]:
+    like = start(0)
+    out, at = [], 0
+    while at < len(flat):
+        tree = {}
+        for k in sorted(like):
+            n = like[k].size
+            tree[k] = flat[at:at + n].reshape(like[k].shape)
+            at += n
+        out.append(tree)
+    return out
+
+
+def epoch(flat: np.ndarray, step: int, windows: list[str], y: np.ndarray, share: float, seed) -> np.ndarray:
+    """Weights and moments (``flat``) after one pass over the windows; ``share``: of secrets among all windows."""
+    p, m1, m2 = unpack(flat)
+    x = codes(windows)
     weight = np.where(y == 1, 0.5 / share, 0.5 / max(1 - share, 1e-3))
-    m1, m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    step = 0
-    for _ in range(epochs):
-        fit = rng.permutation(fit)
-        for at in range(0, len(fit), 128):
-            some = fit[at:at + 128]
-            step += 1
-            for k, g in _gradients(p, x[some], y[some], weight[some]).items():
-                m1[k] = 0.9 * m1[k] + 0.1 * g
-                m2[k] = 0.999 * m2[k] + 0.001 * g * g
-                p[k] = p[k] - 0.003 * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.999 ** step)) + 1e-8)
-    z = np.concatenate([_forward(p, x[held[i:i + 2048]])[0] for i in range(0, len(held), 2048)])
+    order = np.random.default_rng(seed).permutation(len(x))
+    for at in range(0, len(order), 128):
+        some = order[at:at + 128]
+        step += 1
+        for k, g in _gradients(p, x[some], y[some], weight[some]).items():
+            m1[k] = 0.9 * m1[k] + 0.1 * g
+            m2[k] = 0.999 * m2[k] + 0.001 * g * g
+            p[k] = p[k] - 0.003 * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.999 ** step)) + 1e-8)
+    return pack(p, m1, m2)
+
+
+def _first(seed: int) -> np.ndarray:
+    p = start(seed)
+    none = {k: np.zeros_like(v) for k, v in p.items()}
+    return pack(p, none, none)
+
+
+def _threshold(keep: float, other: float) -> float:
+    """From the score that leaves the wished recall and the one that 0.2 % of the look-alikes reach."""
+    return min(keep, (keep + other) / 2)
+
+
+def _refuse(wrong: float, max_false: float) -> None:
+    if wrong > max_false:
+        raise ValueError(f"recall {RECALL} would take {wrong:.1%} of harmless look-alikes for secrets")
+
+
+def train(positive: list[str], negative: list[str], epochs: int = EPOCHS, seed: int = SEED, max_false: float = MAX_FALSE) -> dict:
+    """Weights, calibration and threshold from labelled windows of one shard, with the held-out share of look-alikes that
+    pass it.  ``fit`` does the same over the windows of a table."""
+    windows, y, held = shard_rows(positive, negative, seed, MADE_UP)
+    fitted, yf, flat, step = [w for w, h in zip(windows, held) if not h], y[~held], _first(seed), 0
+    for i in range(epochs):
+        flat = epoch(flat, step, fitted, yf, max(yf.mean(), 1e-3), [seed, i])
+        step += -(-len(fitted) // 128)
+    p = unpack(flat)[0]
+    z, y = logits(p | {"scale": 1.0, "shift": 0.0}, [w for w, h in zip(windows, held) if h]), y[held]
     scale, shift = 1.0, 0.0
     for _ in range(200):                              # logistic calibration, slightly regularised
         q = 1 / (1 + np.exp(-(scale * z + shift)))
-        scale -= 0.05 * (((q - y[held]) * z).mean() + 1e-3 * (scale - 1))
-        shift -= 0.05 * (q - y[held]).mean()
+        scale -= 0.05 * (((q - y) * z).mean() + 1e-3 * (scale - 1))
+        shift -= 0.05 * (q - y).mean()
     z = scale * z + shift
-    score = np.sort(z[y[held] == 1])
-    keep = float(score[int((1 - RECALL) * len(score))])
-    other = np.sort(z[y[held] == 0])
-    keep = min(keep, (keep + float(other[int(0.998 * len(other))])) / 2)
+    score, other = np.sort(z[y == 1]), np.sort(z[y == 0])
+    keep = _threshold(float(score[int((1 - RECALL) * len(score))]), float(other[int(0.998 * len(other))]))
     wrong = float((other >= keep).mean())
-    if wrong > max_false:
-        raise ValueError(f"recall {RECALL} would take {wrong:.1%} of harmless look-alikes for secrets")
+    _refuse(wrong, max_false)
     return p | {"scale": scale, "shift": shift, "threshold": keep, "false_alarms": wrong}
 
 
@@ -307,12 +362,76 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     return materialize(t.mapInArrow(run, T.StructType([t.schema["doc_id"], *_FOUND.fields])), "secrets")
 
 
-def fit(scanned: DataFrame, sample: int = SAMPLE) -> dict:
-    """The network from at most ``sample`` different confirmed and ``sample`` different harmless windows, first by hash."""
-    c = scanned.select(F.explode("cands").alias("c")).select("c.label", "c.window").withColumn("h", F.xxhash64("window"))
-    got = [[r[0] for r in c.where(F.col("label") == label).select("h", "window").distinct().orderBy("h", "window").limit(sample)
-            .select("window").collect()] for label in (1, 0)]
-    return train(*got)
+def training_rows(scanned: DataFrame, seed: int = SEED) -> DataFrame:
+    """(shard, held, y, window): all different labelled windows and made-up ones (written)."""
+    c = scanned.select(F.explode("cands").alias("c")).select("c.label", "c.window").where("label >= 0").distinct()
+    c = materialize(c, "labelled")
+    n = max(1, -(-c.count() // SHARD))
+    c = c.select(F.pmod(F.xxhash64("window"), F.lit(n)).alias("shard"), "label", "window")
+    c = c.union(scanned.sparkSession.range(n).select("id", F.lit(-1), F.lit("")))       # a shard without windows has made-up ones
+
+    made_up = MADE_UP
+
+    def make(t: pa.Table) -> pa.Table:
+        of = [sorted(w for w, x in zip(t["window"].to_pylist(), t["label"].to_pylist()) if x == label) for label in (1, 0)]
+        shard = t["shard"][0].as_py()
+        windows, y, held = shard_rows(*of, seed + shard, made_up)
+        return pa.table([pa.array(np.full(len(y), shard)), pa.array(held), pa.array(y), pa.array(windows, pa.string())],
+                        names=["shard", "held", "y", "window"])
+    return materialize(c.groupBy("shard").applyInArrow(make, "shard bigint, held boolean, y double, window string"), "training")
+
+
+def _shard_epoch(flat: np.ndarray, step: int, i: int, n: int, share: float, seed: int):
+    """A shard's part of the mean weights and moments after epoch ``i``."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("window", "ascending"), ("y", "ascending")])
+        got = epoch(flat, step, t["window"].to_pylist(), t["y"].to_numpy(), share, [seed, t["shard"][0].as_py(), i])
+        return pa.table([pa.array(np.arange(len(got))), pa.array(got * (len(t) / n))], names=["at", "v"])
+    return run
+
+
+def fit(scanned: DataFrame, epochs: int = EPOCHS, seed: int = SEED, max_false: float = MAX_FALSE) -> dict:
+    """The network from all labelled windows, its calibration and threshold from all held-out ones."""
+    rows = training_rows(scanned, seed)
+    fitted = rows.where("not held")
+    shards = fitted.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("ones"))
+    n, ones, longest = shards.agg(F.sum("n"), F.sum("ones"), F.max("n")).first()
+    flat, step = _first(seed), 0
+    for i in range(epochs):
+        # decimals: the mean does not depend on the order of the sum
+        one = _shard_epoch(flat, step, i, n, max(ones / n, 1e-3), seed)
+        mean = fitted.groupBy("shard").applyInArrow(one, "at bigint, v double").groupBy("at").agg(
+            F.sum(F.col("v").cast("decimal(28,20)")).cast("double").alias("v"))
+        flat = np.array([r[0] for r in mean.orderBy("at").select("v").collect()])      # as many as weights and moments
+        step += -(-longest // 128)
+    p = unpack(flat)[0]
+    known = scanned.sparkSession.sparkContext.broadcast(p | {"scale": 1.0, "shift": 0.0})
+
+    def score(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(logits(known.value, b.column(1).to_pylist()))],
+                                             ["y", "window", "z"])
+    held = rows.where("held").select("y", "window").mapInArrow(score, "y double, window string, z double")
+    held = with_global_position(held, ["y", "z", "window"], "at").select("y", "z", "at")
+    held = materialize(held, "held-out")
+    scale, shift = _calibrated(held)
+    n0, n1 = held.agg(F.sum(1 - F.col("y")).cast("bigint"), F.sum("y").cast("bigint")).first()
+    at = {"keep": n0 + int((1 - RECALL) * n1), "other": int(0.998 * n0)}
+    z = {r["at"]: r["z"] for r in held.where(F.col("at").isin(*at.values())).collect()}
+    raw = _threshold(z[at["keep"]], z[at["other"]])
+    wrong = held.where("y = 0").agg(F.avg((F.col("z") >= raw).cast("double"))).first()[0]
+    _refuse(wrong, max_false)
+    return p | {"scale": scale, "shift": shift, "threshold": scale * raw + shift, "false_alarms": wrong}
+
+
+def _calibrated(held: DataFrame) -> tuple[float, float]:
+    """Scale and shift of the logits by a logistic fit over all held-out windows; they change no choice."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+    x = held.select("y", array_to_vector(F.array("z")).alias("x"))
+    m = LogisticRegression(featuresCol="x", labelCol="y", regParam=1e-3).fit(x)
+    scale = float(m.coefficients[0])
+    return (scale, float(m.intercept)) if scale > 0 else (1.0, 0.0)
 
 
 def _chosen(model: dict, base, cands) -> list[list[tuple[int, int, int]]]:

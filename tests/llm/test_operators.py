@@ -221,6 +221,24 @@ def test_secret_training_raises_rather_than_lose_recall():
         secrets.train(same[::2], same[1::2], epochs=1)
 
 
+def test_secret_training_takes_every_labelled_window(spark, monkeypatch):
+    """More labelled windows than one shard holds: each is trained on or held out, and shards give one network."""
+    monkeypatch.setattr(secrets, "SHARD", 300)
+    monkeypatch.setattr(secrets, "MADE_UP", 6000)
+    rng = np.random.default_rng(4)
+    rows = [(i, f"{secrets._prose(rng, 30)} token = {secrets._random(rng, secrets._ALNUM, 24)} see checkout-page-{2000 + i}-final end") for i in range(300)]
+    scanned = secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    want = {(float(c.label), c.window) for r in scanned.collect() for c in r.cands if c.label >= 0}
+    got = secrets.training_rows(scanned).collect()
+    assert len(want) > 500 and want <= {(r.y, r.window) for r in got}
+    shards = {r.shard for r in got}
+    assert len(shards) == -(-len(want) // 300) and len(got) == len(want) + 6000 * len(shards)
+    model = secrets.fit(scanned, epochs=4)
+    w, y = secrets._variants(np.random.default_rng(123), [], 400)
+    hit = secrets.logits(model, w) >= model["threshold"]
+    assert hit[np.array(y) == 1].mean() >= 0.9 and hit[np.array(y) == 0].mean() <= 0.1
+
+
 def test_mixing(spark, docs, no_docs):
     out = mixing.mixing_digest(docs).collect()
     assert len(out) == len(ROWS) and mixing.mixing_digest(no_docs).count() == 0
