@@ -71,7 +71,7 @@ def smote_rows(df: DataFrame, cols: list[str], label: str = "is_fraud", id_col:
 def danger_rows(df: DataFrame, cols: list[str], label: str = "is_fraud", id_col: str = "transaction_id", m: int = 10) -> DataFrame:
     """(id, n_other) of the positives of whose ``m`` nearest rows half or more, but not all, are of the other class."""
     whole = materialize(_complete(df, cols, label).select(id_col, label, *cols), "labelled")
-    near = nearest(whole.where(F.col(label) == 1), whole, cols, m, id_col, y=label, exclude_self=True)
+    near = nearest(whole.where(F.col(label) == 1), whole, cols, m, id_col, y=label, exclude_self=True, nx=False)
     n = near.groupBy(F.col("q").alias(id_col)).agg(F.count(F.when(F.col("y") == 0, 1)).alias("n_other"))
     return n.where((F.col("n_other") >= m / 2) & (F.col("n_other") < m))
 
@@ -93,7 +93,7 @@ def adasyn_rows(df: DataFrame, cols: list[str], label: str = "is_fraud", id_col:
     whole = materialize(_complete(df, cols, label).select(id_col, label, *cols), "labelled")
     n0, n1 = _counts(whole, label)
     mine = whole.where(F.col(label) == 1)
-    around = nearest(mine, whole, cols, k, id_col, y=label, exclude_self=True)
+    around = nearest(mine, whole, cols, k, id_col, y=label, exclude_self=True, nx=False)
     hard = materialize(around.groupBy(F.col("q").alias(id_col)).agg(F.count(F.when(F.col("y") == 0, 1)).alias("n_other")), "hardness")
     total = hard.agg(F.sum("n_other")).first()[0] or 0
     wanted = int(ratio * n0) - n1
@@ -106,7 +106,7 @@ def adasyn_rows(df: DataFrame, cols: list[str], label: str = "is_fraud", id_col:
 def edited_nearest_neighbours(df: DataFrame, cols: list[str], label: str = "is_fraud", id_col: str = "transaction_id", k: int = 3) -> DataFrame:
     """ENN: negatives stay only where their ``k`` nearest rows all are negatives; positives and incomplete rows stay."""
     whole = materialize(_complete(df, cols, label).select(id_col, label, *cols), "labelled")
-    near = nearest(whole.where(F.col(label) == 0), whole, cols, k, id_col, y=label, exclude_self=True)
+    near = nearest(whole.where(F.col(label) == 0), whole, cols, k, id_col, y=label, exclude_self=True, nx=False)
     gone = near.where("y <> 0").select(F.col("q").alias(id_col)).distinct()
     return df.join(gone, id_col, "left_anti").select(df.columns)
 
