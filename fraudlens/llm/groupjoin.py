@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,8 +166,9 @@ def shelved(sets: DataFrame) -> DataFrame:
 
 
 def _block(percent: int):
-    def run(key, queries: pa.Table, shelf: pa.Table) -> pa.Table:
+    def run(key, block):
         out = []
+        queries, shelf = block.filter(pc.is_null(block["grp"])), block.filter(pc.is_valid(block["grp"]))
         ids = np.asarray(queries["id"], np.int64)
         labels = {}                                        # labels of the shelf that this block has found to be one
         of = np.asarray(shelf["grp"])
@@ -194,15 +196,19 @@ def _root(labels: dict, x):
     return x
 
 
-def _ask(asks: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) found by ``asks`` (id, g), written."""
+def _ask(asks: DataFrame, sets: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) found by ``asks`` (id, g), written.
+
+    Who meets where is settled on ids alone and written; the sets (id, s) are joined to that once, for queries (no group)
+    and shelves together, and move once more to their block."""
     per = materialize(asks.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("parts")), "asked-shelves")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
-    left = asks.join(per, "g").select("g", own, "id").join(sets.select("id", "s"), "id").select("g", "part", "id", "s")
-    right = per.select("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")).join(sets, "g").join(labels, "id")
-    right = right.select(*[F.col(c).alias(c) for c in ("g", "part", "grp", "id", "comp", "s")])
-    return materialize(left.groupBy("g", "part").cogroup(right.groupBy("g", "part")).applyInArrow(
-        _block(percent), "a bigint, b bigint"), "found")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("grp", "int"), ("comp", "bigint"))]
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
+    left = asks.join(per, "g").select("g", own, "id", *none)
+    right = groups.join(per, "g").join(labels, "id").select("g", part, "id", "grp", "comp")
+    meet = materialize(left.unionByName(right), "meetings")
+    return materialize(meet.join(sets, "id").groupBy("g", "part").applyInArrow(_block(percent), "a bigint, b bigint"), "found")
 
 
 def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -242,8 +248,8 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     t = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col(text).alias("t"))
     # equal rows of a repeated id are one
     again = t.join(twice, "id", "left_semi").groupBy("id", F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")).drop("h")
-    t = t.join(twice, "id", "left_anti").union(again).join(groups, "id")
-    sets = materialize(t.select("id", "g", "grp", shingle_set("t", k).alias("s")), "sets")
+    t = t.join(twice, "id", "left_anti").union(again).join(groups.select("id"), "id", "left_semi")
+    sets = materialize(t.select("id", shingle_set("t", k).alias("s")), "sets")
     members = materialize(members.join(groups.select("id", "g"), "id"), "members")
     labels = groups.select("id", F.col("id").alias("comp")).distinct()
     done, links = groups.select("id", "g").limit(0), groups.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
@@ -255,7 +261,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
         least = materialize(least.select("sig", F.col("c.comp").alias("c"), F.col("c.g").alias("c_g")), "centres")
         asks = act.join(least, "sig").where("c <> comp").groupBy("id").agg(F.min(F.struct("c", F.col("c_g").alias("g"))).alias("m"))
         asks = materialize(asks.select("id", F.col("m.g").alias("g")).join(done, ["id", "g"], "left_anti"), "asks")
-        found = _ask(asks, sets, labels, percent)
+        found = _ask(asks, sets, groups, labels, percent)
         n_asked, n_found = asks.count(), found.select("a").distinct().count()
         done = materialize(done.union(asks), "done")
         if not n_found:
@@ -281,7 +287,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     asks = mixed.where("comp <> big").select("sig", "id", "comp").join(kind, "sig").select("kind", "id", "comp").distinct()
     asks = asks.join(held.withColumnRenamed("sig", "kind"), "kind").where("only is null or only <> comp")
     asks = materialize(asks.select("id", "g").distinct().join(done, ["id", "g"], "left_anti"), "asks")
-    return labels, _between(links.union(_ask(asks, sets, labels, percent)), labels)
+    return labels, _between(links.union(_ask(asks, sets, groups, labels, percent)), labels)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", k: int = 3, percent: int = PERCENT) -> DataFrame:

@@ -95,3 +95,20 @@ def test_nothing_to_join(spark):
     assert groupjoin.jaccard_components(spark.createDataFrame([], DOCS)).count() == 0
     one = spark.createDataFrame([(1, "a b c d", "s", 1, "c", 2, "i")], DOCS)
     assert [tuple(r) for r in groupjoin.jaccard_components(one).collect()] == [(1, 2, 1)]
+
+
+def test_sets_meet_their_shelves_by_one_join(spark, monkeypatch):
+    """The sets are read once for a round of questions, whatever is asked: queries and shelves share the join."""
+    from pyspark.sql import functions as F
+
+    from fraudlens.llm import groupjoin as G
+    sets = spark.range(6).select("id", F.transform(F.sequence(F.lit(0), F.lit(19)), lambda x: F.when(x == 0, F.col("id") % 2 * 100 + F.col("id"))
+                                                   .otherwise(x).cast("bigint")).alias("s"))
+    groups = spark.range(6).select("id", F.lit(0).cast("bigint").alias("g"), F.lit(0).alias("grp"))
+    labels = spark.range(6).select("id", F.col("id").alias("comp"))
+    seen, kept = [], type(sets).join
+    monkeypatch.setattr(type(sets), "join", lambda self, other, *a, **k: (seen.append("s" in other.columns), kept(self, other, *a, **k))[1])
+    found = G._ask(groups.select("id", "g").where("id > 0"), sets, groups, labels, 90)
+    assert sum(seen) == 1
+    from fraudlens.llm.components import components
+    assert {tuple(r) for r in components(found).collect()} == {(i, 0) for i in range(6)}
