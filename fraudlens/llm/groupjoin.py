@@ -10,7 +10,10 @@
 3. Documents that share a signature are partitioned into groups of ``GROUP`` similar ones: neighbours in the order of
    their least token hashes.  A group's row of the matrix is the union of its members' tokens; a run of neighbouring
    groups, bounded in sets and in tokens, is a shelf.
-4. A query set asks a shelf: its overlap with a group's union bounds its overlap with each member, so a group
+4. A query set asks a shelf.  Who meets whom is first thinned by small marks: of the tokens dealt to 2 to 4 bits a token,
+   the parity of each bit.  Two marks differ in no more bits than their sets in tokens, so a pair whose marks differ in
+   more than a link allows is none; a query or member that is left with no pair of two labels moves no set.
+   Of the others a query's overlap with a group's union bounds its overlap with each member, so a group
    whose overlap is under ``percent`` of the larger of the query and the smallest member stays closed; the others
    are opened and compared member by member, exactly.  A block is one shelf and at most ``QUERIES`` query sets, and
    it yields links that connect what it found linked, not all pairs.
@@ -19,7 +22,7 @@
    little, every set that has not the commonest label of a signature asks all its shelves that hold another label,
    once.  Links join components by union-find on the whole link table.
 
-Only ids, signatures and the sets of documents that share a signature are shuffled, through tables in the shared
+Only ids, signatures, marks and the sets of documents that may link are shuffled, through tables in the shared
 checkpoint folder.
 
 Defined cases: null, empty and wordless texts have the empty set and are linked with nothing; fewer words than k
@@ -47,6 +50,7 @@ QUERIES = 256                      # query sets that meet a shelf in one block
 LOWER = 3                          # times that a turn lowers the labels
 LAST_SHARE = 0.25                  # of the asked sets: turns go on while so many find a link
 _STEP = 1.5                        # ratio of the size classes
+_BATCH = 1 << 20                   # tokens, or words of marks, that are held at a time
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -156,6 +160,69 @@ def open_group(q_flat, q_sizes, g_flat, g_sizes, percent: int) -> tuple[np.ndarr
     return np.concatenate(out_q), np.concatenate(out_g), opened
 
 
+def parity_marks(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, ends) of the marks of sets of distinct 64-bit tokens that lie between ``ends``: 64 bits at least, or the power
+    of two from twice the set's size on; a bit is the parity of the tokens whose low bits name it."""
+    n = np.diff(ends)
+    bits = np.left_shift(1, np.maximum(np.frexp(2 * n - 1)[1], 6), dtype=np.int64)
+    at = np.r_[0, np.cumsum(bits >> 6)]
+    out = np.zeros(at[-1], np.uint64)
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + _BATCH, "right")) - 1)
+        owner = np.repeat(np.arange(i, j), n[i:j])
+        bit = tokens[ends[i]:ends[j]] & (bits[owner] - 1)
+        np.bitwise_xor.at(out, at[owner] + (bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        i = j
+    return out, at
+
+
+def marked(sets: DataFrame) -> DataFrame:
+    """(id, n, mark) of sets (id, s)."""
+    def run(batches):
+        for b in batches:
+            s = b.column(1)
+            ends = s.offsets.to_numpy().astype(np.int64)
+            words, at = parity_marks(s.flatten().to_numpy(zero_copy_only=False), ends - ends[0])
+            marks = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer((at * 8).astype(np.int32)), pa.py_buffer(words)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(ends)), marks], ["id", "n", "mark"])
+    return sets.select("id", "s").mapInArrow(run, "id bigint, n bigint, mark binary")
+
+
+def may_link(q_n, q_marks, q_label, m_n, m_marks, m_label, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Flags of the queries and of the members that are in a pair of two labels whose sizes and marks allow a link."""
+    q_some, m_some = np.zeros(len(q_n), bool), np.zeros(len(m_n), bool)
+    q_words, m_words = (np.array([len(x) // 8 for x in marks], np.int64) for marks in (q_marks, m_marks))
+    for wide in np.unique(q_words):
+        for high in np.unique(m_words):
+            q, m, w = np.flatnonzero(q_words == wide), np.flatnonzero(m_words == high), min(wide, high)
+            # the wider marks are folded: the parity of two bits is the parity of their tokens
+            x, y = (np.bitwise_xor.reduce(np.frombuffer(b"".join([marks[i] for i in of]), np.uint64).reshape(len(of), -1, w), axis=1)
+                    for marks, of in ((q_marks, q), (m_marks, m)))
+            step = max(1, _BATCH // (len(m) * w))
+            for i in range(0, len(q), step):
+                some = q[i:i + step]
+                a, b = q_n[some, None], m_n[m]
+                ok = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (q_label[some, None] != m_label[m])
+                if ok.any():
+                    differ = np.bitwise_count(x[i:i + step, None] ^ y).sum(-1, dtype=np.int64)
+                    ok &= (100 + percent) * differ <= (100 - percent) * (a + b)
+                    q_some[some] |= ok.any(1)
+                    m_some[m] |= ok.any(0)
+    return q_some, m_some
+
+
+def _thin(percent: int):
+    def run(key, block):
+        queries, shelf = block.filter(pc.is_null(block["grp"])), block.filter(pc.is_valid(block["grp"]))
+        sides = [[np.asarray(x["n"], np.int64), x["mark"].to_pylist(), np.asarray(x["comp"], np.int64)] for x in (queries, shelf)]
+        keep = may_link(*sides[0], *sides[1], percent)
+        # an id that repeats may have several marks
+        rows = pa.concat_tables([x.filter(pa.array(k)) for x, k in zip((queries, shelf), keep)]).select(["g", "part", "id", "grp", "comp"])
+        return rows.group_by(rows.column_names).aggregate([])
+    return run
+
+
 def shelved(sets: DataFrame) -> DataFrame:
     """(id, g, grp) of rows (id, n, m1, m2): shelf and group by place in the order of the least hashes, and by the tokens so
     far, whatever the number of partitions.  A shelf has at most ``SHELF`` sets, and ``SHELF_TOKENS`` tokens before its last."""
@@ -196,18 +263,19 @@ def _root(labels: dict, x):
     return x
 
 
-def _ask(asks: DataFrame, sets: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _ask(asks: DataFrame, sets: DataFrame, groups: DataFrame, labels: DataFrame, percent: int, marks: DataFrame | None = None) -> DataFrame:
     """Links (a, b) found by ``asks`` (id, g), written.
 
-    Who meets where is settled on ids alone and written; the sets (id, s) are joined to that once, for queries (no group)
-    and shelves together, and move once more to their block."""
+    Who meets where is settled on ids and ``marks`` (those of ``sets``, made here if not given) and written; the sets (id, s)
+    are joined to that once, for queries (no group) and shelves together, and move once more to their block."""
     per = materialize(asks.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("parts")), "asked-shelves")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("grp", "int"), ("comp", "bigint"))]
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
-    left = asks.join(per, "g").select("g", own, "id", *none)
+    left = asks.join(per, "g").join(labels, "id").select("g", own, "id", F.lit(None).cast("int").alias("grp"), "comp")
     right = groups.join(per, "g").join(labels, "id").select("g", part, "id", "grp", "comp")
-    meet = materialize(left.unionByName(right), "meetings")
+    meet = left.unionByName(right).join(marked(sets) if marks is None else marks, "id").groupBy("g", "part").applyInArrow(
+        _thin(percent), "g bigint, part bigint, id bigint, grp int, comp bigint")
+    meet = materialize(meet, "meetings")
     return materialize(meet.join(sets, "id").groupBy("g", "part").applyInArrow(_block(percent), "a bigint, b bigint"), "found")
 
 
@@ -250,6 +318,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     again = t.join(twice, "id", "left_semi").groupBy("id", F.xxhash64("t").alias("h")).agg(F.first("t").alias("t")).drop("h")
     t = t.join(twice, "id", "left_anti").union(again).join(groups.select("id"), "id", "left_semi")
     sets = materialize(t.select("id", shingle_set("t", k).alias("s")), "sets")
+    marks = materialize(marked(sets), "marks")
     members = materialize(members.join(groups.select("id", "g"), "id"), "members")
     labels = groups.select("id", F.col("id").alias("comp")).distinct()
     done, links = groups.select("id", "g").limit(0), groups.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
@@ -261,7 +330,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
         least = materialize(least.select("sig", F.col("c.comp").alias("c"), F.col("c.g").alias("c_g")), "centres")
         asks = act.join(least, "sig").where("c <> comp").groupBy("id").agg(F.min(F.struct("c", F.col("c_g").alias("g"))).alias("m"))
         asks = materialize(asks.select("id", F.col("m.g").alias("g")).join(done, ["id", "g"], "left_anti"), "asks")
-        found = _ask(asks, sets, groups, labels, percent)
+        found = _ask(asks, sets, groups, labels, percent, marks)
         n_asked, n_found = asks.count(), found.select("a").distinct().count()
         done = materialize(done.union(asks), "done")
         if not n_found:
@@ -287,7 +356,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, twice: DataFrame, text: st
     asks = mixed.where("comp <> big").select("sig", "id", "comp").join(kind, "sig").select("kind", "id", "comp").distinct()
     asks = asks.join(held.withColumnRenamed("sig", "kind"), "kind").where("only is null or only <> comp")
     asks = materialize(asks.select("id", "g").distinct().join(done, ["id", "g"], "left_anti"), "asks")
-    return labels, _between(links.union(_ask(asks, sets, groups, labels, percent)), labels)
+    return labels, _between(links.union(_ask(asks, sets, groups, labels, percent, marks)), labels)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", k: int = 3, percent: int = PERCENT) -> DataFrame:

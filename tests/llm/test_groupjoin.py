@@ -112,3 +112,51 @@ def test_sets_meet_their_shelves_by_one_join(spark, monkeypatch):
     assert sum(seen) == 1
     from fraudlens.llm.components import components
     assert {tuple(r) for r in components(found).collect()} == {(i, 0) for i in range(6)}
+
+
+def _marks(sets):
+    words, at = groupjoin.parity_marks(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]))
+    return [words[i:j].tobytes() for i, j in zip(at, at[1:])]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sampled_from([50, 80, 90]), st.sampled_from([1, 100, 1 << 20]), st.integers(0, 10 ** 6))
+def test_marks_lose_no_link(percent, batch, seed):
+    """Widths differ between the two sides here, an empty set and equal labels among them."""
+    rng = np.random.default_rng(seed)
+    base = np.unique(rng.integers(-2 ** 63, 2 ** 63, rng.integers(1, 300)))
+    draw = lambda: np.unique(np.r_[rng.permutation(base)[rng.integers(0, 1 + len(base) // 3):], rng.integers(-2 ** 63, 2 ** 63, rng.integers(0, 1 + len(base) // 3))])
+    sides = [[draw() for _ in range(9)] + [base[:0]], [draw() for _ in range(7)]]
+    q_label, m_label = rng.integers(0, 9, 10), rng.integers(0, 9, 7)
+    kept, groupjoin._BATCH = groupjoin._BATCH, batch
+    try:
+        (q, q_n), (m, m_n) = ((_marks(x), np.array([len(y) for y in x])) for x in sides)
+        q_some, m_some = groupjoin.may_link(q_n, q, q_label, m_n, m, m_label, percent)
+    finally:
+        groupjoin._BATCH = kept
+    for i, a in enumerate(sides[0]):
+        for j, b in enumerate(sides[1]):
+            if q_label[i] != m_label[j] and len(a) and 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)):
+                assert q_some[i] and m_some[j]
+
+
+def test_sets_that_cannot_link_do_not_move(spark, monkeypatch):
+    """Only 0 and 1 are linked of forty sets that all ask one shelf, and no other set goes to a block; what has one label already neither."""
+    from pyspark.sql import functions as F
+    token = F.xxhash64
+    own = F.transform(F.sequence(F.lit(1), F.lit(30)), lambda x: token("id", x))
+    same = F.transform(F.sequence(F.lit(1), F.lit(30)), lambda x: F.when(x < 30, token(F.lit(0), x)).otherwise(token("id", x)))
+    sets = spark.range(40).select("id", F.when(F.col("id") < 2, same).otherwise(own).alias("s"))
+    groups = spark.range(40).select("id", F.lit(0).cast("bigint").alias("g"), F.lit(0).alias("grp"))
+    met, written = [], groupjoin.materialize
+
+    def keep(df, name="table"):
+        out = written(df, name)
+        if name == "meetings":
+            met.append({r.id for r in out.select("id").collect()})
+        return out
+    monkeypatch.setattr(groupjoin, "materialize", keep)
+    ask = lambda labels: [tuple(sorted(r)) for r in groupjoin._ask(groups.select("id", "g"), sets, groups, labels, 90).collect()]
+    labels = spark.range(40).select("id", F.col("id").alias("comp"))
+    assert set(ask(labels)) == {(0, 1)} and met == [{0, 1}]
+    assert ask(labels.withColumn("comp", F.when(F.col("id") < 2, 0).otherwise(F.col("id")))) == [] and met[1] == set()
