@@ -132,7 +132,7 @@ def phrase_counts(streams: list[np.ndarray], model: dict) -> np.ndarray:
     column = grid.astype(np.int32)               # symbols are numbered: they index what the root leads to
     grid <<= 32
     active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")     # lanes longer than each step
-    seen = np.arange(_FIRST + len(model["letters"]), dtype=np.int64) << 32
+    seen = np.arange(int(column.max()) + 1, dtype=np.int64) << 32
     for lang, (keys, to, _) in enumerate(model["automata"]):
         at = np.searchsorted(keys, seen)         # the root is state 0
         root = np.where(keys[at] == seen, to[at], 0)
