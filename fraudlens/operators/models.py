@@ -17,7 +17,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators.boosting import GroupedGBT, TreeBins, adaboost, adaboost_score  # noqa: F401
 from fraudlens.operators.forest import RandomForestClassifier, binned
+from fraudlens.operators.kernel import FourierSVC
 from fraudlens.operators.resampling import Dealer, ResamplingPipeline
 from fraudlens.operators.sampling import stratified_folds, uniform
 from fraudlens.session import materialize
@@ -38,7 +39,7 @@ FAMILIES = {
     "random_forest": RandomForestClassifier,
     "logistic_regression": LogisticRegression,
     "gbt": GroupedGBT,
-    "linear_svc": LinearSVC,
+    "linear_svc": FourierSVC,
 }
 
 
@@ -71,7 +72,7 @@ def build_pipeline(feature_cols: list[str], classifier, prep_stages=(), selector
     """Preparation -> selectors -> ``resampling`` -> assembler -> ``forest`` selection -> classifier (all fitted
     inside each fold; a ``Resampler`` changes the rows that later stages are fitted on and no scored row).  ``kernel``, a
     stage that makes the feature vector (``RandomFourierFeatures``), takes the assembler's place; train rows are dealt
-    before it to tasks of bounded bytes.  Gradient-boosted trees get bin numbers, so that equal rows are grouped in their fit."""
+    before it to tasks of bounded bytes, and the linear SVM makes the vectors anew in every pass.  Gradient-boosted trees get bin numbers, so that equal rows are grouped in their fit."""
     if forest is not None:
         classifier = classifier.copy().setFeaturesCol(forest.output_col)
     before = [*prep_stages, *selectors]

@@ -96,3 +96,34 @@ def test_kernel_fit_deals_rows_to_bounded_tasks(spark, monkeypatch):
     model = M.build_pipeline(["x", "y"], clf, kernel=K.RandomFourierFeatures(["x", "y"], dim=64)).fit(rows)
     assert sum(parts) == 1000 and max(parts) <= 60
     assert len(model.stages) == 2 and model.transform(rows).rdd.getNumPartitions() == 1
+
+
+def test_radial_svm_reads_no_features_and_takes_the_steps_of_sparks_fit(spark, tmp_path, monkeypatch):
+    """The fit keeps a row's few inputs: Spark's fit over the vectors, which are many times the table, is not run."""
+    from pyspark.ml.classification import LinearSVC, LinearSVCModel
+    rows = _circle(spark, 700).withColumn("weight", F.when(F.col("is_fraud") == 1, 2.5).otherwise(F.lit(0.5) * (F.col("i") % 4))).withColumn(
+        "x", F.when(F.col("i") % 50 > 0, F.col("x"))).repartition(3).cache()
+    kernel = K.RandomFourierFeatures(["x", "y"], dim=48, gamma=0.8)
+    z = kernel.fit(rows).transform(rows)
+    for kw in (dict(maxIter=40), dict(maxIter=12, regParam=0.05), dict(maxIter=12, regParam=0.02, standardization=False, fitIntercept=False), dict(maxIter=0)):
+        want = LinearSVC(labelCol="is_fraud", weightCol="weight", **kw).fit(z)
+        with monkeypatch.context() as m:
+            m.setattr(LinearSVC, "_fit_java", lambda self, df: pytest.fail("fitted over the features"))
+            model = M.build_pipeline(["x", "y"], M.make_classifier("linear_svc", **kw), kernel=kernel).fit(rows)
+        got = model.stages[1]
+        assert isinstance(got, LinearSVCModel) and got.getMaxIter() == kw["maxIter"]
+        assert np.abs(got.coefficients.toArray() - want.coefficients.toArray()).max() < 1e-6 and abs(got.intercept - want.intercept) < 1e-6
+    model.write().overwrite().save(str(tmp_path / "svm"))
+    assert M.PipelineModel.load(str(tmp_path / "svm")).transform(rows).count() == 700
+    clf = M.make_classifier("linear_svc")
+    for odd, said in ((rows.withColumn("is_fraud", F.when(F.col("i") > 0, F.col("is_fraud"))), "1 rows without a label"),
+                      (rows.withColumn("weight", F.when(F.col("i") < 2, -1.0).otherwise(1.0)), "2 rows without a label"),
+                      (rows.where("is_fraud = 0"), "no rows of label 1")):
+        with pytest.raises(ValueError, match=said):
+            M.build_pipeline(["x", "y"], clf, kernel=kernel).fit(odd)
+
+
+def test_half_cosine_is_exact_to_the_last_digits():
+    turns = np.random.default_rng(1).normal(0, 40, 100_000)
+    want = (1 + np.cos(2 * np.pi * (turns - np.rint(turns)))) / 2
+    assert np.abs(K.half_cosine(turns.copy(), np.empty_like(turns)) - want).max() < 4e-15
