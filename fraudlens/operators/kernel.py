@@ -26,7 +26,7 @@ from fraudlens.operators.prep import FittedModel, _FitBase
 from fraudlens.session import materialize
 
 #: Rows of a written chunk, and of those the rows whose features are made at a time (they stay in a core's cache).
-CHUNK_ROWS, SLICE_ROWS = 4096, 256
+CHUNK_ROWS, SLICE_ROWS = 4096, 128
 
 
 def fourier_basis(n_inputs: int, dim: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
